@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # How text that is a date or a timestamp looks.
@@ -12,10 +12,13 @@ DATE_TEXT = r"^\d{4}-\d{2}-\d{2}$"
 
 def json_value_type(value: Column) -> Column:
     """Simple type name of a VARIANT value."""
-    kind = F.schema_of_variant(value)
-    text = F.try_variant_get(value, "$", "string")
+    return simple_type(F.schema_of_variant(value), F.try_variant_get(value, "$", "string"))
+
+
+def simple_type(kind: Column, text: Column) -> Column:
+    """Simple type name from a VARIANT's schema and its text."""
     return (
-        F.when(value.isNull() | F.is_variant_null(value), F.lit("unknown"))
+        F.when(kind.isNull() | (kind == "VOID"), F.lit("unknown"))
         .when(kind == "BOOLEAN", F.lit("boolean"))
         .when(kind == "BIGINT", F.lit("number"))
         .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), F.lit("decimal"))
@@ -31,12 +34,10 @@ def json_entries(df: DataFrame, column: str) -> DataFrame:
 
     Text that is no JSON object yields no row.
     """
-    spark = df.sparkSession
     parsed = df.select(F.try_parse_json(df[column]).alias("doc"))
-    objects = parsed.where(F.schema_of_variant("doc").startswith("OBJECT"))
-    return objects.lateralJoin(
-        spark.tvf.variant_explode(F.col("doc").outer())
-    ).select("key", "value")
+    entries = parsed.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("doc").outer()))
+    # elements of arrays have a position and no key
+    return entries.where(F.col("key").isNotNull()).select("key", "value")
 
 
 def json_type_profile(df: DataFrame, column: str) -> DataFrame:
@@ -45,14 +46,24 @@ def json_type_profile(df: DataFrame, column: str) -> DataFrame:
     `dominant` is the most frequent known type, ties going to the smaller
     name; a key with only nulls stays unknown. Every row is read.
     """
+    value = F.col("value")
     counts = (
         json_entries(df, column)
-        .groupBy("key", json_value_type(F.col("value")).alias("type"))
+        .select(
+            "key",
+            F.schema_of_variant(value).alias("kind"),
+            F.try_variant_get(value, "$", "string").alias("text"),
+        )
+        .groupBy("key", simple_type(F.col("kind"), F.col("text")).alias("type"))
         .agg(F.count("*").alias("n"))
     )
     known = F.when(F.col("type") != "unknown", F.struct(-F.col("n"), F.col("type")))
-    best = counts.groupBy("key").agg(
-        F.coalesce(F.min_by("type", known), F.lit("unknown")).alias("dominant"),
-        F.sum("n").alias("values"),
+    # one row per type of a key reaches this window
+    per_key = Window.partitionBy("key")
+    return counts.select(
+        "key",
+        "type",
+        "n",
+        F.coalesce(F.min_by("type", known).over(per_key), F.lit("unknown")).alias("dominant"),
+        F.sum("n").over(per_key).alias("values"),
     )
-    return counts.join(best, "key")

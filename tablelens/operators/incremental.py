@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.predicates import day_range
-from .keyed import dedup_keep_last, keyed_upsert, union_by_name, without_keys
+from .keyed import dedup_keep_last, keyed_upsert, match, union_by_name, without_keys
 
 MONTH = "_month"
 
@@ -147,7 +147,7 @@ def merge_stored(
     stored = spark.read.parquet(path)
     fresh = with_month(latest, date).select(MONTH)
     wanted = latest.select(*keys).distinct()
-    moved = stored.select(*keys, MONTH).join(wanted, list(keys), "left_semi").select(MONTH)
+    moved = match(stored.select(*keys, MONTH), wanted, keys, "left_semi").select(MONTH)
     # bounded by the calendar: one entry per month
     months = {r[0] for r in fresh.union(moved).distinct().collect()}
     kept = without_keys(stored.where(_in_months(months)).drop(MONTH), latest, keys)
@@ -166,15 +166,10 @@ def _drop_emptied(
     """Delete a superseded row's old month when the merge left nothing to write there."""
     spark.catalog.refreshByPath(path)
     stored = spark.read.parquet(path).where(_in_months(months))
-    now = with_month(latest, date).select(*keys, F.col(MONTH).alias("_now"))
-    stale = (
-        stored.select(*keys, MONTH)
-        .join(now, list(keys))
-        .where(~F.col(MONTH).eqNullSafe(F.col("_now")))
-        .select(MONTH)
-        .distinct()
-        .collect()
-    )
+    # a row found under another month than its key has now is superseded
+    now = with_month(latest, date).select(*keys, MONTH)
+    moved = match(stored.select(*keys, MONTH), now.select(*keys), keys, "left_semi")
+    stale = match(moved, now, [*keys, MONTH], "left_anti").select(MONTH).distinct().collect()
     if not stale:
         return
     hadoop = spark._jvm.org.apache.hadoop.fs

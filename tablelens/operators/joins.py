@@ -4,39 +4,46 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MAX_ROWS = 100_000
 MAX_BYTES = 16 * 1024 * 1024
 SALTS = 32
-_SALT = "_salt"
+SALT = "_salt"
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
-    """Measure a lookup table; true when it is small enough to send to every executor.
+    """Count a lookup table's rows and text bytes; true when every executor can hold it.
 
-    The measuring job stops after `max_rows` + 1 rows.
+    This is one distributed pass over the lookup, not over the table it serves.
     """
-    width = F.octet_length(F.to_json(F.struct(*df.columns)))
-    rows, size = (
-        df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
-    )
+    width = sum((_width(df, f) for f in df.schema.fields), F.lit(0))
+    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 
+def _width(df: DataFrame, field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.StringType):
+        return F.coalesce(F.octet_length(df[field.name]), F.lit(0))
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.coalesce(F.octet_length(df[field.name].cast("string")), F.lit(0))
+    return F.lit(16)
+
+
 def salted(df: DataFrame, salts: int = SALTS) -> DataFrame:
     """Spread the rows of one key over `salts` tasks.
 
     The salt is a hash of the row, not a random number, so a task that is run
     again sends each row to the same place.
     """
-    return df.withColumn(_SALT, F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+    return df.withColumn(SALT, F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
 
 
 def replicated(df: DataFrame, salts: int = SALTS) -> DataFrame:
     """One copy of every row per salt, the other side of `salted`."""
-    return df.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return df.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
 
 def lookup_join(
@@ -51,6 +58,4 @@ def lookup_join(
     on = list(on)
     if fits_broadcast(lookup):
         return df.join(F.broadcast(lookup), on, "left")
-    return (
-        salted(df, salts).join(replicated(lookup, salts), [*on, _SALT], "left").drop(_SALT)
-    )
+    return salted(df, salts).join(replicated(lookup, salts), [*on, SALT], "left").drop(SALT)

@@ -8,22 +8,33 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import SALT, fits_broadcast, replicated, salted
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+
+def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on null-safe equal keys; `how` keeps only columns of the left side."""
+    pairs = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in keys]
+    return left.alias("l").join(right.alias("r"), reduce(lambda a, b: a & b, pairs), how)
 
 
 def without_keys(df: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of `df` whose key does not occur in `gone`."""
-    drop = gone.select(*keys).distinct().alias("drop")
-    held = df.alias("held")
-    on = reduce(
-        lambda a, b: a & b, [F.col(f"held.`{k}`").eqNullSafe(F.col(f"drop.`{k}`")) for k in keys]
-    )
-    return held.join(drop, on, "left_anti")
+    """Rows of `df`, which holds few rows per key, whose key does not occur in `gone`."""
+    return match(df, gone.select(*keys).distinct(), keys, "left_anti")
+
+
+def without_hot_keys(df: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """As `without_keys` for a table where one key may hold a large share of the rows.
+
+    A small list of keys is broadcast; a longer one is repeated per salt, so
+    the rows of a hot key are tested by many tasks.
+    """
+    drop = gone.select(*keys).distinct()
+    if fits_broadcast(drop):
+        return match(df, F.broadcast(drop), keys, "left_anti")
+    return match(salted(df), replicated(drop), [*keys, SALT], "left_anti").drop(SALT)
 
 
 def dedup_keep_last(df: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
@@ -57,7 +68,7 @@ def keyed_upsert(
     to its keys, which Spark broadcasts when their measured size allows.
     """
     latest = dedup_keep_last(incoming, keys, seq)
-    return union_by_name(without_keys(held, latest, keys), latest)
+    return union_by_name(without_keys(held, incoming, keys), latest)
 
 
 def keyed_delete(
@@ -69,14 +80,14 @@ def keyed_delete(
     drops every row of the remaining key.
     """
     if optional is None:
-        return without_keys(df, gone, keys)
+        return without_hot_keys(df, gone, keys)
     part = F.coalesce(gone[optional], F.lit(""))
-    exact = without_keys(df, gone.where(part != ""), [*keys, optional])
-    return without_keys(exact, gone.where(part == ""), keys)
+    exact = without_hot_keys(df, gone.where(part != ""), [*keys, optional])
+    return without_hot_keys(exact, gone.where(part == ""), keys)
 
 
 def insert_if_absent(held: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the rows of `new` with keys not held yet; held rows keep their values."""
+    """Add the rows of `new`, one per key, whose keys are not held yet; held rows stay."""
     return union_by_name(held, without_keys(new, held, keys))
 
 
@@ -109,8 +120,10 @@ def snapshot_diff(
 
     Both sides hold one row per key. Values are compared null-safe.
     """
-    cur = current.select(*keys, F.lit(True).alias("_cur"), *[current[v].alias(f"current_{v}") for v in values])
-    old = existing.select(*keys, F.lit(True).alias("_old"), *[existing[v].alias(f"existing_{v}") for v in values])
+    cur, old = (
+        df.select(*keys, F.lit(True).alias(f"_{side}"), *[df[v].alias(f"{side}_{v}") for v in values])
+        for side, df in (("current", current), ("existing", existing))
+    )
     both = cur.join(old, list(keys), "full_outer")
     same = reduce(
         lambda a, b: a & b,
@@ -118,12 +131,12 @@ def snapshot_diff(
         F.lit(True),
     )
     status = (
-        F.when(F.col("_old").isNull(), F.lit("new"))
-        .when(F.col("_cur").isNull(), F.lit("removed"))
+        F.when(F.col("_existing").isNull(), F.lit("new"))
+        .when(F.col("_current").isNull(), F.lit("removed"))
         .when(same, F.lit("unchanged"))
         .otherwise(F.lit("changed"))
     )
-    return both.withColumn("status", status).drop("_cur", "_old")
+    return both.withColumn("status", status).drop("_current", "_existing")
 
 
 def key_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

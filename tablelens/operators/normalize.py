@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +27,12 @@ def value_map_rows(df: DataFrame, column: str) -> DataFrame:
     return df.select(*others, F.explode(parse_value_map(df[column])).alias("old", "new"))
 
 
+def map_table(spark: SparkSession, mapping: Mapping[str, str]) -> DataFrame:
+    """A mapping as lookup rows (old, new)."""
+    pairs = {"old": list(mapping.keys()), "new": list(mapping.values())}
+    return spark.createDataFrame(pa.table(pairs))
+
+
 def _is_text(df: DataFrame, column: str) -> bool:
     return column in df.columns and isinstance(df.schema[column].dataType, T.StringType)
 
@@ -44,7 +52,7 @@ def apply_value_map(
             return df
         if len(mapping) <= INLINE_ENTRIES:
             return df.replace(dict(mapping), subset=[column])
-        mapping = df.sparkSession.createDataFrame(list(mapping.items()), "old string, new string")
+        mapping = map_table(df.sparkSession, mapping)
     lookup = mapping.select(
         F.col("old").alias(column), F.col("new").alias("_new"), F.lit(True).alias("_hit")
     )
@@ -70,14 +78,15 @@ def normalization_notes(
     Values are counted per task before they meet the map, so a hot value
     travels as one row.
     """
-    spark = df.sparkSession
-    out = spark.createDataFrame([], "field string, old string, new string, count bigint")
+    parts = []
     for column, mapping in maps.items():
         if not _is_text(df, column):
             continue
         if not isinstance(mapping, DataFrame):
-            mapping = spark.createDataFrame(list(mapping.items()), "old string, new string")
+            mapping = map_table(df.sparkSession, mapping)
         counts = df.groupBy(F.col(column).alias("old")).agg(F.count("*").alias("count"))
-        hits = counts.join(mapping, "old").select(F.lit(column).alias("field"), "old", "new", "count")
-        out = out.unionByName(hits)
-    return out
+        hits = counts.join(mapping, "old")
+        parts.append(hits.select(F.lit(column).alias("field"), "old", "new", "count"))
+    if not parts:
+        raise ValueError("none of the maps names a text column")
+    return reduce(DataFrame.unionByName, parts)

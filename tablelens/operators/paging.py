@@ -6,13 +6,16 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.dates import epoch_micros
 from ..functions.projection import names_of, pick_columns
 from .aggregate import with_total
+from .quantiles import exact_quantiles
 
 MAX_PAGE = 10_000
 SMALL = 1_000
-SALTS = 256
+FULL_DAY = 4
 
 
 def sort_keys(df: DataFrame, spec: str | Iterable[str]) -> list[Column]:
@@ -36,23 +39,9 @@ def order_by(df: DataFrame, spec: str | Iterable[str]) -> DataFrame:
     return df.orderBy(*sort_keys(df, spec))
 
 
-def top_rows(df: DataFrame, spec: str | Iterable[str], n: int, salts: int = SALTS) -> DataFrame:
-    """The first `n` rows of an order.
-
-    A short list is one top-k operator. For a longer one each task keeps its
-    own first `n`, `salts` tasks cut those down, and only their survivors meet.
-    """
-    order = sort_keys(df, spec)
-    if n > SMALL:
-        by_salt = Window.partitionBy("_salt").orderBy(*order)
-        df = (
-            df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-            .withColumn("_rank", F.row_number().over(by_salt))
-            .where(F.col("_rank") <= n)
-            .drop("_salt", "_rank")
-        )
-        order = sort_keys(df, spec)
-    return df.orderBy(*order).limit(n)
+def top_rows(df: DataFrame, spec: str | Iterable[str], n: int) -> DataFrame:
+    """The first `n` rows of an order: every task keeps its own first `n`, those are merged."""
+    return order_by(df, spec).limit(n)
 
 
 def page_records(
@@ -81,28 +70,64 @@ def keep_most_recent(
     """The `n` newest rows; among equal dates the smaller tiebreak comes first.
 
     Without a date column the rows with the largest tiebreak (the arrival
-    number) stay. Row counts per day find the oldest day needed first, so
-    older days are not sorted at all.
+    number) stay. A long list is not sorted out of the whole table: row counts
+    per day are read at once and give the oldest day needed as a constant for
+    the scan, and a day with far more rows than needed is cut at the exact
+    value of its last needed tiebreak.
     """
     if date is None or date not in df.columns:
+        if n > SMALL:
+            df = _up_to(df, tiebreak[0], n, df.count(), newest=True)
         return top_rows(df, [f"{c} desc" for c in tiebreak], n)
     order = [f"{date} desc", *tiebreak]
     if n <= SMALL:
         return top_rows(df, order, n)
+
+    day = F.to_date(date)
     # one row per day of the calendar reaches this window
-    per_day = (
-        df.dropna(subset=[date]).groupBy(F.to_date(date).alias("day")).agg(F.count("*").alias("n"))
-    )
+    per_day = df.dropna(subset=[date]).groupBy(day.alias("day")).agg(F.count("*").alias("rows"))
     newest_first = Window.orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, -1)
-    newer = F.coalesce(F.sum("n").over(newest_first), F.lit(0))
-    needed = per_day.select("day", newer.alias("newer"), "n").agg(
-        F.struct(
-            F.min(F.when(F.col("newer") < n, F.col("day"))).alias("day"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("dated"),
-        )
-    )
-    cutoff = needed.scalar()
-    recent = df.where(
-        (F.col(date) >= cutoff["day"]) | (F.col(date).isNull() & (cutoff["dated"] < n))
+    newer = F.coalesce(F.sum("rows").over(newest_first), F.lit(0)).alias("newer")
+    oldest = (
+        per_day.select("day", "rows", newer).where(F.col("newer") < n).orderBy("day").first()
     )
-    return top_rows(recent, order, n)
+    if oldest is None or oldest["newer"] + oldest["rows"] < n:
+        # all dated rows stay, rows without a date fill up
+        return top_rows(df, order, n)
+    start = F.lit(oldest["day"])
+    if oldest["rows"] <= FULL_DAY * n:
+        return top_rows(df.where(F.col(date) >= start), order, n)
+    newer_rows = df.where(F.col(date) >= F.date_add(start, 1))
+    same_day = df.where((F.col(date) >= start) & (F.col(date) < F.date_add(start, 1)))
+    if df.schema[date].dataType == T.DateType():
+        same_day = _up_to(same_day, tiebreak[0], n - oldest["newer"], oldest["rows"])
+    else:
+        # within a day the later clock time comes first
+        micros = same_day.withColumn("_at", epoch_micros(F.col(date)))
+        needed = n - oldest["newer"]
+        same_day = _up_to(micros, "_at", needed, oldest["rows"], newest=True)
+        ties = same_day.count()
+        if ties > FULL_DAY * n:
+            last = same_day.agg(F.min("_at")).first()[0]
+            later, tied = same_day.where(F.col("_at") > last), same_day.where(F.col("_at") == last)
+            held = later.count()
+            same_day = later.unionByName(_up_to(tied, tiebreak[0], needed - held, ties - held))
+        same_day = same_day.drop("_at")
+    return top_rows(newer_rows.unionByName(same_day), order, n)
+
+
+def _up_to(
+    df: DataFrame, column: str, n: int, rows: int, newest: bool = False
+) -> DataFrame:
+    """A small superset of the `n` smallest (or largest) values of a numeric column.
+
+    Other column types come back whole.
+    """
+    if rows <= n + 1 or not isinstance(df.schema[column].dataType, T.NumericType):
+        return df
+    # one rank further than needed, so that rounding never loses a row
+    share = min(1.0, (n + 1) / (rows - 1))
+    edge = {"edge": 1.0 - share if newest else share}
+    limit = exact_quantiles(df, [], column, edge).first()["edge"]
+    value = F.col(column).cast("double")
+    return df.where(value >= limit) if newest else df.where(value <= limit)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -118,7 +119,6 @@ def key_completeness(df: DataFrame, column: str, declared: Sequence[str]) -> Dat
     Status is ok, missing (declared, never present) or extra (present, not
     declared). `fill_rate` is the share of rows with a non-null value.
     """
-    spark = df.sparkSession
     present = (
         json_entries(df, column)
         .groupBy("key")
@@ -127,7 +127,9 @@ def key_completeness(df: DataFrame, column: str, declared: Sequence[str]) -> Dat
             F.count_if(~F.is_variant_null("value")).alias("filled"),
         )
     )
-    listed = spark.createDataFrame([(k, True) for k in declared], "key string, declared boolean")
+    listed = df.sparkSession.createDataFrame(pa.table({"key": list(declared)})).withColumn(
+        "declared", F.lit(True)
+    )
     rows = df.agg(F.count("*")).scalar()
     status = (
         F.when(F.col("present").isNull(), F.lit("missing"))
@@ -170,26 +172,35 @@ def date_column_profile(df: DataFrame, columns: Sequence[str] | None = None) ->
     return df.agg(*stats).select(F.inline(F.array(*rows)))
 
 
-def check_row(df: DataFrame, check: str, table: str, field: str, bad: Column, n: Column) -> DataFrame:
-    """Turn a result into rows of the report: FAIL where `bad`, with the count `n` of findings."""
-    return df.select(
+def _finding(check: str, table: str, field: Column | str, n: Column, status: Column) -> Column:
+    return F.struct(
         F.lit(check).alias("check"),
         F.lit(table).alias("table"),
-        F.lit(field).alias("field") if field not in df.columns else F.col(field).alias("field"),
-        F.when(bad, F.lit("FAIL")).otherwise(F.lit("PASS")).alias("status"),
+        (field if isinstance(field, Column) else F.lit(field)).alias("field"),
+        status.alias("status"),
         n.cast("long").alias("n"),
     )
 
 
-def warn_if_empty(df: DataFrame, table: str) -> DataFrame:
-    """A WARN row for a table without rows, else no row."""
-    return df.agg(F.count("*").alias("n")).where("n = 0").select(
-        F.lit("records").alias("check"),
-        F.lit(table).alias("table"),
-        F.lit("*").alias("field"),
-        F.lit("WARN").alias("status"),
-        F.col("n"),
+def _verdict(n: Column) -> Column:
+    return F.when(n > 0, F.lit("FAIL")).otherwise(F.lit("PASS"))
+
+
+def _key_checks(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
+    """Rows, filled keys and key format in one pass; a table without rows adds a WARN row."""
+    label = ",".join(keys)
+    empty = reduce(lambda a, b: a | b, [~has_value(df[k]) for k in keys])
+    cut = reduce(lambda a, b: a | b, [df[k].cast("string").rlike(CUT_KEY) for k in keys])
+    stats = df.agg(
+        F.count("*").alias("rows"), F.count_if(empty).alias("empty"), F.count_if(cut).alias("cut")
+    )
+    rows, no_key, cut_key = F.col("rows"), F.col("empty"), F.col("cut")
+    findings = F.array(
+        F.when(rows == 0, _finding("records", table, "*", rows, F.lit("WARN"))),
+        _finding("pk_filled", table, label, no_key, _verdict(no_key)),
+        _finding("pk_format", table, label, cut_key, _verdict(cut_key)),
     )
+    return stats.select(F.inline(F.array_compact(findings)))
 
 
 def quality_report(
@@ -203,29 +214,24 @@ def quality_report(
     `relations` are (child, foreign key, parent, key). The result is the union
     of whole-table jobs that Spark runs side by side.
     """
+    n = F.col("n")
     parts = []
     for name, cols in keys.items():
-        df, label = tables[name], ",".join(cols)
-        empty = reduce(lambda a, b: a | b, [~has_value(df[c]) for c in cols])
-        cut = reduce(lambda a, b: a | b, [df[c].cast("string").rlike(CUT_KEY) for c in cols])
-        stats = df.agg(F.count_if(empty).alias("empty"), F.count_if(cut).alias("cut"))
-        doubled = pk_duplicates(df, cols).agg(F.count("*").alias("n"))
+        doubled = pk_duplicates(tables[name], cols).agg(F.count("*").alias("n"))
+        unique = _finding("pk_unique", name, ",".join(cols), n, _verdict(n))
         parts += [
-            warn_if_empty(df, name),
-            check_row(stats, "pk_filled", name, label, F.col("empty") > 0, F.col("empty")),
-            check_row(stats, "pk_format", name, label, F.col("cut") > 0, F.col("cut")),
-            check_row(doubled, "pk_unique", name, label, F.col("n") > 0, F.col("n")),
+            _key_checks(tables[name], name, cols),
+            doubled.select(F.inline(F.array(unique))),
         ]
     for child, fk, parent, pk in relations:
         rate = fk_match_rate(tables[child], fk, tables[parent], pk)
-        parts.append(
-            check_row(rate, "fk_match", child, fk, F.col("misses") > 0, F.col("misses"))
-        )
+        misses = F.col("misses")
+        match = _finding("fk_match", child, fk, misses, _verdict(misses))
+        parts.append(rate.select(F.inline(F.array(match))))
     for name, declared in (types or {}).items():
-        found = type_consistency(tables[name], declared)
-        parts.append(
-            check_row(found, "type", name, "field", F.col("mismatches") > 0, F.col("mismatches"))
-        )
+        wrong = F.col("mismatches")
+        kind = _finding("type", name, F.col("field"), wrong, _verdict(wrong))
+        parts.append(type_consistency(tables[name], declared).select(F.inline(F.array(kind))))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -1,10 +1,10 @@
 """Exact quantiles that no single task has to hold.
 
 The built-in exact percentile keeps every distinct value of a group in one
-buffer. Here equal values are counted first; groups with many distinct values
-are cut into buckets at approximate quantiles, exact bucket counts tell which
-bucket holds the wanted rank, and only that bucket is sorted. The cut points
-only balance the buckets, so the result does not depend on their accuracy.
+buffer. Here a sketch brackets each wanted quantile with two cut points per
+group, the rows between cut points are counted exactly, and only the values of
+the interval that holds the wanted rank are ranked: well under a thousandth of
+a large group. The sketch decides how small that interval is, never the result.
 """
 
 from __future__ import annotations
@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from .joins import SALTS, replicated
 
-BUCKETS = 256
-SPLIT_ABOVE = 100_000
+ACCURACY = 20_000
+MAX_LOCAL_GROUPS = 10_000
 _ALL = "_all"
 
 
@@ -26,87 +26,117 @@ def exact_quantiles(
     keys: Sequence[str],
     column: str,
     probabilities: Mapping[str, float],
-    split_above: int = SPLIT_ABOVE,
-    buckets: int = BUCKETS,
-    salts: int = SALTS,
+    accuracy: int = ACCURACY,
+    max_local_groups: int = MAX_LOCAL_GROUPS,
 ) -> DataFrame:
     """Per group one DOUBLE column per named probability, linearly interpolated.
 
     Null values are skipped, groups with a null key or without values are
-    absent. Groups of more than `split_above` distinct values are bucketed.
+    absent. The cut points are computed at once: up to `max_local_groups`
+    groups they are a small local table and the rows of `df` stay where they
+    are; beyond, equal values are counted and joined to them by a salted shuffle.
     """
     keys = list(keys)
     if not keys:
         whole = df.select(F.lit(1).alias(_ALL), df[column])
         return exact_quantiles(
-            whole, [_ALL], column, probabilities, split_above, buckets, salts
+            whole, [_ALL], column, probabilities, accuracy, max_local_groups
         ).drop(_ALL)
 
-    present = df.where(df[column].isNotNull()).dropna(subset=keys)
-    counted = present.groupBy(*keys, F.col(column).cast("double").alias("_v")).agg(
-        F.count("*").alias("_n")
+    rows = (
+        df.where(df[column].isNotNull())
+        .dropna(subset=keys)
+        .select(*keys, df[column].cast("double").alias("_v"))
     )
-    placed = _place(counted, keys, split_above, buckets, salts)
-
-    totals = placed.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_rows"))
-    # at most `buckets` rows per group reach this window
-    per_group = Window.partitionBy(*keys)
-    before = per_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = totals.select(
-        *keys,
-        "_bucket",
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-        F.col("_rows"),
-        F.sum("_rows").over(per_group).alias("_total"),
+    cuts = _cut_points(rows, keys, list(probabilities.values()), accuracy)
+    marks = cuts.columns[len(keys) :]
+    found = cuts.limit(max_local_groups + 1).toArrow()
+    local = found.num_rows <= max_local_groups
+    if local and keys == [_ALL]:
+        values = found.select(marks).to_pylist() or [dict.fromkeys(marks)]
+        joined = rows.withColumns(
+            {"_n": F.lit(1), **{m: F.lit(v).cast("double") for m, v in values[0].items()}}
+        )
+    elif local:
+        cuts = F.broadcast(df.sparkSession.createDataFrame(found))
+        joined = rows.withColumn("_n", F.lit(1)).join(cuts, keys)
+    else:
+        joined = _salted_join(rows, cuts, keys)
+    bucket = sum((F.col(m) < F.col("_v")).cast("int") for m in marks)
+    placed = joined.select(*keys, "_v", "_n", bucket.alias("_bucket"))
+
+    wanted = _wanted_buckets(placed, keys, probabilities)
+    if local:
+        wanted = F.broadcast(wanted)
+    values = (
+        placed.join(wanted, [*keys, "_bucket"])
+        .groupBy(*keys, "_bucket", "_v", "_before", "_total")
+        .agg(F.sum("_n").alias("_n"))
     )
-    first, after = F.col("_before"), F.col("_before") + F.col("_rows")
-    wanted = ranked.where(_any_rank(probabilities, first, after)).drop("_rows")
-
     in_bucket = (
         Window.partitionBy(*keys, "_bucket")
         .orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    positioned = placed.join(wanted, [*keys, "_bucket"]).withColumn(
-        "_at", F.col("_before") + F.coalesce(F.sum("_n").over(in_bucket), F.lit(0))
-    )
+    at = F.col("_before") + F.coalesce(F.sum("_n").over(in_bucket), F.lit(0))
+    ranked = values.withColumn("_at", at)
     first, after = F.col("_at"), F.col("_at") + F.col("_n")
     picks = [F.max("_total").alias("_total")]
     for name, p in probabilities.items():
-        low, high = _ranks(p)
-        picks += [
-            F.max(F.when((first <= low) & (low < after), F.col("_v"))).alias(f"_lo_{name}"),
-            F.max(F.when((first <= high) & (high < after), F.col("_v"))).alias(f"_hi_{name}"),
-        ]
-    return positioned.groupBy(*keys).agg(*picks).select(
-        *keys, *[_interpolated(name, p).alias(name) for name, p in probabilities.items()]
+        for side, rank in zip(("lo", "hi"), _ranks(p)):
+            hit = F.when((first <= rank) & (rank < after), F.col("_v"))
+            picks.append(F.max(hit).alias(f"_{side}_{name}"))
+    return (
+        ranked.groupBy(*keys)
+        .agg(*picks)
+        .select(*keys, *[_interpolated(name, p).alias(name) for name, p in probabilities.items()])
     )
 
 
-def _place(
-    counted: DataFrame, keys: list[str], split_above: int, buckets: int, salts: int
+def _cut_points(
+    rows: DataFrame, keys: list[str], probabilities: list[float], accuracy: int
 ) -> DataFrame:
-    """Give every counted value a bucket number that rises with the value."""
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = (
-        counted.groupBy(*keys)
-        .agg(
-            F.count("*").alias("_distinct"),
-            F.percentile_approx("_v", shares, buckets * 20).alias("_cuts"),
-        )
-        .where(F.col("_distinct") > split_above)
-        .select(*keys, F.array_distinct("_cuts").alias("_cuts"))
+    """Per group a value shortly below and shortly above each quantile, by a mergeable sketch."""
+    margin = 3.0 / accuracy
+    points = sorted(
+        {min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)}
+    )
+    sketch = F.percentile_approx("_v", points, accuracy).alias("_cuts")
+    return (
+        rows.groupBy(*keys)
+        .agg(sketch)
+        .select(*keys, *[F.col("_cuts")[i].alias(f"_cut{i}") for i in range(len(points))])
     )
+
+
+def _salted_join(rows: DataFrame, cuts: DataFrame, keys: list[str]) -> DataFrame:
     # counted values are unique per group, so their hash spreads a hot group evenly
-    spread = counted.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(salts)).cast("int"))
-    joined = spread.join(replicated(cuts, salts), [*keys, "_salt"], "left")
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))
-    return joined.select(
+    counted = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+    salt = F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int")
+    return counted.withColumn("_salt", salt).join(replicated(cuts), [*keys, "_salt"])
+
+
+def _wanted_buckets(
+    placed: DataFrame, keys: list[str], probabilities: Mapping[str, float]
+) -> DataFrame:
+    """The buckets that hold a wanted rank, with the rows before them and in the group."""
+    totals = placed.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_rows"))
+    # a group has two buckets per probability and one more
+    per_group = Window.partitionBy(*keys)
+    earlier = per_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = totals.select(
         *keys,
-        "_v",
-        "_n",
-        F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(below).alias("_bucket"),
+        "_bucket",
+        F.col("_rows"),
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+        F.sum("_rows").over(per_group).alias("_total"),
     )
+    first, after = F.col("_before"), F.col("_before") + F.col("_rows")
+    hit = F.lit(False)
+    for p in probabilities.values():
+        for rank in _ranks(p):
+            hit = hit | ((first <= rank) & (rank < after))
+    return ranked.where(hit).drop("_rows")
 
 
 def _target(p: float) -> Column:
@@ -118,14 +148,6 @@ def _ranks(p: float) -> tuple[Column, Column]:
     return F.floor(_target(p)), F.ceil(_target(p))
 
 
-def _any_rank(probabilities: Mapping[str, float], first: Column, after: Column) -> Column:
-    hit = F.lit(False)
-    for p in probabilities.values():
-        for rank in _ranks(p):
-            hit = hit | ((first <= rank) & (rank < after))
-    return hit
-
-
 def _interpolated(name: str, p: float) -> Column:
     low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
     return low + (high - low) * (_target(p) - F.floor(_target(p)))

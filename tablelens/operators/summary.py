@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,8 +27,7 @@ def _long(df: DataFrame, values: dict) -> DataFrame:
 
 def _every_column(stats: DataFrame, names: Sequence[str], fill: Sequence[str]) -> DataFrame:
     """Keep a row for columns without any value."""
-    spark = stats.sparkSession
-    listed = spark.createDataFrame([(n,) for n in names], "column string")
+    listed = stats.sparkSession.createDataFrame(pa.table({"column": list(names)}))
     return listed.join(stats, "column", "left").na.fill(0, subset=list(fill))
 
 

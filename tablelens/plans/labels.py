@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,35 +120,26 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     fields = _fields(t).select("p_partkey", "table_name", "field_name")
     brands = t.part.select(c("p_brand").alias("table_name")).distinct()
-
-    def entries(tables: DataFrame, field: str, kind: str, context: str) -> DataFrame:
-        return tables.select(
-            "table_name",
-            F.lit(field).alias("field_name"),
-            F.lit(kind).alias("context_type"),
-            F.lit(context).alias("context"),
-        )
-
-    ones = brands.where(c("table_name").startswith("Brand#1"))
-    twos = brands.where(c("table_name").startswith("Brand#2"))
-    everywhere = t.region.limit(1).select(F.lit("*").alias("table_name"))
-    store = (
-        entries(ones, "*", "rule_override", '{"pk_prefix": "disabled", "fk_prefix": "enabled"}')
-        .unionByName(
-            entries(
-                everywhere, "*", "rule_override", '{"utility_z": "disabled", "lc_upper": "disabled"}'
-            )
-        )
-        .unionByName(entries(twos, "*", "rule_override", "no json"))
-        .unionByName(entries(brands, "RED WIDGET", "field_class", "summary"))
-        .unionByName(
-            entries(
-                brands.where(~c("table_name").startswith("Brand#2")),
-                "RED WIDGET",
-                "classification_source",
-                "default",
-            )
-        )
+    name = c("table_name")
+
+    def entry(when, field: str, kind: str, context: str):
+        names = ("field_name", "context_type", "context")
+        cells = [F.lit(v).alias(n) for n, v in zip(names, (field, kind, context))]
+        return F.when(when, F.struct(*cells))
+
+    ones, twos = name.startswith("Brand#1"), name.startswith("Brand#2")
+    rules = '{"pk_prefix": "disabled", "fk_prefix": "enabled"}'
+    per_brand = F.array(
+        entry(ones, "*", "rule_override", rules),
+        entry(twos, "*", "rule_override", "no json"),
+        entry(F.lit(True), "RED WIDGET", "field_class", "summary"),
+        entry(~twos, "RED WIDGET", "classification_source", "default"),
+    )
+    store = brands.select(name, F.inline(F.array_compact(per_brand)))
+    off = '{"utility_z": "disabled", "lc_upper": "disabled"}'
+    everywhere = [["*"], ["*"], ["rule_override"], [off]]
+    store = store.unionByName(
+        t.spark.createDataFrame(pa.table(everywhere, names=store.columns))
     )
     return classify_with_overrides(fields, store)
 
