@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.predicates import day_range
 from .keyed import dedup_keep_last, keyed_upsert, match, union_by_name, without_keys
 
-MONTH = "_month"
+MONTH = "part_month"
 
 
 def date_gaps(

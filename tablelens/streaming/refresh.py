@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.aggregate import AggSpec, agg_list
 from ..operators.incremental import merge_stored
+from ..session import checkpoint_root
 
 
 def refresh_stored(
@@ -18,10 +19,11 @@ def refresh_stored(
     keys: Sequence[str],
     seq: Sequence[str],
     date: str,
-    checkpoint: str,
+    name: str,
 ) -> DataStreamWriter:
     """Upsert every micro-batch into the table stored by month at `path`.
 
+    Progress is kept under `name` in the shared checkpoint folder of the session.
     Takes what is available and stops. A batch that is delivered twice leaves
     the same table, so a restart after a failure loses and doubles nothing.
     """
@@ -35,7 +37,7 @@ def refresh_stored(
 
     return (
         stream.writeStream.foreachBatch(merge)
-        .option("checkpointLocation", checkpoint)
+        .option("checkpointLocation", f"{checkpoint_root(stream.sparkSession)}/{name}")
         .trigger(availableNow=True)
     )
 
