@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.predicates import day_range
-from .keyed import dedup_keep_last, keyed_upsert, match, union_by_name, without_keys
+from .joins import match
+from .keyed import dedup_keep_last, keyed_upsert, union_by_name, without_keys
 
 MONTH = "part_month"
 
@@ -133,11 +134,14 @@ def merge_stored(
     keys: Sequence[str],
     seq: Sequence[str],
     date: str,
+    dates_move: bool = True,
 ) -> None:
     """Upsert into a table stored by month, rewriting only the months it touches.
 
-    Touched are the months of the incoming rows and the months where their
-    keys are held now. New files are committed before old ones go, and running
+    Touched are the months of the incoming rows and, as a row may get another
+    date, the months where their keys are held now. Finding those reads the key
+    columns of the whole table; `dates_move=False` saves that where a key never
+    changes its month. New files are committed before old ones go, and running
     the same merge again gives the same table, so a failed run is repeated.
     """
     latest = dedup_keep_last(incoming, keys, seq)
@@ -145,14 +149,17 @@ def merge_stored(
         write_months(latest, path, date)
         return
     stored = spark.read.parquet(path)
-    fresh = with_month(latest, date).select(MONTH)
-    wanted = latest.select(*keys).distinct()
-    moved = match(stored.select(*keys, MONTH), wanted, keys, "left_semi").select(MONTH)
+    touched = with_month(latest, date).select(MONTH)
+    if dates_move:
+        wanted = latest.select(*keys).distinct()
+        held = match(stored.select(*keys, MONTH), wanted, keys, "left_semi")
+        touched = touched.union(held.select(MONTH))
     # bounded by the calendar: one entry per month
-    months = {r[0] for r in fresh.union(moved).distinct().collect()}
+    months = {r[0] for r in touched.distinct().collect()}
     kept = without_keys(stored.where(_in_months(months)).drop(MONTH), latest, keys)
     write_months(union_by_name(kept, latest), path, date)
-    _drop_emptied(spark, path, months, latest, keys, date)
+    if dates_move:
+        _drop_emptied(spark, path, months, latest, keys, date)
 
 
 def _in_months(months: set) -> Column:

@@ -1,8 +1,15 @@
-"""Attaching a lookup table to a large one without a hot task."""
+"""Joining a large table to a keyed one without a hot task.
+
+Keys that hold a large share of the rows are found by counting; there can only
+be few of them, so their list is small whatever the size of the table. Their
+rows are spread over as many salts as their number asks for, and the one row
+of the other side is repeated per salt. All other keys are joined as they are.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,8 +17,9 @@ from pyspark.sql import types as T
 
 MAX_ROWS = 100_000
 MAX_BYTES = 16 * 1024 * 1024
-SALTS = 32
-SALT = "_salt"
+MAX_HOT_KEYS = 10_000
+ROWS_PER_SALT = 1_000_000
+SALT, _SALTS = "_salt", "_salts"
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
@@ -32,30 +40,59 @@ def _width(df: DataFrame, field: T.StructField) -> Column:
     return F.lit(16)
 
 
-def salted(df: DataFrame, salts: int = SALTS) -> DataFrame:
-    """Spread the rows of one key over `salts` tasks.
+def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on null-safe equal keys; the right side's keys are left out of the result."""
+    pairs = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in keys]
+    joined = left.alias("l").join(right.alias("r"), reduce(lambda a, b: a & b, pairs), how)
+    if how in ("left_semi", "left_anti"):
+        return joined
+    added = [F.col(f"r.`{c}`") for c in right.columns if c not in keys]
+    return joined.select("l.*", *added)
 
-    The salt is a hash of the row, not a random number, so a task that is run
-    again sends each row to the same place.
-    """
-    return df.withColumn(SALT, F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
 
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """Keys with more than 1 / MAX_HOT_KEYS of the rows and the salts for each, or None.
 
-def replicated(df: DataFrame, salts: int = SALTS) -> DataFrame:
-    """One copy of every row per salt, the other side of `salted`."""
-    return df.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    Fewer than MAX_HOT_KEYS keys can hold that much, so the list is local.
+    """
+    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    total = df.agg(F.count("*")).scalar()
+    n = F.col("_n")
+    salts = F.ceil(n / ROWS_PER_SALT).cast("int").alias(_SALTS)
+    hot = counts.where((n > ROWS_PER_SALT) & (n * MAX_HOT_KEYS > total)).select(*keys, salts)
+    found = hot.toArrow()
+    return df.sparkSession.createDataFrame(found) if found.num_rows else None
 
 
-def lookup_join(
-    df: DataFrame, lookup: DataFrame, on: Sequence[str], salts: int = SALTS
-) -> DataFrame:
+def salted_pair(
+    df: DataFrame, other: DataFrame, keys: Sequence[str]
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides and the columns to join on, with a salt where `df` has hot keys.
+
+    The salt is a hash of the row, not a random number, so a task that is run
+    again sends each row to the same place.
+    """
+    keys = list(keys)
+    hot = hot_keys(df, keys)
+    if hot is None:
+        return df, other, keys
+    salts, none = F.col(_SALTS), F.lit(0)
+    row = F.xxhash64(*df.columns)
+    spread = match(df, F.broadcast(hot), keys, "left").withColumn(
+        SALT, F.when(salts.isNotNull(), F.pmod(row, salts).cast("int")).otherwise(none)
+    )
+    all_salts = F.when(salts.isNotNull(), F.sequence(none, salts - 1)).otherwise(F.array(none))
+    repeated = match(other, F.broadcast(hot), keys, "left").withColumn(SALT, F.explode(all_salts))
+    return spread.drop(_SALTS), repeated.drop(_SALTS), [*keys, SALT]
+
+
+def lookup_join(df: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join to a lookup table that holds one row per key.
 
-    A small lookup is broadcast and `df` does not move. A larger one is
-    replicated per salt, so a key that holds a third of `df` is shared by
-    `salts` tasks; AQE splits what is still too large.
+    A small lookup is broadcast and `df` does not move; a larger one is joined
+    by a shuffle in which hot keys are salted.
     """
-    on = list(on)
     if fits_broadcast(lookup):
-        return df.join(F.broadcast(lookup), on, "left")
-    return salted(df, salts).join(replicated(lookup, salts), [*on, SALT], "left").drop(SALT)
+        return df.join(F.broadcast(lookup), list(on), "left")
+    spread, repeated, keys = salted_pair(df, lookup, on)
+    return spread.join(repeated, keys, "left").drop(SALT)

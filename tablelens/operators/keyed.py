@@ -11,13 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import SALT, fits_broadcast, replicated, salted
-
-
-def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Join on null-safe equal keys; `how` keeps only columns of the left side."""
-    pairs = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in keys]
-    return left.alias("l").join(right.alias("r"), reduce(lambda a, b: a & b, pairs), how)
+from .joins import SALT, fits_broadcast, match, salted_pair
 
 
 def without_keys(df: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -28,13 +22,14 @@ def without_keys(df: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFra
 def without_hot_keys(df: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
     """As `without_keys` for a table where one key may hold a large share of the rows.
 
-    A small list of keys is broadcast; a longer one is repeated per salt, so
-    the rows of a hot key are tested by many tasks.
+    A small list of keys is broadcast; for a longer one the rows of a hot key
+    are tested by many tasks.
     """
     drop = gone.select(*keys).distinct()
     if fits_broadcast(drop):
         return match(df, F.broadcast(drop), keys, "left_anti")
-    return match(salted(df), replicated(drop), [*keys, SALT], "left_anti").drop(SALT)
+    spread, repeated, on = salted_pair(df, drop, keys)
+    return match(spread, repeated, on, "left_anti").drop(SALT)
 
 
 def dedup_keep_last(df: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:

@@ -5,6 +5,9 @@ buffer. Here a sketch brackets each wanted quantile with two cut points per
 group, the rows between cut points are counted exactly, and only the values of
 the interval that holds the wanted rank are ranked: well under a thousandth of
 a large group. The sketch decides how small that interval is, never the result.
+
+Where there are many groups, only those with a large share of the rows need
+this; the others are small enough to be sorted one by one.
 """
 
 from __future__ import annotations
@@ -14,10 +17,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import SALTS, replicated
+from .joins import match
 
 ACCURACY = 20_000
-MAX_LOCAL_GROUPS = 10_000
+MAX_GROUPS = 10_000
 _ALL = "_all"
 
 
@@ -27,51 +30,76 @@ def exact_quantiles(
     column: str,
     probabilities: Mapping[str, float],
     accuracy: int = ACCURACY,
-    max_local_groups: int = MAX_LOCAL_GROUPS,
+    max_groups: int = MAX_GROUPS,
 ) -> DataFrame:
     """Per group one DOUBLE column per named probability, linearly interpolated.
 
     Null values are skipped, groups with a null key or without values are
-    absent. The cut points are computed at once: up to `max_local_groups`
-    groups they are a small local table and the rows of `df` stay where they
-    are; beyond, equal values are counted and joined to them by a salted shuffle.
+    absent. Group sizes and cut points are computed at once, the rest is lazy.
+    With more than `max_groups` groups, those that hold more than one row in
+    `max_groups` are bracketed and the others sorted.
     """
     keys = list(keys)
     if not keys:
         whole = df.select(F.lit(1).alias(_ALL), df[column])
-        return exact_quantiles(
-            whole, [_ALL], column, probabilities, accuracy, max_local_groups
-        ).drop(_ALL)
-
-    rows = (
-        df.where(df[column].isNotNull())
-        .dropna(subset=keys)
-        .select(*keys, df[column].cast("double").alias("_v"))
+        return _bracketed(_values(whole, [_ALL], column), [_ALL], probabilities, accuracy).drop(_ALL)
+
+    rows = _values(df, keys, column)
+    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    groups, total = sizes.agg(F.count("*"), F.sum("_rows")).first()
+    if groups <= max_groups:
+        return _bracketed(rows, keys, probabilities, accuracy)
+    # fewer than max_groups groups can be this large
+    large = sizes.where(F.col("_rows") * max_groups > total).select(*keys).toArrow()
+    if not large.num_rows:
+        return _sorted(rows, keys, probabilities)
+    large = F.broadcast(df.sparkSession.createDataFrame(large))
+    hot, cold = match(rows, large, keys, "left_semi"), match(rows, large, keys, "left_anti")
+    return _bracketed(hot, keys, probabilities, accuracy).unionByName(
+        _sorted(cold, keys, probabilities)
+    )
+
+
+def _values(df: DataFrame, keys: list[str], column: str) -> DataFrame:
+    present = df.where(df[column].isNotNull()).dropna(subset=keys)
+    return present.select(*keys, F.col(f"`{column}`").cast("double").alias("_v"))
+
+
+def _sorted(rows: DataFrame, keys: list[str], probabilities: Mapping[str, float]) -> DataFrame:
+    """Rank the counted values of each group in one sort."""
+    counted = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+    per_group = Window.partitionBy(*keys)
+    earlier = per_group.orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counted.withColumns(
+        {
+            "_at": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
+            "_total": F.sum("_n").over(per_group),
+        }
     )
-    cuts = _cut_points(rows, keys, list(probabilities.values()), accuracy)
-    marks = cuts.columns[len(keys) :]
-    found = cuts.limit(max_local_groups + 1).toArrow()
-    local = found.num_rows <= max_local_groups
-    if local and keys == [_ALL]:
-        values = found.select(marks).to_pylist() or [dict.fromkeys(marks)]
-        joined = rows.withColumns(
-            {"_n": F.lit(1), **{m: F.lit(v).cast("double") for m, v in values[0].items()}}
-        )
-    elif local:
-        cuts = F.broadcast(df.sparkSession.createDataFrame(found))
-        joined = rows.withColumn("_n", F.lit(1)).join(cuts, keys)
+    return _picked(ranked, keys, probabilities)
+
+
+def _bracketed(
+    rows: DataFrame, keys: list[str], probabilities: Mapping[str, float], accuracy: int
+) -> DataFrame:
+    """Rank only the values between the cut points around each wanted quantile."""
+    sketch = _cut_points(rows, keys, list(probabilities.values()), accuracy)
+    cuts = sketch.toArrow()
+    marks = sketch.columns[len(keys) :]
+    if keys == [_ALL]:
+        values = cuts.select(marks).to_pylist() or [dict.fromkeys(marks)]
+        marked = rows.withColumns({m: F.lit(v).cast("double") for m, v in values[0].items()})
     else:
-        joined = _salted_join(rows, cuts, keys)
+        marked = rows.join(F.broadcast(rows.sparkSession.createDataFrame(cuts)), keys)
     bucket = sum((F.col(m) < F.col("_v")).cast("int") for m in marks)
-    placed = joined.select(*keys, "_v", "_n", bucket.alias("_bucket"))
+    placed = marked.select(*keys, "_v", bucket.alias("_bucket"))
 
-    wanted = _wanted_buckets(placed, keys, probabilities)
-    if local:
-        wanted = F.broadcast(wanted)
+    # at most two buckets per group and probability
+    wanted = F.broadcast(_wanted_buckets(placed, keys, probabilities))
     values = (
         placed.join(wanted, [*keys, "_bucket"])
         .groupBy(*keys, "_bucket", "_v", "_before", "_total")
-        .agg(F.sum("_n").alias("_n"))
+        .agg(F.count("*").alias("_n"))
     )
     in_bucket = (
         Window.partitionBy(*keys, "_bucket")
@@ -79,7 +107,11 @@ def exact_quantiles(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     at = F.col("_before") + F.coalesce(F.sum("_n").over(in_bucket), F.lit(0))
-    ranked = values.withColumn("_at", at)
+    return _picked(values.withColumn("_at", at), keys, probabilities)
+
+
+def _picked(ranked: DataFrame, keys: list[str], probabilities: Mapping[str, float]) -> DataFrame:
+    """Interpolate between the values that cover the ranks around each quantile."""
     first, after = F.col("_at"), F.col("_at") + F.col("_n")
     picks = [F.max("_total").alias("_total")]
     for name, p in probabilities.items():
@@ -109,18 +141,11 @@ def _cut_points(
     )
 
 
-def _salted_join(rows: DataFrame, cuts: DataFrame, keys: list[str]) -> DataFrame:
-    # counted values are unique per group, so their hash spreads a hot group evenly
-    counted = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
-    salt = F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int")
-    return counted.withColumn("_salt", salt).join(replicated(cuts), [*keys, "_salt"])
-
-
 def _wanted_buckets(
     placed: DataFrame, keys: list[str], probabilities: Mapping[str, float]
 ) -> DataFrame:
     """The buckets that hold a wanted rank, with the rows before them and in the group."""
-    totals = placed.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_rows"))
+    totals = placed.groupBy(*keys, "_bucket").agg(F.count("*").alias("_rows"))
     # a group has two buckets per probability and one more
     per_group = Window.partitionBy(*keys)
     earlier = per_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -90,17 +90,29 @@ def test_hot_keys_take_the_salted_way(spark, monkeypatch):
     df = spark.range(5000).selectExpr("if(id % 3 = 0, 7, id) as k", "id as v")
     gone = spark.createDataFrame([(7,), (8,)], "k bigint")
     small = rows_of(without_hot_keys(df, gone, ["k"]))
+    assert len(small) == 5000 - 1667 - 2
     monkeypatch.setattr("tablelens.operators.keyed.fits_broadcast", lambda _: False)
     assert rows_of(without_hot_keys(df, gone, ["k"])) == small
-    assert len(small) == 5000 - 1667 - 2
+    monkeypatch.setattr(joins, "ROWS_PER_SALT", 100)
+    assert [tuple(r) for r in joins.hot_keys(df, ["k"]).collect()] == [(7, 17)]
+    assert rows_of(without_hot_keys(df, gone, ["k"])) == small
 
 
 def test_lookup_join_small_and_salted(spark, monkeypatch):
-    df = spark.range(5000).selectExpr("if(id % 3 = 0, 0, id) as k", "id as v")
+    # zero and null each hold a third of the rows
+    key = "case id % 3 when 0 then 0 when 1 then null else id end as k"
+    df = spark.range(5000).selectExpr(key, "id as v")
     lookup = spark.range(2000).selectExpr("id as k", "concat('n', id) as name")
     small = joins.lookup_join(df, lookup, ["k"])
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
     monkeypatch.setattr(joins, "fits_broadcast", lambda _: False)
+    assert joins.hot_keys(df, ["k"]) is None
+    assert rows_of(joins.lookup_join(df, lookup, ["k"])) == rows_of(small)
+    monkeypatch.setattr(joins, "ROWS_PER_SALT", 100)
+    assert sorted(r[0] or -1 for r in joins.hot_keys(df, ["k"]).collect()) == [-1, -1]
+    salted, repeated, keys = joins.salted_pair(df, lookup, ["k"])
+    assert salted.where("k = 0").select(joins.SALT).distinct().count() == 17
+    assert repeated.count() == 2000 + 16 and keys == ["k", joins.SALT]
     assert rows_of(joins.lookup_join(df, lookup, ["k"])) == rows_of(small)
 
 
