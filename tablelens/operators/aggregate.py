@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .quantiles import exact_quantiles
+from .quantiles import column_quantiles, exact_quantiles
 
 FUNCTIONS = ("sum", "count", "mean", "min", "max", "median", "nunique", "std")
 MAX_PIVOT_VALUES = 10_000
@@ -79,15 +79,26 @@ def group_agg(df: DataFrame, keys: Sequence[str], spec: AggSpec) -> DataFrame:
     medians = [a for a in aggs if a.func == "median"]
     # a group whose values are all null still appears, so the groups come from the rows
     out = kept.groupBy(*keys).agg(*(plain or [F.count("*").alias("_rows")]))
-    for a in medians:
-        middle = exact_quantiles(kept, keys, a.column, {a.name: 0.5})
-        if keys:
+    if medians and not keys:
+        out = _with_medians(out, kept, medians)
+    elif medians:
+        for a in medians:
+            middle = exact_quantiles(kept, keys, a.column, {a.name: 0.5})
             out = out.join(middle, keys, "left")
-        else:
-            out = out.withColumn(a.name, middle.scalar())
     return out.select(*keys, *[a.name for a in aggs])
 
 
+def _with_medians(out: DataFrame, rows: DataFrame, medians: list[Agg]) -> DataFrame:
+    """Add the medians of whole columns to the one row of `out`."""
+    names = list(dict.fromkeys(a.column for a in medians))
+    middles = column_quantiles(rows, names, {"middle": 0.5})
+    picks = [
+        F.max(F.when(F.col("column") == a.column, F.col("middle"))).alias(a.name) for a in medians
+    ]
+    row = middles.agg(F.struct(*picks)).scalar()
+    return out.withColumns({a.name: row[a.name] for a in medians})
+
+
 def scalar_agg(df: DataFrame, spec: AggSpec) -> DataFrame:
     """Aggregates over all rows, as one row."""
     return group_agg(df, [], spec)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions.dates import epoch_micros
 from ..functions.projection import names_of, pick_columns
 from .aggregate import with_total
-from .quantiles import exact_quantiles
+from .quantiles import column_quantiles
 
 MAX_PAGE = 10_000
 SMALL = 1_000
@@ -128,6 +128,6 @@ def _up_to(
     # one rank further than needed, so that rounding never loses a row
     share = min(1.0, (n + 1) / (rows - 1))
     edge = {"edge": 1.0 - share if newest else share}
-    limit = exact_quantiles(df, [], column, edge).first()["edge"]
+    limit = column_quantiles(df, [column], edge).first()["edge"]
     value = F.col(column).cast("double")
     return df.where(value >= limit) if newest else df.where(value <= limit)

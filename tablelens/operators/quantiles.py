@@ -12,7 +12,8 @@ this; the others are small enough to be sorted one by one.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +22,6 @@ from .joins import match
 
 ACCURACY = 20_000
 MAX_GROUPS = 10_000
-_ALL = "_all"
 
 
 def exact_quantiles(
@@ -34,17 +34,14 @@ def exact_quantiles(
 ) -> DataFrame:
     """Per group one DOUBLE column per named probability, linearly interpolated.
 
-    Null values are skipped, groups with a null key or without values are
+    `keys` names at least one column; see `column_quantiles` for whole columns. Null values are skipped, groups with a null key or without values are
     absent. Group sizes and cut points are computed at once, the rest is lazy.
     With more than `max_groups` groups, those that hold more than one row in
     `max_groups` are bracketed and the others sorted.
     """
     keys = list(keys)
-    if not keys:
-        whole = df.select(F.lit(1).alias(_ALL), df[column])
-        return _bracketed(_values(whole, [_ALL], column), [_ALL], probabilities, accuracy).drop(_ALL)
-
-    rows = _values(df, keys, column)
+    present = df.where(df[column].isNotNull()).dropna(subset=keys)
+    rows = present.select(*keys, F.col(f"`{column}`").cast("double").alias("_v"))
     sizes = rows.groupBy(*keys).agg(F.count("*").alias("_rows"))
     groups, total = sizes.agg(F.count("*"), F.sum("_rows")).first()
     if groups <= max_groups:
@@ -60,9 +57,71 @@ def exact_quantiles(
     )
 
 
-def _values(df: DataFrame, keys: list[str], column: str) -> DataFrame:
-    present = df.where(df[column].isNotNull()).dropna(subset=keys)
-    return present.select(*keys, F.col(f"`{column}`").cast("double").alias("_v"))
+def column_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Mapping[str, float],
+    accuracy: int = ACCURACY,
+) -> DataFrame:
+    """The quantiles of whole columns, one row per column that has a value.
+
+    All columns share two passes that end in one row each, the cut points and
+    the exact counts between them. Only the values of the wanted intervals
+    leave the scan as rows.
+    """
+    points = _points(probabilities.values(), accuracy)
+    cells = [df[c].cast("double").alias(f"c{i}") for i, c in enumerate(columns)]
+    wide = df.select(*cells)
+    names = {f"c{i}": c for i, c in enumerate(columns)}
+    cuts = wide.agg(*[F.percentile_approx(v, points, accuracy).alias(v) for v in names]).first()
+    upto = wide.agg(
+        *[F.count(v).alias(f"{v}_all") for v in names],
+        *[
+            F.count_if(F.col(v) <= cut).alias(f"{v}_{j}")
+            for v in names
+            for j, cut in enumerate(cuts[v] or [])
+        ],
+    ).first()
+    found = []
+    for v, name in names.items():
+        edges = [None, *(cuts[v] or []), None]
+        counts = [0, *[upto[f"{v}_{j}"] for j in range(len(edges) - 2)], upto[f"{v}_all"]]
+        total = counts[-1]
+        ranks = [r for p in probabilities.values() for r in _rank_pair(p, total)]
+        for low, high, before, after in zip(edges, edges[1:], counts, counts[1:]):
+            if any(before <= r < after for r in ranks):
+                cell = F.struct(
+                    F.lit(name).alias("column"),
+                    F.col(v).alias("_v"),
+                    F.lit(before).cast("long").alias("_before"),
+                    F.lit(total).cast("long").alias("_total"),
+                )
+                found.append(F.when(_between(F.col(v), low, high), cell))
+    if not found:
+        empty = ["string", *["double"] * len(probabilities)]
+        fields = ["column", *probabilities]
+        schema = ", ".join(f"`{f}` {t}" for f, t in zip(fields, empty))
+        return df.sparkSession.createDataFrame([], schema)
+    counted = (
+        wide.select(F.inline(F.array_compact(F.array(*found))))
+        .groupBy("column", "_before", "_v", "_total")
+        .agg(F.count("*").alias("_n"))
+    )
+    return _picked(_positions(counted, ["column", "_before"]), ["column"], probabilities)
+
+
+def _between(value: Column, low: float | None, high: float | None) -> Column:
+    above = value.isNotNull() if low is None else value > low
+    return above if high is None else above & (value <= high)
+
+
+def _positions(counted: DataFrame, interval: list[str]) -> DataFrame:
+    """Rank in its group of the first row of every counted value of an interval."""
+    earlier = (
+        Window.partitionBy(*interval).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    at = F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    return counted.withColumn("_at", at)
 
 
 def _sorted(rows: DataFrame, keys: list[str], probabilities: Mapping[str, float]) -> DataFrame:
@@ -86,11 +145,7 @@ def _bracketed(
     sketch = _cut_points(rows, keys, list(probabilities.values()), accuracy)
     cuts = sketch.toArrow()
     marks = sketch.columns[len(keys) :]
-    if keys == [_ALL]:
-        values = cuts.select(marks).to_pylist() or [dict.fromkeys(marks)]
-        marked = rows.withColumns({m: F.lit(v).cast("double") for m, v in values[0].items()})
-    else:
-        marked = rows.join(F.broadcast(rows.sparkSession.createDataFrame(cuts)), keys)
+    marked = rows.join(F.broadcast(rows.sparkSession.createDataFrame(cuts)), keys)
     bucket = sum((F.col(m) < F.col("_v")).cast("int") for m in marks)
     placed = marked.select(*keys, "_v", bucket.alias("_bucket"))
 
@@ -101,13 +156,7 @@ def _bracketed(
         .groupBy(*keys, "_bucket", "_v", "_before", "_total")
         .agg(F.count("*").alias("_n"))
     )
-    in_bucket = (
-        Window.partitionBy(*keys, "_bucket")
-        .orderBy("_v")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    at = F.col("_before") + F.coalesce(F.sum("_n").over(in_bucket), F.lit(0))
-    return _picked(values.withColumn("_at", at), keys, probabilities)
+    return _picked(_positions(values, [*keys, "_bucket"]), keys, probabilities)
 
 
 def _picked(ranked: DataFrame, keys: list[str], probabilities: Mapping[str, float]) -> DataFrame:
@@ -125,14 +174,16 @@ def _picked(ranked: DataFrame, keys: list[str], probabilities: Mapping[str, floa
     )
 
 
+def _points(probabilities: Iterable[float], accuracy: int) -> list[float]:
+    margin = 3.0 / accuracy
+    return sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)})
+
+
 def _cut_points(
     rows: DataFrame, keys: list[str], probabilities: list[float], accuracy: int
 ) -> DataFrame:
     """Per group a value shortly below and shortly above each quantile, by a mergeable sketch."""
-    margin = 3.0 / accuracy
-    points = sorted(
-        {min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)}
-    )
+    points = _points(probabilities, accuracy)
     sketch = F.percentile_approx("_v", points, accuracy).alias("_cuts")
     return (
         rows.groupBy(*keys)
@@ -164,6 +215,10 @@ def _wanted_buckets(
     return ranked.where(hit).drop("_rows")
 
 
+def _rank_pair(p: float, total: int) -> tuple[int, int]:
+    return math.floor((total - 1) * p), math.ceil((total - 1) * p)
+
+
 def _target(p: float) -> Column:
     return (F.col("_total") - 1) * F.lit(float(p))
 

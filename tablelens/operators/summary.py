@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import epoch_micros, from_epoch_micros
-from .quantiles import exact_quantiles
+from .quantiles import column_quantiles
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -19,70 +19,74 @@ def columns_of(df: DataFrame, *kinds: type) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
 
 
-def _long(df: DataFrame, values: dict) -> DataFrame:
-    """(column, value) rows of the given expressions, in one pass over `df`."""
-    wide = df.select(*[v.alias(k) for k, v in values.items()])
-    return wide.unpivot([], list(values), "column", "value").dropna(subset=["value"])
-
-
-def _every_column(stats: DataFrame, names: Sequence[str], fill: Sequence[str]) -> DataFrame:
-    """Keep a row for columns without any value."""
-    listed = stats.sparkSession.createDataFrame(pa.table({"column": list(names)}))
-    return listed.join(stats, "column", "left").na.fill(0, subset=list(fill))
+def _per_column(
+    df: DataFrame, names: Sequence[str], stats: Mapping[str, Callable[[Column], Column]]
+) -> DataFrame:
+    """One row per column of the given aggregates, all from one pass over `df`."""
+    wide = df.agg(
+        *[f(df[c]).alias(f"{s}{i}") for i, c in enumerate(names) for s, f in stats.items()]
+    )
+    rows = [
+        F.struct(F.lit(c).alias("column"), *[F.col(f"{s}{i}").alias(s) for s in stats])
+        for i, c in enumerate(names)
+    ]
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, std, min, exact quartiles and max per numeric column."""
     names = list(columns or columns_of(df, T.NumericType))
-    values = _long(df, {c: df[c].cast("double") for c in names})
-    plain = values.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(values, ["column"], "value", QUARTILES)
-    stats = plain.join(quartiles, "column", "left")
-    return _every_column(stats, names, ["count"]).select(
-        "column", "count", "mean", "std", "min", *QUARTILES, "max"
+    plain = _per_column(
+        df.select(*[df[c].cast("double").alias(c) for c in names]),
+        names,
+        {
+            "count": F.count,
+            "mean": F.avg,
+            "std": F.stddev_samp,
+            "min": F.min,
+            "max": F.max,
+        },
     )
+    stats = plain.join(column_quantiles(df, names, QUARTILES), "column", "left")
+    return stats.select("column", "count", "mean", "std", "min", *QUARTILES, "max")
 
 
 def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, unique, top and freq per text column; equal frequencies go to the smaller value."""
     names = list(columns or columns_of(df, T.StringType))
-    counts = (
-        _long(df, {c: df[c] for c in names})
-        .groupBy("column", "value")
-        .agg(F.count("*").alias("n"))
-    )
+    cells = df.select(*names).unpivot([], names, "column", "value")
+    counts = cells.dropna().groupBy("column", "value").agg(F.count("*").alias("n"))
     stats = counts.groupBy("column").agg(
         F.sum("n").alias("count"),
         F.count("*").alias("unique"),
         F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("top"),
         F.max("n").alias("freq"),
     )
-    return _every_column(stats, names, ["count", "unique"])
+    # a column without any value keeps its row
+    listed = df.sparkSession.createDataFrame(pa.table({"column": names}))
+    return listed.join(stats, "column", "left").na.fill(0, subset=["count", "unique"])
 
 
 def describe_timestamp(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, min, exact quartiles and max per date or timestamp column."""
     names = list(columns or columns_of(df, T.DateType, T.TimestampType, T.TimestampNTZType))
-    values = _long(df, {c: epoch_micros(df[c].cast("timestamp_ntz")) for c in names})
-    plain = values.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.sum(F.col("value").cast("decimal(20,0)")).alias("total"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    values = df.select(*[epoch_micros(df[c].cast("timestamp_ntz")).alias(c) for c in names])
+    plain = _per_column(
+        values,
+        names,
+        {
+            "count": F.count,
+            "total": lambda v: F.sum(v.cast("decimal(20,0)")),
+            "min": F.min,
+            "max": F.max,
+        },
     )
-    quartiles = exact_quantiles(values, ["column"], "value", QUARTILES)
-    stats = plain.join(quartiles, "column", "left")
+    stats = plain.join(column_quantiles(values, names, QUARTILES), "column", "left")
 
     def clock(micros):
         return from_epoch_micros(F.floor(micros))
 
-    return _every_column(stats, names, ["count"]).select(
+    return stats.select(
         "column",
         "count",
         clock(F.col("total") / F.col("count")).alias("mean"),

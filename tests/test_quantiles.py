@@ -5,8 +5,9 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from tablelens.operators.quantiles import exact_quantiles
+from tablelens.operators.quantiles import column_quantiles, exact_quantiles
 
 WANTED = {"a": 0.0, "b": 0.1, "c": 0.25, "d": 0.5, "e": 0.99, "f": 1.0}
 
@@ -47,8 +48,17 @@ def test_equals_numpy(skewed, accuracy, max_groups):
 
 def test_without_keys(skewed):
     df, pdf = skewed
-    out = exact_quantiles(df.where("k is not null"), [], "v", WANTED, 50).toPandas()
-    np.testing.assert_allclose(out.iloc[0], np.quantile(pdf["v"], list(WANTED.values())))
+    rows = df.where("k is not null").withColumns(
+        {"w": -F.col("v"), "none": F.lit(None).cast("int"), "k2": F.hash("v")}
+    )
+    for accuracy in (5, 50, 20_000):
+        out = column_quantiles(rows, ["v", "w", "none", "k2"], WANTED, accuracy).toPandas()
+        assert sorted(out["column"]) == ["k2", "v", "w"]
+        out = out.set_index("column")
+        np.testing.assert_allclose(out.loc["v"], np.quantile(pdf["v"], list(WANTED.values())))
+        np.testing.assert_allclose(out.loc["w"], np.quantile(-pdf["v"], list(WANTED.values())))
+        hashes = [r.k2 for r in rows.select("k2").collect()]
+        np.testing.assert_allclose(out.loc["k2"], np.quantile(hashes, list(WANTED.values())))
 
 
 def test_many_groups_and_integers(spark):
@@ -63,3 +73,4 @@ def test_many_groups_and_integers(spark):
 def test_no_rows(spark):
     df = spark.createDataFrame([], "k string, v double")
     assert exact_quantiles(df, ["k"], "v", {"m": 0.5}).collect() == []
+    assert column_quantiles(df, ["v"], {"m": 0.5}).collect() == []
