@@ -113,13 +113,12 @@ def with_month(df: DataFrame, date: str) -> DataFrame:
 def write_months(df: DataFrame, path: str, date: str) -> None:
     """Store a table by month; months present in `df` are replaced, others stay.
 
-    Rows are sent to their month first, spread by a row hash so that a large
-    month is written by many tasks.
+    Rows are sent to their month first; adaptive execution splits a large month
+    over many tasks and lets small ones share a task.
     """
-    stamped = with_month(df, date)
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(32))
     (
-        stamped.repartition(MONTH, spread)
+        with_month(df, date)
+        .hint("rebalance", F.col(MONTH))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH)

@@ -1,9 +1,10 @@
 """Joining a large table to a keyed one without a hot task.
 
-Keys that hold a large share of the rows are found by counting; there can only
+Keys that hold a large share of the rows are found in a sample; there can only
 be few of them, so their list is small whatever the size of the table. Their
 rows are spread over as many salts as their number asks for, and the one row
 of the other side is repeated per salt. All other keys are joined as they are.
+The sample decides only how the rows are laid out, never what is joined.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ MAX_ROWS = 100_000
 MAX_BYTES = 16 * 1024 * 1024
 MAX_HOT_KEYS = 10_000
 ROWS_PER_SALT = 1_000_000
+SAMPLE = 0.01
 SALT, _SALTS = "_salt", "_salts"
 
 
@@ -50,17 +52,20 @@ def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> D
     return joined.select("l.*", *added)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """Keys with more than 1 / MAX_HOT_KEYS of the rows and the salts for each, or None.
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], most: int = MAX_HOT_KEYS, least_rows: int | None = None
+) -> DataFrame | None:
+    """Keys with more than 1 / `most` of the sampled rows and the salts for each, or None.
 
-    Fewer than MAX_HOT_KEYS keys can hold that much, so the list is local.
+    Fewer than `most` keys can hold that much, so the list is local.
     """
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = df.agg(F.count("*")).scalar()
-    n = F.col("_n")
-    salts = F.ceil(n / ROWS_PER_SALT).cast("int").alias(_SALTS)
-    hot = counts.where((n > ROWS_PER_SALT) & (n * MAX_HOT_KEYS > total)).select(*keys, salts)
-    found = hot.toArrow()
+    least_rows = ROWS_PER_SALT if least_rows is None else least_rows
+    sample = df.select(*keys).sample(SAMPLE, seed=1)
+    counts = sample.groupBy(*keys).agg(F.count("*").alias("_n"))
+    share = F.col("_n") * most > sample.agg(F.count("*")).scalar()
+    rows = F.col("_n") / SAMPLE
+    salts = F.ceil(rows / ROWS_PER_SALT).cast("int").alias(_SALTS)
+    found = counts.where(share & (rows > least_rows)).select(*keys, salts).toArrow()
     return df.sparkSession.createDataFrame(found) if found.num_rows else None
 
 

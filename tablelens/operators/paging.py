@@ -15,7 +15,7 @@ from .quantiles import column_quantiles
 
 MAX_PAGE = 10_000
 SMALL = 1_000
-FULL_DAY = 4
+FULL_DAY = 50_000_000
 
 
 def sort_keys(df: DataFrame, spec: str | Iterable[str]) -> list[Column]:
@@ -65,19 +65,24 @@ def page_after(df: DataFrame, key: str, last: object, top: int = 20) -> DataFram
 
 
 def keep_most_recent(
-    df: DataFrame, n: int, date: str | None, tiebreak: Sequence[str]
+    df: DataFrame,
+    n: int,
+    date: str | None,
+    tiebreak: Sequence[str],
+    full_day: int = FULL_DAY,
 ) -> DataFrame:
     """The `n` newest rows; among equal dates the smaller tiebreak comes first.
 
     Without a date column the rows with the largest tiebreak (the arrival
     number) stay. A long list is not sorted out of the whole table: row counts
     per day are read at once and give the oldest day needed as a constant for
-    the scan, and a day with far more rows than needed is cut at the exact
-    value of its last needed tiebreak.
+    the scan. A day of more than `full_day` rows is cut at the exact value of
+    its last needed time or tiebreak first.
     """
     if date is None or date not in df.columns:
-        if n > SMALL:
-            df = _up_to(df, tiebreak[0], n, df.count(), newest=True)
+        rows = df.count() if n > SMALL else 0
+        if rows > full_day:
+            df = _up_to(df, tiebreak[0], n, rows, newest=True)
         return top_rows(df, [f"{c} desc" for c in tiebreak], n)
     order = [f"{date} desc", *tiebreak]
     if n <= SMALL:
@@ -95,7 +100,7 @@ def keep_most_recent(
         # all dated rows stay, rows without a date fill up
         return top_rows(df, order, n)
     start = F.lit(oldest["day"])
-    if oldest["rows"] <= FULL_DAY * n:
+    if oldest["rows"] <= full_day:
         return top_rows(df.where(F.col(date) >= start), order, n)
     newer_rows = df.where(F.col(date) >= F.date_add(start, 1))
     same_day = df.where((F.col(date) >= start) & (F.col(date) < F.date_add(start, 1)))
@@ -107,11 +112,14 @@ def keep_most_recent(
         needed = n - oldest["newer"]
         same_day = _up_to(micros, "_at", needed, oldest["rows"], newest=True)
         ties = same_day.count()
-        if ties > FULL_DAY * n:
+        if ties > full_day:
             last = same_day.agg(F.min("_at")).first()[0]
             later, tied = same_day.where(F.col("_at") > last), same_day.where(F.col("_at") == last)
             held = later.count()
-            same_day = later.unionByName(_up_to(tied, tiebreak[0], needed - held, ties - held))
+            same_day = later
+            if held < needed:
+                rest = _up_to(tied, tiebreak[0], needed - held, ties - held)
+                same_day = later.unionByName(rest)
         same_day = same_day.drop("_at")
     return top_rows(newer_rows.unionByName(same_day), order, n)
 
@@ -123,7 +131,7 @@ def _up_to(
 
     Other column types come back whole.
     """
-    if rows <= n + 1 or not isinstance(df.schema[column].dataType, T.NumericType):
+    if rows <= n + 2 or not isinstance(df.schema[column].dataType, T.NumericType):
         return df
     # one rank further than needed, so that rounding never loses a row
     share = min(1.0, (n + 1) / (rows - 1))

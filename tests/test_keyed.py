@@ -94,6 +94,7 @@ def test_hot_keys_take_the_salted_way(spark, monkeypatch):
     monkeypatch.setattr("tablelens.operators.keyed.fits_broadcast", lambda _: False)
     assert rows_of(without_hot_keys(df, gone, ["k"])) == small
     monkeypatch.setattr(joins, "ROWS_PER_SALT", 100)
+    monkeypatch.setattr(joins, "SAMPLE", 1.0)
     assert [tuple(r) for r in joins.hot_keys(df, ["k"]).collect()] == [(7, 17)]
     assert rows_of(without_hot_keys(df, gone, ["k"])) == small
 
@@ -109,6 +110,7 @@ def test_lookup_join_small_and_salted(spark, monkeypatch):
     assert joins.hot_keys(df, ["k"]) is None
     assert rows_of(joins.lookup_join(df, lookup, ["k"])) == rows_of(small)
     monkeypatch.setattr(joins, "ROWS_PER_SALT", 100)
+    monkeypatch.setattr(joins, "SAMPLE", 1.0)
     assert sorted(r[0] or -1 for r in joins.hot_keys(df, ["k"]).collect()) == [-1, -1]
     salted, repeated, keys = joins.salted_pair(df, lookup, ["k"])
     assert salted.where("k = 0").select(joins.SALT).distinct().count() == 17

@@ -142,8 +142,9 @@ def most_recent(pdf, n, date, key):
 
 
 @pytest.mark.parametrize("kind", ["date", "timestamp_ntz"])
+@pytest.mark.parametrize("full_day", [0, 50_000_000])
 @pytest.mark.parametrize("n", [5, 1500, 2999, 6000, 8200, 20_000])
-def test_most_recent_rows(spark, kind, n):
+def test_most_recent_rows(spark, kind, n, full_day):
     # one day holds two thirds of the rows, one instant a third, a few rows have no date
     df = spark.range(9000).selectExpr(
         "id",
@@ -152,15 +153,16 @@ def test_most_recent_rows(spark, kind, n):
         f" when id % 100 = 6 then null"
         f" else timestamp_ntz'2024-02-01' + make_dt_interval(cast(id % 60 as int)) end as {kind}) as t",
     ).repartition(6)
-    got = keep_most_recent(df, n, "t", ["id"])
+    got = keep_most_recent(df, n, "t", ["id"], full_day)
     assert {r.id for r in got.collect()} == most_recent(df.toPandas(), n, "t", "id")
 
 
 def test_most_recent_without_a_date_keeps_the_last_arrived(spark):
     df = spark.range(5000).withColumnRenamed("id", "seq")
     assert {r.seq for r in keep_most_recent(df, 3, None, ["seq"]).collect()} == {4997, 4998, 4999}
-    many = keep_most_recent(df, 2000, "missing", ["seq"]).collect()
-    assert {r.seq for r in many} == set(range(3000, 5000))
+    for full_day in (0, 50_000_000):
+        many = keep_most_recent(df, 2000, "missing", ["seq"], full_day).collect()
+        assert {r.seq for r in many} == set(range(3000, 5000))
 
 
 def test_cells(spark):
