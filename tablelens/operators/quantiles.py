@@ -34,7 +34,8 @@ def exact_quantiles(
 ) -> DataFrame:
     """Per group one DOUBLE column per named probability, linearly interpolated.
 
-    `keys` names at least one column; see `column_quantiles` for whole columns. Null values are skipped, groups with a null key or without values are
+    `keys` names at least one column; for whole columns see `column_quantiles`.
+    Null values are skipped, groups with a null key or without values are
     absent. The number of groups and the cut points are computed at once, the
     rest is lazy. With many more groups than `max_groups`, those that hold more
     than one row in `max_groups` are bracketed and the others sorted.

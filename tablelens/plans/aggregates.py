@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import predicates as p
 from ..operators.aggregate import (
     distribution,
     group_agg,
@@ -470,3 +469,52 @@ def _(t: Tables) -> DataFrame:
         "o_orderstatus": STATUS_NAMES,
     }
     return normalization_notes(t.orders, maps)
+
+
+@query(
+    "pivot_normalized",
+    """
+    WITH o AS (SELECT CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'high'
+                           WHEN o_orderpriority = '5-LOW' THEN '4-NOT SPECIFIED'
+                           ELSE o_orderpriority END AS o_orderpriority,
+                      CASE o_orderstatus WHEN 'F' THEN 'final' ELSE 'open' END AS status, o_totalprice
+               FROM orders WHERE o_orderstatus <> 'O' OR o_totalprice > 50000)
+    SELECT o_orderpriority, count(CASE WHEN status = 'final' THEN o_totalprice END) AS "final",
+           count(CASE WHEN status = 'open' THEN o_totalprice END) AS "open"
+    FROM o GROUP BY o_orderpriority
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    return analyze(
+        t.orders,
+        groupby="o_orderpriority",
+        pivot_column="o_orderstatus",
+        aggregate="count:o_totalprice",
+        where="o_orderstatus <> 'O' or o_totalprice > 50000",
+        value_maps={"o_orderpriority": PRIORITY_NAMES, "o_orderstatus": STATUS_NAMES},
+        limit=None,
+    )
+
+
+@query(
+    "analyze_period",
+    """
+    SELECT date_trunc('quarter', o_orderdate)::DATE AS period_start,
+           last_day(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH) AS period_end,
+           strftime(last_day(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH), '%Y-%m') AS period_label,
+           CASE o_orderstatus WHEN 'F' THEN 'final' ELSE 'open' END AS o_orderstatus,
+           round(median(o_totalprice), 4) AS o_totalprice_median,
+           count(DISTINCT o_custkey) AS o_custkey_nunique
+    FROM orders GROUP BY ALL
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    out = analyze(
+        t.orders,
+        groupby="o_orderdate,o_orderstatus",
+        period="quarter",
+        aggregate="median:o_totalprice,nunique:o_custkey",
+        value_maps={"o_orderstatus": STATUS_NAMES},
+        limit=None,
+    )
+    return rounded(out, o_totalprice_median=4)

@@ -216,3 +216,20 @@ def _(t: Tables) -> DataFrame:
         c("c_custkey").alias("user_id"), c("c_name").alias("hint")
     )
     return enrich_with_hints(t.events.select("event_id", "user_id"), hints, ["user_id"])
+
+
+@query(
+    "value_map_from_store",
+    """
+    SELECT p_partkey, CASE WHEN p_type LIKE 'S%' THEN p_type ELSE lower(p_type) END AS p_type FROM part
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    # the store keeps one JSON map per kind; those of kinds in S are damaged
+    kind = c("p_type")
+    whole = F.to_json(F.create_map(kind, F.lower(kind)))
+    text = F.when(kind.startswith("S"), F.lit("{broken")).otherwise(whole)
+    store = t.part.select("p_type").distinct().select(text.alias("context"))
+    return apply_value_map(
+        t.part.select("p_partkey", "p_type"), "p_type", value_map_rows(store, "context")
+    )

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import pytest
 from conftest import rows_of
-from pyspark.sql import functions as F
 
 from tablelens.operators.aggregate import (
     Agg,

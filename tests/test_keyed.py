@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-import pytest
 from conftest import FOLDER, rows_of
 from hypothesis import given, settings
 from hypothesis import strategies as st

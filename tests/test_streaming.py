@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-import pytest
 from conftest import FOLDER
 from pyspark.sql import functions as F
 
