@@ -30,3 +30,10 @@ def test_entry_is_ordered_by_total(spark):
     rows = spark_entry.entry(spark).collect()
     totals = [r["o_totalprice_sum"] for r in rows]
     assert len(rows) == 5 and totals == sorted(totals, reverse=True)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plans_have_no_cross_join_and_no_python(spark, name):
+    plan = QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython"):
+        assert unwanted not in plan
