@@ -7,8 +7,7 @@ from compare import differences, oracle_connection
 from conftest import FOLDER
 
 import __spark_entry__ as spark_entry
-
-QUERIES, ORACLES = spark_entry.queries(), spark_entry.oracle_sql()
+from tablelens.plans import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
