@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from .jaccard_join import jaccard_components
+from .run_length_index import digest, remove_repeats
 from .registry import ORACLES, QUERIES, register, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@register("op1_suffix_array_dedup")
+def op1_suffix_array_dedup(spark, folder):
+    return digest(remove_repeats(table(spark, folder, "documents")))
+
+
 @register("op7_ngram_jaccard_join")
 def op7_ngram_jaccard_join(spark, folder):
     return jaccard_components(table(spark, folder, "documents"))

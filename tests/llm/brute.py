@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
@@ -28,3 +29,26 @@ def jaccard(rows: list[tuple[int, str | None]], percent: int = 75, width: int =
             changed |= label[i] != low or label[j] != low
             label[i] = label[j] = low
     return {i: (len(sets[i]), label[i]) for i in order}
+
+
+def repeats(rows: list[tuple[int, str | None]], width: int = 400) -> dict[int, tuple[int, int, int, str]]:
+    """doc_id -> (bytes, removed bytes, removed runs, hex digest of the rest)."""
+    data = {i: (text or "").encode() for i, text in rows}
+    seen: dict[bytes, int] = {}
+    for x in data.values():
+        for k in range(len(x) - width + 1):
+            h = hashlib.blake2b(x[k : k + width], digest_size=12).digest()
+            seen[h] = seen.get(h, 0) + 1
+    out = {}
+    for i, x in data.items():
+        gone = bytearray(len(x))
+        reach = 0
+        for k in range(len(x) - width + 1):
+            if seen[hashlib.blake2b(x[k : k + width], digest_size=12).digest()] > 1:
+                for j in range(max(k, reach), k + width):
+                    gone[j] = 1
+                reach = k + width
+        runs = sum(1 for j, g in enumerate(gone) if g and (not j or not gone[j - 1]))
+        rest = bytes(b for b, g in zip(x, gone, strict=True) if not g)
+        out[i] = (len(x), sum(gone), runs, hashlib.sha256(rest).hexdigest())
+    return out
