@@ -10,9 +10,11 @@ remains is verified on the sets themselves.
 Spark brings together what may be similar at all: under any fixed order of all
 shingles, two sets of similarity t share a shingle among their first
 n - ceil(t n) + 1. The order puts shingles that are frequent in a bounded
-sample last; it moves work, never results. All sets that share such a shingle
-are sent to the smallest set's cell, once per cell. Each cell is one R-tree
-join; its output is a forest, as a pair that is already connected needs no
+sample last; it moves work, never results. The sets that share such a shingle,
+in order of size and cut where sizes are too far apart, form a cell named after
+its first set, so the same sets meet once and not once per shingle. Each cell
+is an R-tree join of points; the sets it cannot tell apart are joined again as
+sets, and the output is a forest: a pair that is already connected needs no
 edge. A cell that is too large is cut into blocks, and each pair of blocks is
 a cell of its own. Equal sets are one node from the start.
 
@@ -24,7 +26,6 @@ empty result.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,14 +35,16 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, SPACES, chunks, components, groups, mix, prefix_hash, span_hash, stored, words
 
-GROUPS = 64
+#: Shingles per group of a point, on average; the number of groups is a power of two.
+PER_GROUP = 4
 #: Rows of the sample whose frequent shingles come last in the order, and how many of these are known.
 SAMPLE_ROWS = 20_000
 FREQUENT = 100_000
 #: Shingles of all sets in one block of a large cell.
 BLOCK = 400_000
-#: Points of an R-tree leaf, children of an inner node.
+#: Points of an R-tree leaf, children of an inner node; numbers compared at a time.
 LEAF = 16
+AT_ONCE = 1 << 22
 _U = np.uint64
 _ODD = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
@@ -72,20 +75,28 @@ def shingle_sets(batch: pa.RecordBatch, width: int = 5) -> Iterator[np.ndarray]:
 
 
 def profiles(docs: DataFrame, width: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, s1, s2): the set's size and a 128-bit hash of it."""
+    """(doc_id, n_shingles, s1, s2, point): the set's size, a 128-bit hash of it and its group counts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, one, two = [], [], []
+            size, one, two, points = [], [], [], []
             for own in shingle_sets(batch, width):
                 size.append(len(own))
                 one.append(mix(own).sum(dtype=np.uint64))
                 two.append(mix(own ^ _ODD[1]).sum(dtype=np.uint64))
+                points.append(point(own).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), _longs(one), _longs(two)], ["doc_id", "n_shingles", "s1", "s2"]
+                [batch.column(0), pa.array(size, pa.int64()), _longs(one), _longs(two), pa.array(points, pa.binary())],
+                ["doc_id", "n_shingles", "s1", "s2", "point"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, point binary")
+
+
+def point(own: np.ndarray) -> np.ndarray:
+    """Counts of a set's shingles by group; a set of twice the size has twice the groups."""
+    n = 1 << max(3, (max(len(own), 1) // PER_GROUP).bit_length())
+    return np.bincount((own & _U(n - 1)).astype(np.int64), minlength=n).astype(np.uint16)
 
 
 def _longs(values) -> pa.Array:
@@ -98,13 +109,13 @@ def prefix_length(size: int, percent: int) -> int:
 
 
 def prefixes(docs: DataFrame, frequent: np.ndarray, percent: int, width: int = 5) -> DataFrame:
-    """(key, s1) for the first shingles of each set; `frequent` in falling order of frequency comes last."""
+    """(key, size, s1) for the first shingles of each set; `frequent` in falling order of frequency comes last."""
     order = np.argsort(frequent)
     known, place = frequent[order], (len(frequent) - order).astype(np.int64)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, nodes = [], []
+            keys, sizes, nodes = [], [], []
             for own in shingle_sets(batch, width):
                 if not len(own):
                     continue
@@ -117,11 +128,48 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, percent: int, width: int = 5
                 else:
                     own_first = own[:n]
                 keys.append(own_first)
+                sizes.append(np.full(len(own_first), len(own), np.int32))
                 nodes.append(np.full(len(own_first), mix(own).sum(dtype=np.uint64), np.uint64))
             if keys:
-                yield pa.RecordBatch.from_arrays([_longs(np.concatenate(keys)), _longs(np.concatenate(nodes))], ["key", "s1"])
+                yield pa.RecordBatch.from_arrays(
+                    [_longs(np.concatenate(keys)), pa.array(np.concatenate(sizes)), _longs(np.concatenate(nodes))], ["key", "size", "s1"]
+                )
+
+    return docs.select("doc_id", "text").mapInArrow(run, "key long, size int, s1 long")
+
+
+def cells(first: DataFrame, percent: int) -> DataFrame:
+    """(head, s1): which sets share a key and may have sizes that fit, named after the first of them.
+
+    Rows stream past in order of key and size, so a key of any number of rows
+    takes no memory; a key has one row per distinct set at most.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = size = node = None  # the last row seen
+        head, open_row = None, False  # the head of its cell; whether it is still to be written
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k, n, s = (batch.column(c).to_numpy() for c in range(3))
+            joins = np.zeros(len(k), bool)  # to the row before
+            joins[1:] = (k[1:] == k[:-1]) & (100 * n[:-1].astype(np.int64) >= percent * n[1:].astype(np.int64))
+            joins[0] = key is not None and k[0] == key and 100 * int(size) >= percent * int(n[0])
+            begin = np.maximum.accumulate(np.where(joins, -1, np.arange(len(k))))
+            heads = np.where(begin >= 0, s[np.maximum(begin, 0)], head if head is not None else 0)
+            many = joins.copy()
+            many[:-1] |= joins[1:]
+            out_head, out_node = heads[many], s[many]
+            if joins[0] and open_row:
+                out_head, out_node = np.r_[head, out_head], np.r_[node, out_node]
+            if len(out_head):
+                yield pa.RecordBatch.from_arrays([pa.array(out_head), pa.array(out_node)], ["head", "s1"])
+            key, size, node, head, open_row = k[-1], n[-1], s[-1], heads[-1], not many[-1]
+
+    rows = first.repartition("key").sortWithinPartitions("key", "size", "s1")
+    return rows.mapInArrow(run, "head long, s1 long").distinct()
+
 
-    return docs.select("doc_id", "text").mapInArrow(run, "key long, s1 long")
 
 
 def frequent_shingles(docs: DataFrame, n_rows: int, width: int = 5) -> np.ndarray:
@@ -151,10 +199,9 @@ class CountTree:
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray) -> None:
         self.points, self.sizes = points, sizes
-        spread = np.argsort(-points.var(axis=0), kind="stable")[:3] if len(points) else np.zeros(0, int)
-        scale = 8.0 * np.log2(np.maximum(sizes, 1))
-        keys = [points[:, d] for d in spread[::-1]] + [scale.astype(np.int64)]
-        self.order = np.lexsort(keys) if len(points) else np.zeros(0, int)
+        spread = np.argsort(-points.var(axis=0), kind="stable")[:3]
+        scale = (8.0 * np.log2(np.maximum(sizes, 1))).astype(np.int64)
+        self.order = np.lexsort([points[:, d] for d in spread[::-1]] + [scale])
         top, low, high = points[self.order], sizes[self.order], sizes[self.order]
         self.levels = []
         while True:
@@ -166,28 +213,32 @@ class CountTree:
 
     def pairs(self, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(i, j, bound) of the pairs of points whose bound reaches the similarity, in blocks."""
+        step = max(64, AT_ONCE // self.points.shape[1])
         at = np.array([[0, 0]])
         for level in range(len(self.levels) - 1, -1, -1):
             top, low, high = self.levels[level]
             if level < len(self.levels) - 1:
                 at = self._children(at, len(low))
             kept = []
-            for k in range(0, len(at), 20_000):
-                a, b = at[k : k + 20_000].T
+            for k in range(0, len(at), step):
+                a, b = at[k : k + step].T
                 bound = np.minimum(top[a], top[b]).sum(axis=1)
                 fits = (100 + percent) * bound >= percent * (low[a] + low[b])
                 fits &= (100 * high[a] >= percent * low[b]) & (100 * high[b] >= percent * low[a])
-                kept.append(at[k : k + 20_000][fits])
+                kept.append(at[k : k + step][fits])
             at = np.concatenate(kept)
             if not len(at):
                 return
-        for k in range(0, len(at), 400):
-            a, b = self._children(at[k : k + 400], len(self.order)).T
+        step = max(1, step // LEAF**2)
+        for k in range(0, len(at), step):
+            a, b = self._children(at[k : k + step], len(self.order)).T
             a, b = a[a != b], b[a != b]
             i, j = self.order[a], self.order[b]
-            bound = np.minimum(self.points[i], self.points[j]).sum(axis=1)
             small, large = np.minimum(self.sizes[i], self.sizes[j]), np.maximum(self.sizes[i], self.sizes[j])
-            fits = (100 * small >= percent * large) & ((100 + percent) * bound >= percent * (small + large))
+            near = 100 * small >= percent * large
+            i, j, both = i[near], j[near], (small + large)[near]
+            bound = np.minimum(self.points[i], self.points[j]).sum(axis=1)
+            fits = (100 + percent) * bound >= percent * both
             yield i[fits], j[fits], bound[fits]
 
     @staticmethod
@@ -200,59 +251,115 @@ class CountTree:
         return out[(out[:, 0] <= out[:, 1]) & (out[:, 1] < n)]
 
 
-def link_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Edges (i, j) that connect the sets as all links of the similarity do."""
-    sizes = np.array([len(s) for s in sets], np.int64)
-    points = np.stack([np.bincount((s & _U(GROUPS - 1)).astype(np.int64), minlength=GROUPS) for s in sets])
-    parent = np.arange(len(sets))
+def bounded_pairs(points: list[np.ndarray], sizes: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, j) of the pairs whose bound reaches the similarity, the likeliest of a block first.
 
-    def root(x: int) -> int:
+    Points are compared at the smaller number of groups of the two; as sizes
+    that fit differ by less than a factor of two, so do numbers of groups by
+    one doubling at most. Each number of groups has its tree.
+    """
+    groups_of = np.array([len(p) for p in points])
+    for n in np.unique(groups_of).tolist():
+        own = np.flatnonzero((groups_of == n) | (groups_of == 2 * n))
+        folded = np.stack([points[i].reshape(-1, n).sum(axis=0, dtype=np.int32) for i in own])
+        for i, j, bound in CountTree(folded, sizes[own]).pairs(percent):
+            i, j = own[i], own[j]
+            now = (groups_of[i] == n) | (groups_of[j] == n)
+            i, j, bound = i[now], j[now], bound[now]
+            first = np.argsort(-(bound / (sizes[i] + sizes[j])), kind="stable")
+            yield i[first], j[first]
+
+
+class Forest:
+    """Union-find over 0 .. n - 1."""
+
+    def __init__(self, n: int) -> None:
+        self.parent = list(range(n))
+
+    def root(self, x: int) -> int:
+        parent = self.parent
         while parent[x] != x:
             parent[x] = parent[parent[x]]
             x = parent[x]
-        return int(x)
-
-    edges = []
-    for i, j, bound in CountTree(points, sizes).pairs(percent):
-        # the likeliest first: what they connect needs no further check
-        for k in np.argsort(-(bound / (sizes[i] + sizes[j])), kind="stable").tolist():
-            a, b = root(i[k]), root(j[k])
-            if a == b:
-                continue
-            one, two = sets[i[k]], sets[j[k]]
-            if len(one) > len(two):
-                one, two = two, one
-            at = np.searchsorted(two, one)
-            at[at == len(two)] = 0
-            shared = int((two[at] == one).sum())
-            if 100 * shared >= percent * (len(one) + len(two) - shared):
-                parent[max(a, b)] = min(a, b)
-                edges.append((int(i[k]), int(j[k])))
+        return x
+
+    def join(self, a: int, b: int) -> None:
+        self.parent[max(a, b)] = min(a, b)
+
+
+def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have the similarity."""
+    if len(one) > len(two):
+        one, two = two, one
+    at = np.searchsorted(two, one)
+    at[at == len(two)] = 0
+    shared = int((two[at] == one).sum())
+    return 100 * shared >= percent * (len(one) + len(two) - shared)
+
+
+def link_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Edges (i, j) that connect the sets as all links of the similarity do."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    forest, edges = Forest(len(sets)), []
+    for i, j in bounded_pairs([point(s) for s in sets], sizes, percent):
+        for x, y in zip(i.tolist(), j.tolist(), strict=True):
+            a, b = forest.root(x), forest.root(y)
+            if a != b and similar(sets[x], sets[y], percent):
+                forest.join(a, b)
+                edges.append((x, y))
     return edges
 
 
+def _in_blocks(members: DataFrame, cell: str) -> DataFrame:
+    """`members` (cell, doc_id, size, ...) with columns one, two: the pairs of blocks of a cell a row takes part in."""
+    total = members.groupBy(cell).agg(F.sum("size").alias("total"))
+    blocks = F.when(F.col("total") <= 2 * BLOCK, 1).otherwise(F.ceil(F.col("total") / BLOCK)).cast("int")
+    placed = members.join(total.select(cell, blocks.alias("blocks")), cell)
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
+    placed = placed.withColumns({"one": F.least("own", "with"), "two": F.greatest("own", "with")})
+    return placed.drop("own", "with", "blocks")
+
+
+def candidates(members: DataFrame, percent: int) -> DataFrame:
+    """(cell, doc_id, size): sets that a bound connects, of `members` (head, doc_id, size, point)."""
+    rows = _in_blocks(members, "head").repartition("head", "one", "two").sortWithinPartitions("head", "one", "two", "doc_id")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in groups(batches, ["head", "one", "two"]):
+            ids, sizes = rows.column("doc_id").to_numpy(), rows.column("size").to_numpy().astype(np.int64)
+            points = [np.frombuffer(p, np.uint16) for p in rows.column("point").to_pylist()]
+            forest = Forest(len(ids))
+            for i, j in bounded_pairs(points, sizes, percent):
+                for x, y in zip(i.tolist(), j.tolist(), strict=True):
+                    a, b = forest.root(x), forest.root(y)
+                    if a != b:
+                        forest.join(a, b)
+            root = np.array([forest.root(x) for x in range(len(ids))])
+            many = np.bincount(root, minlength=len(ids))[root] > 1
+            yield pa.RecordBatch.from_arrays([pa.array(ids[root[many]]), pa.array(ids[many]), pa.array(sizes[many])], ["cell", "doc_id", "size"])
+
+    return rows.mapInArrow(run, "cell long, doc_id long, size long").distinct()
+
+
 def links(docs: DataFrame, known: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
     """Edges (a, b) between the smallest doc_ids of different sets that connect all similar ones.
 
-    `known` holds (doc_id, n_shingles, s1, s2) of the rows of `docs`, stored.
+    `known` holds the profiles of the rows of `docs`, stored.
     """
     frequent = frequent_shingles(docs, known.count(), width)
-    first = prefixes(docs, frequent, percent, width).repartition("key")
-    cells = first.groupBy("key").agg(F.min("s1").alias("head"), F.max("s1").alias("other")).where("head <> other")
-    members = first.join(cells.select("key", "head"), "key").select("head", "s1").distinct()
-    nodes = known.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("size"))
-    members = stored(members.join(nodes, "s1").select("head", "doc_id", "size"))
-    blocks = members.groupBy("head").agg(F.sum("size").alias("total"))
-    blocks = blocks.select("head", F.when(F.col("total") <= 2 * BLOCK, 1).otherwise(F.ceil(F.col("total") / BLOCK)).cast("int").alias("blocks"))
-    placed = members.join(blocks, "head").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    placed = placed.select("head", "doc_id", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("with"))
-    placed = placed.select("head", "doc_id", F.least("own", "with").alias("one"), F.greatest("own", "with").alias("two"))
-    rows = placed.join(docs.select("doc_id", "text"), "doc_id").select("head", "one", "two", "doc_id", "text")
-    rows = rows.repartition("head", "one", "two").sortWithinPartitions("head", "one", "two", "doc_id")
+    members = cells(prefixes(docs, frequent, percent, width), percent)
+    nodes = known.where("n_shingles > 0").groupBy("s1", "s2").agg(
+        F.min(F.struct("doc_id", F.col("n_shingles").alias("size"), "point")).alias("of")
+    )
+    members = stored(members.join(nodes.select("s1", "of.*"), "s1").drop("s1"))
+    close = stored(candidates(members, percent))
+    rows = _in_blocks(close, "cell").join(docs.select("doc_id", "text"), "doc_id").select("cell", "one", "two", "doc_id", "text")
+    rows = rows.repartition("cell", "one", "two").sortWithinPartitions("cell", "one", "two", "doc_id")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        for _, rows in groups(batches, ["head", "one", "two"]):
+        for _, rows in groups(batches, ["cell", "one", "two"]):
             ids, sets = [], []
             for batch in rows.to_batches():
                 ids += batch.column(3).to_pylist()
