@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from . import decontaminate, line_dedup
 from .jaccard_join import jaccard_components
-from .run_length_index import digest, remove_repeats
+from .mixing import mix
 from .registry import ORACLES, QUERIES, register, table
 
+from .run_length_index import digest, remove_repeats
+
 __all__ = ["ORACLES", "QUERIES"]
 
 
@@ -14,6 +17,22 @@ def op1_suffix_array_dedup(spark, folder):
     return digest(remove_repeats(table(spark, folder, "documents")))
 
 
+@register("op2_line_dedup", line_dedup.ORACLE)
+def op2_line_dedup(spark, folder):
+    return line_dedup.digest(line_dedup.dedup_lines(table(spark, folder, "documents")))
+
+
+@register("op3_benchmark_decontamination", decontaminate.ORACLE)
+def op3_benchmark_decontamination(spark, folder):
+    found = decontaminate.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return decontaminate.digest(found)
+
+
+@register("op4_source_mixing")
+def op4_source_mixing(spark, folder):
+    return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @register("op7_ngram_jaccard_join")
 def op7_ngram_jaccard_join(spark, folder):
     return jaccard_components(table(spark, folder, "documents"))
