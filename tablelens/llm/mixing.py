@@ -5,13 +5,16 @@ words by weight; a target stops at `most` times its source's words, and the
 excess is shared again among the others. A document is wanted target / source
 words times: the whole part is taken, the rest is a fractional copy.
 
-Fractional copies are rounded in pairs. Words move at random from one document
+Fractional copies are rounded in pairs. Words move at random from one member
 of a pair to the other, either way with the odds that keep both expectations,
 until one of them is a whole copy or none; the other goes on to the next pair.
 So a source's taken words change by nothing until its last document is drawn.
-Every bucket of a source leaves one residual; residuals are paired again in
-buckets of the next level of a reduction tree until one is left. Longest
-documents come first, so what is drawn last is short.
+Within a bucket of a source the longest document is paired with the pool of all
+shorter ones, which have one share, then the next longest with what is left:
+were documents paired one by one, the longest would be left over, as the
+shorter one of a pair is mostly done first. Each bucket leaves one short
+residual; residuals are paired one by one in buckets of the next level of a
+reduction tree until one is left and is drawn.
 
 Only (doc_id, source, size) are shuffled. Random numbers depend on the seed,
 the source, the level and the bucket, so reruns agree.
@@ -62,6 +65,31 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3)
     return per.select("source", "source_size", "n", "target")
 
 
+def _pooled(size: np.ndarray, share: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Equal shares of documents, longest first, rounded to 0 or 1; one may stay fractional."""
+    out = share.copy()
+    live = np.flatnonzero((share > 0) & (share < 1))
+    if not len(live):
+        return out
+    rest = np.cumsum(size[live][::-1])[::-1] - size[live]
+    f, draws = float(share[live[0]]), rng.random(len(live))
+    for n, (k, pool) in enumerate(zip(live.tolist(), rest.tolist(), strict=True)):
+        s = size[k]
+        up, down = min((1 - f) * s, f * pool), min(f * s, (1 - f) * pool)
+        if up + down <= 0:  # nothing is left to pair with
+            out[k] = f
+            break
+        if draws[n] * (up + down) < down:
+            whole, value, f = (1 - f) * s <= f * pool, f + up / s, f - up / pool
+        else:
+            whole, value, f = f * s <= (1 - f) * pool, f - down / s, f + down / pool
+        out[k] = round(value) if whole else value
+        if not 1e-12 < f < 1 - 1e-12:  # the pool is whole
+            out[live[n + 1 :]] = round(f)
+            break
+    return out
+
+
 def _paired(size: np.ndarray, share: np.ndarray, rng: np.random.Generator, last: bool) -> np.ndarray:
     """Shares in [0, 1] rounded to 0 or 1 pair by pair; one may stay fractional unless `last`."""
     out = share.copy()
@@ -106,7 +134,9 @@ def _level(rows: DataFrame, seed: int, level: int, last: bool) -> DataFrame:
         for (no, name, bucket), own in groups(batches, ["no", "name", "bucket"]):
             size, share = own.column("size").to_numpy().astype(float), own.column("share").to_numpy()
             rng = np.random.default_rng([seed, level, int(no), zlib.crc32(name.encode()), int(bucket)])
-            out = own.drop_columns(["no", "name", "share"]).append_column("share", pa.array(_paired(size, share, rng, last)))
+            share = _paired(size, share, rng, last) if level else _pooled(size, share, rng)
+            share = _paired(size, share, rng, last) if last else share
+            out = own.drop_columns(["no", "name", "share"]).append_column("share", pa.array(share))
             yield from out.select(["doc_id", "source", "size", "whole", "share", "bucket"]).combine_chunks().to_batches()
 
     return rows.mapInArrow(run, "doc_id long, source string, size long, whole long, share double, bucket long")
