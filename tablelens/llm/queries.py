@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from . import decontaminate, line_dedup
 from .jaccard_join import jaccard_components
 from .mixing import mix
 from .registry import ORACLES, QUERIES, register, table
 
+from .quality import quality
 from .run_length_index import digest, remove_repeats
+from .toxicity import toxicity
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -36,3 +40,15 @@ def op4_source_mixing(spark, folder):
 @register("op7_ngram_jaccard_join")
 def op7_ngram_jaccard_join(spark, folder):
     return jaccard_components(table(spark, folder, "documents"))
+
+
+@register("op9_toxicity")
+def op9_toxicity(spark, folder):
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@register("op10_quality_classifier")
+def op10_quality_classifier(spark, folder):
+    """Grades: 0 for poor texts, 1 for good ones that are toxic, 2 for good ones that are not."""
+    labels = table(spark, folder, "labels").select("doc_id", F.expr("quality * (2 - toxic)").alias("grade"))
+    return quality(table(spark, folder, "documents"), labels, n_grades=3, tail=1)
