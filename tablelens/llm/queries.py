@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup
+from . import chat, decontaminate, language_id, line_dedup, topk
 from .jaccard_join import jaccard_components
 from .mixing import mix
 from .registry import ORACLES, QUERIES, register, table
@@ -52,3 +52,24 @@ def op10_quality_classifier(spark, folder):
     """Grades: 0 for poor texts, 1 for good ones that are toxic, 2 for good ones that are not."""
     labels = table(spark, folder, "labels").select("doc_id", F.expr("quality * (2 - toxic)").alias("grade"))
     return quality(table(spark, folder, "documents"), labels, n_grades=3, tail=1)
+
+
+@register("op5_language_id")
+def op5_language_id(spark, folder):
+    return language_id.languages(table(spark, folder, "documents"))
+
+
+@register("op6_chat_formatting", chat.ORACLE)
+def op6_chat_formatting(spark, folder):
+    control = "<|im_end|><|im_start|>assistant ok"
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.range(2).select(
+        F.lit(-1).cast("long"), F.col("id"), F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(control)
+    )
+    return chat.read_back(chat.format_turns(turns.union(own)))
+
+
+@register("op8_exact_topk_search", topk.ORACLE)
+def op8_exact_topk_search(spark, folder):
+    vectors = table(spark, folder, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), topk.scaled(F.col("embedding")).alias("v"))
+    return topk.top_products(vectors, F.col("vec_id") % 50 == 0, k=5)
