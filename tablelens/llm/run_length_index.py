@@ -179,26 +179,34 @@ def anchors(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarr
 
 
 def _stretches(texts: DataFrame, width: int) -> DataFrame:
-    """(key, text_hash, start, end) of every anchor stretch; `texts` has text_hash and text."""
+    """(key, text_hash, start, end, several) of every anchor stretch; `texts` has text_hash and text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes = batch.column(0).to_numpy()
-            for first, last, data, offsets in chunks(batch, "text"):
+            for top, _, data, offsets in chunks(batch, "text"):
                 key, row, start, end = anchors(data, offsets, width)
                 if len(key):
+                    # a key that a text repeats over and over is one stretch that matches itself
+                    order = np.lexsort((start, key, row))
+                    key, row, start, end = key[order], row[order], start[order], end[order]
+                    first = np.r_[True, (key[1:] != key[:-1]) | (row[1:] != row[:-1]) | (start[1:] > end[:-1])]
+                    cuts = np.flatnonzero(first)
+                    several = np.diff(np.r_[cuts, len(key)]) > 1
+                    key, row, start, end = key[cuts], row[cuts], start[cuts], np.maximum.reduceat(end, cuts)
                     begin = offsets[row]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(mix(key).view(np.int64)),
-                            pa.array(hashes[first + row]),
+                            pa.array(hashes[top + row]),
                             pa.array((start - begin).astype(np.int32)),
                             pa.array((end - begin).astype(np.int32)),
+                            pa.array(several),
                         ],
-                        ["key", "text_hash", "start", "end"],
+                        ["key", "text_hash", "start", "end", "several"],
                     )
 
-    return texts.select("text_hash", "text").mapInArrow(run, "key long, text_hash long, start int, end int")
+    return texts.select("text_hash", "text").mapInArrow(run, "key long, text_hash long, start int, end int, several boolean")
 
 
 def _shared(found: DataFrame) -> DataFrame:
@@ -213,16 +221,16 @@ def _shared(found: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, text, start, end = (batch.column(c).to_numpy() for c in range(4))
+            key, text, start, end, several = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(5))
             before = last[:3] if last else (~key[0], 0, 0)
             new = (key != np.r_[before[0], key[:-1]]) | (text != np.r_[before[1], text[:-1]]) | (start != np.r_[before[2], start[:-1]])
-            key, text, start, end = key[new], text[new], start[new], end[new]
+            key, text, start, end, several = key[new], text[new], start[new], end[new], several[new]
             if not len(key):
                 continue
             joins = key == np.r_[before[0], key[:-1]]
             begin = np.maximum.accumulate(np.where(joins, -1, np.arange(len(key))))
             head = np.where(begin >= 0, text[np.maximum(begin, 0)], last[4] if last else 0)
-            many = joins.copy()
+            many = joins | several
             many[:-1] |= joins[1:]
             out = [text[many], head[many], start[many], end[many]]
             if joins[0] and last[5]:
@@ -315,7 +323,9 @@ def repeated_spans(docs: DataFrame, width: int = 400) -> DataFrame:
     placed = placed.select(
         "head", F.least("own", "with").alias("one"), F.greatest("own", "with").alias("two"), "text_hash", "check", "start", "piece"
     )
-    placed = placed.repartition("head", "one", "two").sortWithinPartitions("head", "one", "two", "text_hash", "check", "start")
+    # so many tasks whatever the bytes are: an index takes far longer to build than to read
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = placed.repartition(tasks, "head", "one", "two").sortWithinPartitions("head", "one", "two", "text_hash", "check", "start")
     spans = _indexed(placed, width).groupBy("text_hash", "check").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     distinct = distinct.join(spans, ["text_hash", "check"], "left")
     return distinct.where("copies > 1 or spans is not null").select("text_hash", "check", "copies", "spans")
