@@ -7,6 +7,11 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 
 
+def quoted(name: str) -> str:
+    """A column name for Spark SQL, whatever signs it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def names_of(spec: str | Iterable[str] | None) -> list[str]:
     """Column names from a comma list or an iterable; blanks are trimmed away."""
     if spec is None:
@@ -18,7 +23,7 @@ def names_of(spec: str | Iterable[str] | None) -> list[str]:
 def pick_columns(df: DataFrame, select: str | Iterable[str] | None) -> DataFrame:
     """Project to the named columns; no names keep all of them."""
     names = names_of(select)
-    return df.select(*[df[n] for n in names]) if names else df
+    return df.select(*[df[quoted(n)] for n in names]) if names else df
 
 
 def visible_columns(

@@ -7,11 +7,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .quantiles import column_quantiles, exact_quantiles
+from ..functions.projection import quoted
+from .quantiles import exact_quantiles
 
 FUNCTIONS = ("sum", "count", "mean", "min", "max", "median", "nunique", "std")
-MAX_PIVOT_VALUES = 10_000
 
 
 @dataclass(frozen=True)
@@ -75,28 +76,29 @@ def group_agg(df: DataFrame, keys: Sequence[str], spec: AggSpec) -> DataFrame:
     """
     keys, aggs = list(keys), agg_list(spec, df.columns)
     kept = df.dropna(subset=keys) if keys else df
-    plain = [a.over(kept[a.column]) for a in aggs if a.func != "median"]
+    plain = [a.over(measured(kept, a.column)) for a in aggs if a.func != "median"]
     medians = [a for a in aggs if a.func == "median"]
+    by = [quoted(k) for k in keys]
     # a group whose values are all null still appears, so the groups come from the rows
-    out = kept.groupBy(*keys).agg(*(plain or [F.count("*").alias("_rows")]))
-    if medians and not keys:
-        out = _with_medians(out, kept, medians)
-    elif medians:
-        for a in medians:
-            middle = exact_quantiles(kept, keys, a.column, {a.name: 0.5})
-            out = out.join(middle, keys, "left")
-    return out.select(*keys, *[a.name for a in aggs])
-
-
-def _with_medians(out: DataFrame, rows: DataFrame, medians: list[Agg]) -> DataFrame:
-    """Add the medians of whole columns to the one row of `out`."""
-    names = list(dict.fromkeys(a.column for a in medians))
-    middles = column_quantiles(rows, names, {"middle": 0.5})
-    picks = [
-        F.max(F.when(F.col("column") == a.column, F.col("middle"))).alias(a.name) for a in medians
-    ]
-    row = middles.agg(F.struct(*picks)).scalar()
-    return out.withColumns({a.name: row[a.name] for a in medians})
+    out = kept.groupBy(*by).agg(*(plain or [F.count("*").alias("_rows")]))
+    if medians:
+        # all median columns share the passes of one call
+        middles = exact_quantiles(kept, keys, [a.column for a in medians], {"middle": 0.5})
+        picks = [F.max(F.when(F.col("column") == a.column, F.col("middle"))).alias(a.name) for a in medians]
+        if keys:
+            out = out.join(middles.groupBy(*by).agg(*picks), keys, "left")
+        else:
+            row = middles.agg(F.struct(*picks)).scalar()
+            out = out.withColumns({a.name: row[a.name] for a in medians})
+    return out.select(*by, *[quoted(a.name) for a in aggs])
+
+
+def measured(df: DataFrame, column: str) -> Column:
+    """The values of a column; NaN counts as no value, as it does for a reader of reports."""
+    value = df[quoted(column)]
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(value), value)
+    return value
 
 
 def scalar_agg(df: DataFrame, spec: AggSpec) -> DataFrame:
@@ -127,20 +129,16 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
     """Rows per label and their share of all labelled rows in percent."""
     labelled = df.dropna(subset=[column])
     counts = labelled.groupBy(column).agg(F.count("*").alias("count"))
-    total = labelled.agg(F.count("*")).scalar()
+    # from the counts, not from the rows again
+    total = counts.agg(F.sum("count")).scalar()
     return counts.withColumn("percent", F.col("count") * 100.0 / total)
 
 
-def pivot_values(df: DataFrame, column: str, limit: int = MAX_PIVOT_VALUES) -> list:
-    """The distinct non-null values of a pivot column, sorted.
-
-    They become columns, so more than `limit` is an error: group by both
-    columns instead, which gives the same cells as rows.
-    """
-    found = df.select(column).dropna().distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"{column!r} has more than {limit} values; use group_agg on both columns")
-    return sorted(row[0] for row in found)
+def pivot_values(df: DataFrame, column: str, limit: int | None = None) -> list | None:
+    """The distinct non-null values of a pivot column, sorted; None if there are more than `limit`."""
+    found = df.select(quoted(column)).dropna().distinct()
+    rows = (found if limit is None else found.limit(limit + 1)).collect()
+    return None if limit is not None and len(rows) > limit else sorted(row[0] for row in rows)
 
 
 def pivot(
@@ -149,9 +147,13 @@ def pivot(
     column: str,
     spec: AggSpec,
     values: Sequence | None = None,
+    most_values: int | None = None,
 ) -> DataFrame:
     """Cross table: groups as rows, the values of `column` as columns, empty cells 0.
 
+    Where `column` has more than `most_values` values, the cells are returned
+    as rows (keys, column, aggregate) instead.
+
     Only the first aggregate counts. Cells are aggregated per (keys, value)
     before they are turned into columns. Pass `values` to save the pass that
     finds them; values found are those with at least one non-null cell, and
@@ -165,7 +167,9 @@ def pivot(
         # a group without any value gives no cell and no row
         cells = cells.dropna(subset=[first.name])
     if values is None:
-        values = pivot_values(kept if always_filled else cells, column)
+        values = pivot_values(kept if always_filled else cells, column, most_values)
+    if values is None:
+        return cells
     cell = F.first(first.name, ignorenulls=True)
     wide = cells.groupBy(*keys).pivot(column, list(values)).agg(cell)
     return wide.na.fill(0, subset=[c for c in wide.columns if c not in keys])

@@ -71,10 +71,7 @@ def resample_filled(df: DataFrame, date: str, period: str, spec: AggSpec) -> Dat
     aggs = agg_list(spec, df.columns)
     found = group_agg(_bucketed(df, date, period), ["period_start"], aggs)
     # the calendar is bounded by its days, whatever the size of the table
-    calendar = df.agg(
-        period_start(F.min(date), period).alias("first"),
-        period_start(F.max(date), period).alias("last"),
-    ).select(
+    calendar = found.agg(F.min("period_start").alias("first"), F.max("period_start").alias("last")).select(
         F.explode(F.sequence("first", "last", F.expr(STEP[period]))).alias("period_start")
     )
     zero = [a.name for a in aggs if a.func in ("sum", "count", "nunique")]
@@ -101,10 +98,10 @@ def period_compare(
         (df[date] >= F.least(*[p.start for p in periods]))
         & (df[date] < F.date_add(F.greatest(*[p.end for p in periods]), 1))
     )
+    held = held.dropna(subset=keys) if keys else held
     if any(a.func in ("median", "nunique") for a in aggs):
         return _compare_by_rows(held, date, periods, aggs, keys)
 
-    held = held.dropna(subset=keys) if keys else held
     wide = held.groupBy(*keys).agg(
         *[
             a.over(F.when(p.holds(F.col(date)), F.col(a.column))).alias(f"_{i}_{a.name}")
@@ -137,4 +134,12 @@ def _compare_by_rows(
     )
     used = list(dict.fromkeys([*keys, *[a.column for a in aggs]]))
     tagged = held.select(*used, F.inline(hits))
-    return group_agg(tagged, [*keys, "pattern", "label", "start", "end"], aggs)
+    found = group_agg(tagged, [*keys, "pattern", "label", "start", "end"], aggs)
+    # every group has every period, as it has in one pass
+    bounds = ["start", "end"]
+    names = F.inline(F.array(*[F.struct(*_names(p)) for p in periods]))
+    all_rows = held.groupBy(*keys).agg(F.count("*").alias("_rows")).select(*keys, names)
+    on = [*keys, "pattern", "label"]
+    zero = [a.name for a in aggs if a.func in ("sum", "count", "nunique")]
+    filled = all_rows.join(found.drop(*bounds), on, "left")
+    return (filled.na.fill(0, subset=zero) if zero else filled).select(*on, *bounds, *[a.name for a in aggs])

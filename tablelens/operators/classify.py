@@ -180,11 +180,6 @@ def conditional_enrich(classified: DataFrame, annotations: DataFrame, on: Sequen
     )
 
 
-def enrich_with_hints(df: DataFrame, hints: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Attach the hint columns of a key, keeping rows without a hint."""
-    return lookup_join(df, hints, on)
-
-
 def label_name(name: str, rules: Sequence[Rule] = NAME_RULES) -> str:
     """The label of one column name, for choosing columns of a schema."""
     return next(r.label for r in rules if r.pattern is None or re.search(r.pattern, name))

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.predicates import day_range
 from .joins import match
-from .keyed import dedup_keep_last, keyed_upsert, union_by_name, without_keys
+from .keyed import dedup_keep_last, keyed_upsert, union_by_name
 
 MONTH = "part_month"
+Day = str | dt.date | None
 
 
 def date_gaps(
@@ -52,13 +56,7 @@ def widened(held: Column, new: Column, side: str) -> Column:
     return F.least(held, new) if side == "min" else F.greatest(held, new)
 
 
-def replace_range(
-    held: DataFrame,
-    fetched: DataFrame,
-    date: str,
-    start: str | dt.date | None,
-    end: str | dt.date | None,
-) -> DataFrame:
+def replace_range(held: DataFrame, fetched: DataFrame, date: str, start: Day, end: Day) -> DataFrame:
     """Held rows outside the range and fetched rows inside it.
 
     Rows deleted at the source vanish with the range. Rows without a date
@@ -69,23 +67,51 @@ def replace_range(
     return union_by_name(outside, fetched.where(day_range(fetched[date], start, end)))
 
 
+def refresh_range(
+    held: DataFrame, covered: DataFrame, source: DataFrame, date: str, start: Day, end: Day, today: Day = None
+) -> tuple[DataFrame, DataFrame]:
+    """The held table with the wanted range filled in from `source`, and what is covered then.
+
+    `covered` is one row (held_min, held_max), null where nothing is held. Only
+    the missing ranges are read from the source, and `today` again where the
+    range reaches it. An open end counts as covered up to `today`.
+    """
+    def day(value: Day) -> Column:
+        return F.lit(str(value) if value is not None else None).cast("date")
+
+    asked = covered.select("held_min", "held_max", day(start).alias("wanted_min"), day(end).alias("wanted_max"))
+    gaps = date_gaps(asked).select("gap_min", "gap_max")
+    if today is not None:
+        again = asked.where(touches_day(F.col("wanted_max"), day(today)))
+        gaps = gaps.union(again.select(day(today), day(today)))
+    for low, high in gaps.collect():  # three ranges at most
+        held = replace_range(held, source, date, low, high)
+    now = covered.select(
+        widened(F.col("held_min"), day(start), "min").alias("held_min"),
+        widened(F.col("held_max"), day(end if end is not None else today), "max").alias("held_max"),
+    )
+    return held, now
+
+
 def incremental_merge(
     held: DataFrame,
     fetched: DataFrame,
     keys: Sequence[str],
     seq: Sequence[str],
     date: str | None = None,
-    start: str | dt.date | None = None,
-    end: str | dt.date | None = None,
+    start: Day = None,
+    end: Day = None,
 ) -> DataFrame:
-    """Merge fetched rows into the held table, the fetched row winning per key.
+    """Merge fetched rows into the held table, the later row of a key winning.
 
     With `date`, `fetched` is the complete content of the day range, so held
-    rows of the range that did not come back are dropped.
+    rows of the range that did not come back are dropped, and fetched rows
+    outside it are not taken.
     """
     if date is not None:
         inside = day_range(held[date], start, end)
         held = held.where(~F.coalesce(inside, F.lit(False)))
+        fetched = fetched.where(day_range(fetched[date], start, end))
     return keyed_upsert(held, fetched, keys, seq)
 
 
@@ -105,27 +131,14 @@ def refresh_day(
     return union_by_name(others, source.where(on_day(source)))
 
 
+# ---------------------------------------------------------------- stored by month
+
+
 def with_month(df: DataFrame, date: str) -> DataFrame:
     """Add the partition column of the stored table."""
     return df.withColumn(MONTH, F.date_format(F.to_date(F.col(date)), "yyyy-MM"))
 
 
-def write_months(df: DataFrame, path: str, date: str) -> None:
-    """Store a table by month; months present in `df` are replaced, others stay.
-
-    Rows are sent to their month first; adaptive execution splits a large month
-    over many tasks and lets small ones share a task.
-    """
-    (
-        with_month(df, date)
-        .hint("rebalance", F.col(MONTH))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(path)
-    )
-
-
 def merge_stored(
     spark: SparkSession,
     path: str,
@@ -134,62 +147,121 @@ def merge_stored(
     seq: Sequence[str],
     date: str,
     dates_move: bool = True,
+    covered: tuple[Day, Day] | None = None,
 ) -> None:
-    """Upsert into a table stored by month, rewriting only the months it touches.
+    """Upsert into a table stored by month, writing only the months it touches.
 
     Touched are the months of the incoming rows and, as a row may get another
     date, the months where their keys are held now. Finding those reads the key
     columns of the whole table; `dates_move=False` saves that where a key never
-    changes its month. New files are committed before old ones go, and running
-    the same merge again gives the same table, so a failed run is repeated.
+    changes its month. New months go to a new folder, and a new version file
+    that names the folder of every month is put in place last: until then
+    readers see the old version whole, and no old file is touched. Running the
+    same merge again gives the same table. `covered` is the range the rows were
+    fetched for, recorded even where it held none.
     """
+    now = _version(spark, path)
     latest = dedup_keep_last(incoming, keys, seq)
-    if not _exists(spark, path):
-        write_months(latest, path, date)
-        return
-    stored = spark.read.parquet(path)
+    held = _months(spark, now)
     touched = with_month(latest, date).select(MONTH)
-    if dates_move:
-        wanted = latest.select(*keys).distinct()
-        held = match(stored.select(*keys, MONTH), wanted, keys, "left_semi")
-        touched = touched.union(held.select(MONTH))
+    if held is not None and dates_move:
+        moved = match(held.select(*keys, MONTH), latest.select(*keys).distinct(), keys, "left_semi")
+        touched = touched.union(moved.select(MONTH))
     # bounded by the calendar: one entry per month
-    months = {r[0] for r in touched.distinct().collect()}
-    kept = without_keys(stored.where(_in_months(months)).drop(MONTH), latest, keys)
-    write_months(union_by_name(kept, latest), path, date)
-    if dates_move:
-        _drop_emptied(spark, path, months, latest, keys, date)
+    months = {r[0] or "" for r in touched.distinct().collect()}
+    merged = latest
+    if held is not None:
+        named = F.coalesce(F.col(MONTH), F.lit("")).isin(*months) if months else F.lit(False)
+        merged = keyed_upsert(held.where(named).drop(MONTH), latest, keys, seq)
+    folder = f"{path}/data/{uuid.uuid4().hex}"
+    _write_months(merged, folder, date)
+    kept = {m: f for m, f in now["months"].items() if m not in months}
+    written = {m: folder for m in _written_months(spark, folder)}
+    ranges = _joined([*now["covered"], *([_iso(covered)] if covered else [])])
+    _put_version(spark, path, now["version"] + 1, {"months": kept | written, "covered": ranges})
+
 
+def read_months(spark: SparkSession, path: str) -> DataFrame:
+    """The stored table as of its last version."""
+    held = _months(spark, _version(spark, path))
+    if held is None:
+        raise FileNotFoundError(f"no table stored at {path}")
+    return held.drop(MONTH)
+
+
+def covered_ranges(spark: SparkSession, path: str) -> DataFrame:
+    """(held_min, held_max) of the day ranges merged so far, joined where they meet; null is open."""
+    ranges = [tuple(r) for r in _version(spark, path)["covered"]]
+    return spark.createDataFrame(ranges, "held_min string, held_max string").select(
+        F.col("held_min").cast("date"), F.col("held_max").cast("date")
+    )
 
-def _in_months(months: set) -> Column:
-    named = F.col(MONTH).isin(*[m for m in months if m is not None])
-    return named | F.col(MONTH).isNull() if None in months else named
 
+def _write_months(df: DataFrame, folder: str, date: str) -> None:
+    """Rows are sent to their month first; adaptive execution splits a large month over many tasks."""
+    rows = with_month(df, date).hint("rebalance", F.col(MONTH))
+    rows.write.partitionBy(MONTH).parquet(folder)
 
-def _drop_emptied(
-    spark: SparkSession, path: str, months: set, latest: DataFrame, keys: Sequence[str], date: str
-) -> None:
-    """Delete a superseded row's old month when the merge left nothing to write there."""
-    spark.catalog.refreshByPath(path)
-    stored = spark.read.parquet(path).where(_in_months(months))
-    # a row found under another month than its key has now is superseded
-    now = with_month(latest, date).select(*keys, MONTH)
-    moved = match(stored.select(*keys, MONTH), now.select(*keys), keys, "left_semi")
-    stale = match(moved, now, [*keys, MONTH], "left_anti").select(MONTH).distinct().collect()
-    if not stale:
-        return
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    fs = hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for (month,) in stale:
-        name = month if month is not None else "__HIVE_DEFAULT_PARTITION__"
-        fs.delete(hadoop.Path(f"{path}/{MONTH}={name}"), True)
-    spark.catalog.refreshByPath(path)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
+def _files(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
-def read_months(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(MONTH)
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    fs, at = _files(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def _written_months(spark: SparkSession, folder: str) -> list[str]:
+    names = [n.partition("=")[2] for n in _names(spark, folder) if n.startswith(f"{MONTH}=")]
+    return ["" if n == "__HIVE_DEFAULT_PARTITION__" else n for n in names]
+
+
+def _version(spark: SparkSession, path: str) -> dict:
+    """The last version: its number, the folder of each month, the covered ranges."""
+    names = [n for n in _names(spark, f"{path}/versions") if n.endswith(".json")]
+    if not names:
+        return {"version": 0, "months": {}, "covered": []}
+    text = spark.read.option("wholetext", True).text(f"{path}/versions/{names[-1]}").first()[0]
+    return {"version": int(names[-1].partition(".")[0]), **json.loads(text)}
+
+
+def _put_version(spark: SparkSession, path: str, number: int, content: dict) -> None:
+    """Write a version file aside and give it its name, which must be free."""
+    fs, aside = _files(spark, f"{path}/versions/{uuid.uuid4().hex}.new")
+    out = fs.create(aside, False)
+    out.write(bytearray(json.dumps(content).encode()))
+    out.close()
+    _, place = _files(spark, f"{path}/versions/{number:012d}.json")
+    if fs.exists(place) or not fs.rename(aside, place):
+        raise RuntimeError(f"version {number} of {path} exists: another merge was quicker, run this one again")
+
+
+def _months(spark: SparkSession, version: dict) -> DataFrame | None:
+    """All rows of a version with their month, or None where there are none."""
+    folders: dict[str, list[str]] = {}
+    for month, folder in version["months"].items():
+        folders.setdefault(folder, []).append(month)
+    parts = []
+    for folder, months in folders.items():
+        rows = spark.read.option("recursiveFileLookup", False).parquet(folder)
+        rows = rows.withColumn(MONTH, F.col(MONTH).cast("string"))
+        parts.append(rows.where(F.coalesce(F.col(MONTH), F.lit("")).isin(*months)))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else None
+
+
+def _iso(covered: tuple[Day, Day]) -> list[str | None]:
+    return [None if day is None else str(day)[:10] for day in covered]
+
+
+def _joined(ranges: list[list[str | None]]) -> list[list[str | None]]:
+    """Closed day ranges in order, joined where they overlap or adjoin; null is open."""
+    out: list[list[str | None]] = []
+    for low, high in sorted(ranges, key=lambda r: r[0] or ""):
+        if out and (out[-1][1] is None or low is None or dt.date.fromisoformat(low) <= dt.date.fromisoformat(out[-1][1]) + dt.timedelta(1)):
+            last = out[-1][1]
+            out[-1][1] = None if last is None or high is None else max(last, high)
+        else:
+            out.append([low, high])
+    return out

@@ -1,103 +1,38 @@
-"""Joining a large table to a keyed one without a hot task.
-
-Keys that hold a large share of the rows are found in a sample; there can only
-be few of them, so their list is small whatever the size of the table. Their
-rows are spread over as many salts as their number asks for, and the one row
-of the other side is repeated per salt. All other keys are joined as they are.
-The sample decides only how the rows are laid out, never what is joined.
-"""
+"""Null-safe joins and lookups. How rows travel is left to adaptive execution."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-MAX_ROWS = 100_000
-MAX_BYTES = 16 * 1024 * 1024
-MAX_HOT_KEYS = 10_000
-ROWS_PER_SALT = 1_000_000
-SAMPLE = 0.01
-SALT, _SALTS = "_salt", "_salts"
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
-    """Count a lookup table's rows and text bytes; true when every executor can hold it.
-
-    This is one distributed pass over the lookup, not over the table it serves.
-    """
-    width = sum((_width(df, f) for f in df.schema.fields), F.lit(0))
-    rows, size = df.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
-    return rows <= max_rows and size <= max_bytes
-
 
-def _width(df: DataFrame, field: T.StructField) -> Column:
-    if isinstance(field.dataType, T.StringType):
-        return F.coalesce(F.octet_length(df[field.name]), F.lit(0))
-    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        return F.coalesce(F.octet_length(df[field.name].cast("string")), F.lit(0))
-    return F.lit(16)
+from ..functions.projection import quoted
 
 
 def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join on null-safe equal keys; the right side's keys are left out of the result."""
-    pairs = [F.col(f"l.`{k}`").eqNullSafe(F.col(f"r.`{k}`")) for k in keys]
+    pairs = [F.col(f"l.{quoted(k)}").eqNullSafe(F.col(f"r.{quoted(k)}")) for k in keys]
     joined = left.alias("l").join(right.alias("r"), reduce(lambda a, b: a & b, pairs), how)
     if how in ("left_semi", "left_anti"):
         return joined
-    added = [F.col(f"r.`{c}`") for c in right.columns if c not in keys]
+    added = [F.col(f"r.{quoted(c)}") for c in right.columns if c not in keys]
     return joined.select("l.*", *added)
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], most: int = MAX_HOT_KEYS, least_rows: int | None = None
-) -> DataFrame | None:
-    """Keys with more than 1 / `most` of the sampled rows and the salts for each, or None.
-
-    Fewer than `most` keys can hold that much, so the list is local.
-    """
-    least_rows = ROWS_PER_SALT if least_rows is None else least_rows
-    sample = df.select(*keys).sample(SAMPLE, seed=1)
-    counts = sample.groupBy(*keys).agg(F.count("*").alias("_n"))
-    share = F.col("_n") * most > sample.agg(F.count("*")).scalar()
-    rows = F.col("_n") / SAMPLE
-    salts = F.ceil(rows / ROWS_PER_SALT).cast("int").alias(_SALTS)
-    found = counts.where(share & (rows > least_rows)).select(*keys, salts).toArrow()
-    return df.sparkSession.createDataFrame(found) if found.num_rows else None
-
-
-def salted_pair(
-    df: DataFrame, other: DataFrame, keys: Sequence[str]
-) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Both sides and the columns to join on, with a salt where `df` has hot keys.
-
-    The salt is a hash of the row, not a random number, so a task that is run
-    again sends each row to the same place.
-    """
-    keys = list(keys)
-    hot = hot_keys(df, keys)
-    if hot is None:
-        return df, other, keys
-    salts, none = F.col(_SALTS), F.lit(0)
-    row = F.xxhash64(*df.columns)
-    spread = match(df, F.broadcast(hot), keys, "left").withColumn(
-        SALT, F.when(salts.isNotNull(), F.pmod(row, salts).cast("int")).otherwise(none)
+def one_per_key(lookup: DataFrame, on: Sequence[str], seq: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the last by `seq`, or without it the largest when written as JSON."""
+    rest = [c for c in lookup.columns if c not in on]
+    if not rest:
+        return lookup.distinct()
+    row = F.struct(*[F.col(quoted(c)) for c in rest])
+    order = F.struct(*[F.col(quoted(s)) for s in seq]) if seq else F.to_json(row)
+    return lookup.groupBy(*[quoted(k) for k in on]).agg(F.max_by(row, order).alias("_row")).select(
+        *[quoted(k) for k in on], *[F.col("_row")[c].alias(c) for c in rest]
     )
-    all_salts = F.when(salts.isNotNull(), F.sequence(none, salts - 1)).otherwise(F.array(none))
-    repeated = match(other, F.broadcast(hot), keys, "left").withColumn(SALT, F.explode(all_salts))
-    return spread.drop(_SALTS), repeated.drop(_SALTS), [*keys, SALT]
-
 
-def lookup_join(df: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left join to a lookup table that holds one row per key.
 
-    A small lookup is broadcast and `df` does not move; a larger one is joined
-    by a shuffle in which hot keys are salted.
-    """
-    if fits_broadcast(lookup):
-        return df.join(F.broadcast(lookup), list(on), "left")
-    spread, repeated, keys = salted_pair(df, lookup, on)
-    return spread.join(repeated, keys, "left").drop(SALT)
+def lookup_join(df: DataFrame, lookup: DataFrame, on: Sequence[str], seq: Sequence[str] = ()) -> DataFrame:
+    """Left join to a lookup table, reduced to one row per key first, so no row of `df` multiplies."""
+    return df.join(one_per_key(lookup, on, seq), list(on), "left")

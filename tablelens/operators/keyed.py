@@ -5,33 +5,21 @@ Key columns are compared null-safe throughout, so a null key is a key.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import SALT, fits_broadcast, match, salted_pair
+from ..functions.projection import quoted
+from .joins import match
 
 
 def without_keys(df: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of `df`, which holds few rows per key, whose key does not occur in `gone`."""
+    """Rows of `df` whose key does not occur in `gone`."""
     return match(df, gone.select(*keys).distinct(), keys, "left_anti")
 
 
-def without_hot_keys(df: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """As `without_keys` for a table where one key may hold a large share of the rows.
-
-    A small list of keys is broadcast; for a longer one the rows of a hot key
-    are tested by many tasks.
-    """
-    drop = gone.select(*keys).distinct()
-    if fits_broadcast(drop):
-        return match(df, F.broadcast(drop), keys, "left_anti")
-    spread, repeated, on = salted_pair(df, drop, keys)
-    return match(spread, repeated, on, "left_anti").drop(SALT)
-
-
 def dedup_keep_last(df: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
     """The last-arrived row per key. Where a key column is missing, all rows stay.
 
@@ -58,12 +46,16 @@ def keyed_upsert(
 ) -> DataFrame:
     """Replace the rows whose key arrives again and add the new keys.
 
-    `held` has one row per key. Of several incoming rows of a key the last by
-    `seq` wins. Only the incoming side is ranked; the held side is anti-joined
-    to its keys, which Spark broadcasts when their measured size allows.
+    `held` has one row per key. Of all rows of a key the last by `seq` wins, of
+    equal ones the incoming. Where `held` lacks a column of `seq`, every
+    incoming row counts as later. Only rows whose key arrives are ranked.
     """
-    latest = dedup_keep_last(incoming, keys, seq)
-    return union_by_name(without_keys(held, incoming, keys), latest)
+    arriving = incoming.select(*keys).distinct()
+    new = incoming.withColumn("_new", F.lit(1))
+    if all(s in held.columns for s in seq):
+        new = union_by_name(match(held, arriving, keys, "left_semi").withColumn("_new", F.lit(0)), new)
+    latest = dedup_keep_last(new, keys, [*seq, "_new"]).drop("_new")
+    return union_by_name(match(held, arriving, keys, "left_anti"), latest)
 
 
 def keyed_delete(
@@ -75,10 +67,10 @@ def keyed_delete(
     drops every row of the remaining key.
     """
     if optional is None:
-        return without_hot_keys(df, gone, keys)
+        return without_keys(df, gone, keys)
     part = F.coalesce(gone[optional], F.lit(""))
-    exact = without_hot_keys(df, gone.where(part != ""), [*keys, optional])
-    return without_hot_keys(exact, gone.where(part == ""), keys)
+    exact = without_keys(df, gone.where(part != ""), [*keys, optional])
+    return without_keys(exact, gone.where(part == ""), keys)
 
 
 def insert_if_absent(held: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -116,22 +108,31 @@ def snapshot_diff(
     Both sides hold one row per key. Values are compared null-safe.
     """
     cur, old = (
-        df.select(*keys, F.lit(True).alias(f"_{side}"), *[df[v].alias(f"{side}_{v}") for v in values])
+        df.select(
+            *[F.col(quoted(k)).alias(f"{side}_key{i}") for i, k in enumerate(keys)],
+            F.lit(True).alias(f"_{side}"),
+            *[F.col(quoted(v)).alias(f"{side}_{v}") for v in values],
+        )
         for side, df in (("current", current), ("existing", existing))
     )
-    both = cur.join(old, list(keys), "full_outer")
-    same = reduce(
-        lambda a, b: a & b,
-        [F.col(f"current_{v}").eqNullSafe(F.col(f"existing_{v}")) for v in values],
-        F.lit(True),
-    )
+
+    def equal(names: Sequence[str]) -> Column:
+        pairs = [F.col(quoted(f"current_{n}")).eqNullSafe(F.col(quoted(f"existing_{n}"))) for n in names]
+        return reduce(lambda a, b: a & b, pairs, F.lit(True))
+
+    numbers = [f"key{i}" for i in range(len(keys))]
+    both = cur.join(old, equal(numbers), "full_outer")
     status = (
         F.when(F.col("_existing").isNull(), F.lit("new"))
         .when(F.col("_current").isNull(), F.lit("removed"))
-        .when(same, F.lit("unchanged"))
+        .when(equal(values), F.lit("unchanged"))
         .otherwise(F.lit("changed"))
     )
-    return both.withColumn("status", status).drop("_current", "_existing")
+    return both.select(
+        *[F.coalesce(f"current_{n}", f"existing_{n}").alias(k) for n, k in zip(numbers, keys, strict=True)],
+        *[F.col(quoted(f"{side}_{v}")) for side in ("current", "existing") for v in values],
+        status.alias("status"),
+    )
 
 
 def key_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -161,8 +162,3 @@ def overlap_counts(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
         F.count_if(~F.col("in_right")).alias("only_left"),
         F.count_if(~F.col("in_left")).alias("only_right"),
     )
-
-
-def pk_of(fields: Mapping[str, Mapping], default: str = "PrimaryKey") -> str:
-    """The first field marked pk in a table's field list, else the default name."""
-    return next((name for name, meta in fields.items() if meta.get("pk")), default)

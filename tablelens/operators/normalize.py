@@ -10,15 +10,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .joins import lookup_join
-
-INLINE_ENTRIES = 200
+from ..functions.projection import quoted
+from .joins import one_per_key
 
 
 def parse_value_map(col: Column) -> Column:
-    """MAP(text -> text) from a JSON object; any other content gives an empty map."""
+    """MAP(text -> text) from a JSON object; any other content gives an empty map.
+
+    Of a repeated JSON key the last entry counts.
+    """
     parsed = F.from_json(col, "map<string,string>")
-    return F.coalesce(parsed, F.from_json(F.lit("{}"), "map<string,string>"))
+    keys, values = F.map_keys(parsed), F.map_values(parsed)
+    distinct = F.array_distinct(keys)
+    last = F.transform(distinct, lambda k: F.element_at(values, (F.size(keys) - F.array_position(F.reverse(keys), k) + 1).cast("int")))
+    single = F.when(F.size(distinct) < F.size(keys), F.map_from_arrays(distinct, last)).otherwise(parsed)
+    return F.coalesce(single, F.from_json(F.lit("{}"), "map<string,string>"))
 
 
 def value_map_rows(df: DataFrame, column: str) -> DataFrame:
@@ -42,24 +48,22 @@ def apply_value_map(
 ) -> DataFrame:
     """Replace values of a text column, all entries at once (never one after the other).
 
-    A mapping DataFrame has columns (old, new) with one row per old value. Map
-    keys are text, so other column types stay as they are.
+    A mapping DataFrame has columns (old, new), and of several rows of an old
+    value one counts. Map keys are text, so other column types stay as they are.
     """
     if not _is_text(df, column):
         return df
     if not isinstance(mapping, DataFrame):
         if not mapping:
             return df
-        if len(mapping) <= INLINE_ENTRIES:
-            return df.replace(dict(mapping), subset=[column])
-        mapping = map_table(df.sparkSession, mapping)
-    lookup = mapping.select(
-        F.col("old").alias(column), F.col("new").alias("_new"), F.lit(True).alias("_hit")
-    )
-    replaced = F.when(F.col("_hit"), F.col("_new")).otherwise(F.col(column)).alias(column)
-    return lookup_join(df, lookup, [column]).select(
-        *[replaced if c == column else F.col(f"`{c}`") for c in df.columns]
-    )
+        # as large as a dict of the caller
+        lookup = F.broadcast(map_table(df.sparkSession, mapping))
+    else:
+        lookup = one_per_key(mapping.select("old", "new"), ["old"])
+    lookup = lookup.select(F.col("old").alias("_old"), F.col("new").alias("_new"))
+    replaced = F.when(F.col("_old").isNotNull(), F.col("_new")).otherwise(F.col(quoted(column))).alias(column)
+    joined = df.join(lookup, F.col(quoted(column)) == F.col("_old"), "left")
+    return joined.select(*[replaced if c == column else F.col(quoted(c)) for c in df.columns])
 
 
 def apply_value_maps(
@@ -85,7 +89,7 @@ def normalization_notes(
         if not isinstance(mapping, DataFrame):
             mapping = map_table(df.sparkSession, mapping)
         counts = df.groupBy(F.col(column).alias("old")).agg(F.count("*").alias("count"))
-        hits = counts.join(mapping, "old")
+        hits = counts.join(one_per_key(mapping.select("old", "new"), ["old"]), "old")
         parts.append(hits.select(F.lit(column).alias("field"), "old", "new", "count"))
     if not parts:
         raise ValueError("none of the maps names a text column")

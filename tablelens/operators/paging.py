@@ -2,34 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.dates import epoch_micros
-from ..functions.projection import names_of, pick_columns
+from ..functions.projection import names_of, pick_columns, quoted
 from .aggregate import with_total
-from .quantiles import column_quantiles
 
-MAX_PAGE = 10_000
-SMALL = 1_000
-FULL_DAY = 50_000_000
 
-
-def sort_keys(df: DataFrame, spec: str | Iterable[str]) -> list[Column]:
-    """Sort columns from "A asc,B desc"; no direction means asc, nulls come last both ways."""
+def _clauses(spec: str | Iterable[str]) -> list[tuple[str, bool]]:
+    """(column, descending) of "A asc,B desc"; no direction means asc."""
     out = []
     for clause in names_of(spec):
         name, _, direction = clause.rpartition(" ")
         if direction.lower() not in ("asc", "desc"):
             name, direction = clause, "asc"
-        col = df[name.strip()]
-        out.append(col.desc_nulls_last() if direction.lower() == "desc" else col.asc_nulls_last())
+        out.append((name.strip(), direction.lower() == "desc"))
     return out
 
 
+def sort_keys(df: DataFrame, spec: str | Iterable[str]) -> list[Column]:
+    """Sort columns of a spec; nulls come last both ways."""
+    columns = [(df[quoted(name)], down) for name, down in _clauses(spec)]
+    return [col.desc_nulls_last() if down else col.asc_nulls_last() for col, down in columns]
+
+
 def order_by(df: DataFrame, spec: str | Iterable[str]) -> DataFrame:
     """Total order over several columns in one range-partitioned sort.
 
@@ -44,6 +42,12 @@ def top_rows(df: DataFrame, spec: str | Iterable[str], n: int) -> DataFrame:
     return order_by(df, spec).limit(n)
 
 
+def _counted(df: DataFrame, total: str) -> DataFrame:
+    if total in df.columns:
+        raise ValueError(f"there is a column {total!r}; name the total otherwise")
+    return with_total(df, total)
+
+
 def page_records(
     df: DataFrame,
     orderby: str | Iterable[str],
@@ -51,91 +55,73 @@ def page_records(
     skip: int = 0,
     where: Column | str | None = None,
     select: str | Iterable[str] | None = None,
+    total: str = "total",
 ) -> DataFrame:
-    """One page of the filtered, sorted table, with the filtered row count as `total`."""
-    held = df if where is None else df.where(where)
-    counted = with_total(held, "total")
-    page = order_by(counted, orderby).offset(skip).limit(min(top, MAX_PAGE))
-    return pick_columns(page, [*names_of(select), "total"] if select else None)
-
+    """One page of the filtered, sorted table, with the filtered row count as column `total`.
 
-def page_after(df: DataFrame, key: str, last: object, top: int = 20) -> DataFrame:
-    """The page that follows key value `last`. Deep pages cost no more than the first."""
-    return df.where(df[key] > F.lit(last)).orderBy(key).limit(min(top, MAX_PAGE))
+    A page far down passes all rows before it through one task; `page_after`
+    does not.
+    """
+    counted = _counted(df if where is None else df.where(where), total)
+    page = order_by(counted, orderby).offset(skip).limit(top)
+    return pick_columns(page, [*names_of(select), total] if select else None)
 
 
-def keep_most_recent(
+def page_after(
     df: DataFrame,
-    n: int,
-    date: str | None,
-    tiebreak: Sequence[str],
-    full_day: int = FULL_DAY,
+    orderby: str | Iterable[str],
+    last: Mapping[str, object] | object,
+    top: int = 20,
+    where: Column | str | None = None,
+    select: str | Iterable[str] | None = None,
+    total: str | None = None,
 ) -> DataFrame:
-    """The `n` newest rows; among equal dates the smaller tiebreak comes first.
+    """The page that follows the row `last` in an order. Deep pages cost no more than the first.
+
+    `last` maps each sort column to that row's value, null too; for a single
+    sort column it may be the value itself. With `total`, that column holds the
+    row count of the filtered table.
+    """
+    clauses = _clauses(orderby)
+    if not isinstance(last, Mapping):
+        last = {clauses[0][0]: last}
+    held = df if where is None else df.where(where)
+    if total:
+        held = _counted(held, total)
+    after, equal = F.lit(False), F.lit(True)
+    for name, down in clauses:
+        col, value = df[quoted(name)], F.lit(last[name])
+        if last[name] is not None:  # nothing comes after null
+            beyond = col < value if down else col > value
+            after = after | (equal & (beyond | col.isNull()))
+        equal = equal & col.eqNullSafe(value)
+    page = order_by(held.where(after), orderby).limit(top)
+    return pick_columns(page, [*names_of(select), *([total] if total else [])] if select else None)
+
+
+def keep_most_recent(df: DataFrame, n: int, date: str | None, tiebreak: Sequence[str]) -> DataFrame:
+    """The `n` newest rows; among equal dates the smaller tiebreak comes first, rows without a date last.
 
     Without a date column the rows with the largest tiebreak (the arrival
-    number) stay. A long list is not sorted out of the whole table: row counts
-    per day are read at once and give the oldest day needed as a constant for
-    the scan. A day of more than `full_day` rows is cut at the exact value of
-    its last needed time or tiebreak first.
+    number) stay. Row counts per day are read at once and say which day is the
+    last one needed: rows of later days all stay and need no sort, and only
+    the rows of that day are ranked.
     """
     if date is None or date not in df.columns:
-        rows = df.count() if n > SMALL else 0
-        if rows > full_day:
-            df = _up_to(df, tiebreak[0], n, rows, newest=True)
         return top_rows(df, [f"{c} desc" for c in tiebreak], n)
     order = [f"{date} desc", *tiebreak]
-    if n <= SMALL:
-        return top_rows(df, order, n)
-
-    day = F.to_date(date)
+    at = F.col(quoted(date))
     # one row per day of the calendar reaches this window
-    per_day = df.dropna(subset=[date]).groupBy(day.alias("day")).agg(F.count("*").alias("rows"))
+    per_day = df.where(at.isNotNull()).groupBy(F.to_date(at).alias("day")).agg(F.count("*").alias("rows"))
     newest_first = Window.orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, -1)
     newer = F.coalesce(F.sum("rows").over(newest_first), F.lit(0)).alias("newer")
-    oldest = (
-        per_day.select("day", "rows", newer).where(F.col("newer") < n).orderBy("day").first()
-    )
-    if oldest is None or oldest["newer"] + oldest["rows"] < n:
-        # all dated rows stay, rows without a date fill up
-        return top_rows(df, order, n)
-    start = F.lit(oldest["day"])
-    if oldest["rows"] <= full_day:
-        return top_rows(df.where(F.col(date) >= start), order, n)
-    newer_rows = df.where(F.col(date) >= F.date_add(start, 1))
-    same_day = df.where((F.col(date) >= start) & (F.col(date) < F.date_add(start, 1)))
-    if df.schema[date].dataType == T.DateType():
-        same_day = _up_to(same_day, tiebreak[0], n - oldest["newer"], oldest["rows"])
-    else:
-        # within a day the later clock time comes first
-        micros = same_day.withColumn("_at", epoch_micros(F.col(date)))
-        needed = n - oldest["newer"]
-        same_day = _up_to(micros, "_at", needed, oldest["rows"], newest=True)
-        ties = same_day.count()
-        if ties > full_day:
-            last = same_day.agg(F.min("_at")).first()[0]
-            later, tied = same_day.where(F.col("_at") > last), same_day.where(F.col("_at") == last)
-            held = later.count()
-            same_day = later
-            if held < needed:
-                rest = _up_to(tied, tiebreak[0], needed - held, ties - held)
-                same_day = later.unionByName(rest)
-        same_day = same_day.drop("_at")
-    return top_rows(newer_rows.unionByName(same_day), order, n)
-
-
-def _up_to(
-    df: DataFrame, column: str, n: int, rows: int, newest: bool = False
-) -> DataFrame:
-    """A small superset of the `n` smallest (or largest) values of a numeric column.
-
-    Other column types come back whole.
-    """
-    if rows <= n + 2 or not isinstance(df.schema[column].dataType, T.NumericType):
-        return df
-    # one rank further than needed, so that rounding never loses a row
-    share = min(1.0, (n + 1) / (rows - 1))
-    edge = {"edge": 1.0 - share if newest else share}
-    limit = column_quantiles(df, [column], edge).first()["edge"]
-    value = F.col(column).cast("double")
-    return df.where(value >= limit) if newest else df.where(value <= limit)
+    needed = per_day.select("day", "rows", newer).where(F.col("newer") < n)
+    last = needed.orderBy("day").first()
+    if last is None or last["newer"] + last["rows"] < n:
+        dated = last["newer"] + last["rows"] if last else 0
+        rest = top_rows(df.where(at.isNull()), list(tiebreak), n - dated)
+        return df.where(at.isNotNull()).unionByName(rest)
+    start = F.lit(last["day"])
+    next_day = F.date_add(start, 1)
+    same_day = top_rows(df.where((at >= start) & (at < next_day)), order, n - last["newer"])
+    return df.where(at >= next_day).unionByName(same_day)

@@ -18,12 +18,19 @@ from ..functions.predicates import has_value
 CUT_KEY = r"^-[0-9]+$"
 
 
+def _filled(df: DataFrame, column: str) -> Column:
+    """Neither null nor, for text, empty."""
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return has_value(df[column])
+    return df[column].isNotNull()
+
+
 def pk_integrity(df: DataFrame, key: str) -> DataFrame:
     """One row: rows, empty keys and keys that look like a cut-off serial number."""
     text = df[key].cast("string")
     return df.agg(
         F.count("*").alias("rows"),
-        F.count_if(~has_value(df[key])).alias("empty"),
+        F.count_if(~_filled(df, key)).alias("empty"),
         F.count_if(text.rlike(CUT_KEY)).alias("truncated"),
     )
 
@@ -39,7 +46,7 @@ def _fk_counts(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFra
     Keys are counted before the join, so a hot key joins as one row.
     """
     used = (
-        child.where(has_value(child[fk]))
+        child.where(_filled(child, fk))
         .groupBy(F.col(fk).alias("_key"))
         .agg(F.count("*").alias("rows"))
     )
@@ -96,7 +103,7 @@ def type_consistency(df: DataFrame, declared: Mapping[str, str]) -> DataFrame:
     """
     stats = []
     for i, (column, kind) in enumerate(declared.items()):
-        filled = has_value(df[column])
+        filled = _filled(df, column)
         stats += [
             F.count_if(filled).alias(f"c{i}"),
             F.count_if(filled & _mismatch(df, column, kind)).alias(f"m{i}"),

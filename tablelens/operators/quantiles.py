@@ -1,225 +1,139 @@
 """Exact quantiles that no single task has to hold.
 
 The built-in exact percentile keeps every distinct value of a group in one
-buffer. Here a sketch brackets each wanted quantile with two cut points per
-group, the rows between cut points are counted exactly, and only the values of
-the interval that holds the wanted rank are ranked: well under a thousandth of
-a large group. The sketch decides how small that interval is, never the result.
-
-Where there are many groups, only those with a large share of the rows need
-this; the others are small enough to be sorted one by one.
+buffer, and its sketches all meet in one task. Here values are counted, and a
+group of few distinct values is ranked by its counts. A larger group is
+narrowed first: some of its values, chosen by their hash, cut it into buckets,
+the rows of each bucket are counted, and only the buckets that hold a wanted
+rank go on, until each is small. Every pass sends a few dozen numbers per group
+and task, and shrinks what is left by about CUTS times. All columns and all
+wanted quantiles share the passes. The cuts balance, they never decide.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import hot_keys, match
+from ..functions.projection import quoted
+from ..session import scratch_table
 
-ACCURACY = 20_000
-MAX_GROUPS = 10_000
+CUTS = 64
+#: Distinct values that one task ranks at most, about.
+INTERVAL = 1_000_000
 
 
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
-    column: str,
-    probabilities: Mapping[str, float],
-    accuracy: int = ACCURACY,
-    max_groups: int = MAX_GROUPS,
-) -> DataFrame:
-    """Per group one DOUBLE column per named probability, linearly interpolated.
-
-    `keys` names at least one column; for whole columns see `column_quantiles`.
-    Null values are skipped, groups with a null key or without values are
-    absent. The number of groups and the cut points are computed at once, the
-    rest is lazy. With many more groups than `max_groups`, those that hold more
-    than one row in `max_groups` are bracketed and the others sorted.
-    """
-    keys = list(keys)
-    present = df.where(df[column].isNotNull()).dropna(subset=keys)
-    rows = present.select(*keys, F.col(f"`{column}`").cast("double").alias("_v"))
-    # an estimate is enough to choose the way, both give the same result
-    groups = rows.agg(F.approx_count_distinct(F.xxhash64(*keys))).first()[0]
-    if groups <= max_groups:
-        return _bracketed(rows, keys, probabilities, accuracy)
-    large = hot_keys(rows, keys, max_groups, least_rows=0)
-    if large is None:
-        return _sorted(rows, keys, probabilities)
-    large = F.broadcast(large)
-    hot, cold = match(rows, large, keys, "left_semi"), match(rows, large, keys, "left_anti")
-    return _bracketed(hot, keys, probabilities, accuracy).unionByName(
-        _sorted(cold, keys, probabilities)
-    )
-
-
-def column_quantiles(
-    df: DataFrame,
     columns: Sequence[str],
     probabilities: Mapping[str, float],
-    accuracy: int = ACCURACY,
+    interval: int = INTERVAL,
 ) -> DataFrame:
-    """The quantiles of whole columns, one row per column that has a value.
+    """Per group and column one DOUBLE column per named probability, linearly interpolated.
 
-    All columns share two passes that end in one row each, the cut points and
-    the exact counts between them. Only the values of the wanted intervals
-    leave the scan as rows.
+    Rows are (keys, column, quantiles); without keys, whole columns. Nulls and
+    NaN are skipped, and groups with a null key or without values are absent.
+    The sizes of the groups are estimated at once, which chooses the way; where
+    no group is large, the rest is lazy.
     """
-    points = _points(probabilities.values(), accuracy)
-    cells = [df[c].cast("double").alias(f"c{i}") for i, c in enumerate(columns)]
-    wide = df.select(*cells)
-    names = {f"c{i}": c for i, c in enumerate(columns)}
-    cuts = wide.agg(*[F.percentile_approx(v, points, accuracy).alias(v) for v in names]).first()
-    upto = wide.agg(
-        *[F.count(v).alias(f"{v}_all") for v in names],
-        *[
-            F.count_if(F.col(v) <= cut).alias(f"{v}_{j}")
-            for v in names
-            for j, cut in enumerate(cuts[v] or [])
-        ],
-    ).first()
-    found = []
-    for v, name in names.items():
-        edges = [None, *(cuts[v] or []), None]
-        counts = [0, *[upto[f"{v}_{j}"] for j in range(len(edges) - 2)], upto[f"{v}_all"]]
-        total = counts[-1]
-        ranks = [r for p in probabilities.values() for r in _rank_pair(p, total)]
-        for low, high, before, after in zip(edges, edges[1:], counts, counts[1:]):
-            if any(before <= r < after for r in ranks):
-                cell = F.struct(
-                    F.lit(name).alias("column"),
-                    F.col(v).alias("_v"),
-                    F.lit(before).cast("long").alias("_before"),
-                    F.lit(total).cast("long").alias("_total"),
-                )
-                found.append(F.when(_between(F.col(v), low, high), cell))
-    if not found:
-        empty = ["string", *["double"] * len(probabilities)]
-        fields = ["column", *probabilities]
-        schema = ", ".join(f"`{f}` {t}" for f, t in zip(fields, empty))
-        return df.sparkSession.createDataFrame([], schema)
-    counted = (
-        wide.select(F.inline(F.array_compact(F.array(*found))))
-        .groupBy("column", "_before", "_v", "_total")
-        .agg(F.count("*").alias("_n"))
+    keys = [quoted(k) for k in keys]
+    cells = [F.struct(F.lit(c).alias("column"), F.col(quoted(c)).cast("double").alias("_v")) for c in columns]
+    kept = df.where(F.expr(" and ".join(f"{k} is not null" for k in keys))) if keys else df
+    rows = kept.select(*keys, F.inline(F.array(*cells))).where("_v is not null and not isnan(_v)")
+    of = [*keys, "column"]
+    sizes = rows.groupBy(*of).agg(F.approx_count_distinct("_v").alias("_values"), F.count("*").alias("_total"))
+    large = sizes.where(F.col("_values") > interval)
+    if large.isEmpty():
+        return _picked(_ranked(rows, of), of, probabilities)
+    large = scratch_table(large)
+    small = rows.join(large.select(*of), [k.strip("`") for k in of], "left_anti")
+    hot = _narrowed(rows, large, of, probabilities, interval)
+    return _picked(_ranked(small, of).unionByName(hot), of, probabilities)
+
+
+def _ranked(rows: DataFrame, of: list[str]) -> DataFrame:
+    """(of, _v, _n, _at, _total): each distinct value of a group with the rank of its first row."""
+    counted = rows.groupBy(*of, "_v").agg(F.count("*").alias("_n"))
+    group = Window.partitionBy(*of)
+    earlier = group.orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    return counted.withColumns(
+        {"_at": F.coalesce(F.sum("_n").over(earlier), F.lit(0)), "_total": F.sum("_n").over(group)}
     )
-    return _picked(_positions(counted, ["column", "_before"]), ["column"], probabilities)
 
 
-def _between(value: Column, low: float | None, high: float | None) -> Column:
-    above = value.isNotNull() if low is None else value > low
-    return above if high is None else above & (value <= high)
+def _inside(rows: DataFrame, spans: DataFrame, of: list[str]) -> DataFrame:
+    """Distinct values of `rows` within the spans of their group, with their rows."""
+    joined = rows.join(spans, [k.strip("`") for k in of])
+    held = joined.where("(_low is null or _v > _low) and (_high is null or _v <= _high)")
+    return held.groupBy(*of, "_span", "_low", "_high", "_before", "_total", "_values", "_v").agg(F.count("*").alias("_n"))
 
 
-def _positions(counted: DataFrame, interval: list[str]) -> DataFrame:
-    """Rank in its group of the first row of every counted value of an interval."""
-    earlier = (
-        Window.partitionBy(*interval).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+def _narrowed(rows: DataFrame, large: DataFrame, of: list[str], probabilities: Mapping[str, float], interval: int) -> DataFrame:
+    """As `_ranked`, for the values around the wanted ranks of large groups only."""
+    spans = large.select(
+        *of,
+        F.lit("").alias("_span"),
+        F.lit(None).cast("double").alias("_low"),
+        F.lit(None).cast("double").alias("_high"),
+        F.lit(0).cast("long").alias("_before"),
+        "_total",
+        "_values",
     )
+    while True:
+        spans = scratch_table(_smaller(_inside(rows, spans, of), of, probabilities))
+        if spans.agg(F.max("_values")).first()[0] <= interval:
+            break
+    values = _inside(rows, spans, of)
+    earlier = Window.partitionBy(*of, "_span").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     at = F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    return counted.withColumn("_at", at)
-
-
-def _sorted(rows: DataFrame, keys: list[str], probabilities: Mapping[str, float]) -> DataFrame:
-    """Rank the counted values of each group in one sort."""
-    counted = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
-    per_group = Window.partitionBy(*keys)
-    earlier = per_group.orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = counted.withColumns(
-        {
-            "_at": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
-            "_total": F.sum("_n").over(per_group),
-        }
+    return values.select(*of, "_v", "_n", at.alias("_at"), "_total")
+
+
+def _smaller(values: DataFrame, of: list[str], probabilities: Mapping[str, float]) -> DataFrame:
+    """The spans between cut values that hold a wanted rank."""
+    span = [*of, "_span"]
+    chosen = F.pmod(F.xxhash64("_span", "_v"), F.ceil(F.col("_values") / CUTS)) == 0
+    cuts = values.where(chosen).groupBy(*span).agg(F.sort_array(F.collect_list("_v")).alias("_cuts"))
+    placed = values.join(cuts, [k.strip("`") for k in span], "left")
+    none = F.array().cast("array<double>")
+    placed = placed.withColumn("_cuts", F.coalesce("_cuts", none))
+    placed = placed.withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
+    counted = placed.groupBy(*span, "_low", "_high", "_before", "_total", "_cuts", "_bucket").agg(
+        F.sum("_n").alias("_rows"), F.count("*").alias("_values")
     )
-    return _picked(ranked, keys, probabilities)
-
-
-def _bracketed(
-    rows: DataFrame, keys: list[str], probabilities: Mapping[str, float], accuracy: int
-) -> DataFrame:
-    """Rank only the values between the cut points around each wanted quantile.
-
-    The cut points of these few groups are one small local table.
-    """
-    sketch = _cut_points(rows, keys, list(probabilities.values()), accuracy)
-    cuts = sketch.toArrow()
-    marks = sketch.columns[len(keys) :]
-    marked = rows.join(F.broadcast(rows.sparkSession.createDataFrame(cuts)), keys)
-    bucket = sum((F.col(m) < F.col("_v")).cast("int") for m in marks)
-    placed = marked.select(*keys, "_v", bucket.alias("_bucket"))
-
-    # at most two buckets per group and probability
-    wanted = F.broadcast(_wanted_buckets(placed, keys, probabilities))
-    values = (
-        placed.join(wanted, [*keys, "_bucket"])
-        .groupBy(*keys, "_bucket", "_v", "_before", "_total")
-        .agg(F.count("*").alias("_n"))
+    # a span has one bucket per cut and one more
+    earlier = Window.partitionBy(*span).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("_before") + F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    counted = counted.withColumn("_first", first)
+    hit = F.lit(False)
+    for p in probabilities.values():
+        for rank in _ranks(p):
+            hit = hit | ((F.col("_first") <= rank) & (rank < F.col("_first") + F.col("_rows")))
+    cut = F.col("_bucket")
+    return counted.where(hit).select(
+        *of,
+        F.concat_ws(".", "_span", cut).alias("_span"),
+        F.when(cut > 0, F.get("_cuts", cut - 1)).otherwise(F.col("_low")).alias("_low"),
+        F.coalesce(F.get("_cuts", cut), "_high").alias("_high"),
+        F.col("_first").alias("_before"),
+        "_total",
+        "_values",
     )
-    return _picked(_positions(values, [*keys, "_bucket"]), keys, probabilities)
 
 
-def _picked(ranked: DataFrame, keys: list[str], probabilities: Mapping[str, float]) -> DataFrame:
+def _picked(ranked: DataFrame, of: list[str], probabilities: Mapping[str, float]) -> DataFrame:
     """Interpolate between the values that cover the ranks around each quantile."""
     first, after = F.col("_at"), F.col("_at") + F.col("_n")
     picks = [F.max("_total").alias("_total")]
     for name, p in probabilities.items():
-        for side, rank in zip(("lo", "hi"), _ranks(p)):
+        for side, rank in zip(("lo", "hi"), _ranks(p), strict=True):
             hit = F.when((first <= rank) & (rank < after), F.col("_v"))
             picks.append(F.max(hit).alias(f"_{side}_{name}"))
-    return (
-        ranked.groupBy(*keys)
-        .agg(*picks)
-        .select(*keys, *[_interpolated(name, p).alias(name) for name, p in probabilities.items()])
-    )
-
-
-def _points(probabilities: Iterable[float], accuracy: int) -> list[float]:
-    margin = 3.0 / accuracy
-    return sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)})
-
-
-def _cut_points(
-    rows: DataFrame, keys: list[str], probabilities: list[float], accuracy: int
-) -> DataFrame:
-    """Per group a value shortly below and shortly above each quantile, by a mergeable sketch."""
-    points = _points(probabilities, accuracy)
-    sketch = F.percentile_approx("_v", points, accuracy).alias("_cuts")
-    return (
-        rows.groupBy(*keys)
-        .agg(sketch)
-        .select(*keys, *[F.col("_cuts")[i].alias(f"_cut{i}") for i in range(len(points))])
-    )
-
-
-def _wanted_buckets(
-    placed: DataFrame, keys: list[str], probabilities: Mapping[str, float]
-) -> DataFrame:
-    """The buckets that hold a wanted rank, with the rows before them and in the group."""
-    totals = placed.groupBy(*keys, "_bucket").agg(F.count("*").alias("_rows"))
-    # a group has two buckets per probability and one more
-    per_group = Window.partitionBy(*keys)
-    earlier = per_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = totals.select(
-        *keys,
-        "_bucket",
-        F.col("_rows"),
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_rows").over(per_group).alias("_total"),
-    )
-    first, after = F.col("_before"), F.col("_before") + F.col("_rows")
-    hit = F.lit(False)
-    for p in probabilities.values():
-        for rank in _ranks(p):
-            hit = hit | ((first <= rank) & (rank < after))
-    return ranked.where(hit).drop("_rows")
-
-
-def _rank_pair(p: float, total: int) -> tuple[int, int]:
-    return math.floor((total - 1) * p), math.ceil((total - 1) * p)
+    found = ranked.groupBy(*of).agg(*picks)
+    return found.select(*of, *[_interpolated(name, p).alias(name) for name, p in probabilities.items()])
 
 
 def _target(p: float) -> Column:
@@ -233,4 +147,5 @@ def _ranks(p: float) -> tuple[Column, Column]:
 
 def _interpolated(name: str, p: float) -> Column:
     low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-    return low + (high - low) * (_target(p) - F.floor(_target(p)))
+    between = low + (high - low) * (_target(p) - F.floor(_target(p)))
+    return F.when(low == high, low).otherwise(between)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import epoch_micros, from_epoch_micros
-from .quantiles import column_quantiles
+from .aggregate import measured
+from .quantiles import exact_quantiles
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -37,7 +38,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     """count, mean, std, min, exact quartiles and max per numeric column."""
     names = list(columns or columns_of(df, T.NumericType))
     plain = _per_column(
-        df.select(*[df[c].cast("double").alias(c) for c in names]),
+        df.select(*[measured(df, c).cast("double").alias(c) for c in names]),
         names,
         {
             "count": F.count,
@@ -47,7 +48,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
             "max": F.max,
         },
     )
-    stats = plain.join(column_quantiles(df, names, QUARTILES), "column", "left")
+    stats = plain.join(exact_quantiles(df, [], names, QUARTILES), "column", "left")
     return stats.select("column", "count", "mean", "std", "min", *QUARTILES, "max")
 
 
@@ -81,7 +82,7 @@ def describe_timestamp(df: DataFrame, columns: Sequence[str] | None = None) -> D
             "max": F.max,
         },
     )
-    stats = plain.join(column_quantiles(values, names, QUARTILES), "column", "left")
+    stats = plain.join(exact_quantiles(values, [], names, QUARTILES), "column", "left")
 
     def clock(micros):
         return from_epoch_micros(F.floor(micros))

@@ -360,8 +360,8 @@ def _(t: Tables) -> DataFrame:
 @query(
     "resample_gap_fill",
     """
-    WITH held AS (SELECT date_trunc('week', o_orderdate)::DATE AS w, o_totalprice, o_custkey
-                  FROM orders WHERE o_totalprice > 480000 AND o_orderstatus = 'F'),
+    WITH held AS (SELECT date_trunc('week', o_orderdate::DATE + 60 * (year(o_orderdate) - 1995)::INTEGER)::DATE AS w,
+                         o_totalprice, o_custkey FROM orders),
     weeks AS (SELECT unnest(generate_series((SELECT min(w) FROM held)::TIMESTAMP,
                                             (SELECT max(w) FROM held)::TIMESTAMP,
                                             INTERVAL 7 DAY))::DATE AS w)
@@ -374,9 +374,10 @@ def _(t: Tables) -> DataFrame:
     """,
 )
 def _(t: Tables) -> DataFrame:
-    rare = t.orders.where((c("o_totalprice") > 480000) & (c("o_orderstatus") == "F"))
+    # years are moved apart, so weeks between them are empty
+    apart = F.date_add(F.to_date("o_orderdate"), 60 * (F.year("o_orderdate") - 1995))
     out = resample_filled(
-        rare, "o_orderdate", "week", "sum:o_totalprice,max:o_totalprice,nunique:o_custkey"
+        t.orders.withColumn("day", apart), "day", "week", "sum:o_totalprice,max:o_totalprice,nunique:o_custkey"
     )
     return rounded(out, o_totalprice_sum=2)
 
@@ -425,6 +426,17 @@ def _(t: Tables) -> DataFrame:
     return rounded(out, F=6, O=6, P=6)
 
 
+@query(
+    "analyze_total",
+    """
+    SELECT user_id, count(value) AS value_count, (SELECT count(DISTINCT user_id) FROM events) AS total_groups
+    FROM events GROUP BY user_id ORDER BY value_count DESC, user_id LIMIT 20
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    return analyze(t.events, "user_id", "count:value", sort="value_count desc", limit=20)
+
+
 STATUS_NAMES = {"F": "final", "O": "open", "P": "open"}
 PRIORITY_NAMES = {"1-URGENT": "high", "2-HIGH": "high", "5-LOW": "4-NOT SPECIFIED"}
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.projection import names_of
-from ..operators.aggregate import AggSpec, group_agg, pivot, value_counts
+from ..operators.aggregate import AggSpec, group_agg, pivot, value_counts, with_total
 from ..operators.calendar import resample, resample_filled
 from ..operators.normalize import apply_value_maps
 from ..operators.paging import sort_keys
@@ -44,7 +44,7 @@ def analyze(
     aggregate: AggSpec = (),
     where: Column | str | None = None,
     sort: str = "",
-    limit: int | None = 50,
+    limit: int | None = None,
     period: str = "",
     pivot_column: str = "",
     value_maps: Mapping[str, Mapping[str, str] | DataFrame] | None = None,
@@ -54,7 +54,7 @@ def analyze(
     The filter sees the recorded values. Without groupby and aggregate the
     result is `describe`. A period takes its date from the first group column
     and goes before a pivot. A pivot keeps the order of its group columns.
-    `limit=None` returns every row.
+    With a limit, column total_groups says how many rows there are without it.
     """
     keys = names_of(groupby)
     aggregate = aggregate if isinstance(aggregate, str) else list(aggregate)
@@ -84,6 +84,8 @@ def analyze(
     else:
         out, order = group_agg(df, keys, aggregate), keys
 
+    if limit is not None:
+        out = with_total(out)
     if sort or order:
         out = out.orderBy(*sort_keys(out, [*names_of(sort), *order]))
     return out if limit is None else out.limit(limit)

@@ -140,7 +140,7 @@ def _(t: Tables) -> DataFrame:
            count(DISTINCT o_custkey) AS o_custkey_nunique,
            round(median(o_totalprice), 4) AS o_totalprice_median
     FROM (SELECT {_periods_sql(f"DATE '{ANCHOR}'")} AS r) p
-    JOIN orders o ON o.o_orderdate >= p.r.start AND o.o_orderdate < p.r."end" + 1
+    LEFT JOIN orders o ON o.o_orderdate >= p.r.start AND o.o_orderdate < p.r."end" + 1
     WHERE p.r.label <> 'single'
     GROUP BY ALL
     """,

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.incremental import incremental_merge, refresh_day
+from ..operators.incremental import (
+    covered_ranges,
+    incremental_merge,
+    merge_stored,
+    read_months,
+    refresh_day,
+    refresh_range,
+)
 from ..operators.keyed import (
     dedup_keep_last,
     grouped_concat,
@@ -17,6 +26,9 @@ from ..operators.keyed import (
     snapshot_diff,
     union_by_name,
 )
+from ..session import checkpoint_root
+from ..sources import write_result
+from ..streaming import first_deliveries, month_totals, refresh_stored, run_into, week_totals
 from .registry import Tables, query
 
 c = F.col
@@ -144,52 +156,51 @@ def _(t: Tables) -> DataFrame:
 @query(
     "key_intersect",
     """
-    SELECT o_custkey AS custkey FROM orders WHERE o_totalprice > 300000
-    INTERSECT SELECT c_custkey FROM customer WHERE c_acctbal > 0
+    SELECT o_custkey AS custkey FROM orders INTERSECT SELECT c_custkey + 50 FROM customer
     """,
 )
 def _(t: Tables) -> DataFrame:
-    buyers = t.orders.where(c("o_totalprice") > 300000).select(c("o_custkey").alias("custkey"))
-    solvent = t.customer.where(c("c_acctbal") > 0).select(c("c_custkey").alias("custkey"))
-    return key_intersect(buyers, solvent, ["custkey"])
+    buyers = t.orders.select(c("o_custkey").alias("custkey"))
+    shifted = t.customer.select((c("c_custkey") + 50).alias("custkey"))
+    return key_intersect(buyers, shifted, ["custkey"])
 
 
 @query(
     "key_overlap",
     """
-    WITH b AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_totalprice > 300000),
-    s AS (SELECT DISTINCT c_custkey AS k FROM customer WHERE c_acctbal > 0)
+    WITH b AS (SELECT DISTINCT o_custkey AS k FROM orders),
+    s AS (SELECT DISTINCT c_custkey + 50 AS k FROM customer)
     SELECT (SELECT count(*) FROM b WHERE k IN (FROM s)) AS shared,
            (SELECT count(*) FROM b WHERE k NOT IN (FROM s)) AS only_left,
            (SELECT count(*) FROM s WHERE k NOT IN (FROM b)) AS only_right
     """,
 )
 def _(t: Tables) -> DataFrame:
-    buyers = t.orders.where(c("o_totalprice") > 300000).select(c("o_custkey").alias("custkey"))
-    solvent = t.customer.where(c("c_acctbal") > 0).select(c("c_custkey").alias("custkey"))
-    return overlap_counts(buyers, solvent, ["custkey"])
+    buyers = t.orders.select(c("o_custkey").alias("custkey"))
+    shifted = t.customer.select((c("c_custkey") + 50).alias("custkey"))
+    return overlap_counts(buyers, shifted, ["custkey"])
 
 
 @query(
     "snapshot_diff",
     """
-    WITH cur AS (SELECT o_orderkey, o_orderstatus AS s, o_totalprice AS p FROM orders
-                 WHERE o_orderpriority <> '5-LOW'),
-    old AS (SELECT o_orderkey, CASE o_orderstatus WHEN 'P' THEN 'O' ELSE o_orderstatus END AS s,
-                   o_totalprice AS p FROM orders WHERE o_orderpriority <> '1-URGENT')
-    SELECT o_orderkey, cur.s AS current_o_orderstatus, cur.p AS current_o_totalprice,
+    WITH cur AS (SELECT nullif(o_orderkey, 7) AS k, o_orderstatus AS s, o_totalprice AS p FROM orders),
+    old AS (SELECT nullif(CASE WHEN o_orderpriority = '5-LOW' AND o_orderkey <> 7 THEN -1 - o_orderkey
+                               ELSE o_orderkey END, 7) AS k,
+                   CASE o_orderstatus WHEN 'P' THEN 'O' ELSE o_orderstatus END AS s, o_totalprice AS p FROM orders)
+    SELECT coalesce(cur.k, old.k) AS o_orderkey, cur.s AS current_o_orderstatus, cur.p AS current_o_totalprice,
            old.s AS existing_o_orderstatus, old.p AS existing_o_totalprice,
            CASE WHEN old.s IS NULL THEN 'new' WHEN cur.s IS NULL THEN 'removed'
                 WHEN cur.s = old.s AND cur.p = old.p THEN 'unchanged' ELSE 'changed' END AS status
-    FROM cur FULL JOIN old USING (o_orderkey)
+    FROM cur FULL JOIN old ON cur.k IS NOT DISTINCT FROM old.k
     """,
 )
 def _(t: Tables) -> DataFrame:
     orders = t.orders
-    current = orders.where(c("o_orderpriority") != "5-LOW")
-    existing = orders.where(c("o_orderpriority") != "1-URGENT").replace(
-        {"P": "O"}, subset=["o_orderstatus"]
-    )
+    key, seven = c("o_orderkey"), F.lit(7)
+    other = F.when((c("o_orderpriority") == "5-LOW") & (key != seven), -1 - key).otherwise(key)
+    current = orders.withColumn("o_orderkey", F.nullif(key, seven))
+    existing = orders.withColumn("o_orderkey", F.nullif(other, seven)).replace({"P": "O"}, subset=["o_orderstatus"])
     return snapshot_diff(current, existing, ["o_orderkey"], ["o_orderstatus", "o_totalprice"])
 
 
@@ -197,7 +208,7 @@ def _(t: Tables) -> DataFrame:
     "incremental_merge",
     """
     SELECT event_id, user_id, event_type, value, ts::DATE AS day, 0 AS seq FROM events
-    WHERE ts < TIMESTAMP '2024-01-10' OR ts >= TIMESTAMP '2024-01-21' AND ts < TIMESTAMP '2024-01-25'
+    WHERE ts < TIMESTAMP '2024-01-10' OR ts >= TIMESTAMP '2024-01-21'
     UNION ALL
     SELECT event_id, user_id, event_type, -value, ts::DATE, 1 FROM events
     WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-21' AND event_type <> 'error'
@@ -207,12 +218,9 @@ def _(t: Tables) -> DataFrame:
     events = t.events.select(
         "event_id", "user_id", "event_type", "value", F.to_date("ts").alias("day")
     )
-    held = events.where(c("day") < F.lit("2024-01-25").cast("date")).withColumn("seq", F.lit(0))
-    fetched = (
-        events.where(c("day").between(F.lit("2024-01-10"), F.lit("2024-01-20")))
-        .where(c("event_type") != "error")
-        .withColumns({"value": -c("value"), "seq": F.lit(1)})
-    )
+    held = events.withColumn("seq", F.lit(0))
+    # the range comes back without its errors, which the merge then drops
+    fetched = events.where(c("event_type") != "error").withColumns({"value": -c("value"), "seq": F.lit(1)})
     return incremental_merge(
         held, fetched, ["event_id"], ["seq"], "day", "2024-01-10", "2024-01-20"
     )
@@ -231,3 +239,121 @@ def _(t: Tables) -> DataFrame:
     held = source.withColumn("value", F.lit(0.0))
     latest = source.agg(F.max("day")).scalar()
     return refresh_day(held, source, "day", latest)
+
+
+def _scratch(t: Tables) -> str:
+    """A new folder for what a query stores and reads back."""
+    return f"{checkpoint_root(t.spark)}/tablelens-{uuid.uuid4().hex}"
+
+
+def _events(t: Tables) -> DataFrame:
+    return t.events.select("event_id", "user_id", "event_type", "value", F.to_date("ts").alias("day"))
+
+
+@query(
+    "refresh_range",
+    """
+    SELECT event_id, user_id, event_type, ts::DATE AS day,
+           CASE WHEN ts::DATE BETWEEN DATE '2024-01-05' AND DATE '2024-01-15' THEN 0 ELSE value END AS value
+    FROM events WHERE ts < TIMESTAMP '2024-01-26'
+    UNION ALL
+    SELECT event_id, user_id, event_type, ts::DATE, 0 FROM events WHERE ts >= TIMESTAMP '2024-01-26'
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    # held values are 0, so those of the ranges that were read again show
+    source = _events(t)
+    held = source.withColumn("value", F.lit(0.0))
+    covered = t.spark.sql("select date'2024-01-05' as held_min, date'2024-01-15' as held_max")
+    return refresh_range(held, covered, source, "day", None, "2024-01-25", "2024-01-25")[0]
+
+
+@query(
+    "merge_stored",
+    """
+    SELECT event_id, user_id, event_type, ts::DATE + CASE event_type WHEN 'click' THEN 40 ELSE 0 END AS day,
+           CASE event_type WHEN 'click' THEN -value ELSE value END AS value,
+           CASE event_type WHEN 'click' THEN 1 ELSE 0 END AS seq
+    FROM events
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    path, first = _scratch(t), _events(t).withColumn("seq", F.lit(0))
+    # clicks come again with another date and value; views come again late, with an old number
+    clicks = first.withColumns({"day": F.date_add("day", 40), "value": -c("value"), "seq": F.lit(1)})
+    views = first.withColumns({"value": c("value") + 1000, "seq": F.lit(-1)})
+    again = clicks.where(c("event_type") == "click").unionByName(views.where(c("event_type") == "view"))
+    merge_stored(t.spark, path, first, ["event_id"], ["seq"], "day")
+    merge_stored(t.spark, path, again, ["event_id"], ["seq"], "day")
+    return read_months(t.spark, path)
+
+
+@query(
+    "coverage_after_merge",
+    """
+    SELECT DATE '2023-12-01' AS held_min, max(ts)::DATE AS held_max FROM events
+    UNION ALL SELECT DATE '2024-06-01', DATE '2024-06-30'
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    path, events = _scratch(t), _events(t).withColumn("seq", F.lit(0))
+    low, high = events.agg(F.min("day"), F.max("day")).first()
+    merge_stored(t.spark, path, events, ["event_id"], ["seq"], "day", covered=(low, high))
+    # two ranges that held no rows: one adjoins what is covered, one does not
+    none = events.limit(0)
+    merge_stored(t.spark, path, none, ["event_id"], ["seq"], "day", covered=("2023-12-01", "2023-12-31"))
+    merge_stored(t.spark, path, none, ["event_id"], ["seq"], "day", covered=("2024-06-01", "2024-06-30"))
+    return covered_ranges(t.spark, path)
+
+
+@query("write_result", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def _(t: Tables) -> DataFrame:
+    path = _scratch(t)
+    write_result(t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus"), path, "json", partition_by=["o_orderstatus"])
+    return t.spark.read.schema("o_orderkey long, o_totalprice double, o_orderstatus string").json(path)
+
+
+def _live(t: Tables) -> DataFrame:
+    """The events as a stream of their files."""
+    rows = t.spark.readStream.schema(t.events.schema).parquet(f"{t.folder}/events.parquet*")
+    return rows.withColumns({"ts": c("ts").cast("timestamp"), "value": c("value").cast("decimal(12,2)")})
+
+
+@query("stream_refresh", "SELECT event_id, user_id, event_type, ts::DATE AS day, value FROM events")
+def _(t: Tables) -> DataFrame:
+    path, live = _scratch(t), _live(t).withColumn("value", c("value").cast("double"))
+    refresh_stored(live, path, ["event_id"], ["ts"], "ts", uuid.uuid4().hex).start().awaitTermination()
+    return read_months(t.spark, path).select("event_id", "user_id", "event_type", F.to_date("ts").alias("day"), "value")
+
+
+@query("stream_first_deliveries", "SELECT event_id, user_id, event_type FROM events")
+def _(t: Tables) -> DataFrame:
+    # every event arrives twice in one batch, and once it stays
+    twice = _live(t).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    return run_into(first_deliveries(twice, ["event_id"], "ts"), "append").select("event_id", "user_id", "event_type")
+
+
+@query(
+    "stream_week_totals",
+    """
+    SELECT date_trunc('week', ts)::DATE AS period_start, date_trunc('week', ts)::DATE + 6 AS period_end, event_type,
+           round(sum(value::DECIMAL(12, 2))::DOUBLE, 2) AS value_sum, count(value) AS value_count
+    FROM events GROUP BY ALL
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    totals = run_into(week_totals(_live(t), "ts", "sum:value,count:value", ["event_type"]), "complete")
+    return totals.withColumn("value_sum", F.round(c("value_sum").cast("double"), 2))
+
+
+@query(
+    "stream_month_totals",
+    """
+    SELECT last_day(ts::DATE) AS period_end, event_type,
+           round(sum(value::DECIMAL(12, 2))::DOUBLE, 2) AS value_sum, count(value) AS value_count
+    FROM events GROUP BY ALL
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    totals = run_into(month_totals(_live(t), "ts", "sum:value,count:value", ["event_type"]), "complete")
+    return totals.withColumn("value_sum", F.round(c("value_sum").cast("double"), 2))

@@ -11,8 +11,8 @@ from ..operators.classify import (
     classify_tier,
     classify_with_overrides,
     conditional_enrich,
-    enrich_with_hints,
 )
+from ..operators.joins import lookup_join
 from ..operators.normalize import apply_value_map, value_map_rows
 from .registry import Tables, query
 
@@ -159,11 +159,11 @@ def _(t: Tables) -> DataFrame:
 )
 def _(t: Tables) -> DataFrame:
     size = c("p_size")
-    flags = t.part.where(size > 20).select(
+    flags = t.part.select(
         "p_partkey",
         (size > 45).alias("calculation"),
         (size > 30).alias("summary"),
-        F.lit(True).alias("global_"),
+        F.when(size > 20, F.lit(True)).alias("global_"),
     )
     classified = classify_by_rules(_fields(t).select("p_partkey", "field_name"), "field_name")
     return conditional_enrich(classified, flags, ["p_partkey"])
@@ -207,15 +207,14 @@ def _(t: Tables) -> DataFrame:
 @query(
     "lookup_enrich",
     """
-    SELECT e.event_id, e.user_id, c_name AS hint FROM events e
-    LEFT JOIN customer ON c_custkey = user_id AND c_mktsegment IN ('BUILDING', 'FURNITURE')
+    SELECT e.event_id, e.user_id, c_name AS hint FROM events e LEFT JOIN customer ON c_custkey + 50 = user_id
     """,
 )
 def _(t: Tables) -> DataFrame:
-    hints = t.customer.where(c("c_mktsegment").isin("BUILDING", "FURNITURE")).select(
-        c("c_custkey").alias("user_id"), c("c_name").alias("hint")
-    )
-    return enrich_with_hints(t.events.select("event_id", "user_id"), hints, ["user_id"])
+    # some users have no hint, and every hint is there twice
+    hints = t.customer.select((c("c_custkey") + 50).alias("user_id"), c("c_name").alias("hint"))
+    hints = hints.union(hints)
+    return lookup_join(t.events.select("event_id", "user_id"), hints, ["user_id"])
 
 
 @query(

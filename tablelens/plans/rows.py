@@ -12,6 +12,7 @@ from ..functions.text import record_as_map, strip_suffix, truncate_text
 from ..operators.aggregate import count_records
 from ..operators.classify import label_name
 from ..operators.paging import keep_most_recent, order_by, page_after, page_records
+from ..operators.quality import type_consistency
 from ..sources import coerce_dates, drop_columns_like, load_dataset, resolve_dataset
 from .analyze import analyze
 from .registry import Tables, query
@@ -73,6 +74,38 @@ def _(t: Tables) -> DataFrame:
     return coerce_dates(texts, ["written_on"]).select("o_orderkey", day_of("written_on"))
 
 
+#: How a day is written, by the last digit of the order key; the last one is no date.
+SPELLINGS = (
+    "yyyy/MM/dd", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd HH:mm", "MMM d, yyyy", "d MMM yyyy", "yyyyMMdd",
+    "yyyy-MM-dd'T'HH:mm:ss'+0000'", "M/d/yyyy H:mm", "M/d/yy", "yyyy-MM-dd HH:mm:ss'+00:00'",
+)
+
+
+def _spelled(t: Tables) -> DataFrame:
+    kind = c("o_orderkey") % (len(SPELLINGS) + 1)
+    text = F.lit("soon")
+    for i, layout in enumerate(SPELLINGS):
+        text = F.when(kind == i, F.date_format("o_orderdate", layout)).otherwise(text)
+    return t.orders.select("o_orderkey", text.alias("written_on"))
+
+
+@query(
+    "date_coercion_mixed",
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 11 < 10 THEN o_orderdate::DATE END AS written_on FROM orders",
+)
+def _(t: Tables) -> DataFrame:
+    return coerce_dates(_spelled(t), ["written_on"]).select("o_orderkey", day_of("written_on"))
+
+
+@query(
+    "date_unreadable",
+    "SELECT 'written_on' AS field, 'date' AS declared, count(*) AS checked, "
+    "count(*) FILTER (o_orderkey % 11 = 10) AS mismatches FROM orders",
+)
+def _(t: Tables) -> DataFrame:
+    return type_consistency(_spelled(t), {"written_on": "date"})
+
+
 @query(
     "project_columns",
     "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem",
@@ -378,6 +411,29 @@ def _(t: Tables) -> DataFrame:
     return page_after(t.orders, "o_orderkey", 9000, 50).select("o_orderkey", "o_totalprice")
 
 
+@query(
+    "page_after_sorted",
+    """
+    SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS priority, o_totalprice, count(*) OVER () AS total FROM orders
+    WHERE o_orderstatus = 'O'
+    QUALIFY priority IS NULL OR priority = '2-HIGH' AND o_totalprice < 250000 OR priority > '2-HIGH'
+    ORDER BY priority NULLS LAST, o_totalprice DESC, o_orderkey LIMIT 50
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    rows = t.orders.withColumn("priority", F.nullif(c("o_orderpriority"), F.lit("5-LOW")))
+    last = {"priority": "2-HIGH", "o_totalprice": 250000.0, "o_orderkey": -1}
+    return page_after(
+        rows,
+        "priority asc,o_totalprice desc,o_orderkey",
+        last,
+        top=50,
+        where=p.eq(c("o_orderstatus"), "O"),
+        select="o_orderkey,priority,o_totalprice",
+        total="total",
+    )
+
+
 @query(
     "keep_most_recent",
     """

@@ -3,22 +3,35 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # start wide and let AQE merge small shuffle partitions
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
-def build_session(app: str = "tablelens", master: str | None = None, **extra: str) -> SparkSession:
-    """A session with SETTINGS; `extra` maps setting names to values and wins."""
+#: Bytes of input that one shuffle partition is meant for.
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def build_session(
+    app: str = "tablelens", master: str | None = None, input_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """A session with SETTINGS; `extra` maps setting names to values and wins.
+
+    With `input_bytes`, the size of the largest input, shuffles start with as
+    many partitions as that asks for, and AQE merges the small ones.
+    """
+    if input_bytes:
+        wide = str(max(200, -(-input_bytes // PARTITION_BYTES)))
+        extra = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": wide, **extra}
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -38,4 +51,14 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="tablelens-checkpoint-")
+    root = tempfile.mkdtemp(prefix="tablelens-checkpoint-")
+    spark.conf.set("spark.checkpoint.dir", root)  # one folder per session, so a restart finds its progress
+    return root
+
+
+def scratch_table(df: DataFrame) -> DataFrame:
+    """`df` written once to the shared folder and read back; cuts the lineage of a loop."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/tablelens-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

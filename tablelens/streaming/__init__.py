@@ -1,3 +1,3 @@
-from .refresh import first_deliveries, month_totals, refresh_stored, week_totals
+from .refresh import first_deliveries, month_totals, refresh_stored, run_into, week_totals
 
-__all__ = ["first_deliveries", "month_totals", "refresh_stored", "week_totals"]
+__all__ = ["first_deliveries", "month_totals", "refresh_stored", "run_into", "week_totals"]

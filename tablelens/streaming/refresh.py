@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..operators.aggregate import AggSpec, agg_list
+from ..operators.aggregate import AggSpec, agg_list, measured
 from ..operators.incremental import merge_stored
-from ..session import checkpoint_root
+from ..session import checkpoint_root, scratch_table
 
 
 def refresh_stored(
@@ -29,11 +30,8 @@ def refresh_stored(
     """
 
     def merge(batch: DataFrame, _: int) -> None:
-        batch.persist()
-        try:
-            merge_stored(batch.sparkSession, path, batch, keys, seq, date)
-        finally:
-            batch.unpersist()
+        # read several times, so it is written down where every executor finds it
+        merge_stored(batch.sparkSession, path, scratch_table(batch), keys, seq, date)
 
     return (
         stream.writeStream.foreachBatch(merge)
@@ -50,7 +48,11 @@ def first_deliveries(
 
 
 def _exprs(stream: DataFrame, spec: AggSpec) -> list[Column]:
-    return [a.over(F.col(a.column)) for a in agg_list(spec, stream.columns)]
+    aggs = agg_list(spec, stream.columns)
+    for a in aggs:
+        if a.func in ("median", "nunique"):
+            raise ValueError(f"{a.func} needs all values at once and cannot be kept on a stream")
+    return [a.over(measured(stream, a.column)) for a in aggs]
 
 
 def week_totals(
@@ -73,9 +75,33 @@ def week_totals(
 
 
 def month_totals(
-    stream: DataFrame, time: str, spec: AggSpec, keys: Sequence[str] = ()
+    stream: DataFrame, time: str, spec: AggSpec, keys: Sequence[str] = (), late: str = "31 days"
 ) -> DataFrame:
-    """Totals per month for update mode; the state is one row per month and key."""
-    return stream.groupBy(F.last_day(F.to_date(time)).alias("period_end"), *keys).agg(
-        *_exprs(stream, spec)
+    """Totals per month; a month is final once `late` has passed, and its state goes.
+
+    The month is grouped by its last instant, which the watermark can pass.
+    """
+    end = F.date_trunc("month", F.col(time)) + F.expr("interval 1 month")
+    return (
+        stream.withColumn("_month_end", end)
+        .withWatermark("_month_end", late)
+        .groupBy("_month_end", *keys)
+        .agg(*_exprs(stream, spec))
+        .select(F.date_sub(F.to_date("_month_end"), 1).alias("period_end"), *keys, *[a.name for a in agg_list(spec, stream.columns)])
     )
+
+
+def run_into(stream: DataFrame, mode: str) -> DataFrame:
+    """Run a stream over what is available into a table in the shared folder, and read that.
+
+    Mode append keeps the rows of all batches, complete those of the last one.
+    """
+    spark = stream.sparkSession
+    path = f"{checkpoint_root(spark)}/tablelens-{uuid.uuid4().hex}"
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/{'rows' if mode == 'complete' else number}")
+
+    query = stream.writeStream.foreachBatch(put).outputMode(mode).trigger(availableNow=True)
+    query.option("checkpointLocation", f"{path}-progress").start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}/*")

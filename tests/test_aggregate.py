@@ -113,16 +113,29 @@ def test_pivot_leaves_out_values_without_a_mean(spark):
     assert out.columns == ["k", "A"] and rows_of(out) == [("x", 1.0)]
 
 
-def test_too_many_pivot_values_are_refused(spark):
-    from tablelens.operators.aggregate import pivot_values
+def test_too_many_pivot_values_come_as_rows(spark):
+    df = spark.range(20).selectExpr("id % 2 as k", "id as p", "1 as v")
+    assert pivot(df, ["k"], "p", "sum:v").columns[:2] == ["k", "0"]
+    long = pivot(df, ["k"], "p", "sum:v", most_values=10)
+    assert long.columns == ["k", "p", "v_sum"] and long.count() == 20
 
-    with pytest.raises(ValueError):
-        pivot_values(spark.range(20), "id", limit=10)
+
+def test_nan_is_no_value(spark):
+    df = spark.createDataFrame([("x", 1.0), ("x", float("nan")), ("x", 4.0)], "k string, `v.w` double")
+    out = group_agg(df, ["k"], "sum:v.w,count:v.w,max:v.w,median:v.w")
+    assert rows_of(out) == [("x", 5.0, 2, 4.0, 2.5)]
+
+
+def test_analyze_says_how_many_groups_there_are(spark):
+    df = spark.range(300).selectExpr("id as k", "1 as v")
+    assert analyze(df, "k", "sum:v").count() == 300
+    limited = analyze(df, "k", "sum:v", limit=5).collect()
+    assert len(limited) == 5 and {r.total_groups for r in limited} == {300}
 
 
 def test_analyze_modes(invoices):
     sums = analyze(invoices, "Technician", "sum:Amount", sort="Amount_sum desc", limit=1)
-    assert rows_of(sums) == [("Smith", 900)]
+    assert rows_of(sums) == [("Smith", 900, 2)]
     counts = analyze(invoices, "Region", where="Amount >= 200")
     assert [tuple(r) for r in counts.collect()] == [("A", 2), ("B", 2)]
     # a period goes before a pivot

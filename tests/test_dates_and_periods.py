@@ -4,6 +4,8 @@ import calendar
 import datetime as dt
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tablelens.functions.dates import (
@@ -16,60 +18,62 @@ from tablelens.functions.dates import (
 from tablelens.functions.periods import all_periods, period_bounds, period_filter_text
 from tablelens.operators.calendar import period_compare
 
-# written text, expected text
-LITERALS = [
-    ("d eq 2026-02-14", "d eq 2026-02-14"),
-    ("d ge 2026-01-01 and d lt 2026-02-01", "d ge 2026-01-01 and d lt 2026-02-01"),
-    ("City eq 'Springfield'", "City eq 'Springfield'"),
-    ("", ""),
-    ("d eq '2026-02-14'", "d eq 2026-02-14"),
-    ('d eq "2026-02-14"', "d eq 2026-02-14"),
-    ("d eq 2026-02-14T00:00:00", "d eq 2026-02-14"),
-    ("d eq 2026-02-14T00:00:00Z", "d eq 2026-02-14"),
-    ("d eq 2026-02-14T14:30:00-05:00", "d eq 2026-02-14"),
-    ("d eq 2026-02-14T14:30:00+05:30", "d eq 2026-02-14"),
-    ("d eq 2026-02-14T14:30:00.123Z", "d eq 2026-02-14"),
-    ("d eq '2026-02-14T14:30:00Z'", "d eq 2026-02-14"),
-    ("d eq 02/15/2026", "d eq 2026-02-15"),
-    ("d eq 2/5/2026", "d eq 2026-02-05"),
-    ("d eq 12/5/2026", "d eq 2026-12-05"),
-    ("d eq 2/15/2026 3:45:00 PM", "d eq 2026-02-15"),
-    ("d eq '02/15/2026'", "d eq 2026-02-15"),
-    ("d ge '2026-02-01' and City eq 'X'", "d ge 2026-02-01 and City eq 'X'"),
-    ("d ge 1/1/2026 and d le 2/20/2026", "d ge 2026-01-01 and d le 2026-02-20"),
-    (None, None),
-]
-
-# filter text, lower, upper for the field `Day`
-BOUNDS = [
-    ("Day ge 2025-01-01 and Day le 2025-12-31", "2025-01-01", "2025-12-31"),
-    ("Day ge 2025-06-01", "2025-06-01", None),
-    ("Day le 2025-12-31", None, "2025-12-31"),
-    ("Day gt 2025-01-01 and Day lt 2025-06-30", "2025-01-01", "2025-06-30"),
-    ("Region eq 'A'", None, None),
-    ("", None, None),
-    ("Day ge 2025-01-01 and Region eq 'A' and Day le 2025-03-31", "2025-01-01", "2025-03-31"),
-    ('"Day" ge 2025-01-01', "2025-01-01", None),
-    ("Day eq 2026-02-20", "2026-02-20", "2026-02-20"),
-    ("OtherDay eq 2026-02-20", None, None),
-    ("Day ge 2026-01-01 and Day ge 2026-02-01", "2026-02-01", None),
-    ("Day ge 2026-13-45", None, None),
+DAYS = st.dates(dt.date(1970, 1, 1), dt.date(2099, 12, 31))
+#: Ways to write a day in a filter text; all mean that day.
+SPELLINGS = [
+    lambda d: d.isoformat(),
+    lambda d: f"'{d}'",
+    lambda d: f'"{d}T{d.month:02d}:{d.day:02d}"',
+    lambda d: f"{d}T23:59:{d.day:02d}",
+    lambda d: f"{d}T00:00:00.5{d.day}Z",
+    lambda d: f"{d}T08:30:00-0{d.day % 9}:30",
+    lambda d: f"{d.month}/{d.day}/{d.year}",
+    lambda d: f"{d.month:02d}/{d.day:02d}/{d.year}",
+    lambda d: f"'{d.month}/{d.day:02d}/{d.year}'",
+    lambda d: f"{d.month}/{d.day}/{d.year} {d.day % 12}:07:09 PM",
+    lambda d: f'"{d.month}/{d.day}/{d.year}  11:00:00"',
 ]
+AROUND = ["", "x", " and ", "Town eq 'Rome' or ", " é ", "(", ") "]
 
 
 def test_literals_are_normalised(spark):
-    df = spark.createDataFrame(LITERALS, "raw string, want string")
-    got = df.select(normalize_dates(F.col("raw")).alias("got"), "want").collect()
-    assert [r.got for r in got] == [r.want for r in got]
+    part = st.tuples(st.sampled_from(AROUND), DAYS, st.sampled_from(SPELLINGS))
+
+    @settings(max_examples=3, deadline=None)
+    @given(st.lists(st.tuples(st.lists(part, max_size=3), st.sampled_from(AROUND)), min_size=60, max_size=80))
+    def check(cases):
+        rows = []
+        for parts, end in cases:
+            raw = "".join(f"{text} Day ge {spell(d)}" for text, d, spell in parts) + " " + end
+            want = "".join(f"{text} Day ge {d}" for text, d, _ in parts) + " " + end
+            rows.append((raw, want))
+        df = spark.createDataFrame([*rows, (None, None), ("", "")], "raw string, want string")
+        for raw, got, want in df.select("raw", normalize_dates(F.col("raw")), "want").collect():
+            assert got == want, raw
+
+    check()
 
 
 def test_bounds_of_a_filter(spark):
-    df = spark.createDataFrame(BOUNDS, "f string, lo string, hi string")
-    got = df.select(date_bounds(F.col("f"), "Day").alias("b"), "lo", "hi").select(
-        F.col("b.min").cast("string"), F.col("b.max").cast("string"), "lo", "hi"
-    )
-    for lower, upper, lo, hi in got.collect():
-        assert (lower, upper) == (lo, hi)
+    """Comparisons of the field and of others in any order; the last one on a side counts."""
+    part = st.tuples(st.sampled_from(["Due", '"Due"', "OverDue", "Due2"]), st.sampled_from(["ge", "gt", "le", "lt", "eq", "ne"]), DAYS)
+
+    @settings(max_examples=3, deadline=None)
+    @given(st.lists(st.lists(part, max_size=4), min_size=60, max_size=80))
+    def check(cases):
+        rows = []
+        for i, parts in enumerate(cases):
+            low = high = None
+            for name, op, d in parts:
+                if name.strip('"') == "Due":
+                    low = d if op in ("ge", "gt", "eq") else low
+                    high = d if op in ("le", "lt", "eq") else high
+            rows.append((i, " and ".join(f"{n} {op} {d}" for n, op, d in parts), low, high))
+        df = spark.createDataFrame(rows, "i int, f string, lo date, hi date")
+        for r in df.select("f", date_bounds(F.col("f"), "Due").alias("b"), "lo", "hi").collect():
+            assert (r.b.min, r.b.max) == (r.lo, r.hi), r.f
+
+    check()
 
 
 def test_bounds_of_a_name_with_spaces_and_signs(spark):
@@ -88,6 +92,16 @@ def test_mixed_formats_parse(spark):
         ("2025-01-15 14:30:00", "2025-01-15 14:30:00"),
         ("1/5/2025", "2025-01-05 00:00:00"),
         ("1/5/2025 3:04:05 PM", "2025-01-05 15:04:05"),
+        ("2025/01/05", "2025-01-05 00:00:00"),
+        ("2025-01-05T10:15", "2025-01-05 10:15:00"),
+        ("2025-01-05 10:15", "2025-01-05 10:15:00"),
+        ("Jan 5, 2025", "2025-01-05 00:00:00"),
+        ("5 Jan 2025", "2025-01-05 00:00:00"),
+        ("20250105", "2025-01-05 00:00:00"),
+        ("2025-01-05T10:15:00+0100", "2025-01-05 09:15:00"),
+        ("1/5/2025 10:15", "2025-01-05 10:15:00"),
+        ("1/5/25", "2025-01-05 00:00:00"),
+        ("2025-01-05 10:15:00+00:00", "2025-01-05 10:15:00"),
         ("soon", None),
         ("2025-02-30", None),
         (None, None),
@@ -184,3 +198,15 @@ def test_compare_reads_only_the_days_it_needs(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate,1999-01-01T00:00)" in plan
     assert "Join" not in plan
+
+
+def test_every_period_has_a_row_for_any_function(spark):
+    df = spark.sql("select timestamp'2025-03-10 10:00:00' as t, 4.0D as v")
+    plain = period_compare(df, "t", "2025-03-10", "sum:v")
+    both = period_compare(df, "t", "2025-03-10", "sum:v,nunique:v,median:v")
+    rows = {(r.pattern, r.label): r for r in both.collect()}
+    assert len(rows) == plain.count() == 23
+    for r in plain.collect():
+        other = rows[r.pattern, r.label]
+        assert (other.start, other.end, other.v_sum) == (r.start, r.end, r.v_sum)
+        assert other.v_nunique == (1 if r.v_sum else 0) and (other.v_median is None) == (r.v_sum == 0)

@@ -2,18 +2,21 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from conftest import FOLDER, rows_of
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tablelens.operators import joins
+from tablelens.operators import incremental, joins
 from tablelens.operators.incremental import (
+    covered_ranges,
     date_gaps,
     incremental_merge,
     merge_stored,
     read_months,
     refresh_day,
+    refresh_range,
     replace_range,
     touches_day,
     widened,
@@ -26,10 +29,8 @@ from tablelens.operators.keyed import (
     keyed_delete,
     keyed_upsert,
     overlap_counts,
-    pk_of,
     snapshot_diff,
     union_by_name,
-    without_hot_keys,
 )
 
 ROW = "pk bigint, day date, amount bigint, seq int"
@@ -85,44 +86,15 @@ def test_delete_by_key_and_by_prefix(spark):
     assert sorted(r.context for r in keyed_delete(store, only, ["table_name", "field"]).collect()) == ["a", "b"]
 
 
-def test_hot_keys_take_the_salted_way(spark, monkeypatch):
-    df = spark.range(5000).selectExpr("if(id % 3 = 0, 7, id) as k", "id as v")
-    gone = spark.createDataFrame([(7,), (8,)], "k bigint")
-    small = rows_of(without_hot_keys(df, gone, ["k"]))
-    assert len(small) == 5000 - 1667 - 2
-    monkeypatch.setattr("tablelens.operators.keyed.fits_broadcast", lambda _: False)
-    assert rows_of(without_hot_keys(df, gone, ["k"])) == small
-    monkeypatch.setattr(joins, "ROWS_PER_SALT", 100)
-    monkeypatch.setattr(joins, "SAMPLE", 1.0)
-    assert [tuple(r) for r in joins.hot_keys(df, ["k"]).collect()] == [(7, 17)]
-    assert rows_of(without_hot_keys(df, gone, ["k"])) == small
-
-
-def test_lookup_join_small_and_salted(spark, monkeypatch):
+def test_lookups_take_one_row_per_key(spark):
     # zero and null each hold a third of the rows
-    key = "case id % 3 when 0 then 0 when 1 then null else id end as k"
-    df = spark.range(5000).selectExpr(key, "id as v")
-    lookup = spark.range(2000).selectExpr("id as k", "concat('n', id) as name")
-    small = joins.lookup_join(df, lookup, ["k"])
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(joins, "fits_broadcast", lambda _: False)
-    assert joins.hot_keys(df, ["k"]) is None
-    assert rows_of(joins.lookup_join(df, lookup, ["k"])) == rows_of(small)
-    monkeypatch.setattr(joins, "ROWS_PER_SALT", 100)
-    monkeypatch.setattr(joins, "SAMPLE", 1.0)
-    assert sorted(r[0] or -1 for r in joins.hot_keys(df, ["k"]).collect()) == [-1, -1]
-    salted, repeated, keys = joins.salted_pair(df, lookup, ["k"])
-    assert salted.where("k = 0").select(joins.SALT).distinct().count() == 17
-    assert repeated.count() == 2000 + 16 and keys == ["k", joins.SALT]
-    assert rows_of(joins.lookup_join(df, lookup, ["k"])) == rows_of(small)
-
-
-def test_size_check(spark):
-    df = spark.range(100).selectExpr("id", "repeat('x', 1000) as t", "array(id) as a")
-    assert joins.fits_broadcast(df)
-    assert not joins.fits_broadcast(df, max_rows=99)
-    assert not joins.fits_broadcast(df, max_bytes=100_000)
-    assert joins.fits_broadcast(df.limit(0))
+    df = spark.range(300).selectExpr("case id % 3 when 0 then 0 when 1 then null else id end as k", "id as v")
+    lookup = spark.range(200).selectExpr("id as k", "concat('n', id) as name", "map('a', id) as m", "1 as seq")
+    twice = lookup.union(lookup.selectExpr("k", "'old'", "m", "0"))
+    for many in (lookup, twice):
+        out = joins.lookup_join(df, many, ["k"], ["seq"])
+        got = {r.v: r.name for r in out.collect()}
+        assert len(got) == out.count() == 300 and got[0] == got[3] == "n0" and got[1] is None and got[5] == "n5"
 
 
 def test_concat_takes_the_last_text_of_each_kind(spark):
@@ -142,7 +114,6 @@ def test_sets(spark):
     assert rows_of(key_intersect(old, new, ["k"])) == [("b",)]
     assert rows_of(overlap_counts(old, new, ["k"])) == [(1, 1, 1)]
     assert union_by_name(old, new.drop("v")).where("v is null").count() == 2
-    assert pk_of({"a": {}, "b": {"pk": True}}) == "b" and pk_of({}) == "PrimaryKey"
 
 
 def test_diff(spark):
@@ -152,17 +123,6 @@ def test_diff(spark):
     assert got == {"a": "new", "b": "changed", "c": "unchanged", "d": "removed", "e": "changed"}
 
 
-# held min, held max, wanted min, wanted max, gaps
-GAPS = [
-    (None, None, "2025-01-01", "2025-06-30", [("2025-01-01", "2025-06-30")]),
-    ("2025-01-01", "2025-12-31", "2025-03-01", "2025-06-30", []),
-    ("2025-01-01", "2025-06-30", "2025-04-01", "2025-12-31", [("2025-07-01", "2025-12-31")]),
-    ("2025-06-01", "2025-12-31", "2025-01-01", "2025-09-30", [("2025-01-01", "2025-05-31")]),
-    ("2025-04-01", "2025-06-30", "2025-01-01", "2025-12-31", [("2025-01-01", "2025-03-31"), ("2025-07-01", "2025-12-31")]),
-    ("2025-01-01", "2025-06-30", "2025-03-01", None, [("2025-07-01", None)]),
-    ("2025-03-01", "2025-06-30", None, None, [(None, "2025-02-28"), ("2025-07-01", None)]),
-    (None, None, None, None, [(None, None)]),
-]
 GAP_COLUMNS = "id int, held_min date, held_max date, wanted_min date, wanted_max date"
 
 
@@ -175,29 +135,34 @@ def gaps_of(spark, cases):
     return found
 
 
-def test_gap_cases(spark):
-    found = gaps_of(spark, [case[:4] for case in GAPS])
-    for i, case in enumerate(GAPS):
-        want = [tuple(None if v is None else day(v) for v in g) for g in case[4]]
-        assert found[i] == want, case
+def test_gaps_complete_and_do_not_overlap_what_is_held(spark):
+    """Over a short calendar that stands for all days: open ends reach its edges."""
+    start = day("2030-06-01")
+    offset = st.integers(3, 20)
+    held = st.one_of(st.none(), st.tuples(offset, offset).map(sorted))
+    wanted = st.tuples(st.one_of(st.none(), offset), st.one_of(st.none(), offset))
 
+    def on(n):
+        return None if n is None else start + dt.timedelta(n)
 
-def test_gaps_complete_and_do_not_overlap_what_is_held(spark):
-    start = day("2025-01-01")
-    offsets = st.integers(0, 20)
+    def days(low, high):
+        return {n for n in range(24) if (low is None or on(n) >= low) and (high is None or on(n) <= high)}
 
-    @settings(max_examples=5, deadline=None)
-    @given(st.lists(st.tuples(offsets, offsets, offsets, offsets), min_size=20, max_size=40))
+    @settings(max_examples=4, deadline=None)
+    @given(st.lists(st.tuples(held, wanted), min_size=20, max_size=40))
     def check(cases):
-        cases = [
-            [start + dt.timedelta(n) for n in (*sorted(c[:2]), *sorted(c[2:]))] for c in cases
-        ]
-        for i, gaps in gaps_of(spark, cases).items():
-            lo, hi, want_lo, want_hi = cases[i]
-            days = lambda a, b: {a + dt.timedelta(n) for n in range((b - a).days + 1)}
-            missing = set().union(*[days(a, b) for a, b in gaps]) if gaps else set()
-            assert missing & days(lo, hi) == set()
-            assert days(want_lo, want_hi) <= missing | days(lo, hi)
+        rows = []
+        for h, (low, high) in cases:
+            if low is not None and high is not None and low > high:
+                low, high = high, low
+            rows.append([on(n) for n in (*(h or (None, None)), low, high)])
+        for i, gaps in gaps_of(spark, rows).items():
+            lo, hi, want_lo, want_hi = rows[i]
+            missing = [days(*g) for g in gaps]
+            covered = set() if lo is None else days(lo, hi)
+            together = set().union(*missing) if missing else set()
+            assert together & covered == set() and sum(map(len, missing)) == len(together)
+            assert days(want_lo, want_hi) <= together | covered
 
     check()
 
@@ -230,20 +195,67 @@ def test_bounds_of_a_union(spark):
     assert tuple(row) == (day("2025-01-01"), day("2025-02-01"), True, False)
 
 
-def test_stored_table_rewrites_only_touched_months(spark, tmp_path):
+def stored_files(folder):
+    return {f.relative_to(folder): f.stat().st_mtime_ns for f in folder.rglob("*.parquet")}
+
+
+def test_stored_table_writes_only_touched_months(spark, tmp_path):
     path = str(tmp_path / "stored")
     first = frame(
-        spark, (1, day("2025-01-05"), 1, 0), (2, day("2025-02-05"), 2, 0), (3, day("2025-03-05"), 3, 0), (4, day("2025-03-06"), 4, 0)
+        spark, (1, day("2025-01-05"), 1, 0), (2, day("2025-02-05"), 2, 0), (3, day("2025-03-05"), 3, 0), (4, None, 4, 0)
     )
-    merge_stored(spark, path, first, ["pk"], ["seq"], "day")
-    before = {f.name for f in (tmp_path / "stored" / "part_month=2025-03").iterdir()}
-    # key 2 moves from February, which then is empty, to April; key 1 is changed twice
+    merge_stored(spark, path, first, ["pk"], ["seq"], "day", covered=("2025-01-01", "2025-03-31"))
+    before = stored_files(tmp_path)
+    # key 2 moves from February, which then is empty, to April; key 1 is changed twice; key 3 comes late
     second = frame(
-        spark, (2, day("2025-04-01"), 20, 1), (1, day("2025-01-06"), 10, 1), (1, day("2025-01-07"), 11, 2)
+        spark, (2, day("2025-04-01"), 20, 1), (1, day("2025-01-06"), 10, 1), (1, day("2025-01-07"), 11, 2), (3, day("2025-03-05"), 9, -1)
     )
     for _ in range(2):
-        merge_stored(spark, path, second, ["pk"], ["seq"], "day")
+        merge_stored(spark, path, second, ["pk"], ["seq"], "day", covered=("2025-04-01", None))
         got = sorted((r.pk, str(r.day), r.amount) for r in read_months(spark, path).collect())
-        assert got == [(1, "2025-01-07", 11), (2, "2025-04-01", 20), (3, "2025-03-05", 3), (4, "2025-03-06", 4)]
-    assert {f.name for f in (tmp_path / "stored" / "part_month=2025-03").iterdir()} == before
-    assert not (tmp_path / "stored" / "part_month=2025-02").exists()
+        assert got == [(1, "2025-01-07", 11), (2, "2025-04-01", 20), (3, "2025-03-05", 3), (4, "None", 4)]
+    assert rows_of(covered_ranges(spark, path)) == [(day("2025-01-01"), None)]
+    after = stored_files(tmp_path)
+    assert all(after[f] == t for f, t in before.items())
+
+
+def test_a_merge_that_fails_loses_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "stored")
+    merge_stored(spark, path, frame(spark, (1, day("2025-01-05"), 1, 0), (2, day("2025-01-06"), 2, 0)), ["pk"], ["seq"], "day")
+    want = rows_of(read_months(spark, path))
+    change = frame(spark, (1, day("2025-01-05"), 9, 1))
+    # in the middle of writing the month
+    broken = change.selectExpr("pk", "day", "if(amount = 9, cast(raise_error('lost') as bigint), amount) as amount", "seq")
+    with pytest.raises(Exception):
+        merge_stored(spark, path, broken, ["pk"], ["seq"], "day")
+    assert rows_of(read_months(spark, path)) == want
+    # after writing it, before the new version is in place
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "_put_version", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            merge_stored(spark, path, change, ["pk"], ["seq"], "day")
+    assert rows_of(read_months(spark, path)) == want
+    merge_stored(spark, path, change, ["pk"], ["seq"], "day")
+    assert sorted(r.amount for r in read_months(spark, path).collect()) == [2, 9]
+
+
+def test_refresh_of_a_range(spark):
+    source = frame(spark, *[(i, day("2025-01-01") + dt.timedelta(i), i, 1) for i in range(20)])
+    held = source.where("pk between 5 and 9").withColumn("amount", F.lit(-1).cast("bigint"))
+    covered = spark.sql("select date'2025-01-06' held_min, date'2025-01-10' held_max")
+    out, now = refresh_range(held, covered, source, "day", "2025-01-03", None, "2025-01-15")
+    assert sorted((r.pk, r.amount) for r in out.collect()) == [(i, -1 if 5 <= i <= 9 else i) for i in range(2, 20)]
+    assert rows_of(now) == [(day("2025-01-03"), day("2025-01-15"))]
+    same, _ = refresh_range(held, covered, source, "day", "2025-01-07", "2025-01-09")
+    assert rows_of(same) == rows_of(held)
+
+
+def test_diff_takes_a_null_key_for_a_key(spark):
+    rows = spark.createDataFrame([(None, 1), (2, None)], "k int, v int")
+    assert {r.status for r in snapshot_diff(rows, rows, ["k"], ["v"]).collect()} == {"unchanged"}
+
+
+def test_an_old_delivery_does_not_win(spark):
+    held = frame(spark, (1, day("2025-01-05"), 1, 5))
+    assert [r.amount for r in keyed_upsert(held, frame(spark, (1, day("2025-01-05"), 2, 4)), ["pk"], ["seq"]).collect()] == [1]
+    assert [r.amount for r in keyed_upsert(held, frame(spark, (1, day("2025-01-05"), 2, 5)), ["pk"], ["seq"]).collect()] == [2]

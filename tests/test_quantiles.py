@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tablelens.operators.quantiles import column_quantiles, exact_quantiles
+from tablelens.operators.quantiles import exact_quantiles
 
 WANTED = {"a": 0.0, "b": 0.1, "c": 0.25, "d": 0.5, "e": 0.99, "f": 1.0}
 
@@ -31,14 +31,11 @@ def skewed(spark):
     return df.replace(float("nan"), None), pdf
 
 
-# a coarse sketch gives wide intervals; with a limit of 3 groups the two large
-# ones are bracketed and the others sorted, with 0 all are sorted
-@pytest.mark.parametrize(
-    ("accuracy", "max_groups"), [(10, 4), (100, 4), (20_000, 4), (100, 3), (100, 0)]
-)
-def test_equals_numpy(skewed, accuracy, max_groups):
+# small intervals make several passes, a large one none
+@pytest.mark.parametrize("interval", [5, 300, 1_000_000])
+def test_equals_numpy(skewed, interval):
     df, pdf = skewed
-    out = exact_quantiles(df, ["k", "g"], "v", WANTED, accuracy, max_groups).toPandas()
+    out = exact_quantiles(df, ["k", "g"], ["v"], WANTED, interval).toPandas()
     assert sorted(out["k"]) == ["copies", "hot", "one", "small"]
     for _, row in out.iterrows():
         values = pdf.loc[pdf["k"] == row["k"], "v"].to_numpy()
@@ -49,28 +46,29 @@ def test_equals_numpy(skewed, accuracy, max_groups):
 def test_without_keys(skewed):
     df, pdf = skewed
     rows = df.where("k is not null").withColumns(
-        {"w": -F.col("v"), "none": F.lit(None).cast("int"), "k2": F.hash("v")}
+        {"w": -F.col("v"), "none": F.lit(None).cast("int"), "k.2": F.hash("v")}
     )
-    for accuracy in (5, 50, 20_000):
-        out = column_quantiles(rows, ["v", "w", "none", "k2"], WANTED, accuracy).toPandas()
-        assert sorted(out["column"]) == ["k2", "v", "w"]
+    for interval in (50, 1_000_000):
+        out = exact_quantiles(rows, [], ["v", "w", "none", "k.2"], WANTED, interval).toPandas()
+        assert sorted(out["column"]) == ["k.2", "v", "w"]
         out = out.set_index("column")
-        np.testing.assert_allclose(out.loc["v"], np.quantile(pdf["v"], list(WANTED.values())))
-        np.testing.assert_allclose(out.loc["w"], np.quantile(-pdf["v"], list(WANTED.values())))
-        hashes = [r.k2 for r in rows.select("k2").collect()]
-        np.testing.assert_allclose(out.loc["k2"], np.quantile(hashes, list(WANTED.values())))
+        np.testing.assert_allclose(out.loc["v"].astype(float), np.quantile(pdf["v"], list(WANTED.values())))
+        np.testing.assert_allclose(out.loc["w"].astype(float), np.quantile(-pdf["v"], list(WANTED.values())))
+        hashes = [r[0] for r in rows.select("`k.2`").collect()]
+        np.testing.assert_allclose(out.loc["k.2"].astype(float), np.quantile(hashes, list(WANTED.values())))
 
 
-def test_many_groups_and_integers(spark):
+def test_infinite_values_and_many_groups(spark):
     df = spark.range(30_000).selectExpr("id % 3000 as k", "cast(id * 7 % 1013 as int) as v")
     want = df.toPandas().groupby("k")["v"].median()
-    for max_groups in (100, 10_000):
-        out = exact_quantiles(df, ["k"], "v", {"m": 0.5}, max_groups=max_groups)
-        got = out.toPandas().set_index("k")["m"]
-        assert (got.sort_index() == want.sort_index()).all() and len(got) == 3000
+    got = exact_quantiles(df, ["k"], ["v"], {"m": 0.5}).toPandas().set_index("k")["m"]
+    assert (got.sort_index() == want.sort_index()).all() and len(got) == 3000
+    ends = spark.createDataFrame([(float("inf"),), (float("-inf"),), (float("nan"),), (1.0,)] + [(float(i),) for i in range(20)], "v double")
+    row = exact_quantiles(ends, [], ["v"], {"low": 0.0, "m": 0.5, "high": 1.0}, 3).first()
+    assert row.low == float("-inf") and row.high == float("inf") and row.m == 9.0
 
 
 def test_no_rows(spark):
     df = spark.createDataFrame([], "k string, v double")
-    assert exact_quantiles(df, ["k"], "v", {"m": 0.5}).collect() == []
-    assert column_quantiles(df, ["v"], {"m": 0.5}).collect() == []
+    assert exact_quantiles(df, ["k"], ["v"], {"m": 0.5}).collect() == []
+    assert exact_quantiles(df, [], ["v"], {"m": 0.5}).collect() == []

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+import pytest
 from conftest import FOLDER
 from pyspark.sql import functions as F
 
@@ -78,7 +79,9 @@ def test_stream_totals_equal_the_batch(spark):
     assert sorted(map(tuple, weeks.collect())) == sorted(
         map(tuple, batch.select(*weeks.columns).collect())
     )
-    months = run(month_totals(live, "ts", spec, keys), "months", "update")
+    months = run(month_totals(live, "ts", spec, keys), "months", "complete")
+    with pytest.raises(ValueError):
+        week_totals(live, "ts", "median:value")
     batch = resample(stamped, "ts", "month", spec, keys).select(*months.columns)
     assert sorted(map(tuple, months.collect())) == sorted(map(tuple, batch.collect()))
 
@@ -86,3 +89,4 @@ def test_stream_totals_equal_the_batch(spark):
 def test_checkpoint_folder_comes_from_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert checkpoint_root(spark) == named if named else "tablelens" in checkpoint_root(spark)
+    assert checkpoint_root(spark) == checkpoint_root(spark)
