@@ -78,9 +78,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> Da
     hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("at", "size", "words", "items")).alias("found"))
     hits = hits.withColumnRenamed("doc_id", "hit_id")
     rows = docs.join(hits, docs["doc_id"].eqNullSafe(hits["hit_id"]), "left")
-    rows = rows.select(*[docs[c] for c in keep], "found", exact_words(docs["text"]).alias("_w"))
-    same = F.expr("filter(found, h -> array_join(slice(_w, h.at + 1, h.size), ' ') = h.words)")
-    rows = rows.select(*keep, F.size("_w").cast("long").alias("n_words"), F.coalesce(same, F.expr("filter(found, h -> false)")).alias("_f"))
+    rows = rows.select(*[docs[c] for c in keep], hits["found"].alias("_found"), exact_words(docs["text"]).alias("_w"))
+    same = F.expr("filter(_found, h -> array_join(slice(_w, h.at + 1, h.size), ' ') = h.words)")
+    rows = rows.select(*keep, F.size("_w").cast("long").alias("n_words"), F.coalesce(same, F.expr("filter(_found, h -> false)")).alias("_f"))
     rows = rows.withColumn("hits", F.expr("array_sort(array_distinct(transform(_f, h -> struct(h.at as at, h.size as size))))"))
     reach = F.expr(
         "aggregate(hits, named_struct('reach', 0, 'n', 0L), (a, h) -> named_struct("

@@ -75,8 +75,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     gone = later_repeats(docs, min_words).groupBy(F.col("doc_id").alias("hit_id")).agg(F.collect_set(F.struct("line", "last")).alias("runs"))
     keep = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
     rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["hit_id"]), "left")
-    rows = rows.select(*[docs[c] for c in keep], docs["text"], "runs", F.split(docs["text"], "\n", -1).alias("_lines"))
-    rows = rows.withColumn("_gone", F.expr("array_distinct(flatten(transform(runs, r -> sequence(r.line, r.last))))"))
+    rows = rows.select(*[docs[c] for c in keep], docs["text"], gone["runs"].alias("_runs"), F.split(docs["text"], "\n", -1).alias("_lines"))
+    rows = rows.withColumn("_gone", F.expr("array_distinct(flatten(transform(_runs, r -> sequence(r.line, r.last))))"))
     # a place of several rows: lines beyond the end of this one are not its own
     rows = rows.withColumn("_kept", F.expr("array_except(sequence(0, size(_lines) - 1), _gone)"))
     text = F.expr("if(_gone is null, text, array_join(transform(_kept, i -> _lines[i]), '\n'))")

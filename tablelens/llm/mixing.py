@@ -38,8 +38,9 @@ from pyspark.sql import functions as F
 from .common import groups, stored
 
 WEIGHTS = (5, 2, 1)
-#: Documents of a bucket, about.
-BUCKET = 4096
+#: Documents of a bucket, about; fewer buckets are made where one would hold fewer than POOL times the words
+#: of its source's longest document, but none of more than MOST documents.
+BUCKET, POOL, MOST = 4096, 8, 1_000_000
 
 
 def size_of(text: Column) -> Column:
@@ -48,8 +49,10 @@ def size_of(text: Column) -> Column:
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3) -> DataFrame:
-    """(source, source_size, n, target) of `sizes` (source, size); one row per source from here on."""
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    """(source, source_size, target, buckets) of `sizes` (source, size); one row per source from here on."""
+    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"), F.max("size").alias("longest"))
+    pools = F.floor(F.col("source_size") / F.greatest(POOL * F.col("longest"), F.lit(1)))
+    buckets = F.greatest(F.ceil(F.col("n") / MOST), F.least(F.ceil(F.col("n") / BUCKET), pools))
     place = F.row_number().over(Window.orderBy(F.col("source").isNull(), "source")) - 1
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (place % len(weights) + 1).cast("int"))
     # sources that reach their limit come first; the rest share what is left by weight
@@ -62,7 +65,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3)
     # while sources fill up the level to share by rises; past the last full one it falls
     per = per.withColumn("_left", left / F.sum("weight").over(after)).withColumn("level", F.max("_left").over(whole))
     per = per.withColumn("target", F.least(F.col("limit"), F.col("level") * F.col("weight")))
-    return per.select("source", "source_size", "n", "target")
+    return per.select("source", "source_size", "target", buckets.alias("buckets"))
 
 
 def _pooled(size: np.ndarray, share: np.ndarray, rng: np.random.Generator) -> np.ndarray:
@@ -147,7 +150,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, seed
     sizes = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", size_of(F.col("text")).alias("size")))
     per = stored(targets(sizes, weights, most))
     wanted = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(most)))).otherwise(0.0)
-    factor = per.select(F.col("source").alias("of"), wanted.alias("wanted"), F.ceil(F.col("n") / BUCKET).alias("buckets"))
+    factor = per.select(F.col("source").alias("of"), wanted.alias("wanted"), "buckets")
     rows = sizes.join(factor, sizes["source"].eqNullSafe(factor["of"]))
     whole = F.floor("wanted")
     rows = rows.select(
@@ -158,7 +161,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, seed
         F.when(F.col("size") > 0, F.col("wanted") - whole).otherwise(0.0).alias("share"),
         F.pmod(F.xxhash64("doc_id", "size"), F.col("buckets")).alias("bucket"),
     )
-    left = per.agg(F.max(F.ceil(F.col("n") / BUCKET))).first()[0] or 1
+    left = per.agg(F.max("buckets")).first()[0] or 1
     done, level = [], 0
     while True:
         rows = stored(_level(rows, seed, level, left == 1))
