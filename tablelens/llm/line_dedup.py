@@ -1,23 +1,26 @@
 """Line dedup: winnowing over line hashes.
 
 A window starts at each line that has words and takes as many such lines as
-reach `min_words` words. The smallest line hash of a window is its fingerprint,
-so whatever two windows share, equal windows share their fingerprint at the
-same line. Fingerprints that occur at one place only are done with; around the
-others the windows before and after the shared line are compared, which
-extends a match both ways for as long as the lines agree. A window that occurs
-at an earlier place (smaller doc_id, then smaller line) is a later repeat, and
-the lines in any later repeat go. The first place of every line stays.
-
-Any run of equal lines with at least `min_words` words in whole windows is
-found. Windows are counted before they are shuffled, so a run that a third of
-all rows hold is one row per task.
+reach `min_words` words; another one ends at each line and takes as many lines
+before it. The smallest line hash of a window is its fingerprint, so whatever
+two windows share, equal windows share their fingerprint at the same line.
+Fingerprints that occur at one place only are done with; around the others the
+windows to both sides of the shared line are compared, which extends a match
+both ways for as long as the lines agree. A window that occurs at an earlier
+place (smaller doc_id, then smaller line) is a later repeat, and the lines in
+any later repeat go. The first place of every line stays.
+
+So any run of equal lines that has `min_words` words is found to its last line:
+from each of its lines there are that many words ahead within the run, or
+behind, or the line lies in the window that starts the run. Windows are counted
+before they are shuffled, so a run that a third of all rows hold is one row per
+task.
 
 Defined cases: null text stays null, empty text empty; lines without words
-belong to no window and go only between lines that go; texts of fewer than
-`min_words` words keep all lines; rows that repeat a doc_id are one place and
-do not remove each other's lines; null doc_ids come last; extra columns stay;
-an empty table gives an empty result.
+belong to no window and go only between lines of a window that goes; texts of
+fewer than `min_words` words keep all lines; rows that repeat a doc_id are one
+place and do not remove each other's lines; null doc_ids come last; extra
+columns stay; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -41,18 +44,32 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines = lines.where("size(w) > 0").select("doc_id", "w", F.expr("transform(w, x -> x.n)").alias("n"))
     # every line has a word, so a window has min_words lines at most
     size = (
-        f"aggregate(slice(n, i, {min_words}), named_struct('sum', 0, 'len', 0), "
+        f"aggregate({{}}, named_struct('sum', 0, 'len', 0), "
         f"(acc, x) -> if(acc.sum >= {min_words}, acc, named_struct('sum', acc.sum + x, 'len', acc.len + 1)), "
         f"acc -> if(acc.sum >= {min_words}, acc.len, 0))"
     )
-    found = lines.select("doc_id", "w", F.expr(f"transform(sequence(1, size(n)), i -> {size})").alias("size"))
+    ahead = size.format(f"slice(n, i, {min_words})")
+    behind = size.format(f"reverse(slice(n, greatest(i - {min_words - 1}, 1), least(i, {min_words})))")
+    found = lines.select(
+        "doc_id",
+        "w",
+        F.expr(f"transform(sequence(1, size(n)), i -> {ahead})").alias("ahead"),
+        F.expr(f"transform(sequence(1, size(n)), i -> {behind})").alias("behind"),
+    )
+    # (first place, lines) of both kinds; a window that is of both kinds is taken once
+    spans = (
+        "concat(transform(filter(sequence(1, size(w)), i -> ahead[i - 1] > 0), i -> named_struct('at', i, 'len', ahead[i - 1])), "
+        "transform(filter(sequence(1, size(w)), i -> behind[i - 1] > 0 and ahead[i - behind[i - 1]] <> behind[i - 1]), "
+        "i -> named_struct('at', i - behind[i - 1] + 1, 'len', behind[i - 1])))"
+    )
+    found = found.select("doc_id", "w", F.expr(spans).alias("spans"))
     # the fingerprint: the smallest hash, and its line
     own = (
-        "transform(filter(sequence(1, size(w)), i -> size[i - 1] > 0), i -> named_struct("
-        "'first', w[i - 1].line, 'last', w[i + size[i - 1] - 2].line, "
-        "'mark', array_min(transform(slice(w, i, size[i - 1]), x -> named_struct('a', x.a, 'line', x.line))), "
-        "'one', xxhash64(transform(slice(w, i, size[i - 1]), x -> x.a)), "
-        "'two', xxhash64(transform(slice(w, i, size[i - 1]), x -> x.b))))"
+        "transform(spans, s -> named_struct("
+        "'first', w[s.at - 1].line, 'last', w[s.at + s.len - 2].line, "
+        "'mark', array_min(transform(slice(w, s.at, s.len), x -> named_struct('a', x.a, 'line', x.line))), "
+        "'one', xxhash64(transform(slice(w, s.at, s.len), x -> x.a)), "
+        "'two', xxhash64(transform(slice(w, s.at, s.len), x -> x.b))))"
     )
     found = found.select("doc_id", F.expr(f"inline({own})"))
     return found.select("doc_id", F.col("first").alias("line"), "last", F.col("mark.a").alias("mark"), F.col("mark.line").alias("mark_line"), "one", "two")
@@ -100,10 +117,13 @@ WITH l AS (
   SELECT doc_id, unnest(lines) AS x, unnest(range(0, len(lines))) AS line
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
 c AS (SELECT doc_id, line, x, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS n FROM l),
-s AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY line) - n AS before FROM c WHERE n > 0),
+s AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY line) AS upto FROM c WHERE n > 0),
 w AS (
   SELECT doc_id, line, max(line) OVER f AS last, sum(n) OVER f AS total, list(x) OVER f AS xs
-  FROM s WINDOW f AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)),
+  FROM (SELECT *, upto - n AS before FROM s) WINDOW f AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 49 FOLLOWING)
+  UNION
+  SELECT doc_id, min(line) OVER f AS line, line AS last, sum(n) OVER f AS total, list(x) OVER f AS xs
+  FROM s WINDOW f AS (PARTITION BY doc_id ORDER BY upto RANGE BETWEEN 49 PRECEDING AND CURRENT ROW)),
 r AS (
   SELECT *, row_number() OVER (PARTITION BY xs ORDER BY doc_id, line) AS nth FROM w WHERE total >= 50),
 g AS (SELECT DISTINCT doc_id, unnest(range(line, last + 1)) AS line FROM r WHERE nth > 1),

@@ -52,3 +52,21 @@ def repeats(rows: list[tuple[int, str | None]], width: int = 400) -> dict[int, t
         rest = bytes(b for b, g in zip(x, gone, strict=True) if not g)
         out[i] = (len(x), sum(gone), runs, hashlib.sha256(rest).hexdigest())
     return out
+
+
+def kept_lines(rows: list[tuple[int, str | None]], min_words: int) -> dict[int, list[str]]:
+    """doc_id -> lines with words that stay: all runs of at least `min_words` words that occur earlier are gone."""
+    lines = {i: [x for x in (text or "").split("\n") if x.split()] for i, text in sorted(rows)}
+    seen: set[tuple[str, ...]] = set()
+    out = {}
+    for i, own in lines.items():
+        gone: set[int] = set()
+        for a in range(len(own)):  # earlier places first
+            for b in range(a + 1, len(own) + 1):
+                run = tuple(own[a:b])
+                if sum(len(x.split()) for x in run) >= min_words:
+                    if run in seen:
+                        gone.update(range(a, b))
+                    seen.add(run)
+        out[i] = [x for k, x in enumerate(own) if k not in gone]
+    return out

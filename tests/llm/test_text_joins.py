@@ -179,6 +179,24 @@ def test_later_runs_of_lines_go(spark):
     assert line_dedup.dedup_lines(table(spark, [])).collect() == []
 
 
+def test_runs_go_to_their_last_line(spark):
+    rng = random.Random(8)
+    pool = [" ".join(f"l{k}w{i}" for i in range(rng.choice([1, 3, 8, 20, 55]))) for k in range(14)]
+    rows = []
+    for i in range(120):
+        start = rng.randrange(len(pool))
+        run = pool[start : start + rng.randrange(1, 8)]
+        own = [rng.choice(["", f"own{i} line", rng.choice(pool)]) for _ in range(rng.randrange(4))]
+        rows.append((i, "\n".join([*own, *run, *own[:1], *run[: rng.randrange(3)]])))
+    rows += [(200, "a b\n" * 60), (201, None), (202, "")]
+    got = line_dedup.dedup_lines(table(spark, rows)).collect()
+    want = brute.kept_lines(rows, line_dedup.MIN_WORDS)
+    assert {r.doc_id: [x for x in (r.text or "").split("\n") if x.split()] for r in got} == want
+    tail = f"{pool[0]} " + " ".join(f"t{i}" for i in range(60)) + "\nshort tail"
+    got = line_dedup.dedup_lines(table(spark, [(1, tail), (2, f"{tail}\nown"), (3, f"own\n{tail}")])).collect()
+    assert {r.doc_id: r.text for r in got} == {1: tail, 2: "own", 3: "own"}
+
+
 def test_lines_of_repeated_ids_stay(spark):
     long = " ".join(f"p{i}" for i in range(55))
     rows = line_dedup.dedup_lines(table(spark, [(1, long), (1, long), (None, long)])).collect()
