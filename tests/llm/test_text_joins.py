@@ -224,6 +224,14 @@ def test_contamination_cases(spark):
     assert decontaminate.contamination(table(spark, []), bench).collect() == []
 
 
+def test_small_letters_do_not_depend_on_what_is_between_words(spark):
+    rest = " ".join(f"Q{i}" for i in range(12))
+    bench = spark.createDataFrame([(1, f"ΑΣ x {rest}"), (2, "İΣ")], "item_id long, text string")
+    rows = [(1, f"ΑΣ'X {rest.lower()}"), (2, f"ΑΣ.x {rest}"), (3, f"ας x {rest}"), (4, "İΣ's")]
+    found = decontaminate.contamination(table(spark, rows), bench).collect()
+    assert {r.doc_id: (r.n_hit, r["items"]) for r in found} == {1: (14, ["1"]), 2: (14, ["1"]), 3: (13, ["1"]), 4: (1, ["2"])}
+
+
 def test_contamination_without_broadcast(spark, monkeypatch):
     want = sorted(map(tuple, queries.op3_benchmark_decontamination(spark, FOLDER).collect()))
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
