@@ -21,8 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: The same words of a text that still has its capitals.
-CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BROADCAST_WINDOWS = 2_000_000
 
@@ -35,9 +33,10 @@ def exact_words(text: Column) -> Column:
 def folded_words(text: Column) -> Column:
     """As many words, all letters in lower case: equal wherever exact_words are, and quicker.
 
-    Word by word, as the small form of a letter may depend on what follows it.
+    The small form of a capital sigma alone depends on what follows, beyond the word too, so it is set before.
     """
-    return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(CASED_WORD), F.lit(0)), F.lower)
+    small = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("Σ"), F.lit("σ")))
+    return F.regexp_extract_all(small, F.lit(WORD), F.lit(0))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = 13) -> DataFrame:
