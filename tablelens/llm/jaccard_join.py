@@ -20,8 +20,10 @@ a cell of its own. Equal sets are one node from the start.
 
 Defined cases: null or empty text and text without a word has an empty set and
 links with nothing; fewer words than a shingle count as one shingle; repeated
-rows and equal texts link; extra columns are ignored; an empty table gives an
-empty result.
+rows and equal texts link; different sets whose smallest doc_id is the same one
+are linked by it; a row without doc_id connects no others, and its component is that
+of the rows with its set, null if none of these has a doc_id; extra columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -349,7 +351,7 @@ def links(docs: DataFrame, known: DataFrame, percent: int = 75, width: int = 5)
     """
     frequent = frequent_shingles(docs, known.count(), width)
     members = cells(prefixes(docs, frequent, percent, width), percent)
-    nodes = known.where("n_shingles > 0").groupBy("s1", "s2").agg(
+    nodes = known.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2").agg(
         F.min(F.struct("doc_id", F.col("n_shingles").alias("size"), "point")).alias("of")
     )
     members = stored(members.join(nodes.select("s1", "of.*"), "s1").drop("s1"))
@@ -375,7 +377,7 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     """(doc_id, n_shingles, component_id) of every row of `docs`.
 
     component_id is the smallest doc_id that links of at least `percent` / 100
-    reach. Rows that repeat a doc_id are one document of the first text.
+    reach.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = stored(profiles(docs, width))

@@ -76,6 +76,15 @@ def test_jaccard_of_nothing(spark):
     assert {r.component_id for r in jaccard_join.jaccard_components(table(spark, [(1, None), (2, "")])).collect()} == {1, 2}
 
 
+def test_jaccard_of_rows_without_an_id(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(None, text), (5, text), (3, text + " more"), (None, "x y z a b c d"), (9, "other words"), (None, None), (None, text + " more")]
+    rows += [(7, "q"), (7, "q"), (8, text.replace("w", "v"))]
+    found = jaccard_join.jaccard_components(table(spark, rows)).collect()
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_shingles, r.component_id or -1) for r in found)
+    assert got == [(-1, 0, -1), (-1, 3, -1), (-1, 36, 3), (-1, 37, 3), (3, 37, 3), (5, 36, 3), (7, 1, 7), (7, 1, 7), (8, 36, 8), (9, 1, 9)]
+
+
 def test_near_copies_leave_one_document_and_null_ids(spark):
     text = " ".join(f"w{i}" for i in range(40))
     docs = table(spark, [(1, "other text altogether here now"), (5, text), (3, text + " more"), (None, text)])
