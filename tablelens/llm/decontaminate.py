@@ -6,8 +6,9 @@ training text is cut into words once and its windows are looked up as one long
 per window. What the hashes hit is verified in a second pass, word for word,
 next to the text. All of it is DataFrame expressions.
 
-The set is as large as the benchmark. Up to BROADCAST_WINDOWS windows (40 bytes
-each) it is broadcast; a larger benchmark is joined by a shuffle.
+The set is as large as the benchmark. Its bytes, words and item_ids included, are
+summed up first: up to BROADCAST_BYTES it is broadcast, a larger benchmark is
+joined by a shuffle.
 
 Defined cases: null or empty text has no words and no hits; an item without
 words has no windows; a null item_id hits but is no item; rows that repeat a
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 CAPITALS, SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BROADCAST_WINDOWS = 2_000_000
+#: Bytes of all windows up to which they are broadcast; ROW_BYTES of each are the row's own, beside words and items.
+BROADCAST_BYTES, ROW_BYTES = 128 << 20, 64
 
 
 def exact_words(text: Column) -> Column:
@@ -57,8 +59,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> Da
     where at least one word in twenty is hit.
     """
     windows = benchmark_windows(benchmark, window).cache()
-    sizes = [r["size"] for r in windows.select("size").distinct().collect()]  # `window` values at most
-    small = windows.count() <= BROADCAST_WINDOWS
+    item_bytes = F.octet_length(F.array_join(F.col("items").cast("array<string>"), "")) + 16 * F.size("items")
+    held = windows.groupBy("size").agg(F.sum(F.octet_length("words") + item_bytes + ROW_BYTES).alias("bytes")).collect()  # `window` rows at most
+    sizes = [r["size"] for r in held]
+    small = sum(r["bytes"] for r in held) <= BROADCAST_BYTES
     keep = [c for c in docs.columns if c not in ("n_words", "n_hit", "items", "hits", "contaminated")]
     if not sizes:
         none = F.expr("cast(array() as array<struct<at:int,size:int>>)")

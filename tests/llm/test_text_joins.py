@@ -243,5 +243,5 @@ def test_small_letters_do_not_depend_on_what_is_between_words(spark):
 
 def test_contamination_without_broadcast(spark, monkeypatch):
     want = sorted(map(tuple, queries.op3_benchmark_decontamination(spark, FOLDER).collect()))
-    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
     assert sorted(map(tuple, queries.op3_benchmark_decontamination(spark, FOLDER).collect())) == want
