@@ -7,8 +7,9 @@ two windows share, equal windows share their fingerprint at the same line.
 Fingerprints that occur at one place only are done with; around the others the
 windows to both sides of the shared line are compared, which extends a match
 both ways for as long as the lines agree. A window that occurs at an earlier
-place (smaller doc_id, then smaller line) is a later repeat, and the lines in
-any later repeat go. The first place of every line stays.
+place (smaller doc_id, then smaller hash of the text, then smaller line) is a
+later repeat, and the lines in any later repeat go. The first place of every
+line stays.
 
 So any run of equal lines that has `min_words` words is found to its last line:
 from each of its lines there are that many words ahead within the run, or
@@ -18,9 +19,10 @@ task.
 
 Defined cases: null text stays null, empty text empty; lines without words
 belong to no window and go only between lines of a window that goes; texts of
-fewer than `min_words` words keep all lines; rows that repeat a doc_id are one
-place and do not remove each other's lines; null doc_ids come last; extra
-columns stay; an empty table gives an empty result.
+fewer than `min_words` words keep all lines; rows of one doc_id with equal texts
+are one place and do not remove each other's lines, with different texts they
+are documents of their own, and so are rows without a doc_id; null doc_ids come
+last; extra columns stay; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,14 +36,14 @@ MIN_WORDS = 50
 
 
 def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, line, last, mark, mark_line, one, two) of every window; two hashes stand for its lines."""
-    lines = docs.select("doc_id", F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("all"))
+    """(doc_id, text_hash, line, last, mark, mark_line, one, two) of every window; two hashes stand for its lines."""
+    lines = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("all"))
     worded = (
         "filter(transform(all, (x, i) -> named_struct('line', i, 'n', regexp_count(x, '[^\\\\x20\\\\x09-\\\\x0D]+'), "
         "'a', xxhash64(x), 'b', xxhash64(1, x))), x -> x.n > 0)"
     )
-    lines = lines.select("doc_id", F.expr(worded).alias("w"))
-    lines = lines.where("size(w) > 0").select("doc_id", "w", F.expr("transform(w, x -> x.n)").alias("n"))
+    lines = lines.select("doc_id", "text_hash", F.expr(worded).alias("w"))
+    lines = lines.where("size(w) > 0").select("doc_id", "text_hash", "w", F.expr("transform(w, x -> x.n)").alias("n"))
     # every line has a word, so a window has min_words lines at most
     size = (
         f"aggregate({{}}, named_struct('sum', 0, 'len', 0), "
@@ -52,6 +54,7 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     behind = size.format(f"reverse(slice(n, greatest(i - {min_words - 1}, 1), least(i, {min_words})))")
     found = lines.select(
         "doc_id",
+        "text_hash",
         "w",
         F.expr(f"transform(sequence(1, size(n)), i -> {ahead})").alias("ahead"),
         F.expr(f"transform(sequence(1, size(n)), i -> {behind})").alias("behind"),
@@ -62,7 +65,7 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         "transform(filter(sequence(1, size(w)), i -> behind[i - 1] > 0 and ahead[i - behind[i - 1]] <> behind[i - 1]), "
         "i -> named_struct('at', i - behind[i - 1] + 1, 'len', behind[i - 1])))"
     )
-    found = found.select("doc_id", "w", F.expr(spans).alias("spans"))
+    found = found.select("doc_id", "text_hash", "w", F.expr(spans).alias("spans"))
     # the fingerprint: the smallest hash, and its line
     own = (
         "transform(spans, s -> named_struct("
@@ -71,30 +74,32 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         "'one', xxhash64(transform(slice(w, s.at, s.len), x -> x.a)), "
         "'two', xxhash64(transform(slice(w, s.at, s.len), x -> x.b))))"
     )
-    found = found.select("doc_id", F.expr(f"inline({own})"))
-    return found.select("doc_id", F.col("first").alias("line"), "last", F.col("mark.a").alias("mark"), F.col("mark.line").alias("mark_line"), "one", "two")
+    found = found.select("doc_id", "text_hash", F.expr(f"inline({own})"))
+    mark = (F.col("mark.a").alias("mark"), F.col("mark.line").alias("mark_line"))
+    return found.select("doc_id", "text_hash", F.col("first").alias("line"), "last", *mark, "one", "two")
 
 
 def later_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, line, last) of the windows that occur at an earlier place."""
+    """(doc_id, text_hash, line, last) of the windows that occur at an earlier place."""
     found = stored(windows(docs, min_words))
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark_line")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "mark_line")
     marks = found.groupBy("mark").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most")
     around = found.join(marks.select("mark"), "mark", "left_semi")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "line")
     firsts = around.groupBy("mark", "one", "two").agg(F.min(place).alias("least"), F.max(place).alias("most")).where("least <> most")
     later = found.join(firsts.select("mark", "one", "two", "least"), ["mark", "one", "two"])
-    return later.where(~place.eqNullSafe(F.col("least"))).select("doc_id", "line", "last")
+    return later.where(~place.eqNullSafe(F.col("least"))).select("doc_id", "text_hash", "line", "last")
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """`docs` with the later repeats taken out of `text`; `n_lines` and `n_removed` count its lines."""
-    gone = later_repeats(docs, min_words).groupBy(F.col("doc_id").alias("hit_id")).agg(F.collect_set(F.struct("line", "last")).alias("runs"))
+    gone = later_repeats(docs, min_words).groupBy(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash"))
+    gone = gone.agg(F.collect_set(F.struct("line", "last")).alias("runs"))
     keep = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
-    rows = docs.join(gone, docs["doc_id"].eqNullSafe(gone["hit_id"]), "left")
+    same = docs["doc_id"].eqNullSafe(gone["hit_id"]) & (F.xxhash64(docs["text"]) == gone["hit_hash"])
+    rows = docs.join(gone, same, "left")
     rows = rows.select(*[docs[c] for c in keep], docs["text"], gone["runs"].alias("_runs"), F.split(docs["text"], "\n", -1).alias("_lines"))
     rows = rows.withColumn("_gone", F.expr("array_distinct(flatten(transform(_runs, r -> sequence(r.line, r.last))))"))
-    # a place of several rows: lines beyond the end of this one are not its own
     rows = rows.withColumn("_kept", F.expr("array_except(sequence(0, size(_lines) - 1), _gone)"))
     text = F.expr("if(_gone is null, text, array_join(transform(_kept, i -> _lines[i]), '\n'))")
     return rows.select(

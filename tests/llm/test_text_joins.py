@@ -212,6 +212,20 @@ def test_lines_of_repeated_ids_stay(spark):
     assert sorted(r.text for r in rows) == ["", long, long]
 
 
+def test_texts_of_one_id_keep_their_own_lines(spark):
+    line = {x: " ".join(f"{x}{i}" for i in range(27)) for x in ("a0", "a1", "b0", "b1", "c0", "c1")}
+    a, b, c = (f"{line[x + '0']}\n{line[x + '1']}" for x in "abc")
+    rows = line_dedup.dedup_lines(table(spark, [(3, a), (7, a), (7, b), (None, a), (None, c), (None, None)])).collect()
+    got = sorted((r.doc_id or -1, r.text or "", r.n_removed) for r in rows)
+    assert got == sorted([(3, a, 0), (7, "", 2), (7, b, 0), (-1, "", 2), (-1, c, 0), (-1, "", 0)])
+    # different texts that share a passage at the same lines, under one id and under none
+    both = [f"{a}\n{line['b0']}", f"{a}\n{line['c0']}"]
+    for i in (4, None):
+        texts = [r.text for r in line_dedup.dedup_lines(table(spark, [(i, t) for t in both])).collect()]
+        assert sum(a in t for t in texts) == 1 and line["b0"] in "".join(texts) and line["c0"] in "".join(texts)
+    assert [r.text for r in line_dedup.dedup_lines(table(spark, [(None, a), (None, a)])).collect()] == [a, a]
+
+
 # ---------------------------------------------------------------- contamination
 
 
