@@ -16,14 +16,16 @@ its first set, so the same sets meet once and not once per shingle. Each cell
 is an R-tree join of points; the sets it cannot tell apart are joined again as
 sets, and the output is a forest: a pair that is already connected needs no
 edge. A cell that is too large is cut into blocks, and each pair of blocks is
-a cell of its own. Equal sets are one node from the start.
+a cell of its own. Equal sets are one node from the start, named by 64 bits of
+the hash of the set; a text is fetched by the doc_id and the hash of the text of
+one row that holds the set.
 
 Defined cases: null or empty text and text without a word has an empty set and
 links with nothing; fewer words than a shingle count as one shingle; repeated
-rows and equal texts link; different sets whose smallest doc_id is the same one
-are linked by it; a row without doc_id connects no others, and its component is that
-of the rows with its set, null if none of these has a doc_id; extra columns are
-ignored; an empty table gives an empty result.
+rows and equal texts link; different sets of one doc_id are nodes of their own;
+a row without doc_id connects others as any row does, and its component is null
+if no row of it has a doc_id; extra columns are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -77,7 +79,7 @@ def shingle_sets(batch: pa.RecordBatch, width: int = 5) -> Iterator[np.ndarray]:
 
 
 def profiles(docs: DataFrame, width: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, s1, s2, point): the set's size, a 128-bit hash of it and its group counts."""
+    """(doc_id, text_hash, n_shingles, s1, s2, point): the set's size, a 128-bit hash of it and its group counts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,11 +90,22 @@ def profiles(docs: DataFrame, width: int = 5) -> DataFrame:
                 two.append(mix(own ^ _ODD[1]).sum(dtype=np.uint64))
                 points.append(point(own).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), _longs(one), _longs(two), pa.array(points, pa.binary())],
-                ["doc_id", "n_shingles", "s1", "s2", "point"],
+                [batch.column(0), batch.column(1), pa.array(size, pa.int64()), _longs(one), _longs(two), pa.array(points, pa.binary())],
+                ["doc_id", "text_hash", "n_shingles", "s1", "s2", "point"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, point binary")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, n_shingles long, s1 long, s2 long, point binary")
+
+
+def distinct_sets(known: DataFrame) -> DataFrame:
+    """(s1, s2, node, doc_id, text_hash, size, point) of every set of `known` that is not empty.
+
+    doc_id and text_hash are those of its first row, null ids last.
+    """
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", F.col("n_shingles").alias("size"), "point")
+    found = known.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min(first).alias("of"))
+    return found.select("s1", "s2", F.xxhash64("s1", "s2").alias("node"), "of.doc_id", "of.text_hash", "of.size", "of.point")
 
 
 def point(own: np.ndarray) -> np.ndarray:
@@ -313,23 +326,23 @@ def link_forest(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
 
 
 def _in_blocks(members: DataFrame, cell: str) -> DataFrame:
-    """`members` (cell, doc_id, size, ...) with columns one, two: the pairs of blocks of a cell a row takes part in."""
+    """`members` (cell, node, size, ...) with columns one, two: the pairs of blocks of a cell a row takes part in."""
     total = members.groupBy(cell).agg(F.sum("size").alias("total"))
     blocks = F.when(F.col("total") <= 2 * BLOCK, 1).otherwise(F.ceil(F.col("total") / BLOCK)).cast("int")
     placed = members.join(total.select(cell, blocks.alias("blocks")), cell)
-    placed = placed.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)")))
     placed = placed.withColumns({"one": F.least("own", "with"), "two": F.greatest("own", "with")})
     return placed.drop("own", "with", "blocks")
 
 
 def candidates(members: DataFrame, percent: int) -> DataFrame:
-    """(cell, doc_id, size): sets that a bound connects, of `members` (head, doc_id, size, point)."""
-    rows = _in_blocks(members, "head").repartition("head", "one", "two").sortWithinPartitions("head", "one", "two", "doc_id")
+    """(cell, node, size): sets that a bound connects, of `members` (head, node, size, point)."""
+    rows = _in_blocks(members, "head").repartition("head", "one", "two").sortWithinPartitions("head", "one", "two", "node")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in groups(batches, ["head", "one", "two"]):
-            ids, sizes = rows.column("doc_id").to_numpy(), rows.column("size").to_numpy().astype(np.int64)
+            ids, sizes = rows.column("node").to_numpy(), rows.column("size").to_numpy().astype(np.int64)
             points = [np.frombuffer(p, np.uint16) for p in rows.column("point").to_pylist()]
             forest = Forest(len(ids))
             for i, j in bounded_pairs(points, sizes, percent):
@@ -339,25 +352,30 @@ def candidates(members: DataFrame, percent: int) -> DataFrame:
                         forest.join(a, b)
             root = np.array([forest.root(x) for x in range(len(ids))])
             many = np.bincount(root, minlength=len(ids))[root] > 1
-            yield pa.RecordBatch.from_arrays([pa.array(ids[root[many]]), pa.array(ids[many]), pa.array(sizes[many])], ["cell", "doc_id", "size"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[root[many]]), pa.array(ids[many]), pa.array(sizes[many])], ["cell", "node", "size"])
+
+    return rows.mapInArrow(run, "cell long, node long, size long").distinct()
 
-    return rows.mapInArrow(run, "cell long, doc_id long, size long").distinct()
 
+def texts_of(nodes: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, text): one text for each of `nodes`; rows that repeat it stay out."""
+    wanted = nodes.distinct().join(sets.select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), "node")
+    same = docs["doc_id"].eqNullSafe(wanted["_id"]) & (F.xxhash64(docs["text"]) == wanted["_hash"])
+    return docs.join(wanted, same).select("node", "text").dropDuplicates(["node"])
 
-def links(docs: DataFrame, known: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
-    """Edges (a, b) between the smallest doc_ids of different sets that connect all similar ones.
 
-    `known` holds the profiles of the rows of `docs`, stored.
+def links(docs: DataFrame, sets: DataFrame, n_rows: int, percent: int = 75, width: int = 5) -> DataFrame:
+    """Edges (a, b) between the nodes of different sets that connect all similar ones.
+
+    `sets` holds the distinct sets of the `n_rows` rows of `docs`, stored.
     """
-    frequent = frequent_shingles(docs, known.count(), width)
+    frequent = frequent_shingles(docs, n_rows, width)
     members = cells(prefixes(docs, frequent, percent, width), percent)
-    nodes = known.where("n_shingles > 0 and doc_id is not null").groupBy("s1", "s2").agg(
-        F.min(F.struct("doc_id", F.col("n_shingles").alias("size"), "point")).alias("of")
-    )
-    members = stored(members.join(nodes.select("s1", "of.*"), "s1").drop("s1"))
+    members = stored(members.join(sets.select("s1", "node", "size", "point"), "s1").drop("s1"))
     close = stored(candidates(members, percent))
-    rows = _in_blocks(close, "cell").join(docs.select("doc_id", "text"), "doc_id").select("cell", "one", "two", "doc_id", "text")
-    rows = rows.repartition("cell", "one", "two").sortWithinPartitions("cell", "one", "two", "doc_id")
+    texts = texts_of(close.select("node"), docs, sets)
+    rows = _in_blocks(close, "cell").join(texts, "node").select("cell", "one", "two", "node", "text")
+    rows = rows.repartition("cell", "one", "two").sortWithinPartitions("cell", "one", "two", "node")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -373,6 +391,13 @@ def links(docs: DataFrame, known: DataFrame, percent: int = 75, width: int = 5)
     return rows.mapInArrow(run, "a long, b long")
 
 
+def grouped_sets(docs: DataFrame, known: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
+    """(s1, s2, doc_id, component) of every set of `known` that is not empty; component is the smallest node that links reach."""
+    sets = stored(distinct_sets(known))
+    found = stored(components(links(docs, sets, known.count(), percent, width)))
+    return sets.join(found, "node", "left").select("s1", "s2", "doc_id", F.coalesce("component", "node").alias("component"))
+
+
 def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of `docs`.
 
@@ -381,10 +406,10 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = stored(profiles(docs, width))
-    found = stored(components(links(docs, known, percent, width)))
-    smallest = known.where("n_shingles > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("node"))
-    smallest = smallest.join(found, "node", "left").select("s1", "s2", F.coalesce("component", "node").alias("component_id"))
-    return known.join(smallest, ["s1", "s2"], "left").select(
+    sets = stored(grouped_sets(docs, known, percent, width))
+    smallest = stored(sets.groupBy("component").agg(F.min("doc_id").alias("component_id")))
+    named = sets.join(smallest, "component").select("s1", "s2", "component_id")
+    return known.join(named, ["s1", "s2"], "left").select(
         "doc_id", "n_shingles", F.coalesce(F.expr("if(n_shingles > 0, component_id, null)"), "doc_id").alias("component_id")
     )
 

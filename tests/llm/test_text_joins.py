@@ -85,6 +85,16 @@ def test_jaccard_of_rows_without_an_id(spark):
     assert got == [(-1, 0, -1), (-1, 3, -1), (-1, 36, 3), (-1, 37, 3), (3, 37, 3), (5, 36, 3), (7, 1, 7), (7, 1, 7), (8, 36, 8), (9, 1, 9)]
 
 
+def test_rows_without_an_id_link_as_others_do(spark):
+    w = [f"w{i}" for i in range(40)]
+    left, middle, right = " ".join(w[:32]), " ".join(w[:40]), " ".join(w[8:40])
+    rows = [(4, left), (None, middle), (6, right), (3, " ".join(f"v{i}" for i in range(40))), (None, " ".join(f"v{i}" for i in range(41)))]
+    rows += [(None, "a b c d e f"), (9, "o p q r s t"), (9, " ".join(f"x{i}" for i in range(10)))]
+    found = jaccard_join.jaccard_components(table(spark, rows)).collect()
+    got = sorted((r.doc_id or -1, r.n_shingles, r.component_id or -1) for r in found)
+    assert got == [(-1, 2, -1), (-1, 36, 4), (-1, 37, 3), (3, 36, 3), (4, 28, 4), (6, 28, 4), (9, 2, 9), (9, 6, 9)]
+
+
 def test_near_copies_leave_one_document_and_null_ids(spark):
     text = " ".join(f"w{i}" for i in range(40))
     docs = table(spark, [(1, "other text altogether here now"), (5, text), (3, text + " more"), (None, text)])
