@@ -34,7 +34,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, SPACES, chunks, components, groups, mix, prefix_hash, span_hash, stored, words
@@ -415,7 +415,28 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
 
 
 def drop_near_copies(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
-    """`docs` with one document of each component: the one that names it. Null ids stay."""
-    found = jaccard_components(docs.where("doc_id is not null"), percent, width)
-    later = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_later"))
-    return docs.join(later, docs["doc_id"] == later["_later"], "left_anti")
+    """`docs` with one row of each component: that of the smallest doc_id, then of the smallest hash of the text.
+
+    Of the rows without doc_id in a component one stays as well. Rows with an empty set stay.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    known = stored(profiles(texts, width))
+    sets = grouped_sets(texts, known, percent, width).select("s1", "s2", "component")
+    rows = known.where("n_shingles > 0").join(sets, ["s1", "s2"]).withColumn("no_id", F.col("doc_id").isNull())
+    rows = stored(rows.groupBy("component", "no_id", "doc_id", "text_hash").agg(F.count("*").alias("n")))
+    first = rows.groupBy("component", "no_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("of"))
+    first = stored(first.select(F.col("of.doc_id").alias("_id"), F.col("of.text_hash").alias("_hash")))
+    stays = rows["doc_id"].eqNullSafe(first["_id"]) & (rows["text_hash"] == first["_hash"])
+    names = (F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    later = rows.join(first, stays, "left_anti").select(*names)
+    # rows that are equal to the one that stays: one of them
+    many = stored(rows.where("n > 1").join(first, stays, "left_semi").select(*names))
+
+    def same(other: DataFrame) -> Column:
+        return docs["doc_id"].cast("long").eqNullSafe(other["_id"]) & (F.xxhash64(docs["text"]) == other["_hash"])
+
+    if many.isEmpty():
+        return docs.join(later, same(later), "left_anti")
+    others = later.union(many)
+    once = docs.join(many, same(many), "left_semi").dropDuplicates(["doc_id", "text"])
+    return docs.join(others, same(others), "left_anti").union(once.select(*docs.columns))

@@ -102,6 +102,15 @@ def test_near_copies_leave_one_document_and_null_ids(spark):
     assert left.columns == docs.columns and sorted((r.doc_id or -1) for r in left.collect()) == [-1, 1, 3]
 
 
+def test_near_copies_are_told_by_row_not_by_id(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(3, a), (5, a), (5, b), (6, b), (7, "c d"), (7, "c d"), (7, None), (None, f"{b} more"), (None, b), (None, "e f"), (None, "e f")]
+    left = jaccard_join.drop_near_copies(table(spark, rows, component="x", no_id=1, n=2)).collect()
+    kept = sorted((r.doc_id or -1, r.text or "") for r in left)
+    assert [x for x in kept if x[0] > 0] == [(3, a), (5, b), (7, ""), (7, "c d")]
+    assert [x[1].removesuffix(" more") for x in kept if x[0] < 0] == [b, "e f"]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(0, 10_000), st.integers(50, 95))
 def test_bounds_never_lose_a_pair(seed, percent):
