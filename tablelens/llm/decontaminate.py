@@ -4,7 +4,8 @@ Test items are normalised to words and cut into windows of `window` words (a
 shorter item is one window). The set of window hashes is broadcast; every
 training text is cut into words once and its windows are looked up as one long
 per window. What the hashes hit is verified in a second pass, word for word,
-next to the text. All of it is DataFrame expressions.
+next to the text. Hits are gathered by doc_id and hash of the text, each once, so
+that a list is bounded by one text. All of it is DataFrame expressions.
 
 The set is as large as the benchmark. Its bytes, words and item_ids included, are
 summed up first: up to BROADCAST_BYTES it is broadcast, a larger benchmark is
@@ -52,6 +53,21 @@ def benchmark_windows(benchmark: DataFrame, window: int = 13) -> DataFrame:
     return items.groupBy("hash", "size", "words").agg(F.collect_set("item_id").alias("items"))
 
 
+def gathered_hits(docs: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
+    """(hit_id, hit_hash, found) of the texts that hit `windows`, of `sizes` words: by doc_id and hash of the text, each hit once."""
+    scan = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), folded_words(F.col("text")).alias("words"))
+    hashes = [
+        f"named_struct('size', {n}, 'hashes', if(size(words) >= {n}, "
+        f"transform(sequence(1, size(words) - {n} + 1), at -> xxhash64(slice(words, at, {n}))), cast(array() as array<bigint>)))"
+        for n in sizes
+    ]
+    scan = scan.select("doc_id", "text_hash", F.expr(f"inline(array({', '.join(hashes)}))"))
+    scan = scan.select("doc_id", "text_hash", "size", F.posexplode("hashes").alias("at", "hash"))
+    hits = scan.join(windows, ["hash", "size"])
+    hits = hits.groupBy(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash"))
+    return hits.agg(F.collect_set(F.struct("at", "size", "words", "items")).alias("found"))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> DataFrame:
     """`docs` with n_words, n_hit, items (sorted as texts) and contaminated; `hits` holds (at, size) from 0.
 
@@ -74,18 +90,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13) -> Da
             none.alias("hits"),
             F.lit(False).alias("contaminated"),
         )
-    scan = docs.select("doc_id", folded_words(F.col("text")).alias("words"))
-    hashes = [
-        f"named_struct('size', {n}, 'hashes', if(size(words) >= {n}, "
-        f"transform(sequence(1, size(words) - {n} + 1), at -> xxhash64(slice(words, at, {n}))), cast(array() as array<bigint>)))"
-        for n in sizes
-    ]
-    scan = scan.select("doc_id", F.expr(f"inline(array({', '.join(hashes)}))"))
-    scan = scan.select("doc_id", "size", F.posexplode("hashes").alias("at", "hash"))
-    hits = scan.join(F.broadcast(windows) if small else windows, ["hash", "size"])
-    hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("at", "size", "words", "items")).alias("found"))
-    hits = hits.withColumnRenamed("doc_id", "hit_id")
-    rows = docs.join(hits, docs["doc_id"].eqNullSafe(hits["hit_id"]), "left")
+    hits = gathered_hits(docs, F.broadcast(windows) if small else windows, sizes)
+    own = docs["doc_id"].eqNullSafe(hits["hit_id"]) & (F.xxhash64(docs["text"]) == hits["hit_hash"])
+    rows = docs.join(hits, own, "left")
     rows = rows.select(*[docs[c] for c in keep], hits["found"].alias("_found"), exact_words(docs["text"]).alias("_w"))
     same = F.expr("filter(_found, h -> array_join(slice(_w, h.at + 1, h.size), ' ') = h.words)")
     rows = rows.select(*keep, F.size("_w").cast("long").alias("n_words"), F.coalesce(same, F.expr("filter(_found, h -> false)")).alias("_f"))

@@ -266,6 +266,16 @@ def test_contamination_cases(spark):
     assert decontaminate.contamination(table(spark, []), bench).collect() == []
 
 
+def test_hits_of_one_id_meet_by_text(spark):
+    item = " ".join(f"q{i}" for i in range(15))
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = table(spark, [(None, f"own{k % 20} {item}") for k in range(40)] + [(1, f"{item} one"), (1, f"{item} two"), (None, None)])
+    lists = decontaminate.gathered_hits(docs, decontaminate.benchmark_windows(bench), [13]).collect()
+    assert len(lists) == 22 and {len(r.found) for r in lists} == {3}
+    got = decontaminate.contamination(docs, bench).collect()
+    assert len(got) == 43 and sum((r.n_words, r.n_hit, r["items"], len(r.hits)) == (16, 15, ["1"], 3) for r in got) == 42
+
+
 def test_small_letters_do_not_depend_on_what_is_between_words(spark):
     rest = " ".join(f"Q{i}" for i in range(12))
     bench = spark.createDataFrame([(1, f"ΑΣ x {rest}"), (2, "İΣ")], "item_id long, text string")
