@@ -1,12 +1,11 @@
-"""Line dedup: winnowing over line hashes.
+"""Line dedup: exact windows of lines.
 
 A window starts at each line that has words and takes as many such lines as
 reach `min_words` words; another one ends at each line and takes as many lines
-before it. The smallest line hash of a window is its fingerprint, so whatever
-two windows share, equal windows share their fingerprint at the same line.
-Fingerprints that occur at one place only are done with; around the others the
-windows to both sides of the shared line are compared, which extends a match
-both ways for as long as the lines agree. A window that occurs at an earlier
+before it. Two hashes of all its lines stand for a window. Its smallest line hash
+only leaves out early what occurs at one place; equal windows are equal in both
+hashes, with no selection of windows and no extension of matches, so nothing
+that winnowing would find is lost. A window that occurs at an earlier
 place (smaller doc_id, then smaller hash of the text, then smaller line) is a
 later repeat, and the lines in any later repeat go. The first place of every
 line stays.
@@ -66,7 +65,7 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         "i -> named_struct('at', i - behind[i - 1] + 1, 'len', behind[i - 1])))"
     )
     found = found.select("doc_id", "text_hash", "w", F.expr(spans).alias("spans"))
-    # the fingerprint: the smallest hash, and its line
+    # the mark: the smallest hash, and its line
     own = (
         "transform(spans, s -> named_struct("
         "'first', w[s.at - 1].line, 'last', w[s.at + s.len - 2].line, "
