@@ -94,6 +94,8 @@ def _unit(row: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
 def fit(docs: DataFrame, grades: DataFrame, n_grades: int) -> Model:
     """The model of training rows: `docs` (doc_id, text) and `grades` (doc_id, grade)."""
     known = grades.where("grade is not null and doc_id is not null").groupBy("doc_id").agg(F.max("grade").alias("grade"))
+    ids = docs.where("doc_id is not null").select("doc_id").distinct()
+    known = known.join(ids, "doc_id", "left_semi")
     chosen = sampled(known, SAMPLE).select("doc_id", F.col("grade").cast("long").alias("grade"))
     texts = docs.join(F.broadcast(chosen), "doc_id")  # SAMPLE ids at most
     found = presence(texts, style_features, BITS, ["doc_id", "grade"]).toArrow().sort_by("doc_id")

@@ -150,6 +150,13 @@ def test_risk_on_negatives_is_kept_from_below_zero():
     assert np.isfinite(model.weights).all() and np.abs(model.weights).max() < 20
 
 
+def test_grades_without_a_document_do_not_fill_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE", 30)
+    docs = spark.createDataFrame([(i, f"good words {i}" if i % 2 else f"bad text {i}") for i in range(30)], "doc_id long, text string")
+    grades = spark.range(3000).selectExpr("id as doc_id", "id % 2 as grade")
+    assert np.count_nonzero(quality.fit(docs, grades, 2).weights)
+
+
 def test_quality_on_held_out_rows(spark):
     docs, labels = graded_texts(spark)
     grades = labels.select("doc_id", F.expr("quality * (2 - toxic)").alias("grade"))
