@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, language_id, line_dedup, topk
+from . import chat, decontaminate, fill_in_middle, language_id, line_dedup, topk
 from .jaccard_join import jaccard_components
 from .mixing import mix
 from .registry import ORACLES, QUERIES, register, table
@@ -73,3 +73,8 @@ def op6_chat_formatting(spark, folder):
 def op8_exact_topk_search(spark, folder):
     vectors = table(spark, folder, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), topk.scaled(F.col("embedding")).alias("v"))
     return topk.top_products(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+@register("op11_fill_in_middle", fill_in_middle.ORACLE)
+def op11_fill_in_middle(spark, folder):
+    return fill_in_middle.digest(fill_in_middle.fill_in_middle(table(spark, folder, "documents")))

@@ -1,0 +1,79 @@
+"""Fill-in-middle against plain code and a round trip."""
+
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tablelens.llm import fill_in_middle as fim
+
+
+def plain(doc_id, text):
+    text = text or ""
+    h = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[8 * k : 8 * k + 8], 16) for k in range(4))
+    n = len(text)
+    if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h3 % 100 >= 90:
+        return doc_id, n, "plain", None, None, text
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    prefix, middle, suffix = text[:a], text[a:b], text[b:]
+    if h4 % 100 < 20:
+        return doc_id, n, "spm", a, b - a, f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return doc_id, n, "psm", a, b - a, f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def check(spark, rows, **extra):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({k: F.lit(v) for k, v in extra.items()})
+    found = fim.fill_in_middle(docs)
+    back = fim.restored(F.col("output"), F.col("form"))
+    got = [tuple(r) for r in found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output", back.alias("back")).collect()]
+    assert sorted(map(repr, got)) == sorted(repr((*plain(i, t), t or "")) for i, t in rows)
+
+
+def test_cases(spark):
+    texts = ["", None, "a", "ab\ncd\r\n  e", "\U0001f600\U0001f601 x" * 9, "a <P> b", "x<M", "<<S>", "$1 \\ $2 {3}", "é" * 40, "<", "\x00 a"]
+    rows = [(i, texts[i % len(texts)]) for i in range(240)] + [(None, "no id"), (None, "no id"), (-7, "negative")]
+    check(spark, rows, form="clash", n=1, output=2, prefix_chars="x", middle_chars=4, h=5)
+
+
+def test_very_long_text(spark):
+    rows = [(k, "\U0001f600a\n" * 400_000 + "z" * k) for k in range(3)] + [(9, "b" * fim.BLOCK), (10, "b" * (2 * fim.BLOCK + 1))]
+    check(spark, rows)
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from("<PSM>$\\a\n\r\U0001f600é"), max_size=30), min_size=1, max_size=40))
+def test_any_text(spark, texts):
+    check(spark, list(enumerate(texts)))
+
+
+def test_other_sentinels_and_shares(spark):
+    docs = spark.createDataFrame([(i, f"text $ number {i} of many") for i in range(300)], "doc_id long, text string")
+    sentinels = ("$[p]", "\\s", "<|m|>")
+    found = fim.fill_in_middle(docs, "seed", 100, 50, sentinels)
+    back = fim.restored(F.col("output"), F.col("form"), sentinels)
+    rows = found.withColumn("back", back).collect()
+    assert all(r.back == r.text and all(x in r.output for x in sentinels) for r in rows)
+    assert {r.form for r in rows} == {"psm", "spm"}
+    assert fim.fill_in_middle(docs, transform_percent=0).where("form <> 'plain' or output <> text").isEmpty()
+
+
+def test_nothing(spark):
+    assert fim.fill_in_middle(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_no_shuffle(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = fim.digest(fim.fill_in_middle(docs))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan and "lang" not in plan
+
+
+@pytest.mark.parametrize("sentinel", ["<P>", "a.b*", "$1", "\\E"])
+def test_quoted(spark, sentinel):
+    pattern, replacement = fim.quoted(sentinel)
+    row = spark.range(1).select(F.regexp_replace(F.lit(f"x{sentinel}y"), F.lit(pattern), F.lit(f"<{replacement}>")).alias("v")).first()
+    assert row.v == f"x<{sentinel}>y"
