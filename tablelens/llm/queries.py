@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fill_in_middle, language_id, line_dedup, topk
+from . import chat, decontaminate, fill_in_middle, language_id, line_dedup, spelling_variants, topk
 from .jaccard_join import jaccard_components
 from .mixing import mix
 from .registry import ORACLES, QUERIES, register, table
@@ -78,3 +78,8 @@ def op8_exact_topk_search(spark, folder):
 @register("op11_fill_in_middle", fill_in_middle.ORACLE)
 def op11_fill_in_middle(spark, folder):
     return fill_in_middle.digest(fill_in_middle.fill_in_middle(table(spark, folder, "documents")))
+
+
+@register("op12_spelling_variants", spelling_variants.ORACLE)
+def op12_spelling_variants(spark, folder):
+    return spelling_variants.spelling_variants(table(spark, folder, "documents"))
