@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Units that are counted as one match first, so that counting a very long text makes few matches.
-BLOCK = 4096
+BLOCK = 64
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 
 ORACLE = """
@@ -52,15 +52,14 @@ FROM parts
 """
 
 
-def count_units(text: Column, unit: str = "(?s).") -> Column:
-    """How often `unit` matches in `text`, one match after the other.
+def count_units(text: Column) -> Column:
+    """How many units (code points, line ends too) `text` has.
 
-    Whole blocks are counted first: a text of many million units makes a few
-    thousand matches instead of as many strings.
+    Whole blocks are counted as one match each, then the units of what is left:
+    a unit at a time would make a string of every code point.
     """
-    flags, bare = re.match(r"(\(\?[a-z]+\))?(.*)", unit, re.S).groups(default="")
-    rest = F.regexp_replace(text, f"{flags}\\A(?:(?:{bare}){{{BLOCK}}})*+", "")
-    return (BLOCK * F.regexp_count(text, F.lit(f"{flags}(?:{bare}){{{BLOCK}}}")) + F.regexp_count(rest, F.lit(unit))).cast("long")
+    left = F.regexp_replace(text, f"(?s)\\A(?:.{{{BLOCK}}})*+", "")
+    return (BLOCK * F.regexp_count(text, F.lit(f"(?s).{{{BLOCK}}}")) + F.regexp_count(left, F.lit("(?s)."))).cast("long")
 
 
 def drawn(doc_id: Column, seed: str, number: int) -> Column:
@@ -83,16 +82,15 @@ def fill_in_middle(
 ) -> DataFrame:
     """`docs` with n, form, prefix_chars, middle_chars and output, the text in its form."""
     p, s, m = (quoted(x)[1] for x in sentinels)
-    text, doc_id = F.coalesce(docs["text"], F.lit("")), docs["doc_id"]
-    n = count_units(text)
-    cuts = [F.pmod(drawn(doc_id, seed, k), n + 1) for k in (1, 2)]
+    text, doc_id = F.coalesce(F.col("text"), F.lit("")), F.col("doc_id")
+    cuts = [F.pmod(drawn(doc_id, seed, k), F.col("n") + 1) for k in (1, 2)]
     held = F.lit(False)
     for sentinel in sentinels:
         held = held | F.contains(text, F.lit(sentinel))
     plain = (text == "") | held | (drawn(doc_id, seed, 3) % 100 >= transform_percent)
     form = F.when(plain, "plain").when(drawn(doc_id, seed, 4) % 100 < spm_percent, "spm").otherwise("psm")
     # one column at a time: what a later one uses is computed once
-    found = docs.withColumn("n", n).withColumn("form", form)
+    found = docs.withColumn("n", count_units(text)).withColumn("form", form)
     found = found.withColumn("prefix_chars", F.when(F.col("form") != "plain", F.least(*cuts)))
     found = found.withColumn("middle_chars", F.when(F.col("form") != "plain", F.greatest(*cuts) - F.col("prefix_chars")))
     pattern = F.format_string("(?s)\\A(.{%d}+)(.{%d}+)(.*+)\\z", "prefix_chars", "middle_chars")
@@ -101,12 +99,19 @@ def fill_in_middle(
     return found.withColumn("output", F.when(F.col("form") == "plain", text).otherwise(cut))
 
 
+def before(sentinel: str) -> str:
+    """A pattern of all characters up to `sentinel`, which never goes back."""
+    first, rest = quoted(sentinel[0])[0], quoted(sentinel[1:])[0]
+    return f"([^{first}]*+(?:{first}(?!{rest})[^{first}]*+)*+)"
+
+
 def restored(output: Column, form: Column, sentinels: tuple[str, str, str] = (PREFIX, SUFFIX, MIDDLE)) -> Column:
     """The text that `output` was made of; a sentinel occurs in it only where the form put it."""
     p, s, m = (quoted(x)[0] for x in sentinels)
-    psm = F.regexp_replace(output, F.lit(f"(?s)\\A{p}(.*?){s}(.*?){m}(.*+)\\z"), F.lit("$1$3$2"))
-    spm = F.regexp_replace(output, F.lit(f"(?s)\\A{s}(.*?){p}(.*?){m}(.*+)\\z"), F.lit("$2$3$1"))
-    return F.when(form == "psm", psm).when(form == "spm", spm).otherwise(output)
+    end = f"{before(sentinels[2])}{m}(.*+)\\z"
+    pattern = F.when(form == "psm", f"(?s)\\A{p}{before(sentinels[1])}{s}{end}").otherwise(f"(?s)\\A{s}{before(sentinels[0])}{p}{end}")
+    order = F.when(form == "psm", "$1$3$2").otherwise("$2$3$1")
+    return F.when(form == "plain", output).otherwise(F.regexp_replace(output, pattern, order))
 
 
 def digest(found: DataFrame) -> DataFrame:
