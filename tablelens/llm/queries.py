@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, fill_in_middle, language_id, line_dedup, spelling_variants, topk
+from . import chat, decontaminate, fill_in_middle, language_id, line_dedup, minhash, spelling_variants, topk
 from .jaccard_join import jaccard_components
 from .mixing import mix
 from .registry import ORACLES, QUERIES, register, table
@@ -83,3 +83,8 @@ def op11_fill_in_middle(spark, folder):
 @register("op12_spelling_variants", spelling_variants.ORACLE)
 def op12_spelling_variants(spark, folder):
     return spelling_variants.spelling_variants(table(spark, folder, "documents"))
+
+
+@register("op13_minhash_near_dedup")
+def op13_minhash_near_dedup(spark, folder):
+    return minhash.near_duplicates(table(spark, folder, "documents"))
