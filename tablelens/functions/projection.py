@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def quoted(name: str) -> str:
@@ -12,6 +13,21 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def fresh(name: str, *frames: DataFrame) -> str:
+    """`name`, with as many underscores before it as make it no column of `frames`."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def with_values(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """The rows that have a value in every named column."""
+    for name in names:
+        df = df.where(F.col(quoted(name)).isNotNull())
+    return df
+
+
 def names_of(spec: str | Iterable[str] | None) -> list[str]:
     """Column names from a comma list or an iterable; blanks are trimmed away."""
     if spec is None:

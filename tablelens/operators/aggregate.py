@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.projection import quoted
+from ..functions.projection import fresh, quoted, with_values
 from .quantiles import exact_quantiles
 
+#: Values of a column that a pivot turns into columns.
+MOST_VALUES = 1_000
 FUNCTIONS = ("sum", "count", "mean", "min", "max", "median", "nunique", "std")
 
 
@@ -75,7 +77,7 @@ def group_agg(df: DataFrame, keys: Sequence[str], spec: AggSpec) -> DataFrame:
     median never holds a group in one task.
     """
     keys, aggs = list(keys), agg_list(spec, df.columns)
-    kept = df.dropna(subset=keys) if keys else df
+    kept = with_values(df, keys)
     plain = [a.over(measured(kept, a.column)) for a in aggs if a.func != "median"]
     medians = [a for a in aggs if a.func == "median"]
     by = [quoted(k) for k in keys]
@@ -86,7 +88,10 @@ def group_agg(df: DataFrame, keys: Sequence[str], spec: AggSpec) -> DataFrame:
         middles = exact_quantiles(kept, keys, [a.column for a in medians], {"middle": 0.5})
         picks = [F.max(F.when(F.col("column") == a.column, F.col("middle"))).alias(a.name) for a in medians]
         if keys:
-            out = out.join(middles.groupBy(*by).agg(*picks), keys, "left")
+            # groups have no null key, so plain equality finds them
+            names = [fresh(f"_key{i}", out) for i in range(len(by))]
+            found = middles.groupBy(*[F.col(k).alias(n) for k, n in zip(by, names, strict=True)]).agg(*picks)
+            out = out.join(found, [F.col(k) == F.col(n) for k, n in zip(by, names, strict=True)], "left")
         else:
             row = middles.agg(F.struct(*picks)).scalar()
             out = out.withColumns({a.name: row[a.name] for a in medians})
@@ -108,8 +113,9 @@ def scalar_agg(df: DataFrame, spec: AggSpec) -> DataFrame:
 
 def value_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows per group of non-null keys, most frequent first, ties by key."""
-    counts = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias("count"))
-    return counts.orderBy(F.desc("count"), *keys)
+    by = [quoted(k) for k in keys]
+    counts = with_values(df, keys).groupBy(*by).agg(F.count("*").alias("count"))
+    return counts.orderBy(F.desc("count"), *by)
 
 
 def count_records(df: DataFrame, where: Column | str | None = None) -> DataFrame:
@@ -127,8 +133,7 @@ def with_total(df: DataFrame, total: str = "total_groups") -> DataFrame:
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
     """Rows per label and their share of all labelled rows in percent."""
-    labelled = df.dropna(subset=[column])
-    counts = labelled.groupBy(column).agg(F.count("*").alias("count"))
+    counts = with_values(df, [column]).groupBy(quoted(column)).agg(F.count("*").alias("count"))
     # from the counts, not from the rows again
     total = counts.agg(F.sum("count")).scalar()
     return counts.withColumn("percent", F.col("count") * 100.0 / total)
@@ -136,7 +141,7 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
 
 def pivot_values(df: DataFrame, column: str, limit: int | None = None) -> list | None:
     """The distinct non-null values of a pivot column, sorted; None if there are more than `limit`."""
-    found = df.select(quoted(column)).dropna().distinct()
+    found = with_values(df.select(quoted(column)), [column]).distinct()
     rows = (found if limit is None else found.limit(limit + 1)).collect()
     return None if limit is not None and len(rows) > limit else sorted(row[0] for row in rows)
 
@@ -147,12 +152,13 @@ def pivot(
     column: str,
     spec: AggSpec,
     values: Sequence | None = None,
-    most_values: int | None = None,
+    most_values: int | None = MOST_VALUES,
 ) -> DataFrame:
     """Cross table: groups as rows, the values of `column` as columns, empty cells 0.
 
     Where `column` has more than `most_values` values, the cells are returned
-    as rows (keys, column, aggregate) instead.
+    as rows (keys, column, aggregate) instead, so what is collected and planned
+    is bounded; None means that the caller knows them to be few.
 
     Only the first aggregate counts. Cells are aggregated per (keys, value)
     before they are turned into columns. Pass `values` to save the pass that
@@ -160,16 +166,17 @@ def pivot(
     without them a given value keeps its column.
     """
     keys, first = list(keys), agg_list(spec, df.columns)[0]
-    kept = df.dropna(subset=[*keys, column])
+    kept = with_values(df, [*keys, column])
     cells = group_agg(kept, [*keys, column], [first])
     always_filled = first.func in ("sum", "count", "nunique")
     if not always_filled:
         # a group without any value gives no cell and no row
-        cells = cells.dropna(subset=[first.name])
+        cells = with_values(cells, [first.name])
     if values is None:
         values = pivot_values(kept if always_filled else cells, column, most_values)
     if values is None:
         return cells
-    cell = F.first(first.name, ignorenulls=True)
-    wide = cells.groupBy(*keys).pivot(column, list(values)).agg(cell)
-    return wide.na.fill(0, subset=[c for c in wide.columns if c not in keys])
+    cell, name = F.first(quoted(first.name), ignorenulls=True), fresh("_column", cells)
+    by = [quoted(k) for k in keys]
+    wide = cells.withColumnRenamed(column, name).groupBy(*by).pivot(name, list(values)).agg(cell)
+    return wide.na.fill(0, subset=[quoted(c) for c in wide.columns if c not in keys])

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.projection import fresh, quoted
 from .joins import lookup_join
 from .normalize import parse_value_map
 
@@ -105,8 +106,9 @@ def classify_tier(
         return df.withColumn("tier", tier_of(df[column]))
     flags = [name for name, _ in FLAG_CLASSES]
     any_flag = F.greatest(*[F.coalesce(F.col(f), F.lit(False)) for f in flags])
-    flagged = lookup_join(df, annotations.select(*on, any_flag.alias("_flagged")), on)
-    return flagged.withColumn("tier", tier_of(F.col(column), F.col("_flagged"))).drop("_flagged")
+    name = fresh("_flagged", df)
+    flagged = lookup_join(df, annotations.select(*map(quoted, on), any_flag.alias(name)), on)
+    return flagged.withColumn("tier", tier_of(F.col(quoted(column)), F.col(name))).drop(name)
 
 
 def disabled_rules(store: DataFrame) -> DataFrame:
@@ -152,15 +154,17 @@ def classify_with_overrides(fields: DataFrame, store: DataFrame) -> DataFrame:
     off = disabled_rules(store)
     everywhere = off.where(F.col("table_name") == "*").agg(F.max("disabled")).scalar()
     per_table = off.where(F.col("table_name") != "*")
-    joined = lookup_join(fields, per_table, ["table_name"])
-    joined = lookup_join(joined, field_overrides(store), ["table_name", "field_name"])
+    switched, chosen, found = fresh("_disabled", fields), fresh("_override", fields), fresh("_o", fields)
+    joined = lookup_join(fields, per_table.withColumnRenamed("disabled", switched), ["table_name"])
+    overrides = field_overrides(store).withColumnRenamed("override", chosen)
+    joined = lookup_join(joined, overrides, ["table_name", "field_name"])
     none = F.array().cast("array<string>")
-    disabled = F.concat(F.coalesce(F.col("disabled"), none), F.coalesce(everywhere, none))
+    disabled = F.concat(F.coalesce(F.col(switched), none), F.coalesce(everywhere, none))
     outcome = F.when(
-        F.col("override").isNotNull(), _outcome(F.col("override"), "override", "high")
+        F.col(chosen).isNotNull(), _outcome(F.col(chosen), "override", "high")
     ).otherwise(rule_outcome(F.col("field_name"), NAME_RULES, disabled))
-    return joined.withColumn("_o", outcome).select(
-        *fields.columns, "_o.class", "_o.rule", "_o.confidence"
+    return joined.withColumn(found, outcome).select(
+        *map(quoted, fields.columns), f"{found}.class", f"{found}.rule", f"{found}.confidence"
     )
 
 
@@ -175,8 +179,9 @@ def conditional_enrich(classified: DataFrame, annotations: DataFrame, on: Sequen
         chain = F.when(hit, outcome) if chain is None else chain.when(hit, outcome)
     outcome = chain.otherwise(F.struct("class", "rule", "confidence"))
     rest = [c for c in classified.columns if c not in ("class", "rule", "confidence")]
-    return joined.withColumn("_o", outcome).select(
-        *rest, "_o.class", "_o.rule", "_o.confidence"
+    found = fresh("_o", joined)
+    return joined.withColumn(found, outcome).select(
+        *map(quoted, rest), f"{found}.class", f"{found}.rule", f"{found}.confidence"
     )
 
 

@@ -12,8 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.predicates import day_range
+from ..functions.projection import quoted
 from .joins import match
+from .key_index import build_key_index, months_of
 from .keyed import dedup_keep_last, keyed_upsert, union_by_name
+from .paging import keep_most_recent
 
 MONTH = "part_month"
 Day = str | dt.date | None
@@ -148,37 +151,150 @@ def merge_stored(
     date: str,
     dates_move: bool = True,
     covered: tuple[Day, Day] | None = None,
-) -> None:
+    key_index: bool = False,
+    most: int | None = None,
+) -> dict:
     """Upsert into a table stored by month, writing only the months it touches.
 
     Touched are the months of the incoming rows and, as a row may get another
     date, the months where their keys are held now. Finding those reads the key
     columns of the whole table; `dates_move=False` saves that where a key never
-    changes its month. New months go to a new folder, and a new version file
-    that names the folder of every month is put in place last: until then
-    readers see the old version whole, and no old file is touched. Running the
-    same merge again gives the same table. `covered` is the range the rows were
-    fetched for, recorded even where it held none.
+    changes its month, and `key_index=True` limits it to the months whose stored
+    key filter may hold an arriving key (months written without one are read).
+    New months go to a new folder, and a new version file that names the folder
+    of every month is put in place last: until then readers see the old version
+    whole, and no old file is touched. Running the same merge again gives the
+    same table. `covered` is the range the rows were fetched for, recorded even
+    where it held none. With `most`, only so many rows stay, the newest by
+    `date`, and what counts as covered begins after the last day that lost rows.
+
+    Returns the months that were searched for arriving keys and those written.
     """
     now = _version(spark, path)
     latest = dedup_keep_last(incoming, keys, seq)
     held = _months(spark, now)
     touched = with_month(latest, date).select(MONTH)
+    searched: list[str] = []
     if held is not None and dates_move:
-        moved = match(held.select(*keys, MONTH), latest.select(*keys).distinct(), keys, "left_semi")
+        searched = sorted(now["months"])
+        wanted = latest.select(*map(quoted, keys)).distinct()
+        if key_index:
+            searched = _may_hold(spark, path, now, wanted, keys)
+        moved = match(held.where(_in_months(searched)).select(*map(quoted, keys), MONTH), wanted, keys, "left_semi")
         touched = touched.union(moved.select(MONTH))
     # bounded by the calendar: one entry per month
     months = {r[0] or "" for r in touched.distinct().collect()}
     merged = latest
     if held is not None:
-        named = F.coalesce(F.col(MONTH), F.lit("")).isin(*months) if months else F.lit(False)
-        merged = keyed_upsert(held.where(named).drop(MONTH), latest, keys, seq)
-    folder = f"{path}/data/{uuid.uuid4().hex}"
-    _write_months(merged, folder, date)
-    kept = {m: f for m, f in now["months"].items() if m not in months}
-    written = {m: folder for m in _written_months(spark, folder)}
+        merged = keyed_upsert(held.where(_in_months(months)).drop(MONTH), latest, keys, seq)
+    written = _stored_months(spark, path, merged, keys, date, key_index)
+    content = {"months": {m: f for m, f in now["months"].items() if m not in months} | written["months"]}
+    content["indexes"] = now["indexes"] | written["indexes"]
     ranges = _joined([*now["covered"], *([_iso(covered)] if covered else [])])
-    _put_version(spark, path, now["version"] + 1, {"months": kept | written, "covered": ranges})
+    if most is not None:
+        content, ranges = _capped(spark, path, content, ranges, keys, date, key_index, most)
+    content["indexes"] = {f: i for f, i in content["indexes"].items() if f in content["months"].values()}
+    _put_version(spark, path, now["version"] + 1, content | {"covered": ranges})
+    return {"searched": searched, "written": sorted(months)}
+
+
+def _in_months(months) -> Column:
+    return F.coalesce(F.col(MONTH), F.lit("")).isin(*months) if months else F.lit(False)
+
+
+def _stored_months(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], date: str, key_index: bool) -> dict:
+    """Write rows by month to a new folder; the months it has, and where the filter of their keys is."""
+    name = uuid.uuid4().hex
+    folder = f"{path}/data/{name}"
+    _write_months(rows, folder, date)
+    months = {m: folder for m in _written_months(spark, folder)}
+    if not key_index or not months:
+        return {"months": months, "indexes": {}}
+    stored = _months(spark, {"months": months})
+    index = build_key_index(stored.select(*map(quoted, keys), MONTH), MONTH, keys)
+    index.write.parquet(f"{path}/indexes/{name}")
+    return {"months": months, "indexes": {folder: {"folder": f"{path}/indexes/{name}", "keys": _typed(stored, keys)}}}
+
+
+def _typed(df: DataFrame, keys: Sequence[str]) -> list[list[str]]:
+    return [[k, df.schema[k].dataType.simpleString()] for k in keys]
+
+
+def _may_hold(spark: SparkSession, path: str, version: dict, wanted: DataFrame, keys: Sequence[str]) -> list[str]:
+    """The months of a version that may hold one of the wanted keys."""
+    usable = {f: i["folder"] for f, i in version["indexes"].items() if i["keys"] == _typed(wanted, keys)}
+    found = {m for m, f in version["months"].items() if f not in usable}
+    for folder, place in usable.items():
+        own = {m for m, f in version["months"].items() if f == folder}
+        index = spark.read.parquet(place).where(F.col("month").isin(*own))
+        found |= {r[0] for r in months_of(index, wanted, keys).collect()}
+    return sorted(found)
+
+
+def _capped(
+    spark: SparkSession, path: str, content: dict, ranges: list, keys: Sequence[str], date: str, key_index: bool, most: int
+) -> tuple[dict, list]:
+    """The months that hold the newest `most` rows, the oldest of them cut, and the ranges that are still whole."""
+    held = _months(spark, content)
+    counts = {r[0]: r[1] for r in held.groupBy(F.coalesce(F.col(MONTH), F.lit("")).alias("m")).count().collect()} if held else {}
+    left, months, lost = most, {}, None
+    for month in sorted(counts, reverse=True):  # rows without a date are the oldest
+        n = counts[month]
+        if n <= left:
+            months[month] = content["months"][month]
+        else:
+            lost = lost or month
+            if left:
+                rows = held.where(_in_months([month])).drop(MONTH)
+                cut = _stored_months(spark, path, keep_most_recent(rows, left, date, list(keys)), keys, date, key_index)
+                months |= cut["months"]
+                content["indexes"] |= cut["indexes"]
+        left = max(0, left - n)
+    if lost is None:
+        return content, ranges
+    # the last day that lost rows: in the month that was cut first
+    last = None
+    if lost:
+        before = held.where(_in_months([lost])).drop(MONTH).select(F.to_date(F.col(quoted(date))).alias("d")).groupBy("d").count()
+        stays = _months(spark, {"months": {m: f for m, f in months.items() if m == lost}})
+        after = before.limit(0) if stays is None else stays.select(F.to_date(F.col(quoted(date))).alias("d")).groupBy("d").count()
+        gone = before.join(after.withColumnRenamed("count", "kept"), "d", "left").where("count > coalesce(kept, 0)")
+        last = gone.agg(F.max("d")).first()[0]
+    content = {"months": months, "indexes": content["indexes"]}
+    if last is None:  # only rows without a date went, which no range covers
+        return content, ranges
+    first = (last + dt.timedelta(1)).isoformat()
+    return content, [[max(low or first, first), high] for low, high in ranges if high is None or high >= first]
+
+
+def remove_old_versions(spark: SparkSession, path: str, keep: int = 1, older_than: float = 86_400.0) -> list[str]:
+    """Remove all but the last `keep` versions and the folders only they named; returns the names of what went.
+
+    A folder that no version names may belong to a merge that is still running;
+    it goes once it was written more than `older_than` seconds ago. Readers of
+    a removed version fail, so `keep` should cover the longest of them.
+    """
+    fs, _ = _files(spark, path)
+    names = [n for n in _names(spark, f"{path}/versions") if n.endswith(".json")]
+    gone, kept = names[: -max(1, keep)], names[-max(1, keep) :]
+    used: set[str] = set()
+    for name in kept:
+        content = _content(spark, path, name)
+        used |= {f.rpartition("/")[2] for f in content["months"].values()}
+        used |= {i["folder"].rpartition("/")[2] for i in content["indexes"].values()}
+    removed = []
+    for name in gone:
+        fs.delete(_files(spark, f"{path}/versions/{name}")[1], False)
+        removed.append(f"versions/{name}")
+    before = (dt.datetime.now(dt.UTC).timestamp() - older_than) * 1000
+    for kind in ("data", "indexes"):
+        _, at = _files(spark, f"{path}/{kind}")
+        for status in fs.listStatus(at) if fs.exists(at) else []:
+            name = status.getPath().getName()
+            if name not in used and status.getModificationTime() < before:
+                fs.delete(status.getPath(), True)
+                removed.append(f"{kind}/{name}")
+    return removed
 
 
 def read_months(spark: SparkSession, path: str) -> DataFrame:
@@ -222,9 +338,13 @@ def _version(spark: SparkSession, path: str) -> dict:
     """The last version: its number, the folder of each month, the covered ranges."""
     names = [n for n in _names(spark, f"{path}/versions") if n.endswith(".json")]
     if not names:
-        return {"version": 0, "months": {}, "covered": []}
-    text = spark.read.option("wholetext", True).text(f"{path}/versions/{names[-1]}").first()[0]
-    return {"version": int(names[-1].partition(".")[0]), **json.loads(text)}
+        return {"version": 0, "months": {}, "covered": [], "indexes": {}}
+    return {"version": int(names[-1].partition(".")[0]), **_content(spark, path, names[-1])}
+
+
+def _content(spark: SparkSession, path: str, name: str) -> dict:
+    text = spark.read.option("wholetext", True).text(f"{path}/versions/{name}").first()[0]
+    return {"indexes": {}, **json.loads(text)}
 
 
 def _put_version(spark: SparkSession, path: str, number: int, content: dict) -> None:

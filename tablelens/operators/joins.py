@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.projection import quoted
+from ..functions.projection import fresh, quoted
 
 
 def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -28,11 +28,16 @@ def one_per_key(lookup: DataFrame, on: Sequence[str], seq: Sequence[str] = ()) -
         return lookup.distinct()
     row = F.struct(*[F.col(quoted(c)) for c in rest])
     order = F.struct(*[F.col(quoted(s)) for s in seq]) if seq else F.to_json(row)
-    return lookup.groupBy(*[quoted(k) for k in on]).agg(F.max_by(row, order).alias("_row")).select(
-        *[quoted(k) for k in on], *[F.col("_row")[c].alias(c) for c in rest]
+    held = fresh("_row", lookup)
+    return lookup.groupBy(*[quoted(k) for k in on]).agg(F.max_by(row, order).alias(held)).select(
+        *[quoted(k) for k in on], *[F.col(held)[c].alias(c) for c in rest]
     )
 
 
 def lookup_join(df: DataFrame, lookup: DataFrame, on: Sequence[str], seq: Sequence[str] = ()) -> DataFrame:
     """Left join to a lookup table, reduced to one row per key first, so no row of `df` multiplies."""
-    return df.join(one_per_key(lookup, on, seq), list(on), "left")
+    names = [fresh(f"_on{i}", df, lookup) for i in range(len(on))]
+    found = one_per_key(lookup, on, seq)
+    found = found.select(*[F.col(quoted(k)).alias(n) for k, n in zip(on, names, strict=True)], *[quoted(c) for c in found.columns if c not in on])
+    same = reduce(lambda a, b: a & b, [df[quoted(k)] == F.col(n) for k, n in zip(on, names, strict=True)])
+    return df.join(found, same, "left").drop(*names)

@@ -11,13 +11,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.projection import quoted
+from ..functions.projection import fresh, quoted
 from .joins import match
 
 
 def without_keys(df: DataFrame, gone: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of `df` whose key does not occur in `gone`."""
-    return match(df, gone.select(*keys).distinct(), keys, "left_anti")
+    return match(df, gone.select(*map(quoted, keys)).distinct(), keys, "left_anti")
 
 
 def dedup_keep_last(df: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
@@ -28,12 +28,9 @@ def dedup_keep_last(df: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> D
     """
     if any(k not in df.columns for k in keys):
         return df
-    latest = Window.partitionBy(*keys).orderBy(*[F.col(s).desc_nulls_last() for s in seq])
-    return (
-        df.withColumn("_rank", F.row_number().over(latest))
-        .where(F.col("_rank") == 1)
-        .drop("_rank")
-    )
+    rank = fresh("_rank", df)
+    latest = Window.partitionBy(*map(quoted, keys)).orderBy(*[F.col(quoted(s)).desc_nulls_last() for s in seq])
+    return df.withColumn(rank, F.row_number().over(latest)).where(F.col(rank) == 1).drop(rank)
 
 
 def union_by_name(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -50,11 +47,11 @@ def keyed_upsert(
     equal ones the incoming. Where `held` lacks a column of `seq`, every
     incoming row counts as later. Only rows whose key arrives are ranked.
     """
-    arriving = incoming.select(*keys).distinct()
-    new = incoming.withColumn("_new", F.lit(1))
+    arriving, arrived = incoming.select(*map(quoted, keys)).distinct(), fresh("_new", held, incoming)
+    new = incoming.withColumn(arrived, F.lit(1))
     if all(s in held.columns for s in seq):
-        new = union_by_name(match(held, arriving, keys, "left_semi").withColumn("_new", F.lit(0)), new)
-    latest = dedup_keep_last(new, keys, [*seq, "_new"]).drop("_new")
+        new = union_by_name(match(held, arriving, keys, "left_semi").withColumn(arrived, F.lit(0)), new)
+    latest = dedup_keep_last(new, keys, [*seq, arrived]).drop(arrived)
     return union_by_name(match(held, arriving, keys, "left_anti"), latest)
 
 
@@ -68,7 +65,7 @@ def keyed_delete(
     """
     if optional is None:
         return without_keys(df, gone, keys)
-    part = F.coalesce(gone[optional], F.lit(""))
+    part = F.coalesce(gone[quoted(optional)], F.lit(""))
     exact = without_keys(df, gone.where(part != ""), [*keys, optional])
     return without_keys(exact, gone.where(part == ""), keys)
 
@@ -91,12 +88,13 @@ def grouped_concat(
     The store holds one text per (key, kind); of several the last by `seq`
     counts. So what is collected per key is bounded by the number of kinds.
     """
-    entries = store.groupBy(*keys, kind).agg(
-        F.max_by(text, F.struct(*seq)).alias("_text")
+    by, said = [quoted(k) for k in keys], fresh("_text", store)
+    entries = store.groupBy(*by, quoted(kind)).agg(
+        F.max_by(quoted(text), F.struct(*map(quoted, seq))).alias(said)
     )
-    parts = F.sort_array(F.collect_list(F.struct(F.col(kind), F.col("_text"))))
-    return entries.groupBy(*keys).agg(
-        F.array_join(F.transform(parts, lambda p: p["_text"]), sep).alias(text)
+    parts = F.sort_array(F.collect_list(F.struct(F.col(quoted(kind)).alias("kind"), F.col(said).alias("text"))))
+    return entries.groupBy(*by).agg(
+        F.array_join(F.transform(parts, lambda p: p["text"]), sep).alias(text)
     )
 
 
@@ -137,21 +135,23 @@ def snapshot_diff(
 
 def key_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every distinct key with the sides it occurs on (in_left, in_right), in one shuffle."""
+    names = left.select(*map(quoted, keys))
+    l, r = fresh("_l", names), fresh("_r", names)
     sides = [
-        df.select(*keys, F.lit(i == 0).alias("l"), F.lit(i == 1).alias("r"))
+        df.select(*map(quoted, keys), F.lit(i == 0).alias(l), F.lit(i == 1).alias(r))
         for i, df in enumerate((left, right))
     ]
     return (
         sides[0]
         .unionByName(sides[1])
-        .groupBy(*keys)
-        .agg(F.bool_or("l").alias("in_left"), F.bool_or("r").alias("in_right"))
+        .groupBy(*map(quoted, keys))
+        .agg(F.bool_or(l).alias("in_left"), F.bool_or(r).alias("in_right"))
     )
 
 
 def key_intersect(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The distinct keys both sides hold."""
-    return left.select(*keys).intersect(right.select(*keys))
+    return left.select(*map(quoted, keys)).intersect(right.select(*map(quoted, keys)))
 
 
 def overlap_counts(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

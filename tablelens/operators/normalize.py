@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.projection import quoted
+from ..functions.projection import fresh, quoted
 from .joins import one_per_key
 
 
@@ -60,9 +60,10 @@ def apply_value_map(
         lookup = F.broadcast(map_table(df.sparkSession, mapping))
     else:
         lookup = one_per_key(mapping.select("old", "new"), ["old"])
-    lookup = lookup.select(F.col("old").alias("_old"), F.col("new").alias("_new"))
-    replaced = F.when(F.col("_old").isNotNull(), F.col("_new")).otherwise(F.col(quoted(column))).alias(column)
-    joined = df.join(lookup, F.col(quoted(column)) == F.col("_old"), "left")
+    old, new = fresh("_old", df), fresh("_new", df)
+    lookup = lookup.select(F.col("old").alias(old), F.col("new").alias(new))
+    replaced = F.when(F.col(old).isNotNull(), F.col(new)).otherwise(F.col(quoted(column))).alias(column)
+    joined = df.join(lookup, F.col(quoted(column)) == F.col(old), "left")
     return joined.select(*[replaced if c == column else F.col(quoted(c)) for c in df.columns])
 
 
@@ -88,7 +89,7 @@ def normalization_notes(
             continue
         if not isinstance(mapping, DataFrame):
             mapping = map_table(df.sparkSession, mapping)
-        counts = df.groupBy(F.col(column).alias("old")).agg(F.count("*").alias("count"))
+        counts = df.groupBy(F.col(quoted(column)).alias("old")).agg(F.count("*").alias("count"))
         hits = counts.join(one_per_key(mapping.select("old", "new"), ["old"]), "old")
         parts.append(hits.select(F.lit(column).alias("field"), "old", "new", "count"))
     if not parts:

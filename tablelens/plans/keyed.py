@@ -288,6 +288,40 @@ def _(t: Tables) -> DataFrame:
     return read_months(t.spark, path)
 
 
+@query(
+    "merge_with_key_index",
+    """
+    SELECT event_id, user_id, event_type, ts::DATE + CASE WHEN event_id % 50 = 0 THEN 40 ELSE 0 END AS day,
+           CASE WHEN event_id % 50 = 0 THEN -value ELSE value END AS value,
+           CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END AS seq
+    FROM events
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    # some events come again with another date; filters of the stored months say where they were
+    path, first = _scratch(t), _events(t).withColumn("seq", F.lit(0))
+    again = first.withColumns({"day": F.date_add("day", 40), "value": -c("value"), "seq": F.lit(1)})
+    merge_stored(t.spark, path, first, ["event_id"], ["seq"], "day", key_index=True)
+    merge_stored(t.spark, path, again.where(c("event_id") % 50 == 0), ["event_id"], ["seq"], "day", key_index=True)
+    return read_months(t.spark, path)
+
+
+@query(
+    "merge_capped",
+    """
+    SELECT event_id, ts::DATE AS day FROM events ORDER BY ts::DATE DESC, event_id
+    LIMIT 3 * (SELECT count(*) // 5 FROM events)
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    # the cap of a stored table: three fifths of the rows, the newest
+    path, events = _scratch(t), _events(t).select("event_id", "day").withColumn("seq", F.lit(0))
+    most = 3 * (events.count() // 5)
+    merge_stored(t.spark, path, events.where("event_id % 2 = 0"), ["event_id"], ["seq"], "day", most=most)
+    merge_stored(t.spark, path, events.where("event_id % 2 = 1"), ["event_id"], ["seq"], "day", most=most)
+    return read_months(t.spark, path).select("event_id", "day")
+
+
 @query(
     "coverage_after_merge",
     """
@@ -322,7 +356,7 @@ def _live(t: Tables) -> DataFrame:
 @query("stream_refresh", "SELECT event_id, user_id, event_type, ts::DATE AS day, value FROM events")
 def _(t: Tables) -> DataFrame:
     path, live = _scratch(t), _live(t).withColumn("value", c("value").cast("double"))
-    refresh_stored(live, path, ["event_id"], ["ts"], "ts", uuid.uuid4().hex).start().awaitTermination()
+    refresh_stored(live, path, ["event_id"], ["ts"], "ts", uuid.uuid4().hex, key_index=True).start().awaitTermination()
     return read_months(t.spark, path).select("event_id", "user_id", "event_type", F.to_date("ts").alias("day"), "value")
 
 

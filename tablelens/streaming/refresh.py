@@ -21,17 +21,19 @@ def refresh_stored(
     seq: Sequence[str],
     date: str,
     name: str,
+    key_index: bool = False,
 ) -> DataStreamWriter:
     """Upsert every micro-batch into the table stored by month at `path`.
 
     Progress is kept under `name` in the shared checkpoint folder of the session.
     Takes what is available and stops. A batch that is delivered twice leaves
-    the same table, so a restart after a failure loses and doubles nothing.
+    the same table, so a restart after a failure loses and doubles nothing. With
+    `key_index` a batch reads the key columns only of months that may hold its keys.
     """
 
     def merge(batch: DataFrame, _: int) -> None:
         # read several times, so it is written down where every executor finds it
-        merge_stored(batch.sparkSession, path, scratch_table(batch), keys, seq, date)
+        merge_stored(batch.sparkSession, path, scratch_table(batch), keys, seq, date, key_index=key_index)
 
     return (
         stream.writeStream.foreachBatch(merge)
