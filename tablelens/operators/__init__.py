@@ -1,27 +1,33 @@
 from . import (
     aggregate,
+    anchored,
     calendar,
     classify,
     incremental,
     joins,
+    key_index,
     keyed,
     normalize,
     paging,
     quality,
     quantiles,
+    rank_index,
     summary,
 )
 
 __all__ = [
     "aggregate",
+    "anchored",
     "calendar",
     "classify",
     "incremental",
     "joins",
+    "key_index",
     "keyed",
     "normalize",
     "paging",
     "quality",
     "quantiles",
+    "rank_index",
     "summary",
 ]

@@ -9,22 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions.projection import names_of, pick_columns, quoted
 from .aggregate import with_total
-
-
-def _clauses(spec: str | Iterable[str]) -> list[tuple[str, bool]]:
-    """(column, descending) of "A asc,B desc"; no direction means asc."""
-    out = []
-    for clause in names_of(spec):
-        name, _, direction = clause.rpartition(" ")
-        if direction.lower() not in ("asc", "desc"):
-            name, direction = clause, "asc"
-        out.append((name.strip(), direction.lower() == "desc"))
-    return out
+from .rank_index import RANGE_ROWS, RankIndex, comes_after, sort_clauses
 
 
 def sort_keys(df: DataFrame, spec: str | Iterable[str]) -> list[Column]:
     """Sort columns of a spec; nulls come last both ways."""
-    columns = [(df[quoted(name)], down) for name, down in _clauses(spec)]
+    columns = [(df[quoted(name)], down) for name, down in sort_clauses(spec)]
     return [col.desc_nulls_last() if down else col.asc_nulls_last() for col, down in columns]
 
 
@@ -59,14 +49,57 @@ def page_records(
 ) -> DataFrame:
     """One page of the filtered, sorted table, with the filtered row count as column `total`.
 
-    A page far down passes all rows before it through one task; `page_after`
-    does not.
+    A page far down passes all rows before it through one task; `page_at` and
+    `page_after` do not.
     """
     counted = _counted(df if where is None else df.where(where), total)
     page = order_by(counted, orderby).offset(skip).limit(top)
     return pick_columns(page, [*names_of(select), total] if select else None)
 
 
+def page_at(
+    df: DataFrame,
+    orderby: str | Iterable[str],
+    top: int = 20,
+    skip: int = 0,
+    where: Column | str | None = None,
+    select: str | Iterable[str] | None = None,
+    total: str = "total",
+    range_rows: int = RANGE_ROWS,
+) -> DataFrame:
+    """As `page_records`, for any depth: only the ranges of the order that hold the page are sorted.
+
+    Counting the ranges runs at once; beyond a first page that is small, rows
+    before the page are counted and neither moved nor sorted.
+    """
+    held = df if where is None else df.where(where)
+    if total in held.columns:
+        raise ValueError(f"there is a column {total!r}; name the total otherwise")
+    index = RankIndex(held, orderby, range_rows)
+    first = index.range_of(skip)
+    end = skip + top - 1
+    last = first if end < first.before + first.rows else index.range_of(end)
+    rows = index.within(first.low, last.high)
+    page = order_by(rows, orderby).offset(skip - first.before).limit(top).withColumn(total, F.lit(index.total).cast("long"))
+    return pick_columns(page, [*names_of(select), total] if select else None)
+
+
+def first_rows(df: DataFrame, spec: str | Iterable[str], n: int, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """The first `n` rows of an order, in no order.
+
+    Up to `range_rows` rows meet in one task. More are found by counting: all
+    rows before the range of the last one stay, and only that range is sorted.
+    """
+    if n <= range_rows:
+        return top_rows(df, spec, n)
+    index = RankIndex(df, spec, range_rows)
+    if n >= index.total:
+        return df
+    edge = index.range_of(n - 1)
+    at_edge = top_rows(index.within(edge.low, edge.high), spec, n - edge.before)
+    return at_edge if edge.low is None else df.where(~index.after(edge.low)).unionByName(at_edge)
+
+
 def page_after(
     df: DataFrame,
     orderby: str | Iterable[str],
@@ -82,33 +115,30 @@ def page_after(
     sort column it may be the value itself. With `total`, that column holds the
     row count of the filtered table.
     """
-    clauses = _clauses(orderby)
+    clauses = sort_clauses(orderby)
     if not isinstance(last, Mapping):
         last = {clauses[0][0]: last}
     held = df if where is None else df.where(where)
     if total:
         held = _counted(held, total)
-    after, equal = F.lit(False), F.lit(True)
-    for name, down in clauses:
-        col, value = df[quoted(name)], F.lit(last[name])
-        if last[name] is not None:  # nothing comes after null
-            beyond = col < value if down else col > value
-            after = after | (equal & (beyond | col.isNull()))
-        equal = equal & col.eqNullSafe(value)
+    after = comes_after(df, clauses, [last[name] for name, _ in clauses])
     page = order_by(held.where(after), orderby).limit(top)
     return pick_columns(page, [*names_of(select), *([total] if total else [])] if select else None)
 
 
-def keep_most_recent(df: DataFrame, n: int, date: str | None, tiebreak: Sequence[str]) -> DataFrame:
+def keep_most_recent(
+    df: DataFrame, n: int, date: str | None, tiebreak: Sequence[str], range_rows: int = RANGE_ROWS
+) -> DataFrame:
     """The `n` newest rows; among equal dates the smaller tiebreak comes first, rows without a date last.
 
     Without a date column the rows with the largest tiebreak (the arrival
     number) stay. Row counts per day are read at once and say which day is the
     last one needed: rows of later days all stay and need no sort, and only
-    the rows of that day are ranked.
+    the rows of that day are ranked. No task gets more than about `range_rows`
+    rows, however large `n` is.
     """
     if date is None or date not in df.columns:
-        return top_rows(df, [f"{c} desc" for c in tiebreak], n)
+        return first_rows(df, [f"{c} desc" for c in tiebreak], n, range_rows)
     order = [f"{date} desc", *tiebreak]
     at = F.col(quoted(date))
     # one row per day of the calendar reaches this window
@@ -119,9 +149,9 @@ def keep_most_recent(df: DataFrame, n: int, date: str | None, tiebreak: Sequence
     last = needed.orderBy("day").first()
     if last is None or last["newer"] + last["rows"] < n:
         dated = last["newer"] + last["rows"] if last else 0
-        rest = top_rows(df.where(at.isNull()), list(tiebreak), n - dated)
+        rest = first_rows(df.where(at.isNull()), list(tiebreak), n - dated, range_rows)
         return df.where(at.isNotNull()).unionByName(rest)
     start = F.lit(last["day"])
     next_day = F.date_add(start, 1)
-    same_day = top_rows(df.where((at >= start) & (at < next_day)), order, n - last["newer"])
+    same_day = first_rows(df.where((at >= start) & (at < next_day)), order, n - last["newer"], range_rows)
     return df.where(at >= next_day).unionByName(same_day)

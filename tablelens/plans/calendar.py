@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.periods import period_bounds, period_filter_text, period_predicate
+from ..operators.anchored import period_compare_anchors
 from ..operators.calendar import period_compare
 from ..operators.incremental import date_gaps
 from .registry import Tables, query
@@ -185,3 +186,23 @@ def _(t: Tables) -> DataFrame:
     return date_gaps(wanted.join(held, "c_custkey", "left")).select(
         "c_custkey", "gap_min", "gap_max"
     )
+
+
+@query(
+    "period_compare_per_customer",
+    f"""
+    WITH anchors AS (SELECT o_custkey, max(o_orderdate)::DATE AS anchor FROM orders GROUP BY o_custkey),
+    periods AS (SELECT o_custkey, anchor, {_periods_sql("anchor")} AS p FROM anchors)
+    SELECT periods.o_custkey, anchor, p.pattern AS pattern, p.label AS label, p.start AS start, p.end AS "end",
+           coalesce(sum(o_totalprice::DECIMAL(15, 2)), 0)::DOUBLE AS o_totalprice_sum, count(o_totalprice) AS o_totalprice_count,
+           min(o_totalprice) AS o_totalprice_min, max(o_totalprice) AS o_totalprice_max
+    FROM periods LEFT JOIN orders ON orders.o_custkey = periods.o_custkey AND o_orderdate::DATE BETWEEN p.start AND p.end
+    GROUP BY ALL
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    # every customer has an anchor of its own: the day of its last order
+    orders = t.orders.select("o_custkey", "o_orderdate", c("o_totalprice").cast("decimal(15,2)").alias("o_totalprice"))
+    anchors = orders.groupBy("o_custkey").agg(F.max(F.to_date("o_orderdate")).alias("anchor"))
+    found = period_compare_anchors(orders, "o_orderdate", anchors, "anchor", "sum:o_totalprice,count:o_totalprice,min:o_totalprice,max:o_totalprice", ["o_custkey"])
+    return found.withColumns({f"o_totalprice_{f}": c(f"o_totalprice_{f}").cast("double") for f in ("sum", "min", "max")})

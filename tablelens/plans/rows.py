@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from ..functions.projection import pick_columns, visible_columns
 from ..functions.text import record_as_map, strip_suffix, truncate_text
 from ..operators.aggregate import count_records
 from ..operators.classify import label_name
-from ..operators.paging import keep_most_recent, order_by, page_after, page_records
+from ..operators.paging import keep_most_recent, order_by, page_after, page_at, page_records
 from ..operators.quality import type_consistency
 from ..sources import coerce_dates, drop_columns_like, load_dataset, resolve_dataset
 from .analyze import analyze
@@ -446,6 +448,44 @@ def _(t: Tables) -> DataFrame:
     return recent.select("o_orderkey", day_of("o_orderdate"), "o_totalprice")
 
 
+@query(
+    "page_at_depth",
+    """
+    SELECT l_orderkey, l_linenumber, l_extendedprice, (SELECT count(*) FROM lineitem) AS total FROM lineitem
+    ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 50 OFFSET (SELECT count(*) // 2 FROM lineitem)
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    half, wanted = t.lineitem.count() // 2, ["l_orderkey", "l_linenumber", "l_extendedprice"]
+    return page_at(t.lineitem, "l_extendedprice desc,l_orderkey,l_linenumber", 50, half, select=wanted, range_rows=5_000)
+
+
+@query(
+    "keep_half_most_recent",
+    """
+    WITH dated AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 0 THEN o_orderdate::DATE END AS day FROM orders), n AS (SELECT count(*) AS n FROM orders)
+    (SELECT 'day' AS kept, o_orderkey, day FROM dated ORDER BY day DESC NULLS LAST, o_orderkey LIMIT (SELECT n // 2 FROM n))
+    UNION ALL
+    (SELECT 'nulls', o_orderkey, day FROM dated ORDER BY day DESC NULLS LAST, o_orderkey LIMIT (SELECT n * 9 // 10 FROM n))
+    UNION ALL
+    (SELECT 'arrival', o_orderkey, day FROM dated ORDER BY o_orderkey DESC LIMIT (SELECT n // 3 FROM n))
+    UNION ALL
+    (SELECT 'one day', o_orderkey, DATE '2024-01-01' FROM orders ORDER BY o_orderkey LIMIT (SELECT n // 4 FROM n))
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    # most of a table stays: by day, with rows that have none, by arrival, and out of a single day
+    dated = t.orders.select("o_orderkey", F.when(c("o_orderkey") % 5 > 0, F.to_date("o_orderdate")).alias("day"))
+    n, small = dated.count(), 1_000
+    parts = {
+        "day": keep_most_recent(dated, n // 2, "day", ["o_orderkey"], small),
+        "nulls": keep_most_recent(dated, n * 9 // 10, "day", ["o_orderkey"], small),
+        "arrival": keep_most_recent(dated, n // 3, None, ["o_orderkey"], small),
+        "one day": keep_most_recent(dated.withColumn("day", F.lit("2024-01-01").cast("date")), n // 4, "day", ["o_orderkey"], small),
+    }
+    return reduce(DataFrame.unionByName, [rows.select(F.lit(name).alias("kept"), "o_orderkey", "day") for name, rows in parts.items()])
+
+
 @query(
     "truncate_text",
     """
