@@ -1,13 +1,17 @@
 """Exact quantiles that no single task has to hold.
 
 The built-in exact percentile keeps every distinct value of a group in one
-buffer, and its sketches all meet in one task. Here values are counted, and a
-group of few distinct values is ranked by its counts. A larger group is
-narrowed first: some of its values, chosen by their hash, cut it into buckets,
-the rows of each bucket are counted, and only the buckets that hold a wanted
-rank go on, until each is small. Every pass sends a few dozen numbers per group
-and task, and shrinks what is left by about CUTS times. All columns and all
-wanted quantiles share the passes. The cuts balance, they never decide.
+buffer, and its sketches all meet in one task. Here a group of many rows is
+narrowed by histograms: its range is cut into BUCKETS of equal width, rows per
+bucket are counted by partial aggregation, and only the buckets that hold a
+wanted rank go on, each within the least and largest value that was found in it.
+No value is shuffled before the last pass, in which every span is a single value
+or holds few rows. A pass sends at most BUCKETS small rows per group and task.
+All columns and all wanted quantiles share the passes.
+
+A bucket number grows with the value, whatever the rounding, so a span holds
+just the values between its bounds. Each pass divides the width of a span by
+BUCKETS; a range of doubles is never more than a few passes wide.
 """
 
 from __future__ import annotations
@@ -17,12 +21,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.projection import quoted
+from ..functions.projection import fresh, quoted, with_values
 from ..session import scratch_table
 
-CUTS = 64
-#: Distinct values that one task ranks at most, about.
+BUCKETS = 2_048
+#: Rows of a span that one task sorts at most, about.
 INTERVAL = 1_000_000
+_LARGEST = 1.7976931348623157e308
 
 
 def exact_quantiles(
@@ -36,108 +41,128 @@ def exact_quantiles(
 
     Rows are (keys, column, quantiles); without keys, whole columns. Nulls and
     NaN are skipped, and groups with a null key or without values are absent.
-    The sizes of the groups are estimated at once, which chooses the way; where
+    The sizes of the groups are counted at once, which chooses the way; where
     no group is large, the rest is lazy.
     """
-    keys = [quoted(k) for k in keys]
-    cells = [F.struct(F.lit(c).alias("column"), F.col(quoted(c)).cast("double").alias("_v")) for c in columns]
-    kept = df.where(F.expr(" and ".join(f"{k} is not null" for k in keys))) if keys else df
-    rows = kept.select(*keys, F.inline(F.array(*cells))).where("_v is not null and not isnan(_v)")
-    of = [*keys, "column"]
-    sizes = rows.groupBy(*of).agg(F.approx_count_distinct("_v").alias("_values"), F.count("*").alias("_total"))
-    large = sizes.where(F.col("_values") > interval)
-    if large.isEmpty():
-        return _picked(_ranked(rows, of), of, probabilities)
-    large = scratch_table(large)
-    small = rows.join(large.select(*of), [k.strip("`") for k in of], "left_anti")
-    hot = _narrowed(rows, large, of, probabilities, interval)
-    return _picked(_ranked(small, of).unionByName(hot), of, probabilities)
-
-
-def _ranked(rows: DataFrame, of: list[str]) -> DataFrame:
-    """(of, _v, _n, _at, _total): each distinct value of a group with the rank of its first row."""
-    counted = rows.groupBy(*of, "_v").agg(F.count("*").alias("_n"))
-    group = Window.partitionBy(*of)
-    earlier = group.orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    return counted.withColumns(
-        {"_at": F.coalesce(F.sum("_n").over(earlier), F.lit(0)), "_total": F.sum("_n").over(group)}
-    )
-
-
-def _inside(rows: DataFrame, spans: DataFrame, of: list[str]) -> DataFrame:
-    """Distinct values of `rows` within the spans of their group, with their rows."""
-    joined = rows.join(spans, [k.strip("`") for k in of])
-    held = joined.where("(_low is null or _v > _low) and (_high is null or _v <= _high)")
-    return held.groupBy(*of, "_span", "_low", "_high", "_before", "_total", "_values", "_v").agg(F.count("*").alias("_n"))
+    kept = with_values(df, keys)
+    names = [fresh(f"_key{i}", df) for i in range(len(keys))]
+    of = [*names, "column"]
+    by = [F.col(quoted(k)).alias(n) for k, n in zip(keys, names, strict=True)]
+    number = {c: F.col(quoted(c)).cast("double") for c in columns}
+    value = {c: F.when(~F.isnan(v), v) for c, v in number.items()}
+
+    def rows_of(some: Sequence[str]) -> DataFrame:
+        cells = [F.struct(F.lit(c).alias("column"), value[c].alias("v")) for c in some]
+        return kept.select(*by, F.inline(F.array(*cells))).where("v is not null")
+
+    # one wide row per group: no value leaves its task
+    wide = kept.groupBy(*by).agg(*[f(value[c]).alias(f"_{n}{i}") for i, c in enumerate(columns) for n, f in _SIZES.items()])
+    sizes = [F.struct(F.lit(c).alias("column"), *[F.col(f"_{n}{i}").alias(n) for n in _SIZES]) for i, c in enumerate(columns)]
+    spans = wide.select(*names, F.inline(F.array(*sizes))).where("rows > 0")
+    large = _held(spans.where(f"rows > {interval}"), bool(keys))
+    big = [r[0] for r in large.select("column").distinct().collect()]  # columns of the caller
+    if not big:
+        found = _sorted(rows_of(columns), of, probabilities)
+    else:
+        rows = rows_of(big)
+        found = _narrowed(rows, large, of, probabilities, interval, bool(keys))
+        if keys:
+            found = found.unionByName(_sorted(rows_of(columns).join(large.select(*of), of, "left_anti"), of, probabilities))
+        elif len(big) < len(columns):
+            found = found.unionByName(_sorted(rows_of([c for c in columns if c not in big]), of, probabilities))
+    return found.select(*[F.col(n).alias(k) for n, k in zip(names, keys, strict=True)], "column", *probabilities)
+
+
+_SIZES = {"rows": F.count, "low": F.min, "high": F.max}
+
+
+def _held(rows: DataFrame, grouped: bool) -> DataFrame:
+    """`rows`, computed once: without groups a few rows, which stay with the driver."""
+    return scratch_table(rows) if grouped else rows.sparkSession.createDataFrame(rows.collect(), rows.schema)
+
+
+def _sorted(rows: DataFrame, of: list[str], probabilities: Mapping[str, float]) -> DataFrame:
+    """Quantiles of groups that one task may hold."""
+    found = rows.groupBy(*of).agg(F.sort_array(F.collect_list("v")).alias("values"))
+    found = found.withColumn("total", F.size("values"))
+    for name, p in probabilities.items():
+        for side, rank in zip(("lo", "hi"), _ranks(p), strict=True):
+            found = found.withColumn(f"_{side}_{name}", F.get("values", rank.cast("int")))
+    return found.select(*of, *[_interpolated(name, p).alias(name) for name, p in probabilities.items()])
 
 
-def _narrowed(rows: DataFrame, large: DataFrame, of: list[str], probabilities: Mapping[str, float], interval: int) -> DataFrame:
-    """As `_ranked`, for the values around the wanted ranks of large groups only."""
-    spans = large.select(
-        *of,
-        F.lit("").alias("_span"),
-        F.lit(None).cast("double").alias("_low"),
-        F.lit(None).cast("double").alias("_high"),
-        F.lit(0).cast("long").alias("_before"),
-        "_total",
-        "_values",
-    )
+def _narrowed(rows: DataFrame, large: DataFrame, of: list[str], probabilities: Mapping[str, float], interval: int, grouped: bool) -> DataFrame:
+    """Quantiles of large groups (of, rows, low, high)."""
+    open_ = large.withColumns({"before": F.lit(0).cast("long"), "total": F.col("rows"), "span": F.lit("")})
+    # a span of one value, or of values that halve to the same finite number, cannot be cut further
+    small = (F.col("rows") <= interval) | (_half("low") == _half("high"))
+    done: list[DataFrame] = []
     while True:
-        spans = scratch_table(_smaller(_inside(rows, spans, of), of, probabilities))
-        if spans.agg(F.max("_values")).first()[0] <= interval:
+        spans = _held(_smaller(rows, open_, of, probabilities), grouped)
+        done.append(spans.where(small))
+        open_ = spans.where(~small)
+        if open_.isEmpty():
             break
-    values = _inside(rows, spans, of)
-    earlier = Window.partitionBy(*of, "_span").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    at = F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
-    return values.select(*of, "_v", "_n", at.alias("_at"), "_total")
-
-
-def _smaller(values: DataFrame, of: list[str], probabilities: Mapping[str, float]) -> DataFrame:
-    """The spans between cut values that hold a wanted rank."""
-    span = [*of, "_span"]
-    chosen = F.pmod(F.xxhash64("_span", "_v"), F.ceil(F.col("_values") / CUTS)) == 0
-    cuts = values.where(chosen).groupBy(*span).agg(F.sort_array(F.collect_list("_v")).alias("_cuts"))
-    placed = values.join(cuts, [k.strip("`") for k in span], "left")
-    none = F.array().cast("array<double>")
-    placed = placed.withColumn("_cuts", F.coalesce("_cuts", none))
-    placed = placed.withColumn("_bucket", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
-    counted = placed.groupBy(*span, "_low", "_high", "_before", "_total", "_cuts", "_bucket").agg(
-        F.sum("_n").alias("_rows"), F.count("*").alias("_values")
+    spans = done[0]
+    for more in done[1:]:
+        spans = spans.unionByName(more)
+    ranked = _single(spans.where("low = high"), of)
+    rest = spans.where("low < high")
+    if not rest.isEmpty():
+        ranked = ranked.unionByName(_inside_sorted(rows, rest, of))
+    return _picked(ranked, of, probabilities)
+
+
+def _smaller(rows: DataFrame, spans: DataFrame, of: list[str], probabilities: Mapping[str, float]) -> DataFrame:
+    """The buckets of the spans that hold a wanted rank, as spans."""
+
+    share = F.try_divide(_half("v") - _half("low"), _half("high") - _half("low"))
+    bucket = F.coalesce(F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)), F.lit(0))
+    placed = rows.join(spans, of).where("v >= low and v <= high")
+    counted = placed.groupBy(*of, "span", "before", "total", bucket.cast("int").alias("bucket")).agg(
+        F.count("*").alias("rows"), F.min("v").alias("low"), F.max("v").alias("high")
     )
-    # a span has one bucket per cut and one more
-    earlier = Window.partitionBy(*span).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.col("_before") + F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
-    counted = counted.withColumn("_first", first)
+    # a span has BUCKETS rows at most
+    earlier = Window.partitionBy(*of, "span").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counted = counted.withColumn("first", F.col("before") + F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
     hit = F.lit(False)
     for p in probabilities.values():
         for rank in _ranks(p):
-            hit = hit | ((F.col("_first") <= rank) & (rank < F.col("_first") + F.col("_rows")))
-    cut = F.col("_bucket")
+            hit = hit | ((F.col("first") <= rank) & (rank < F.col("first") + F.col("rows")))
     return counted.where(hit).select(
-        *of,
-        F.concat_ws(".", "_span", cut).alias("_span"),
-        F.when(cut > 0, F.get("_cuts", cut - 1)).otherwise(F.col("_low")).alias("_low"),
-        F.coalesce(F.get("_cuts", cut), "_high").alias("_high"),
-        F.col("_first").alias("_before"),
-        "_total",
-        "_values",
+        *of, "rows", "low", "high", F.col("first").alias("before"), "total", F.concat_ws(".", "span", "bucket").alias("span")
     )
 
 
+def _half(v: str) -> Column:
+    """Half the value, infinite ones as the largest finite: no difference overflows."""
+    return F.least(F.greatest(F.col(v), F.lit(-_LARGEST)), F.lit(_LARGEST)) / 2
+
+
+def _single(spans: DataFrame, of: list[str]) -> DataFrame:
+    return spans.select(*of, "total", "before", F.array("low").alias("values"), "rows")
+
+
+def _inside_sorted(rows: DataFrame, spans: DataFrame, of: list[str]) -> DataFrame:
+    held = rows.join(spans, of).where("v >= low and v <= high")
+    found = held.groupBy(*of, "span", "total", "before").agg(F.sort_array(F.collect_list("v")).alias("values"), F.count("*").alias("rows"))
+    return found.select(*of, "total", "before", "values", "rows")
+
+
 def _picked(ranked: DataFrame, of: list[str], probabilities: Mapping[str, float]) -> DataFrame:
-    """Interpolate between the values that cover the ranks around each quantile."""
-    first, after = F.col("_at"), F.col("_at") + F.col("_n")
-    picks = [F.max("_total").alias("_total")]
+    """Interpolate between the values at the ranks around each quantile; a span of one value stands for all its rows."""
+    picks = [F.max("total").alias("total")]
     for name, p in probabilities.items():
         for side, rank in zip(("lo", "hi"), _ranks(p), strict=True):
-            hit = F.when((first <= rank) & (rank < after), F.col("_v"))
-            picks.append(F.max(hit).alias(f"_{side}_{name}"))
+            inside = (rank >= F.col("before")) & (rank < F.col("before") + F.col("rows"))
+            at = F.when(F.size("values") == 1, 0).otherwise(rank - F.col("before")).cast("int")
+            picks.append(F.max(F.when(inside, F.get("values", at))).alias(f"_{side}_{name}"))
     found = ranked.groupBy(*of).agg(*picks)
     return found.select(*of, *[_interpolated(name, p).alias(name) for name, p in probabilities.items()])
 
 
 def _target(p: float) -> Column:
-    return (F.col("_total") - 1) * F.lit(float(p))
+    return (F.col("total") - 1) * F.lit(float(p))
 
 
 def _ranks(p: float) -> tuple[Column, Column]:

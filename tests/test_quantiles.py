@@ -72,3 +72,27 @@ def test_no_rows(spark):
     df = spark.createDataFrame([], "k string, v double")
     assert exact_quantiles(df, ["k"], ["v"], {"m": 0.5}).collect() == []
     assert exact_quantiles(df, [], ["v"], {"m": 0.5}).collect() == []
+
+
+def test_values_that_are_all_but_equal(spark):
+    tiny, huge = 5e-324, 1.7976931348623157e308
+    for values in ([0.0] * 9 + [tiny] * 9, [huge] * 5 + [float("inf")] * 6, [-huge, huge] * 7 + [0.0], [1.0, 1.0 + 2**-52] * 8 + [1e300]):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        row = exact_quantiles(df, [], ["v"], {"a": 0.0, "m": 0.5, "b": 1.0}, 3).first()
+        order = sorted(values)
+        n = len(order) - 1
+        assert (row.a, row.b) == (order[0], order[-1])
+        if n % 2 == 0:
+            assert row.m == order[n // 2]
+
+
+def test_a_pass_shuffles_no_values(spark):
+    from tablelens.operators import quantiles
+
+    rows = spark.range(1000).selectExpr("id % 3 as _key0", "'c' as column", "cast(id as double) as v")
+    spans = rows.groupBy("_key0", "column").agg(F.count("*").alias("rows"), F.min("v").alias("low"), F.max("v").alias("high"))
+    spans = spans.withColumns({"before": F.lit(0).cast("long"), "total": F.col("rows"), "span": F.lit("")})
+    found = quantiles._smaller(rows, F.broadcast(spans), ["_key0", "column"], {"m": 0.5})
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    keys = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "hashpartitioning(" in line]
+    assert keys and all(" v#" not in k and not k.startswith("v#") for k in keys)
