@@ -122,13 +122,19 @@ def match_spans(data: np.ndarray, ends: np.ndarray, width: int) -> np.ndarray:
         middle = (low + high + 1) // 2
         same = span_hash(hashed, p, p + middle) == span_hash(hashed, q, q + middle)
         low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
-    # the bytes themselves decide, not their hashes
-    checked = [np.array_equal(data[i : i + m], data[j : j + m]) for i, j, m in zip(p.tolist(), q.tolist(), low.tolist(), strict=True)]
-    checked = np.array(checked, bool)
-    p, q, low = p[checked], q[checked], low[checked]
+    # the bytes themselves decide, not their hashes: equal bytes always have equal hashes, so a length may only be too large
+    low = np.array([_equal_bytes(data, i, j, m) for i, j, m in zip(p.tolist(), q.tolist(), low.tolist(), strict=True)], np.int64)
+    p, q, low = p[low >= width], q[low >= width], low[low >= width]
     return merged(np.concatenate([np.stack([p, p + low], 1), np.stack([q, q + low], 1)]))
 
 
+def _equal_bytes(data: np.ndarray, i: int, j: int, most: int) -> int:
+    """How many of `most` bytes from i and from j are equal."""
+    if np.array_equal(data[i : i + most], data[j : j + most]):
+        return most
+    return int(np.argmax(data[i : i + most] != data[j : j + most]))
+
+
 def merged(spans: np.ndarray) -> np.ndarray:
     """Maximal runs of the bytes in any of the spans; adjoining spans are one run."""
     if not len(spans):
