@@ -2,13 +2,14 @@
 
 Each language has a probability for every piece of a fixed public vocabulary.
 A word's probability is the sum over all ways to cut it into pieces, which the
-forward algorithm adds up from left to right; a text's is the product over its
-words. The language with the largest product, times its share of the training
+forward algorithm adds up from left to right, over whole words and the longest
+pieces, rescaled as it goes; a text's is the product over its words. The language with the largest product, times its share of the training
 texts, is predicted, and its normalised probability is the score.
 
 Words are runs of ASCII letters and bytes beyond ASCII in lower case, with a
-mark in front, cut every WORD bytes. Every single byte is a piece, so each word
-has a segmentation. Probabilities are piece counts of the vocabulary's own
+mark in front; a text of a script without spaces is one word of any length. Every
+single byte is a piece, so each word has a segmentation. The vocabulary's file
+must lie at the same path on every executor. Probabilities are piece counts of the vocabulary's own
 segmentation of the training texts, smoothed. The fit takes a bounded sample:
 SAMPLE texts at most, those of the smallest id hashes; it counts in the tasks,
 and (languages x pieces) counts reach the driver.
@@ -38,8 +39,10 @@ from .features import fold, sampled
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLE = 12_000
-#: Longest piece and word in bytes; words kept per task; smoothing in counts per piece.
-PIECE, WORD, KEPT, SMOOTH = 12, 32, 400_000, 0.05
+#: Words kept per task; smoothing in counts per piece.
+KEPT, SMOOTH = 400_000, 0.05
+#: Words of so many bytes are scored together, which cannot underflow; longer ones one by one, in blocks of positions.
+SHORT, POSITIONS = 32, 1 << 16
 MARK = 1
 _U = np.uint64
 _NOT_LETTER = np.ones(256, bool)
@@ -65,8 +68,7 @@ def vocabulary(path: str) -> list[bytes]:
     for i in range(model.get_piece_size()):
         if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)):
             piece = model.id_to_piece(i).replace("▁", chr(MARK)).encode()
-            if len(piece) <= PIECE:
-                out[piece] = None
+            out[piece] = None
     return list(out)
 
 
@@ -118,7 +120,7 @@ def fit(docs: DataFrame, path: str = VOCABULARY) -> Model:
             counts[place[raw], languages.index(lang)] += n
     probability = counts / counts.sum(axis=0)
     tables = []
-    for size in range(1, PIECE + 1):
+    for size in range(1, max(map(len, pieces)) + 1):
         own = [p for p in pieces if len(p) == size]
         hashes = np.array([_hash(p) for p in own], np.uint64)
         order = np.argsort(hashes)
@@ -133,26 +135,61 @@ def word_scores(data: np.ndarray, start: np.ndarray, end: np.ndarray, pieces) ->
     out = np.empty((len(start), n_langs))
     hashed = prefix_hash(data)
     size = end - start
-    for n in np.unique(size).tolist():
+    for n in np.unique(size[size <= SHORT]).tolist():
         own = np.flatnonzero(size == n)
         at = start[own]
         forward = np.zeros((n + 1, len(own), n_langs))
         forward[0] = 1.0
         for stop in range(1, n + 1):
-            for length in range(1, min(stop, PIECE) + 1):
-                known, probability = pieces[length - 1]
-                if not len(known):
-                    continue
-                value = span_hash(hashed, at + stop - length, at + stop)
-                place = np.searchsorted(known, value)
-                place[place == len(known)] = 0
-                hit = np.flatnonzero(known[place] == value)
+            for length in range(1, min(stop, len(pieces)) + 1):
+                place, hit = _found(hashed, at + stop - length, at + stop, pieces[length - 1][0])
                 if len(hit):
-                    forward[stop, hit] += forward[stop - length, hit] * probability[place[hit]]
+                    forward[stop, hit] += forward[stop - length, hit] * pieces[length - 1][1][place[hit]]
         out[own] = np.log(np.maximum(forward[n], 1e-300))
+    for k in np.flatnonzero(size > SHORT).tolist():
+        out[k] = _long_word(hashed, int(start[k]), int(end[k]), pieces)
     return out
 
 
+def _found(hashed: np.ndarray, start: np.ndarray, end: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the spans among the known hashes, and which spans are there."""
+    if not len(known):
+        return np.zeros(len(start), np.int64), np.empty(0, np.int64)
+    value = span_hash(hashed, start, end)
+    place = np.searchsorted(known, value)
+    place[place == len(known)] = 0
+    return place, np.flatnonzero(known[place] == value)
+
+
+def _long_word(hashed: np.ndarray, start: int, end: int, pieces) -> np.ndarray:
+    """Log probabilities of one word; the last sums are kept, each language scaled on its own."""
+    longest, n_langs = len(pieces), pieces[0][1].shape[1]
+    ring = np.zeros((longest + 1, n_langs))
+    ring[0] = 1.0
+    scaled = np.zeros(n_langs)
+    for first in range(1, end - start + 1, POSITIONS):
+        stops = np.arange(first, min(first + POSITIONS, end - start + 1))
+        at, back, weight = [], [], []
+        for length in range(1, longest + 1):
+            own = stops[stops >= length]
+            place, hit = _found(hashed, start + own - length, start + own, pieces[length - 1][0])
+            at.append(own[hit])
+            back.append(np.full(len(hit), length))
+            weight.append(pieces[length - 1][1][place[hit]])
+        at, back, weight = np.concatenate(at), np.concatenate(back), np.concatenate(weight)
+        order = np.argsort(at, kind="stable")
+        back, weight = back[order], weight[order]
+        cuts = np.searchsorted(at[order], np.r_[stops, stops[-1] + 1])
+        for stop, a, b in zip(stops.tolist(), cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            now = (ring[(stop - back[a:b]) % (longest + 1)] * weight[a:b]).sum(axis=0)
+            ring[stop % (longest + 1)] = now
+            small = now < 1e-100
+            if small.any():
+                ring[:, small] *= 1e100
+                scaled[small] -= np.log(1e100)
+    return np.log(np.maximum(ring[(end - start) % (longest + 1)], 1e-300)) + scaled
+
+
 class _Words:
     """Scores of the words met so far, by their hash."""
 
@@ -184,7 +221,7 @@ class _Words:
 
 
 def marked_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes, start, end, row) of the words of lower-case texts, MARK before each, cut every WORD bytes."""
+    """(bytes, start, end, row) of the words of lower-case texts, MARK before each."""
     start, end, row = words(data, offsets, _NOT_LETTER)
     size = end - start + 1
     begin = np.r_[0, np.cumsum(size)]
@@ -193,10 +230,7 @@ def marked_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     inside = np.ones(len(out), bool)
     inside[begin[:-1]] = False
     out[inside] = data[np.arange(int((size - 1).sum())) + np.repeat(start - np.r_[0, np.cumsum(size - 1)][:-1], size - 1)]
-    parts = -(-size // WORD)
-    nth = np.arange(int(parts.sum())) - np.repeat(np.r_[0, np.cumsum(parts)][:-1], parts)
-    first = np.repeat(begin[:-1], parts) + nth * WORD
-    return out, first, np.minimum(first + WORD, np.repeat(begin[1:], parts)), np.repeat(row, parts)
+    return out, begin[:-1], begin[1:], row
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:

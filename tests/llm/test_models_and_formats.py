@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 from collections import Counter
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -189,14 +190,49 @@ def plain_forward(word: bytes, pieces: dict) -> np.ndarray:
     return sum(pieces[word[:k]] * plain_forward(word[k:], pieces) for k in range(1, len(word) + 1) if word[:k] in pieces)
 
 
-def test_forward_sums_all_segmentations():
-    rng = np.random.default_rng(1)
-    pieces = {p: rng.random(2) * 0.1 for p in [b"a", b"b", b"c", b"ab", b"bc", b"abc", b"ca", b"cab", b"aa"]}
+def tables_of(pieces: dict) -> list:
     tables = []
-    for size in range(1, language_id.PIECE + 1):
+    for size in range(1, max(map(len, pieces)) + 2):
         own = sorted((language_id._hash(p), p) for p in pieces if len(p) == size)
         tables.append((np.array([h for h, _ in own], np.uint64), np.array([pieces[p] for _, p in own]).reshape(-1, 2)))
-    words = [bytes(rng.choice(list(b"abc"), rng.integers(1, 9))) for _ in range(40)]
+    return tables
+
+
+def test_long_words_are_scored_whole(monkeypatch):
+    rng = np.random.default_rng(5)
+    long = bytes(rng.choice(list(b"abc"), 29).tolist())
+    pieces = {p: rng.random(2) * np.array([0.1, 1e-9]) for p in [b"a", b"b", b"c", b"ab", b"bca", long]}
+    words = [bytes(rng.choice(list(b"abc"), n).tolist()) for n in (33, 64, 300, 3000)] + [b"ab" + long + b"c" * 5 + long]
+    want = []
+    for word in words:  # all segmentations, in numbers whose exponents do not end
+        sums = [[Decimal(1), Decimal(1)]]
+        for stop in range(1, len(word) + 1):
+            ends = [p for p in pieces if word[max(0, stop - len(p)) : stop] == p]
+            sums.append([sum((sums[stop - len(p)][k] * Decimal(pieces[p][k]) for p in ends), Decimal(0)) for k in (0, 1)])
+        want.append([float(x.ln()) for x in sums[-1]])
+    ends = np.cumsum([len(w) for w in words])
+    data = np.frombuffer(b"".join(words), np.uint8)
+    got = language_id.word_scores(data, ends - [len(w) for w in words], ends, tables_of(pieces))
+    assert np.allclose(got, want, rtol=1e-9)
+    monkeypatch.setattr(language_id, "POSITIONS", 7)
+    assert np.allclose(got, language_id.word_scores(data, ends - [len(w) for w in words], ends, tables_of(pieces)))
+
+
+def test_no_piece_of_the_vocabulary_is_left_out():
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=language_id.VOCABULARY)
+    found = set(language_id.vocabulary(language_id.VOCABULARY))
+    pieces = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+    assert all(model.id_to_piece(i).replace("\u2581", chr(language_id.MARK)).encode() in found for i in pieces)
+    assert max(map(len, found)) > 12
+
+
+def test_forward_sums_all_segmentations():
+    rng = np.random.default_rng(1)
+    pieces = {p: rng.random(2) * 0.1 for p in [b"a", b"b", b"c", b"ab", b"bc", b"abc", b"ca", b"cab", b"aa"]}
+    tables = tables_of(pieces)
+    words = [bytes(rng.choice(list(b"abc"), rng.integers(1, 9)).tolist()) for _ in range(40)]
     ends = np.cumsum([len(w) for w in words])
     got = language_id.word_scores(np.frombuffer(b"".join(words), np.uint8), ends - [len(w) for w in words], ends, tables)
     assert np.allclose(got, [np.log(np.maximum(plain_forward(w, pieces), 1e-300)) for w in words])
@@ -209,7 +245,7 @@ def test_marked_words():
     got = [(int(r), data[s:e].tobytes()) for s, e, r in zip(start, end, row)]
     assert got == [
         (0, b"\x01ab"), (0, b"\x01c"), (0, b"\x01d"), (2, "\x01ü".encode()), (2, b"\x01x"),
-        (3, b"\x01" + b"a" * 31), (3, b"a" * 32), (3, b"a" * 7),
+        (3, b"\x01" + b"a" * 70),
     ]
 
 
