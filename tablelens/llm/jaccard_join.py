@@ -417,14 +417,15 @@ def jaccard_components(docs: DataFrame, percent: int = 75, width: int = 5) -> Da
 def drop_near_copies(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
     """`docs` with one row of each component: that of the smallest doc_id, then of the smallest hash of the text.
 
-    Of the rows without doc_id in a component one stays as well. Rows with an empty set stay.
+    A row without doc_id stays only in a component that has none with one. Of rows equal in doc_id and text the
+    one stays whose columns, written as JSON, come first. Rows with an empty set stay.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = stored(profiles(texts, width))
     sets = grouped_sets(texts, known, percent, width).select("s1", "s2", "component")
     rows = known.where("n_shingles > 0").join(sets, ["s1", "s2"]).withColumn("no_id", F.col("doc_id").isNull())
     rows = stored(rows.groupBy("component", "no_id", "doc_id", "text_hash").agg(F.count("*").alias("n")))
-    first = rows.groupBy("component", "no_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("of"))
+    first = rows.groupBy("component").agg(F.min(F.struct("no_id", "doc_id", "text_hash")).alias("of"))
     first = stored(first.select(F.col("of.doc_id").alias("_id"), F.col("of.text_hash").alias("_hash")))
     stays = rows["doc_id"].eqNullSafe(first["_id"]) & (rows["text_hash"] == first["_hash"])
     names = (F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
@@ -438,5 +439,7 @@ def drop_near_copies(docs: DataFrame, percent: int = 75, width: int = 5) -> Data
     if many.isEmpty():
         return docs.join(later, same(later), "left_anti")
     others = later.union(many)
-    once = docs.join(many, same(many), "left_semi").dropDuplicates(["doc_id", "text"])
-    return docs.join(others, same(others), "left_anti").union(once.select(*docs.columns))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    equal = docs.join(many, same(many), "left_semi").select(F.xxhash64("text").alias("hash"), F.col("doc_id").alias("id"), whole.alias("row"))
+    once = equal.groupBy("id", "hash").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return docs.join(others, same(others), "left_anti").union(once.select("row.*"))
