@@ -7,20 +7,27 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The date and timestamp layouts accepted in text columns, tried in this order.
-DATE_FORMATS = (
-    "yyyy-MM-dd",
-    "yyyy-MM-dd'T'HH:mm[:ss][.SSSSSS][.SSS][XXX][XX]",
-    "yyyy-MM-dd HH:mm[:ss][.SSSSSS][.SSS][XXX][XX]",
-    "M/d/yyyy",
-    "M/d/yyyy h:mm:ss a",
-    "M/d/yyyy H:mm[:ss]",
-    "M/d/yy",
-    "yyyy/MM/dd",
-    "yyyyMMdd",
-    "MMM d, yyyy",
-    "d MMM yyyy",
-)
+# The layouts accepted in text columns, by the shape of the text: a shape is tested before its layouts
+# are tried in this order, so a text is only parsed by layouts it can have.
+DATE_LAYOUTS = {
+    r"^\d{4}-": (
+        "yyyy-M-d",
+        "yyyy-M-d'T'H:mm[:ss][.SSSSSSSSS][XXX][XX]",
+        "yyyy-M-d H:mm[:ss][.SSSSSSSSS][XXX][XX]",
+    ),
+    r"^\d{4}/": ("yyyy/M/d", "yyyy/M/d H:mm[:ss][.SSSSSSSSS]"),
+    r"^\d{4}\.": ("yyyy.M.d", "yyyy.M.d H:mm[:ss][.SSSSSSSSS]"),
+    r"^\d{1,2}/\d{1,2}/\d{4}": ("M/d/yyyy", "M/d/yyyy h:mm[:ss] a", "M/d/yyyy H:mm[:ss][.SSSSSSSSS]"),
+    r"^\d{1,2}/\d{1,2}/\d{2}(?!\d)": ("M/d/yy", "M/d/yy h:mm[:ss] a", "M/d/yy H:mm[:ss]"),
+    r"^\d{8}$": ("yyyyMMdd",),
+    r"^[A-Za-z]{3}\s": ("MMM d[,] yyyy", "MMM d[,] yyyy h:mm[:ss] a", "MMM d[,] yyyy H:mm[:ss]"),
+    r"^[A-Za-z]{4,}\s": ("MMMM d[,] yyyy", "MMMM d[,] yyyy h:mm[:ss] a", "MMMM d[,] yyyy H:mm[:ss]"),
+    r"^[Mm][Aa][Yy]\s": ("MMMM d[,] yyyy",),
+    r"^\d{1,2}[ -][A-Za-z]{3}[ -]": ("d MMM yyyy", "d-MMM-yyyy", "d MMM yyyy H:mm[:ss]", "d-MMM-yyyy H:mm[:ss]"),
+    r"^\d{1,2}[ -][A-Za-z]{4,}[ -]": ("d MMMM yyyy", "d-MMMM-yyyy", "d MMMM yyyy H:mm[:ss]"),
+}
+#: All layouts, in order.
+DATE_FORMATS = tuple(layout for layouts in DATE_LAYOUTS.values() for layout in layouts)
 LOWER_OPS = ("ge", "gt", "eq")
 UPPER_OPS = ("le", "lt", "eq")
 
@@ -40,14 +47,17 @@ def _literal() -> str:
 
 
 def parse_timestamp(col: Column) -> Column:
-    """Timestamp from text in any of DATE_FORMATS, else null; two-digit years are 1969 to 2068."""
+    """Timestamp from text in any of DATE_LAYOUTS, else null; two-digit years are 1969 to 2068."""
+    text = F.trim(col)
+
     def read(layout: str) -> Column:
-        at = F.try_to_timestamp(F.trim(col), F.lit(layout))
+        at = F.try_to_timestamp(text, F.lit(layout))
         if "yyyy" in layout:
             return at
-        return F.when(F.year(at) > 2068, F.add_months(at, -1200).cast("timestamp")).otherwise(at)
+        return F.when(F.year(at) > 2068, at - F.expr("interval 100 years")).otherwise(at)
 
-    return F.coalesce(*[read(layout) for layout in DATE_FORMATS])
+    found = [F.when(text.rlike(shape), F.coalesce(*map(read, layouts))) for shape, layouts in DATE_LAYOUTS.items()]
+    return F.coalesce(*found)
 
 
 def normalize_dates(col: Column) -> Column:

@@ -80,6 +80,17 @@ def _(t: Tables) -> DataFrame:
 SPELLINGS = (
     "yyyy/MM/dd", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd HH:mm", "MMM d, yyyy", "d MMM yyyy", "yyyyMMdd",
     "yyyy-MM-dd'T'HH:mm:ss'+0000'", "M/d/yyyy H:mm", "M/d/yy", "yyyy-MM-dd HH:mm:ss'+00:00'",
+    "MMMM d, yyyy",
+    "MMM d yyyy",
+    "d MMMM yyyy",
+    "dd-MMM-yyyy",
+    "M/d/yy HH:mm",
+    "M/d/yyyy hh:mm a",
+    "yyyy/MM/dd HH:mm",
+    "yyyy-M-d",
+    "yyyy.MM.dd",
+    "MMM d, yyyy HH:mm",
+    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSSSS",
 )
 
 
@@ -93,7 +104,7 @@ def _spelled(t: Tables) -> DataFrame:
 
 @query(
     "date_coercion_mixed",
-    "SELECT o_orderkey, CASE WHEN o_orderkey % 11 < 10 THEN o_orderdate::DATE END AS written_on FROM orders",
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 22 < 21 THEN o_orderdate::DATE END AS written_on FROM orders",
 )
 def _(t: Tables) -> DataFrame:
     return coerce_dates(_spelled(t), ["written_on"]).select("o_orderkey", day_of("written_on"))
@@ -102,7 +113,7 @@ def _(t: Tables) -> DataFrame:
 @query(
     "date_unreadable",
     "SELECT 'written_on' AS field, 'date' AS declared, count(*) AS checked, "
-    "count(*) FILTER (o_orderkey % 11 = 10) AS mismatches FROM orders",
+    "count(*) FILTER (o_orderkey % 22 = 21) AS mismatches FROM orders",
 )
 def _(t: Tables) -> DataFrame:
     return type_consistency(_spelled(t), {"written_on": "date"})

@@ -102,7 +102,23 @@ def test_mixed_formats_parse(spark):
         ("1/5/2025 10:15", "2025-01-05 10:15:00"),
         ("1/5/25", "2025-01-05 00:00:00"),
         ("2025-01-05 10:15:00+00:00", "2025-01-05 10:15:00"),
+        ("January 5, 2025", "2025-01-05 00:00:00"),
+        ("May 5 2025", "2025-05-05 00:00:00"),
+        ("May 5, 2025 1:05 PM", "2025-05-05 13:05:00"),
+        ("Jan 5 2025", "2025-01-05 00:00:00"),
+        ("5 January 2025", "2025-01-05 00:00:00"),
+        ("05-Jan-2025", "2025-01-05 00:00:00"),
+        ("5-JAN-2025", "2025-01-05 00:00:00"),
+        ("1/5/25 10:15", "2025-01-05 10:15:00"),
+        ("1/5/70 10:15", "1970-01-05 10:15:00"),
+        ("1/5/2025 10:15 AM", "2025-01-05 10:15:00"),
+        ("2025/01/05 10:15", "2025-01-05 10:15:00"),
+        ("2025-1-5", "2025-01-05 00:00:00"),
+        ("2025.01.05", "2025-01-05 00:00:00"),
+        ("Jan 5, 2025 10:15", "2025-01-05 10:15:00"),
+        ("2025-01-05T10:15:30.123456789", "2025-01-05 10:15:30.123456"),
         ("soon", None),
+        ("Janus 5, 2025", None),
         ("2025-02-30", None),
         (None, None),
     ]
