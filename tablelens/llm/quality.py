@@ -15,8 +15,8 @@ their logarithmic counts at unit length. The fit takes a bounded sample:
 SAMPLE graded rows at most, those of the smallest id hashes.
 
 Defined cases: null or empty text is scored by the thresholds alone; rows that
-repeat a doc_id are scored each; grades without a document, null grades and
-null ids teach nothing; with fewer than two grades every tail probability is 1
+repeat a doc_id are scored each; grades without a document, null grades, grades
+outside 0 .. K - 1 and null ids teach nothing; with fewer than two grades every tail probability is 1
 if the only grade is in the tail, else 0; extra columns stay out; an empty
 table gives an empty result.
 """
@@ -93,7 +93,8 @@ def _unit(row: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
 
 def fit(docs: DataFrame, grades: DataFrame, n_grades: int) -> Model:
     """The model of training rows: `docs` (doc_id, text) and `grades` (doc_id, grade)."""
-    known = grades.where("grade is not null and doc_id is not null").groupBy("doc_id").agg(F.max("grade").alias("grade"))
+    valid = grades.where("doc_id is not null").where(F.col("grade").between(0, n_grades - 1))
+    known = valid.groupBy("doc_id").agg(F.max("grade").alias("grade"))
     ids = docs.where("doc_id is not null").select("doc_id").distinct()
     known = known.join(ids, "doc_id", "left_semi")
     chosen = sampled(known, SAMPLE).select("doc_id", F.col("grade").cast("long").alias("grade"))

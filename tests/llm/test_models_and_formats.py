@@ -361,3 +361,11 @@ def test_stages_take_nulls_ties_and_nothing(spark, tmp_path):
             docs = corpus_pipeline.stored(stage(spark, docs, str(tmp_path)))
             assert n == 4 or docs.columns == [*DOCS.replace(" long", "").replace(" string", "").split(", "), "hits", "rank", "text2"]
         assert (docs.count() > 0) == bool(chosen)
+
+
+def test_grades_out_of_range_teach_nothing(spark):
+    docs = spark.createDataFrame([(i, f"{'good words' if i % 2 else 'poor text'} number {i}") for i in range(60)], "doc_id long, text string")
+    grades = [(i, i % 2) for i in range(60) if i % 5]
+    odd = [(0, 5), (5, -1), (10, 99), (15, None)]
+    plain, more = (quality.quality(docs, spark.createDataFrame(g, "doc_id long, grade long"), 2, 1) for g in (grades, grades + odd))
+    assert {tuple(r) for r in plain.collect()} == {tuple(r) for r in more.collect()}
