@@ -3,6 +3,7 @@ from . import (
     anchored,
     calendar,
     classify,
+    distinct_periods,
     incremental,
     joins,
     key_index,
@@ -20,6 +21,7 @@ __all__ = [
     "anchored",
     "calendar",
     "classify",
+    "distinct_periods",
     "incremental",
     "joins",
     "key_index",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.periods import Period, all_periods
+from ..functions.projection import quoted
 from .aggregate import AggSpec, agg_list, group_agg
 
 PERIODS = ("week", "month", "quarter")
@@ -36,7 +37,7 @@ def period_end(start: Column, period: str) -> Column:
 def _label(df: DataFrame, period: str) -> DataFrame:
     """Bucket columns from `period_start`; the label is the year and month of the end."""
     start = F.col("period_start")
-    rest = [c for c in df.columns if c != "period_start"]
+    rest = [quoted(c) for c in df.columns if c != "period_start"]
     end = period_end(start, period)
     return df.select(
         start,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 from ..functions.dates import parse_timestamp
 from ..functions.json_types import json_entries
 from ..functions.predicates import has_value
+from ..functions.projection import quoted
 
 # Fixed value: a key that lost its letter prefix.
 CUT_KEY = r"^-[0-9]+$"
@@ -179,35 +181,118 @@ def date_column_profile(df: DataFrame, columns: Sequence[str] | None = None) ->
     return df.agg(*stats).select(F.inline(F.array(*rows)))
 
 
-def _finding(check: str, table: str, field: Column | str, n: Column, status: Column) -> Column:
-    return F.struct(
-        F.lit(check).alias("check"),
-        F.lit(table).alias("table"),
-        (field if isinstance(field, Column) else F.lit(field)).alias("field"),
-        status.alias("status"),
-        n.cast("long").alias("n"),
-    )
+def _identity(df: DataFrame, columns: Sequence[str]) -> Column:
+    """128 bits that stand for the values and nulls of `columns`; integers of any width count as equal.
 
+    Among a billion different keys any two share them with a chance of about 1e-21.
+    """
+    parts = []
+    for name in columns:
+        value, kind = df[quoted(name)], df.schema[name].dataType
+        if isinstance(kind, T.IntegralType):
+            value = value.cast("long")
+        elif isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+            value = value.cast("double") + F.lit(0.0)  # -0.0 is 0.0
+        parts += [value, value.isNull()]
+    return F.struct(F.xxhash64(F.lit(1), *parts).alias("a"), F.xxhash64(F.lit(2), *parts).alias("b"))
 
-def _verdict(n: Column) -> Column:
-    return F.when(n > 0, F.lit("FAIL")).otherwise(F.lit("PASS"))
 
+def _same_hash(one: T.DataType, two: T.DataType) -> bool:
+    """Whether equal values of the two types have equal `_identity`."""
+    return one == two or all(isinstance(t, T.IntegralType) for t in (one, two))
 
-def _key_checks(df: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
-    """Rows, filled keys and key format in one pass; a table without rows adds a WARN row."""
-    label = ",".join(keys)
-    empty = reduce(lambda a, b: a | b, [~has_value(df[k]) for k in keys])
-    cut = reduce(lambda a, b: a | b, [df[k].cast("string").rlike(CUT_KEY) for k in keys])
-    stats = df.agg(
-        F.count("*").alias("rows"), F.count_if(empty).alias("empty"), F.count_if(cut).alias("cut")
-    )
-    rows, no_key, cut_key = F.col("rows"), F.col("empty"), F.col("cut")
-    findings = F.array(
-        F.when(rows == 0, _finding("records", table, "*", rows, F.lit("WARN"))),
-        _finding("pk_filled", table, label, no_key, _verdict(no_key)),
-        _finding("pk_format", table, label, cut_key, _verdict(cut_key)),
-    )
-    return stats.select(F.inline(F.array_compact(findings)))
+
+@dataclass(frozen=True)
+class _Check:
+    """One line of a report and how its number comes about.
+
+    rows: failing rows; unique: keys with more than one row; match: rows whose key has no parent.
+    """
+
+    check: str
+    table: str
+    field: str
+    counts: str = "rows"
+
+
+class _Checks:
+    """Collects what each table has to emit, so that every table is read once for all its checks."""
+
+    def __init__(self, tables: Mapping[str, DataFrame]) -> None:
+        self.tables = tables
+        self.checks: list[_Check] = []
+        self.events: dict[str, list[Column]] = {}
+
+    def _emit(self, table: str, no: int, when: Column, key: Column | None, child: int, parent: int) -> None:
+        nothing = F.lit(None).cast("struct<a:bigint,b:bigint>")
+        event = F.struct(
+            F.lit(no).alias("no"),
+            (nothing if key is None else key).alias("key"),
+            F.lit(child).cast("long").alias("child"),
+            F.lit(parent).alias("parent"),
+        )
+        self.events.setdefault(table, []).append(F.when(when, event))
+
+    def _new(self, check: _Check) -> int:
+        self.checks.append(check)
+        return len(self.checks) - 1
+
+    def rows(self, check: str, table: str, field: str, fails: Column) -> None:
+        self._emit(table, self._new(_Check(check, table, field)), fails, None, 1, 0)
+
+    def unique(self, check: str, table: str, columns: Sequence[str]) -> None:
+        no = self._new(_Check(check, table, ",".join(columns), "unique"))
+        self._emit(table, no, F.lit(True), _identity(self.tables[table], columns), 1, 0)
+
+    def match(self, check: str, child: str, fk: str, parent: str, pk: str) -> None:
+        no = self._new(_Check(check, child, fk, "match"))
+        df = self.tables[child]
+        self._emit(child, no, _filled(df, fk), _identity(df, [fk]), 1, 0)
+        known = self.tables[parent]
+        self._emit(parent, no, known[quoted(pk)].isNotNull(), _identity(known, [pk]), 0, 1)
+
+    def report(self) -> DataFrame:
+        """Events are added up per check and key within each task, so a hot key or a check without a key is one row per task."""
+        spark = next(iter(self.tables.values())).sparkSession
+        # every check has an event of no rows, so tables without rows report too
+        seeds = spark.range(len(self.checks)).select(
+            F.col("id").cast("int").alias("no"),
+            F.lit(None).cast("struct<a:bigint,b:bigint>").alias("key"),
+            F.lit(0).cast("long").alias("child"),
+            F.lit(0).alias("parent"),
+        )
+        parts = [
+            self.tables[name].select(F.inline(F.array_compact(F.array(*events))))
+            for name, events in self.events.items()
+        ]
+        keyed = (
+            reduce(DataFrame.unionByName, [seeds, *parts])
+            .groupBy("no", "key")
+            .agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
+        )
+        totals = keyed.groupBy("no").agg(
+            F.sum("child").alias("rows"),
+            F.count_if(F.col("child") > 1).alias("unique"),
+            F.sum(F.when(F.col("parent") == 0, F.col("child")).otherwise(0)).alias("match"),
+        )
+        counts = {i: check.counts for i, check in enumerate(self.checks)}
+        n = F.col("rows")
+        for kind in ("unique", "match"):
+            chosen = [i for i, k in counts.items() if k == kind]
+            n = F.when(F.col("no").isin(chosen), F.col(kind)).otherwise(n)
+
+        def named(part: str) -> Column:
+            names = F.array(*[F.lit(getattr(check, part)) for check in self.checks])
+            return F.get(names, F.col("no")).alias(part)
+
+        found = totals.select(named("check"), named("table"), named("field"), n.alias("n"))
+        found = found.where("check <> 'records' or n = 0")
+        status = F.when(F.col("check") == "records", "WARN").otherwise(_verdict(F.col("n")))
+        return found.select("check", "table", "field", status.alias("status"), "n")
+
+
+def _verdict(n: Column) -> Column:
+    return F.when(n > 0, F.lit("FAIL")).otherwise(F.lit("PASS"))
 
 
 def quality_report(
@@ -218,28 +303,41 @@ def quality_report(
 ) -> DataFrame:
     """All checks as one long table (check, table, field, status, n).
 
-    `relations` are (child, foreign key, parent, key). The result is the union
-    of whole-table jobs that Spark runs side by side.
+    `relations` are (child, foreign key, parent, key). Each table is read once,
+    whatever the number of its checks: a row emits one event per failing row
+    check and per key it has to compare, and one aggregation by check and key
+    serves them all. Keys travel as 128-bit hashes. A relation between columns
+    of different types is compared by a join of its own.
     """
-    n = F.col("n")
-    parts = []
+    checks, joined = _Checks(tables), []
     for name, cols in keys.items():
-        doubled = pk_duplicates(tables[name], cols).agg(F.count("*").alias("n"))
-        unique = _finding("pk_unique", name, ",".join(cols), n, _verdict(n))
-        parts += [
-            _key_checks(tables[name], name, cols),
-            doubled.select(F.inline(F.array(unique))),
-        ]
+        df, label = tables[name], ",".join(cols)
+        empty = reduce(lambda a, b: a | b, [~has_value(df[quoted(k)]) for k in cols])
+        cut = reduce(lambda a, b: a | b, [df[quoted(k)].cast("string").rlike(CUT_KEY) for k in cols])
+        checks.rows("records", name, "*", F.lit(True))
+        checks.rows("pk_filled", name, label, empty)
+        checks.rows("pk_format", name, label, cut)
+        checks.unique("pk_unique", name, cols)
     for child, fk, parent, pk in relations:
-        rate = fk_match_rate(tables[child], fk, tables[parent], pk)
-        misses = F.col("misses")
-        match = _finding("fk_match", child, fk, misses, _verdict(misses))
-        parts.append(rate.select(F.inline(F.array(match))))
+        if _same_hash(tables[child].schema[fk].dataType, tables[parent].schema[pk].dataType):
+            checks.match("fk_match", child, fk, parent, pk)
+            continue
+        misses = fk_match_rate(tables[child], fk, tables[parent], pk)
+        joined.append(
+            misses.select(
+                F.lit("fk_match").alias("check"),
+                F.lit(child).alias("table"),
+                F.lit(fk).alias("field"),
+                _verdict(F.col("misses")).alias("status"),
+                F.col("misses").alias("n"),
+            )
+        )
     for name, declared in (types or {}).items():
-        wrong = F.col("mismatches")
-        kind = _finding("type", name, F.col("field"), wrong, _verdict(wrong))
-        parts.append(type_consistency(tables[name], declared).select(F.inline(F.array(kind))))
-    return reduce(DataFrame.unionByName, parts)
+        df = tables[name]
+        for column, kind in declared.items():
+            checks.rows("type", name, column, _filled(df, column) & _mismatch(df, column, kind))
+    parts = [checks.report()] if checks.checks else []
+    return reduce(DataFrame.unionByName, [*parts, *joined])
 
 
 def quality_summary(report: DataFrame) -> DataFrame:

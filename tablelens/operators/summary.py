@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import epoch_micros, from_epoch_micros
+from ..functions.projection import quoted
 from .aggregate import measured
 from .quantiles import exact_quantiles
 
@@ -52,20 +54,82 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return stats.select("column", "count", "mean", "std", "min", *QUARTILES, "max")
 
 
+#: Characters of a text that are compared with those of others as frequent, pass by pass; then whole texts.
+HEADS = (16, 256, 65_536)
+
+
+def _frequent(cells: DataFrame, head: int | None) -> DataFrame:
+    """Per column: values, different values, rows of the most frequent ones and the first head among these.
+
+    Values are told apart by 128 bits of MD5, and only these, the head and a
+    count are shuffled. `low` and `high` are the smallest and largest digest of
+    the values with that head; where they agree there is only one.
+    """
+    start = F.col("value") if head is None else F.substring("value", 1, head)
+    digest = F.unhex(F.md5(F.col("value").cast("binary")))
+    counts = cells.groupBy("column", digest.alias("digest"), start.alias("head")).agg(F.count("*").alias("n"))
+    first = F.struct((-F.col("n")).alias("less"), F.col("head"))
+    return (
+        counts.groupBy("column", "n", "head")
+        .agg(F.min("digest").alias("low"), F.max("digest").alias("high"), F.count("*").alias("values"))
+        .groupBy("column")
+        .agg(
+            F.sum(F.col("n") * F.col("values")).alias("count"),
+            F.sum("values").alias("unique"),
+            F.max("n").alias("freq"),
+            F.min_by(F.struct("head", "low", "high"), first).alias("best"),
+        )
+        .select("column", "count", "unique", "freq", "best.*")
+    )
+
+
 def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """count, unique, top and freq per text column; equal frequencies go to the smaller value."""
+    """count, unique, top and freq per text column; equal frequencies go to the smaller value.
+
+    Runs a job that counts digests, so no whole text is shuffled, and a second
+    one over the rows that start alike where the most frequent texts do. Where
+    a text is longer than what was compared, it is looked up by its digest. One
+    row per column is collected.
+    """
     names = list(columns or columns_of(df, T.StringType))
-    cells = df.select(*names).unpivot([], names, "column", "value")
-    counts = cells.dropna().groupBy("column", "value").agg(F.count("*").alias("n"))
-    stats = counts.groupBy("column").agg(
-        F.sum("n").alias("count"),
-        F.count("*").alias("unique"),
-        F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("top"),
-        F.max("n").alias("freq"),
+    cells = df.select(*[df[quoted(n)] for n in names]).unpivot([], [quoted(n) for n in names], "column", "value").dropna()
+    stats: dict[str, dict] = {}
+    tops: dict[str, str] = {}
+    by_digest: dict[str, bytearray] = {}
+    heads: dict[str, str] = {}
+    for size in (*HEADS, None):
+        # rows that start with what the most frequent ones start with; all of them in the first pass
+        alike = [(F.col("column") == n) & F.col("value").startswith(F.lit(h)) for n, h in heads.items()]
+        some = cells.where(reduce(lambda a, b: a | b, alike)) if heads else cells
+        found = {r["column"]: r for r in _frequent(some, size).collect()}
+        stats = stats or found
+        if heads:
+            found = {n: r for n, r in found.items() if n in heads}
+        heads = {}
+        for name, row in found.items():
+            if size is None or len(row["head"]) < size:
+                tops[name] = row["head"]
+            elif row["low"] == row["high"]:
+                by_digest[name] = row["low"]
+            else:
+                heads[name] = row["head"]
+        if not heads:
+            break
+    for name, digest in by_digest.items():
+        same = F.unhex(F.md5(df[quoted(name)].cast("binary"))) == F.lit(bytes(digest))
+        tops[name] = df.where(same).select(quoted(name)).first()[0]
+    filled = [stats.get(n) for n in names]
+    return df.sparkSession.createDataFrame(
+        pa.table(
+            {
+                "column": pa.array(names, pa.string()),
+                "count": pa.array([r["count"] if r else 0 for r in filled], pa.int64()),
+                "unique": pa.array([r["unique"] if r else 0 for r in filled], pa.int64()),
+                "top": pa.array([tops.get(n) for n in names], pa.string()),
+                "freq": pa.array([r["freq"] if r else None for r in filled], pa.int64()),
+            }
+        )
     )
-    # a column without any value keeps its row
-    listed = df.sparkSession.createDataFrame(pa.table({"column": names}))
-    return listed.join(stats, "column", "left").na.fill(0, subset=["count", "unique"])
 
 
 def describe_timestamp(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from ..operators.aggregate import (
     with_total,
 )
 from ..operators.calendar import resample, resample_filled
+from ..operators.distinct_periods import distinct_by_periods
 from ..operators.normalize import normalization_notes
 from ..operators.paging import order_by, top_rows
 from ..operators.summary import describe_numeric, describe_text, describe_timestamp
@@ -295,6 +296,31 @@ def _(t: Tables) -> DataFrame:
     return out.withColumns({s: F.date_format(s, "yyyy-MM-dd HH:mm:ss.SSSSSS") for s in clocks})
 
 
+def _distinct_sql(table: str, date: str, column: str, key: str) -> str:
+    """Distinct values per week, month and quarter of a table, one scan per grain."""
+    steps = {"week": "6 DAYS", "month": "1 MONTH - INTERVAL 1 DAY", "quarter": "3 MONTHS - INTERVAL 1 DAY"}
+    return " UNION ALL ".join(
+        f"""
+    SELECT '{grain}' AS period, date_trunc('{grain}', {date})::DATE AS period_start,
+           (date_trunc('{grain}', {date}) + INTERVAL {step})::DATE AS period_end,
+           strftime(date_trunc('{grain}', {date}) + INTERVAL {step}, '%Y-%m') AS period_label,
+           {key}, count(DISTINCT {column}) AS {column}_nunique
+    FROM {table} GROUP BY ALL
+    """
+        for grain, step in steps.items()
+    )
+
+
+@query("distinct_by_periods", _distinct_sql("orders", "o_orderdate", "o_custkey", "o_orderstatus"))
+def _(t: Tables) -> DataFrame:
+    return distinct_by_periods(t.orders, "o_orderdate", "o_custkey", keys=["o_orderstatus"])
+
+
+@query("distinct_by_periods_text", _distinct_sql("orders", "o_orderdate", "o_orderpriority", "o_orderstatus"))
+def _(t: Tables) -> DataFrame:
+    return distinct_by_periods(t.orders, "o_orderdate", "o_orderpriority", keys=["o_orderstatus"])
+
+
 def _resample_sql(start: str, end: str) -> str:
     return f"""
     SELECT period_start, {end} AS period_end, strftime({end}, '%Y-%m') AS period_label,

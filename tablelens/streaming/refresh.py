@@ -7,10 +7,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
+from ..functions.projection import fresh, quoted
 from ..operators.aggregate import AggSpec, agg_list, measured
 from ..operators.incremental import merge_stored
+from ..operators.keyed import dedup_keep_last
 from ..session import checkpoint_root, scratch_table
 
 
@@ -49,6 +52,29 @@ def first_deliveries(
     return stream.withWatermark(time, late).dropDuplicatesWithinWatermark(list(keys))
 
 
+def last_deliveries(
+    stream: DataFrame, keys: Sequence[str], seq: Sequence[str], time: str | None = None, late: str = "1 day"
+) -> DataFrame:
+    """The last row per key by `seq` so far, in whatever order the deliveries come; run it in mode update.
+
+    The state of a key is its last row, held by a built-in aggregate. With
+    `time`, the time of the record that all its deliveries share, keys are
+    forgotten once `late` has passed it, and later deliveries are dropped;
+    without it every key is kept. A null key is a key, a null in `seq` comes
+    before all values, and of rows equal in `seq` the one with the larger
+    other columns, from left to right, stays.
+    """
+    rest = [F.col(quoted(c)) for c in stream.columns if c not in (*keys, time)]
+    if not rest:
+        raise ValueError("nothing but keys to keep")
+    if time is not None:
+        stream = stream.withWatermark(time, late)
+    by = [quoted(k) for k in [*keys, *([time] if time is not None else [])]]
+    last = fresh("_last", stream)
+    kept = stream.groupBy(*by).agg(F.max(F.struct(*[F.col(quoted(s)).alias(f"_{i}") for i, s in enumerate(seq)], F.struct(*rest).alias("row"))).alias(last))
+    return kept.select(*by, f"{last}.row.*").select(*map(quoted, stream.columns))
+
+
 def _exprs(stream: DataFrame, spec: AggSpec) -> list[Column]:
     aggs = agg_list(spec, stream.columns)
     for a in aggs:
@@ -93,17 +119,24 @@ def month_totals(
     )
 
 
-def run_into(stream: DataFrame, mode: str) -> DataFrame:
+def run_into(stream: DataFrame, mode: str, keys: Sequence[str] = ()) -> DataFrame:
     """Run a stream over what is available into a table in the shared folder, and read that.
 
-    Mode append keeps the rows of all batches, complete those of the last one.
+    Mode append keeps the rows of all batches, complete those of the last one,
+    and update those of the last batch that holds their `keys`.
     """
     spark = stream.sparkSession
     path = f"{checkpoint_root(spark)}/tablelens-{uuid.uuid4().hex}"
+    number_of = fresh("_batch", stream)
 
     def put(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/{'rows' if mode == 'complete' else number}")
+        rows = batch.withColumn(number_of, F.lit(number).cast("long"))
+        rows.write.mode("overwrite").parquet(f"{path}/{'rows' if mode == 'complete' else number}")
 
     query = stream.writeStream.foreachBatch(put).outputMode(mode).trigger(availableNow=True)
     query.option("checkpointLocation", f"{path}-progress").start().awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{path}/*")
+    schema = T.StructType([*stream.schema.fields, T.StructField(number_of, T.LongType())])
+    rows = spark.read.schema(schema).parquet(f"{path}/*")
+    if mode == "update":
+        rows = dedup_keep_last(rows, keys, [number_of])
+    return rows.drop(number_of)
