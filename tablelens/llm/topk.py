@@ -14,12 +14,15 @@ Queries are packed into blocks, and a block meets a bucket as one row meets
 one row; pairs that length pruning leaves out are never formed. Each pair gives
 at most k rows per query.
 
-Defined cases: vectors that are null, empty, or hold a null or non-finite
-component take no part, nor do rows without an id; all rows with the query's
-own id are left out; vectors of different lengths are compared as if the
-shorter ended in zeros; equal products go to the smaller id; fewer than k
-others give fewer rows; extra columns are ignored; an empty table gives an
-empty result.
+Rows are numbered and stored first, so rows that share an id are rows of their
+own, as queries and as candidates, and only the query's own row is left out.
+Matrices travel in the narrowest of 16, 32 or 64 bits that holds them.
+
+Defined cases: vectors that are null or hold a null or non-finite component
+take no part, nor do rows without an id; an empty vector has product 0 with
+every other; vectors of different lengths are compared as if the shorter ended
+in zeros; equal products go to the smaller id; fewer than k others give fewer
+rows; extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,39 +38,42 @@ from .common import stored
 
 #: Vectors of a bucket; queries of a block.
 BUCKET, BLOCK = 2048, 512
+#: Components are kept in the first of these that holds them.
+WIDTHS = (np.int16, np.int32, np.int64)
 #: Cosine threshold from which coordinates prune, and how many are looked at.
 NARROW, FOCUS = 0.5, 4
-_PACKED = "part long, high double, low double, n int, dims int, ids binary, data binary, norms binary"
+_PACKED = "part long, high double, low double, n int, dims int, width int, rows binary, ids binary, data binary, norms binary"
 
 
 def scaled(embedding: Column, factor: int = 256) -> Column:
     """floor(factor * x) of every component, null where the vector takes no part."""
     bad = F.exists(embedding, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     whole = F.transform(embedding, lambda x: F.floor(x.cast("double") * factor))
-    return F.when(embedding.isNotNull() & (F.size(embedding) > 0) & ~bad, whole)
+    return F.when(embedding.isNotNull() & ~bad, whole)
 
 
 def _packed(vectors: DataFrame, rows: int) -> DataFrame:
-    """Runs of at most `rows` vectors (vec_id, v, norm) in falling order of length, a matrix per run."""
+    """Runs of at most `rows` vectors (row, vec_id, v, norm) in falling order of length, a matrix per run."""
     ordered = vectors.repartitionByRange(F.desc("norm"), F.col("vec_id")).sortWithinPartitions(F.desc("norm"), "vec_id")
 
-    def pack(ids: np.ndarray, norms: np.ndarray, v: pa.Array, part: int) -> tuple:
+    def pack(numbers: np.ndarray, ids: np.ndarray, norms: np.ndarray, v: pa.Array, part: int) -> tuple:
         size = v.value_lengths().to_numpy()
         data = np.zeros((len(ids), int(size.max())), np.int64)
         data[np.repeat(np.arange(len(ids)), size), np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)] = v.flatten().to_numpy()
-        return (part, norms[0], norms[-1], len(ids), data.shape[1], ids.tobytes(), data.tobytes(), norms.tobytes())
+        data = data.astype(next(t for t in WIDTHS if t is np.int64 or np.array_equal(data.astype(t), data)))
+        return (part, norms[0], norms[-1], len(ids), data.shape[1], data.itemsize, numbers.tobytes(), ids.tobytes(), data.tobytes(), norms.tobytes())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId() << 32
         held: list[pa.RecordBatch] = []
-        types = [pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+        types = [pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 4]
 
         def out(table: pa.Table) -> pa.RecordBatch:
             nonlocal part
-            columns = [table.column(c).combine_chunks() for c in ("vec_id", "v", "norm")]
-            row = pack(columns[0].to_numpy(), columns[2].to_numpy(), columns[1], part)
+            columns = [table.column(c).combine_chunks() for c in ("row", "vec_id", "norm", "v")]
+            row = pack(*[c.to_numpy() for c in columns[:3]], columns[3], part)
             part += 1
             return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types, strict=True)], [f.split()[0] for f in _PACKED.split(", ")])
 
@@ -80,12 +86,16 @@ def _packed(vectors: DataFrame, rows: int) -> DataFrame:
         if sum(b.num_rows for b in held):
             yield out(pa.Table.from_batches(held))
 
-    return ordered.select("vec_id", "v", "norm").mapInArrow(run, _PACKED)
+    return ordered.select("row", "vec_id", "v", "norm").mapInArrow(run, _PACKED)
 
 
-def _matrix(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    data = np.frombuffer(row["data"], np.int64).reshape(row["n"], row["dims"])
-    return np.frombuffer(row["ids"], np.int64), data, np.frombuffer(row["norms"], np.float64)
+def _matrix(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers, ids, components and lengths of a run."""
+    if row["dims"]:
+        data = np.frombuffer(row["data"], f"i{row['width']}").reshape(row["n"], row["dims"]).astype(np.int64)
+    else:
+        data = np.zeros((row["n"], 0), np.int64)
+    return np.frombuffer(row["rows"], np.int64), np.frombuffer(row["ids"], np.int64), data, np.frombuffer(row["norms"], np.float64)
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -108,10 +118,10 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return near[np.lexsort((ids[near], -scores[near]))[:k]]
 
 
-def top_in_bucket(queries: dict, bucket: dict, bounds: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query, vec_id, score) of the up to k best of a bucket that can reach each query's bound."""
-    q_ids, q, q_norms = _matrix(queries)
-    ids, data, norms = _matrix(bucket)
+def top_in_bucket(queries: dict, bucket: dict, bounds: np.ndarray, k: int) -> list[tuple[int, int, int, int]]:
+    """(row of the query, query, vec_id, score) of the up to k best of a bucket that can reach each query's bound."""
+    q_rows, q_ids, q, q_norms = _matrix(queries)
+    rows, ids, data, norms = _matrix(bucket)
     unit = data / np.maximum(norms, 1e-300)[:, None]
     out = []
     for row in range(len(q_ids)):
@@ -135,14 +145,14 @@ def top_in_bucket(queries: dict, bucket: dict, bounds: np.ndarray, k: int) -> li
                     near = near[inside]
             else:
                 near = near[: int(np.searchsorted(-norms, -(bound - slack) / norm, "right"))]
-        near = near[ids[near] != q_ids[row]]
+        near = near[rows[near] != q_rows[row]]
         if not len(near):
             continue
         scores = _products(q[row : row + 1], data[near])[0]
         fits = scores >= bound if np.isfinite(bound) else np.ones(len(scores), bool)
         near, scores = near[fits], scores[fits]
         for at in _best(scores, ids[near], k):
-            out.append((int(q_ids[row]), int(ids[near[at]]), int(scores[at])))
+            out.append((int(q_rows[row]), int(q_ids[row]), int(ids[near[at]]), int(scores[at])))
     return out
 
 
@@ -155,11 +165,11 @@ def _bounded(blocks: DataFrame, first: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             bounds, need = [], []
             for row in batch.to_pylist():
-                q_ids, q, q_norms = _matrix(row)
-                ids, data, _ = _matrix({c[2:]: x for c, x in row.items() if c.startswith("b_")})
-                own = np.full(len(q_ids), -np.inf)
-                for i in range(len(q_ids)):
-                    scores = _products(q[i : i + 1], data[ids != q_ids[i]])[0]
+                q_rows, _, q, q_norms = _matrix(row)
+                rows, _, data, _ = _matrix({c[2:]: x for c, x in row.items() if c.startswith("b_")})
+                own = np.full(len(q_rows), -np.inf)
+                for i in range(len(q_rows)):
+                    scores = _products(q[i : i + 1], data[rows != q_rows[i]])[0]
                     if len(scores) >= k:
                         own[i] = np.partition(scores, len(scores) - k)[len(scores) - k]
                 bounds.append(own.tobytes())
@@ -174,6 +184,8 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k largest integer products of each query row of `vectors` (vec_id, v)."""
     squares = F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
     known = vectors.where("vec_id is not null and v is not null").select("vec_id", "v", F.sqrt(squares).alias("norm"), is_query.alias("query"))
+    # stored, so that a row has one number in buckets and blocks, also where a task runs again
+    known = stored(known.withColumn("row", F.monotonically_increasing_id()))
     buckets = stored(_packed(known, BUCKET))
     blocks = stored(_packed(known.where("query"), BLOCK))
     first = buckets.orderBy(F.desc("high"), "part").limit(1)
@@ -193,21 +205,22 @@ def top_products(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
                 bucket = {c[2:]: x for c, x in row.items() if c.startswith("b_")}
                 found = top_in_bucket(row, bucket, np.frombuffer(row["bounds"], np.float64), k)
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["query_id", "vec_id", "score"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], ["query_row", "query_id", "vec_id", "score"])
 
-    found = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = pairs.mapInArrow(run, "query_row long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     found = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return found.select("query_id", "rank", "vec_id", "score")
 
 
 ORACLE = """
 WITH v AS (
-  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  SELECT row_number() OVER () AS r, vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+  SELECT q.r, q.vec_id AS query_id, c.vec_id,
+         CASE WHEN len(q.v) = 0 OR len(c.v) = 0 THEN 0 ELSE CAST(list_inner_product(q.v, c.v) AS BIGINT) END AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.r <> q.r)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
 """

@@ -322,8 +322,8 @@ def test_top_products(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 7)
     rng = np.random.default_rng(2)
     data = {i: [float(x) for x in rng.normal(0, 0.2 + (i % 5), 6).astype(np.float32)] for i in range(400)}
-    data |= {i: data[0] for i in range(400, 480)} | {480: [0.0] * 6, 481: [1e3, 0.0, 0.0, 0.0, 0.0, 0.0], 500: [2.0, 1.0]}
-    bad = [(1000, None), (1050, [1.0, None]), (1100, [float("nan")] * 6), (1150, [float("inf")] + [0.0] * 5), (1200, []), (None, [1.0] * 6)]
+    data |= {i: data[0] for i in range(400, 480)} | {480: [0.0] * 6, 481: [1e3, 0.0, 0.0, 0.0, 0.0, 0.0], 500: [2.0, 1.0], 1200: []}
+    bad = [(1000, None), (1050, [1.0, None]), (1100, [float("nan")] * 6), (1150, [float("inf")] + [0.0] * 5), (None, [1.0] * 6)]
     rows = spark.createDataFrame([*data.items(), *bad], "vec_id long, embedding array<float>").withColumn("norm", F.lit("x"))
     vectors = rows.select("vec_id", topk.scaled(F.col("embedding")).alias("v"))
     whole = {i: [math.floor(256 * x) for x in v] + [0] * (6 - len(v)) for i, v in data.items()}
@@ -334,6 +334,21 @@ def test_top_products(spark, monkeypatch):
     assert topk.top_products(vectors.where("vec_id = 3"), F.lit(True)).collect() == []
 
 
+def test_rows_of_one_id_are_rows_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BUCKET", 4)
+    monkeypatch.setattr(topk, "BLOCK", 2)
+    rows = [(0, [3, 4]), (0, [5, -1]), (0, [3, 4]), (7, []), (50, []), (50, [1, 1]), (9, [40_000, 2]), (8, [-3, 2**40]), (8, [-3, 2**40]), (7, [0, 0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    found = topk.top_products(vectors, F.col("vec_id") % 50 == 0, 3)
+    want = []
+    for n, (q, a) in enumerate(rows):
+        others = sorted((-sum(x * y for x, y in zip(a, b)), i) for m, (i, b) in enumerate(rows) if m != n)
+        want += [(q, r + 1, i, -x) for r, (x, i) in enumerate(others[:3]) if q % 50 == 0]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    none = topk.top_products(vectors.where("size(v) = 0"), F.lit(True), 3)
+    assert sorted(map(tuple, none.collect())) == [(7, 1, 50, 0), (50, 1, 7, 0)]
+
+
 # ---------------------------------------------------------------- pipeline
 
 
