@@ -13,6 +13,7 @@ from . import (
     quality,
     quantiles,
     rank_index,
+    rule_tables,
     summary,
 )
 
@@ -31,5 +32,6 @@ __all__ = [
     "quality",
     "quantiles",
     "rank_index",
+    "rule_tables",
     "summary",
 ]

@@ -181,7 +181,7 @@ def date_column_profile(df: DataFrame, columns: Sequence[str] | None = None) ->
     return df.agg(*stats).select(F.inline(F.array(*rows)))
 
 
-def _identity(df: DataFrame, columns: Sequence[str]) -> Column:
+def _identity(df: DataFrame, columns: Sequence[str]) -> tuple[Column, Column]:
     """128 bits that stand for the values and nulls of `columns`; integers of any width count as equal.
 
     Among a billion different keys any two share them with a chance of about 1e-21.
@@ -194,7 +194,7 @@ def _identity(df: DataFrame, columns: Sequence[str]) -> Column:
         elif isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
             value = value.cast("double") + F.lit(0.0)  # -0.0 is 0.0
         parts += [value, value.isNull()]
-    return F.struct(F.xxhash64(F.lit(1), *parts).alias("a"), F.xxhash64(F.lit(2), *parts).alias("b"))
+    return F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)
 
 
 def _same_hash(one: T.DataType, two: T.DataType) -> bool:
@@ -206,7 +206,8 @@ def _same_hash(one: T.DataType, two: T.DataType) -> bool:
 class _Check:
     """One line of a report and how its number comes about.
 
-    rows: failing rows; unique: keys with more than one row; match: rows whose key has no parent.
+    rows: failing rows; unique: keys with more than one row; match: rows whose key has no parent;
+    records: all rows, as counted by the check before it.
     """
 
     check: str
@@ -223,11 +224,12 @@ class _Checks:
         self.checks: list[_Check] = []
         self.events: dict[str, list[Column]] = {}
 
-    def _emit(self, table: str, no: int, when: Column, key: Column | None, child: int, parent: int) -> None:
-        nothing = F.lit(None).cast("struct<a:bigint,b:bigint>")
+    def _emit(self, table: str, no: int, when: Column, key: tuple | None, child: int, parent: int) -> None:
+        one, two = key or (F.lit(0), F.lit(0))
         event = F.struct(
             F.lit(no).alias("no"),
-            (nothing if key is None else key).alias("key"),
+            one.cast("long").alias("a"),
+            two.cast("long").alias("b"),
             F.lit(child).cast("long").alias("child"),
             F.lit(parent).alias("parent"),
         )
@@ -241,8 +243,10 @@ class _Checks:
         self._emit(table, self._new(_Check(check, table, field)), fails, None, 1, 0)
 
     def unique(self, check: str, table: str, columns: Sequence[str]) -> None:
+        """Two lines: keys that occur more than once, and, where there are none at all, a table without rows."""
         no = self._new(_Check(check, table, ",".join(columns), "unique"))
         self._emit(table, no, F.lit(True), _identity(self.tables[table], columns), 1, 0)
+        self._new(_Check("records", table, "*", "records"))
 
     def match(self, check: str, child: str, fk: str, parent: str, pk: str) -> None:
         no = self._new(_Check(check, child, fk, "match"))
@@ -255,19 +259,17 @@ class _Checks:
         """Events are added up per check and key within each task, so a hot key or a check without a key is one row per task."""
         spark = next(iter(self.tables.values())).sparkSession
         # every check has an event of no rows, so tables without rows report too
+        nought = F.lit(0).cast("long")
         seeds = spark.range(len(self.checks)).select(
-            F.col("id").cast("int").alias("no"),
-            F.lit(None).cast("struct<a:bigint,b:bigint>").alias("key"),
-            F.lit(0).cast("long").alias("child"),
-            F.lit(0).alias("parent"),
+            F.col("id").cast("int").alias("no"), nought.alias("a"), nought.alias("b"), nought.alias("child"), F.lit(0).alias("parent")
         )
         parts = [
-            self.tables[name].select(F.inline(F.array_compact(F.array(*events))))
+            self.tables[name].select(F.inline(F.array(*events))).where("no is not null")
             for name, events in self.events.items()
         ]
         keyed = (
             reduce(DataFrame.unionByName, [seeds, *parts])
-            .groupBy("no", "key")
+            .groupBy("no", "a", "b")
             .agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
         )
         totals = keyed.groupBy("no").agg(
@@ -275,17 +277,23 @@ class _Checks:
             F.count_if(F.col("child") > 1).alias("unique"),
             F.sum(F.when(F.col("parent") == 0, F.col("child")).otherwise(0)).alias("match"),
         )
-        counts = {i: check.counts for i, check in enumerate(self.checks)}
-        n = F.col("rows")
-        for kind in ("unique", "match"):
-            chosen = [i for i, k in counts.items() if k == kind]
-            n = F.when(F.col("no").isin(chosen), F.col(kind)).otherwise(n)
+        # the lines a total stands for: its own and, of a check for doubled keys, the one of its rows
+        lines = F.array(
+            *[
+                F.struct(F.lit(i).alias("line"), F.lit(other.counts).alias("counts"))
+                for i, other in enumerate(self.checks)
+            ]
+        )
+        own = F.filter(lines, lambda x: (x["line"] == F.col("no")) & (x["counts"] != "records"))
+        rows = F.filter(lines, lambda x: (x["line"] == F.col("no") + 1) & (x["counts"] == "records"))
+        n = F.when(F.col("counts") == "unique", F.col("unique")).when(F.col("counts") == "match", F.col("match"))
+        totals = totals.select("*", F.inline(F.concat(own, rows)))
 
         def named(part: str) -> Column:
             names = F.array(*[F.lit(getattr(check, part)) for check in self.checks])
-            return F.get(names, F.col("no")).alias(part)
+            return F.get(names, F.col("line")).alias(part)
 
-        found = totals.select(named("check"), named("table"), named("field"), n.alias("n"))
+        found = totals.select(named("check"), named("table"), named("field"), n.otherwise(F.col("rows")).alias("n"))
         found = found.where("check <> 'records' or n = 0")
         status = F.when(F.col("check") == "records", "WARN").otherwise(_verdict(F.col("n")))
         return found.select("check", "table", "field", status.alias("status"), "n")
@@ -314,7 +322,6 @@ def quality_report(
         df, label = tables[name], ",".join(cols)
         empty = reduce(lambda a, b: a | b, [~has_value(df[quoted(k)]) for k in cols])
         cut = reduce(lambda a, b: a | b, [df[quoted(k)].cast("string").rlike(CUT_KEY) for k in cols])
-        checks.rows("records", name, "*", F.lit(True))
         checks.rows("pk_filled", name, label, empty)
         checks.rows("pk_format", name, label, cut)
         checks.unique("pk_unique", name, cols)

@@ -58,26 +58,34 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
 HEADS = (16, 256, 65_536)
 
 
+def _digest(value: Column) -> tuple[Column, Column]:
+    return F.xxhash64(F.lit(1), value), F.xxhash64(F.lit(2), value)
+
+
 def _frequent(cells: DataFrame, head: int | None) -> DataFrame:
     """Per column: values, different values, rows of the most frequent ones and the first head among these.
 
-    Values are told apart by 128 bits of MD5, and only these, the head and a
-    count are shuffled. `low` and `high` are the smallest and largest digest of
-    the values with that head; where they agree there is only one.
+    Values are told apart by two hashes of 64 bits, and only these, the head
+    and a count are shuffled. `low` and `high` are the smallest and largest of
+    both hashes among the values with that head; where they agree there is one.
     """
     start = F.col("value") if head is None else F.substring("value", 1, head)
-    digest = F.unhex(F.md5(F.col("value").cast("binary")))
-    counts = cells.groupBy("column", digest.alias("digest"), start.alias("head")).agg(F.count("*").alias("n"))
+    one, two = _digest(F.col("value"))
+    counts = cells.groupBy("column", one.alias("a"), two.alias("b"), start.alias("head")).agg(F.count("*").alias("n"))
+    low, high = (F.struct(F.col(f"{f}_a").alias("a"), F.col(f"{f}_b").alias("b")) for f in ("min", "max"))
     first = F.struct((-F.col("n")).alias("less"), F.col("head"))
     return (
         counts.groupBy("column", "n", "head")
-        .agg(F.min("digest").alias("low"), F.max("digest").alias("high"), F.count("*").alias("values"))
+        .agg(
+            *[f(h).alias(f"{f.__name__}_{h}") for f in (F.min, F.max) for h in "ab"],
+            F.count("*").alias("values"),
+        )
         .groupBy("column")
         .agg(
             F.sum(F.col("n") * F.col("values")).alias("count"),
             F.sum("values").alias("unique"),
             F.max("n").alias("freq"),
-            F.min_by(F.struct("head", "low", "high"), first).alias("best"),
+            F.min_by(F.struct("head", low.alias("low"), high.alias("high")), first).alias("best"),
         )
         .select("column", "count", "unique", "freq", "best.*")
     )
@@ -95,7 +103,7 @@ def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     cells = df.select(*[df[quoted(n)] for n in names]).unpivot([], [quoted(n) for n in names], "column", "value").dropna()
     stats: dict[str, dict] = {}
     tops: dict[str, str] = {}
-    by_digest: dict[str, bytearray] = {}
+    by_digest: dict[str, tuple[int, int]] = {}
     heads: dict[str, str] = {}
     for size in (*HEADS, None):
         # rows that start with what the most frequent ones start with; all of them in the first pass
@@ -115,9 +123,10 @@ def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
                 heads[name] = row["head"]
         if not heads:
             break
-    for name, digest in by_digest.items():
-        same = F.unhex(F.md5(df[quoted(name)].cast("binary"))) == F.lit(bytes(digest))
-        tops[name] = df.where(same).select(quoted(name)).first()[0]
+    for name, wanted in by_digest.items():
+        one, two = _digest(df[quoted(name)])
+        same = df.where((one == wanted[0]) & (two == wanted[1]) & df[quoted(name)].isNotNull())
+        tops[name] = same.select(quoted(name)).first()[0]
     filled = [stats.get(n) for n in names]
     return df.sparkSession.createDataFrame(
         pa.table(

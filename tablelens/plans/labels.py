@@ -14,6 +14,7 @@ from ..operators.classify import (
 )
 from ..operators.joins import lookup_join
 from ..operators.normalize import apply_value_map, value_map_rows
+from ..operators.rule_tables import classify_by_rule_table
 from .registry import Tables, query
 
 c = F.col
@@ -232,3 +233,35 @@ def _(t: Tables) -> DataFrame:
     return apply_value_map(
         t.part.select("p_partkey", "p_type"), "p_type", value_map_rows(store, "context")
     )
+
+
+@query(
+    "rules_from_table",
+    """
+    WITH rules AS (
+      SELECT 'supplier ' || s_suppkey AS rule, '^' || s_suppkey || '[0-5]' AS pattern,
+             'nation ' || s_nationkey AS class, s_suppkey AS priority FROM supplier
+      UNION ALL SELECT 'tens', '[05]$', 'round', 1000000000 UNION ALL SELECT 'rest', NULL, 'other', 1000000001),
+    found AS (
+      SELECT o_orderkey, min_by({'class': class, 'rule': rule}, priority) AS hit FROM orders
+      JOIN rules ON pattern IS NULL OR regexp_matches(o_orderkey::VARCHAR, pattern)
+      WHERE NOT (o_orderstatus = 'F' AND rule = 'tens') GROUP BY o_orderkey)
+    SELECT o_orderkey, hit.class AS class, hit.rule AS rule FROM found
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    key = F.col("s_suppkey").cast("string")
+    rules = t.supplier.select(
+        F.concat(F.lit("supplier "), key).alias("rule"),
+        F.concat(F.lit("^"), key, F.lit("[0-5]")).alias("pattern"),
+        F.concat(F.lit("nation "), F.col("s_nationkey").cast("string")).alias("class"),
+        F.lit("high").alias("confidence"),
+        F.col("s_suppkey").cast("long").alias("priority"),
+    )
+    general = t.spark.createDataFrame(
+        [("tens", "[05]$", "round", "low", 1_000_000_000), ("rest", None, "other", "low", 1_000_000_001)], rules.schema
+    )
+    settled = t.orders.where("o_orderstatus = 'F'").select("o_orderstatus", F.lit("tens").alias("rule")).distinct()
+    orders = t.orders.select("o_orderkey", "o_orderstatus", F.col("o_orderkey").cast("string").alias("number"))
+    out = classify_by_rule_table(orders, "number", rules.unionByName(general), ["o_orderstatus"], settled)
+    return out.select("o_orderkey", "class", "rule")
