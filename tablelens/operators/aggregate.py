@@ -179,4 +179,6 @@ def pivot(
     cell, name = F.first(quoted(first.name), ignorenulls=True), fresh("_column", cells)
     by = [quoted(k) for k in keys]
     wide = cells.withColumnRenamed(column, name).groupBy(*by).pivot(name, list(values)).agg(cell)
-    return wide.na.fill(0, subset=[quoted(c) for c in wide.columns if c not in keys])
+    if any(isinstance(wide.schema[k].dataType, (T.DoubleType, T.FloatType)) for k in keys):
+        return wide.na.fill(0, subset=[quoted(c) for c in wide.columns if c not in keys])  # a key may be NaN
+    return wide.na.fill(0)  # keys are never null; not by name, as values may differ in case alone

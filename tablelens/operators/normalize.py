@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 import pyarrow as pa
@@ -33,6 +33,17 @@ def value_map_rows(df: DataFrame, column: str) -> DataFrame:
     return df.select(*others, F.explode(parse_value_map(df[column])).alias("old", "new"))
 
 
+def stored_value_maps(store: DataFrame, table: str, fields: Iterable[str]) -> dict[str, DataFrame]:
+    """Lookup rows (old, new) per field from a context store, for `apply_value_maps`; nothing is read yet.
+
+    The store has columns (table_name, field_name, context_type, context); an
+    entry of type value_map holds a JSON object. A field without one, or with
+    other content, has no lookup rows.
+    """
+    maps = store.where((F.col("context_type") == "value_map") & (F.col("table_name") == table))
+    return {f: value_map_rows(maps.where(F.col("field_name") == f).select("context"), "context") for f in fields}
+
+
 def map_table(spark: SparkSession, mapping: Mapping[str, str]) -> DataFrame:
     """A mapping as lookup rows (old, new)."""
     pairs = {"old": list(mapping.keys()), "new": list(mapping.values())}

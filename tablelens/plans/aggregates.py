@@ -18,7 +18,7 @@ from ..operators.distinct_periods import distinct_by_periods
 from ..operators.normalize import normalization_notes
 from ..operators.paging import order_by, top_rows
 from ..operators.summary import describe_numeric, describe_text, describe_timestamp
-from .analyze import analyze
+from .analyze import analyze, analyze_from_store
 from .registry import Tables, query
 
 c = F.col
@@ -489,6 +489,46 @@ def _(t: Tables) -> DataFrame:
     return rounded(out, o_totalprice_sum=2)
 
 
+def _from_store(t: Tables) -> tuple[DataFrame, DataFrame]:
+    # an entry per order status, of which that of finished orders is one of this table
+    entry = F.concat(F.lit('{"'), F.min("o_orderpriority"), F.lit('": "least of '), c("o_orderstatus"), F.lit('"}'))
+    store = t.orders.groupBy("o_orderstatus").agg(entry.alias("context")).select(
+        F.when(c("o_orderstatus") == "F", "orders").otherwise("other table").alias("table_name"),
+        F.lit("o_orderpriority").alias("field_name"),
+        F.lit("value_map").alias("context_type"),
+        "context",
+    )
+    return analyze_from_store(
+        t.orders, "orders", store, "o_orderpriority", aggregate="count:o_orderkey", where="o_totalprice > 1000"
+    )
+
+
+_LEAST = "(SELECT min(o_orderpriority) FROM orders WHERE o_orderstatus = 'F')"
+
+
+@query(
+    "analyze_from_store",
+    f"""
+    SELECT CASE WHEN o_orderpriority = {_LEAST} THEN 'least of F' ELSE o_orderpriority END AS o_orderpriority,
+           count(o_orderkey) AS o_orderkey_count
+    FROM orders WHERE o_totalprice > 1000 GROUP BY 1
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    return _from_store(t)[0]
+
+
+@query(
+    "analyze_from_store_notes",
+    f"""
+    SELECT 'o_orderpriority' AS field, o_orderpriority AS old, 'least of F' AS new, count(*) AS count
+    FROM orders WHERE o_totalprice > 1000 AND o_orderpriority = {_LEAST} GROUP BY ALL
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    return _from_store(t)[1]
+
+
 @query(
     "normalization_notes",
     """

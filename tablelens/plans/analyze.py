@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..functions.projection import names_of
 from ..operators.aggregate import AggSpec, group_agg, pivot, value_counts, with_total
 from ..operators.calendar import resample, resample_filled
-from ..operators.normalize import apply_value_maps
+from ..operators.normalize import apply_value_maps, normalization_notes, stored_value_maps
 from ..operators.paging import sort_keys
 from ..operators.summary import columns_of, describe_numeric, describe_text, describe_timestamp
 
@@ -89,3 +89,24 @@ def analyze(
     if sort or order:
         out = out.orderBy(*sort_keys(out, [*names_of(sort), *order]))
     return out if limit is None else out.limit(limit)
+
+
+def analyze_from_store(
+    df: DataFrame, table: str, store: DataFrame, groupby: str | Iterable[str] = (), **options
+) -> tuple[DataFrame, DataFrame]:
+    """`analyze` under the value maps that a context store holds for `table`, and what they changed.
+
+    The second result has one row (field, old, new, count) per entry that
+    changed rows, counted after the filter and before the change. Options are
+    those of `analyze` but `value_maps`.
+    """
+    keys = names_of(groupby)
+    pivoted = options.get("pivot_column") or ""
+    fields = [f for f in dict.fromkeys([*keys, pivoted]) if keys and f in columns_of(df, T.StringType)]
+    maps = stored_value_maps(store, table, fields)
+    result = analyze(df, groupby=keys, value_maps=maps, **options)
+    where = options.get("where")
+    rows = df if where is None else df.where(where)
+    if not maps:
+        return result, df.sparkSession.createDataFrame([], "field string, old string, new string, count bigint")
+    return result, normalization_notes(rows, maps)
