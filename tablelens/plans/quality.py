@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.json_paths import json_path_profile, json_schema
 from ..functions.json_types import json_type_profile
 from ..operators.quality import (
     date_column_profile,
@@ -202,6 +203,68 @@ def _(t: Tables) -> DataFrame:
     return out.withColumn("fill_rate", F.round("fill_rate", 6))
 
 
+def _nested(t: Tables) -> DataFrame:
+    """Orders with their lines as JSON texts; the customer is an object, or a bare number in closed orders."""
+    line = F.struct(
+        c("l_partkey").alias("part"),
+        F.when(c("l_returnflag") != "R", F.date_format("l_shipdate", "yyyy-MM-dd")).alias("shipped"),
+        F.array("l_returnflag", "l_linestatus").alias("marks"),
+    )
+    lines = t.lineitem.groupBy(c("l_orderkey").alias("o_orderkey")).agg(F.collect_list(line).alias("lines"))
+    keep = {"ignoreNullFields": "false"}
+    status = F.when(c("o_orderstatus") != "P", c("o_orderstatus")).alias("status")
+    customer = F.to_json(F.struct(c("o_custkey").alias("key"), status), keep)
+    customer = F.when(c("o_orderstatus") == "F", c("o_custkey").cast("string")).otherwise(customer)
+    held = F.coalesce(F.to_json("lines", keep), F.lit("[]"))
+    doc = F.format_string('{"id": %d, "customer": %s, "all lines": %s}', "o_orderkey", customer, held)
+    return t.orders.join(lines, "o_orderkey", "left").select("o_orderpriority", doc.alias("doc"))
+
+
+@query(
+    "json_path_profile",
+    """
+    WITH l AS (SELECT lineitem.* FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+    e AS (
+      SELECT NULL AS parent, '$' AS path, 'object' AS type, count(*) AS n FROM orders
+      UNION ALL SELECT '$', '$.id', 'number', count(*) FROM orders
+      UNION ALL SELECT '$', '$.customer', if(o_orderstatus = 'F', 'number', 'object'), count(*) FROM orders GROUP BY ALL
+      UNION ALL SELECT '$.customer', '$.customer.key', 'number', count(*) FROM orders WHERE o_orderstatus <> 'F'
+      UNION ALL SELECT '$.customer', '$.customer.status', if(o_orderstatus = 'P', 'unknown', 'text'), count(*)
+        FROM orders WHERE o_orderstatus <> 'F' GROUP BY ALL
+      UNION ALL SELECT '$', '$[''all lines'']', 'array', count(*) FROM orders
+      UNION ALL SELECT '$[''all lines'']', '$[''all lines''][]', 'object', count(*) FROM l
+      UNION ALL SELECT '$[''all lines''][]', '$[''all lines''][].part', 'number', count(*) FROM l
+      UNION ALL SELECT '$[''all lines''][]', '$[''all lines''][].shipped', if(l_returnflag = 'R', 'unknown', 'date'), count(*)
+        FROM l GROUP BY ALL
+      UNION ALL SELECT '$[''all lines''][]', '$[''all lines''][].marks', 'array', count(*) FROM l
+      UNION ALL SELECT '$[''all lines''][].marks', '$[''all lines''][].marks[]', 'text', 2 * count(*) FROM l),
+    p AS (SELECT parent, path, first(type ORDER BY (type = 'unknown'), n DESC, type) AS dominant,
+                 sum(n)::BIGINT AS "values", coalesce(sum(n) FILTER (type <> 'unknown'), 0)::BIGINT AS filled FROM e GROUP BY ALL)
+    SELECT e.path, e.type, e.n, p.dominant, p."values",
+           if(e.parent IS NULL OR e.path = e.parent || '[]', p."values", o.n) AS within,
+           round(filled / if(e.parent IS NULL OR e.path = e.parent || '[]', p."values", o.n), 6) AS fill_rate
+    FROM e JOIN p ON e.path = p.path LEFT JOIN e o ON o.path = e.parent AND o.type = 'object'
+    WHERE e.n > 0
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    return json_path_profile(_nested(t), "doc").withColumn("fill_rate", F.round("fill_rate", 6))
+
+
+@query(
+    "json_schema_tree",
+    """
+    SELECT o_orderpriority, 'OBJECT<`all lines`: ARRAY<OBJECT<marks: ARRAY<STRING>, part: BIGINT, shipped: STRING>>, '
+      || CASE WHEN bool_or(o_orderstatus = 'F') AND bool_or(o_orderstatus <> 'F') THEN 'customer: VARIANT'
+              WHEN bool_or(o_orderstatus = 'F') THEN 'customer: BIGINT'
+              ELSE 'customer: OBJECT<key: BIGINT, status: STRING>' END || ', id: BIGINT>' AS schema
+    FROM orders GROUP BY o_orderpriority
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    return json_schema(_nested(t), "doc", ["o_orderpriority"])
+
+
 @query(
     "event_property_types",
     """
