@@ -3,6 +3,7 @@ from . import (
     anchored,
     calendar,
     classify,
+    day_states,
     distinct_periods,
     incremental,
     joins,
@@ -22,6 +23,7 @@ __all__ = [
     "anchored",
     "calendar",
     "classify",
+    "day_states",
     "distinct_periods",
     "incremental",
     "joins",

@@ -34,7 +34,7 @@ def period_end(start: Column, period: str) -> Column:
     return F.last_day(F.add_months(start, 0 if period == "month" else 2))
 
 
-def _label(df: DataFrame, period: str) -> DataFrame:
+def labelled(df: DataFrame, period: str) -> DataFrame:
     """Bucket columns from `period_start`; the label is the year and month of the end."""
     start = F.col("period_start")
     rest = [quoted(c) for c in df.columns if c != "period_start"]
@@ -47,7 +47,8 @@ def _label(df: DataFrame, period: str) -> DataFrame:
     )
 
 
-def _bucketed(df: DataFrame, date: str, period: str) -> DataFrame:
+def bucketed(df: DataFrame, date: str, period: str) -> DataFrame:
+    """`df` with the first day of the bucket of every row."""
     is_date = isinstance(
         df.schema[date].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)
     )
@@ -60,8 +61,8 @@ def resample(
     df: DataFrame, date: str, period: str, spec: AggSpec, keys: Sequence[str] = ()
 ) -> DataFrame:
     """Aggregate per calendar bucket and the further keys; only buckets with rows appear."""
-    buckets = _bucketed(df, date, period)
-    return _label(group_agg(buckets, ["period_start", *keys], spec), period)
+    buckets = bucketed(df, date, period)
+    return labelled(group_agg(buckets, ["period_start", *keys], spec), period)
 
 
 def resample_filled(df: DataFrame, date: str, period: str, spec: AggSpec) -> DataFrame:
@@ -70,14 +71,14 @@ def resample_filled(df: DataFrame, date: str, period: str, spec: AggSpec) -> Dat
     An empty bucket has sum, count and nunique 0; its other values are null.
     """
     aggs = agg_list(spec, df.columns)
-    found = group_agg(_bucketed(df, date, period), ["period_start"], aggs)
+    found = group_agg(bucketed(df, date, period), ["period_start"], aggs)
     # the calendar is bounded by its days, whatever the size of the table
     calendar = found.agg(F.min("period_start").alias("first"), F.max("period_start").alias("last")).select(
         F.explode(F.sequence("first", "last", F.expr(STEP[period]))).alias("period_start")
     )
     zero = [a.name for a in aggs if a.func in ("sum", "count", "nunique")]
     filled = calendar.join(found, "period_start", "left")
-    return _label(filled.na.fill(0, subset=zero) if zero else filled, period)
+    return labelled(filled.na.fill(0, subset=zero) if zero else filled, period)
 
 
 def period_compare(

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import day_range
 from ..functions.projection import quoted
+from .aggregate import AggSpec
+from .day_states import DAY, DayStates, day_states, periods_of_states
 from .joins import match
 from .key_index import build_key_index, months_of
 from .keyed import dedup_keep_last, keyed_upsert, union_by_name
@@ -153,6 +155,7 @@ def merge_stored(
     covered: tuple[Day, Day] | None = None,
     key_index: bool = False,
     most: int | None = None,
+    states: DayStates | None = None,
 ) -> dict:
     """Upsert into a table stored by month, writing only the months it touches.
 
@@ -167,23 +170,34 @@ def merge_stored(
     same table. `covered` is the range the rows were fetched for, recorded even
     where it held none. With `most`, only so many rows stay, the newest by
     `date`, and what counts as covered begins after the last day that lost rows.
+    With `states`, the same version holds mergeable states of every day: only
+    days where rows arrive or arriving keys were held are computed again, whole
+    months only where they have no states yet or the cap cut them.
 
-    Returns the months that were searched for arriving keys and those written.
+    Returns the months that were searched for arriving keys and those written;
+    with `states` also the months and days whose states were computed from rows.
     """
     now = _version(spark, path)
     latest = dedup_keep_last(incoming, keys, seq)
     held = _months(spark, now)
-    touched = with_month(latest, date).select(MONTH)
+    day = F.to_date(F.col(quoted(date))) if states else F.lit(None).cast("date")
+    touched = with_month(latest, date).select(MONTH, day.alias(DAY))
+    held = _months(spark, now)
     searched: list[str] = []
-    if held is not None and dates_move:
+    if held is not None and (dates_move or states):
         searched = sorted(now["months"])
         wanted = latest.select(*map(quoted, keys)).distinct()
-        if key_index:
+        if not dates_move:
+            arriving = {r[0] or "" for r in touched.select(MONTH).distinct().collect()}
+            searched = [m for m in searched if m in arriving]
+        elif key_index:
             searched = _may_hold(spark, path, now, wanted, keys)
-        moved = match(held.where(_in_months(searched)).select(*map(quoted, keys), MONTH), wanted, keys, "left_semi")
-        touched = touched.union(moved.select(MONTH))
-    # bounded by the calendar: one entry per month
-    months = {r[0] or "" for r in touched.distinct().collect()}
+        columns = dict.fromkeys([*keys, date] if states else keys)
+        moved = held.where(_in_months(searched)).select(*map(quoted, columns), MONTH)
+        touched = touched.union(match(moved, wanted, keys, "left_semi").select(MONTH, day))
+    # bounded by the calendar: one entry per month, or per day with states
+    places = {(r[0] or "", r[1]) for r in touched.distinct().collect()}
+    months = {month for month, _ in places}
     merged = latest
     if held is not None:
         merged = keyed_upsert(held.where(_in_months(months)).drop(MONTH), latest, keys, seq)
@@ -194,8 +208,73 @@ def merge_stored(
     if most is not None:
         content, ranges = _capped(spark, path, content, ranges, keys, date, key_index, most)
     content["indexes"] = {f: i for f, i in content["indexes"].items() if f in content["months"].values()}
+    report = {"searched": searched, "written": sorted(months)}
+    if states is None:
+        content["states"] = _still_valid(now["states"], content["months"])
+    else:
+        days = {m: {d for month, d in places if month == m} for m, f in written["months"].items() if content["months"].get(m) == f}
+        content["states"], report["computed"] = _refreshed_states(spark, path, now, content["months"], days, date, states)
     _put_version(spark, path, now["version"] + 1, content | {"covered": ranges})
-    return {"searched": searched, "written": sorted(months)}
+    return report
+
+
+def _still_valid(states: dict, months: dict) -> dict:
+    """The stored states without those of months whose rows are no longer the ones they were computed from."""
+    return states and states | {"months": {m: s for m, s in states["months"].items() if months.get(m) == s["of"]}}
+
+
+def _refreshed_states(
+    spark: SparkSession, path: str, now: dict, months: dict, changed: dict[str, set], date: str, states: DayStates
+) -> tuple[dict, dict]:
+    """The states of all months, and the months and days they were computed for.
+
+    `changed` names the days that changed in the months of which nothing else did.
+    """
+    some = _months(spark, {"months": months})
+    spec = states.described() | {"date": date, "types": _typed(some, [*states.values, *states.keys, date]) if some else []}
+    before = _still_valid(now["states"], now["months"]) if now["states"] and now["states"]["spec"] == spec else {"months": {}}
+    kept = _still_valid(before, months)["months"]
+    missing = {m: f for m, f in months.items() if m and m not in kept}
+    if not missing:
+        return {"spec": spec, "months": kept}, {"months": [], "days": []}
+    partly = {m: f for m, f in missing.items() if m in changed and m in before["months"]}
+    days = sorted(d for m in partly for d in changed[m])
+    parts = []
+    if whole := {m: f for m, f in missing.items() if m not in partly}:
+        parts.append(day_states(_months(spark, {"months": whole}), date, states))
+    if partly:
+        rows, at = _months(spark, {"months": partly}), F.col(quoted(date))
+        parts.append(day_states(rows.where(day_range(at, days[0], days[-1]) & F.to_date(at).isin(*days)), date, states))
+        old = _months(spark, {"months": {m: before["months"][m]["folder"] for m in partly}}).drop(MONTH)
+        parts.append(old.where(~F.col(DAY).isin(*days)))
+    folder = f"{path}/states/{uuid.uuid4().hex}"
+    _write_months(reduce(lambda a, b: a.unionByName(b), parts), folder, DAY)
+    fresh = {m: {"of": f, "folder": folder} for m, f in missing.items()}
+    return {"spec": spec, "months": kept | fresh}, {"months": sorted(whole), "days": [str(d) for d in days]}
+
+
+def stored_states(spark: SparkSession, path: str) -> tuple[DataFrame, DayStates]:
+    """The states of the last version; those of months that were merged without are computed from their rows."""
+    now = _version(spark, path)
+    if not now["states"]:
+        raise ValueError(f"the table at {path} was never merged with states")
+    spec, places = now["states"]["spec"], now["states"]["months"]
+    states = DayStates(spec["values"], spec["keys"])
+    stored = _months(spark, {"months": {m: s["folder"] for m, s in places.items()}})
+    parts = [] if stored is None else [stored.drop(MONTH)]
+    others = {m: f for m, f in now["months"].items() if m and m not in places}
+    if others or not parts:
+        rows = _months(spark, {"months": others or now["months"]})
+        if rows is None:
+            raise FileNotFoundError(f"no table stored at {path}")
+        parts.append(day_states(rows, spec["date"], states))
+    return reduce(lambda a, b: a.unionByName(b), parts), states
+
+
+def resample_stored(spark: SparkSession, path: str, period: str, spec: AggSpec) -> DataFrame:
+    """`resample` of a stored table from the states of its days: one row per day and keys is read, no row of the table."""
+    held, states = stored_states(spark, path)
+    return periods_of_states(held, states, period, spec)
 
 
 def _in_months(months) -> Column:
@@ -282,12 +361,13 @@ def remove_old_versions(spark: SparkSession, path: str, keep: int = 1, older_tha
         content = _content(spark, path, name)
         used |= {f.rpartition("/")[2] for f in content["months"].values()}
         used |= {i["folder"].rpartition("/")[2] for i in content["indexes"].values()}
+        used |= {i["folder"].rpartition("/")[2] for i in content["states"].get("months", {}).values()}
     removed = []
     for name in gone:
         fs.delete(_files(spark, f"{path}/versions/{name}")[1], False)
         removed.append(f"versions/{name}")
     before = (dt.datetime.now(dt.UTC).timestamp() - older_than) * 1000
-    for kind in ("data", "indexes"):
+    for kind in ("data", "indexes", "states"):
         _, at = _files(spark, f"{path}/{kind}")
         for status in fs.listStatus(at) if fs.exists(at) else []:
             name = status.getPath().getName()
@@ -338,13 +418,13 @@ def _version(spark: SparkSession, path: str) -> dict:
     """The last version: its number, the folder of each month, the covered ranges."""
     names = [n for n in _names(spark, f"{path}/versions") if n.endswith(".json")]
     if not names:
-        return {"version": 0, "months": {}, "covered": [], "indexes": {}}
+        return {"version": 0, "months": {}, "covered": [], "indexes": {}, "states": {}}
     return {"version": int(names[-1].partition(".")[0]), **_content(spark, path, names[-1])}
 
 
 def _content(spark: SparkSession, path: str, name: str) -> dict:
     text = spark.read.option("wholetext", True).text(f"{path}/versions/{name}").first()[0]
-    return {"indexes": {}, **json.loads(text)}
+    return {"indexes": {}, "states": {}, **json.loads(text)}
 
 
 def _put_version(spark: SparkSession, path: str, number: int, content: dict) -> None:

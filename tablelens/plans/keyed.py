@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.day_states import DayStates
 from ..operators.incremental import (
     covered_ranges,
     incremental_merge,
@@ -14,6 +15,7 @@ from ..operators.incremental import (
     read_months,
     refresh_day,
     refresh_range,
+    resample_stored,
 )
 from ..operators.keyed import (
     dedup_keep_last,
@@ -306,6 +308,30 @@ def _(t: Tables) -> DataFrame:
     return read_months(t.spark, path)
 
 
+@query(
+    "resample_stored_states",
+    """
+    WITH e AS (
+      SELECT event_type, ts::DATE + CASE WHEN event_id % 50 = 0 THEN 40 ELSE 0 END AS day,
+             CASE WHEN event_id % 50 = 0 THEN -value ELSE value END AS value FROM events)
+    SELECT date_trunc('month', day)::DATE AS period_start, last_day(day) AS period_end, strftime(day, '%Y-%m') AS period_label,
+           event_type, round(sum(value), 6) AS value_sum, count(value) AS value_count, round(avg(value), 6) AS value_mean,
+           min(value) AS value_min, max(value) AS value_max
+    FROM e GROUP BY ALL
+    """,
+)
+def _(t: Tables) -> DataFrame:
+    # some events come again with another date and value; the states of the days they leave and reach are computed again
+    path, first = _scratch(t), _events(t).withColumn("seq", F.lit(0))
+    again = first.withColumns({"day": F.date_add("day", 40), "value": -c("value"), "seq": F.lit(1)})
+    states = DayStates(["value"], ["event_type"])
+    merge_stored(t.spark, path, first, ["event_id"], ["seq"], "day", states=states)
+    merge_stored(t.spark, path, again.where(c("event_id") % 50 == 0), ["event_id"], ["seq"], "day", states=states)
+    aggs = "sum:value,count:value,mean:value,min:value,max:value"
+    out = resample_stored(t.spark, path, "month", aggs)
+    return out.withColumns({n: F.round(n, 6) for n in ("value_sum", "value_mean")})
+
+
 @query(
     "merge_capped",
     """
