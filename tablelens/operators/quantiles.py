@@ -81,6 +81,12 @@ def _held(rows: DataFrame, grouped: bool) -> DataFrame:
     return scratch_table(rows) if grouped else rows.sparkSession.createDataFrame(rows.collect(), rows.schema)
 
 
+def _within(rows: DataFrame, spans: DataFrame, of: list[str]) -> DataFrame:
+    """The rows inside `spans`, beside their span. Without groups a few spans go to every task: a join by column would
+    bring all rows of a column to one, and the planner cannot know the size of rows that were with the driver."""
+    return rows.join(F.broadcast(spans) if of == ["column"] else spans, of).where("v >= low and v <= high")
+
+
 def _sorted(rows: DataFrame, of: list[str], probabilities: Mapping[str, float]) -> DataFrame:
     """Quantiles of groups that one task may hold."""
     found = rows.groupBy(*of).agg(F.sort_array(F.collect_list("v")).alias("values"))
@@ -118,7 +124,7 @@ def _smaller(rows: DataFrame, spans: DataFrame, of: list[str], probabilities: Ma
 
     share = F.try_divide(_half("v") - _half("low"), _half("high") - _half("low"))
     bucket = F.coalesce(F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)), F.lit(0))
-    placed = rows.join(spans, of).where("v >= low and v <= high")
+    placed = _within(rows, spans, of)
     counted = placed.groupBy(*of, "span", "before", "total", bucket.cast("int").alias("bucket")).agg(
         F.count("*").alias("rows"), F.min("v").alias("low"), F.max("v").alias("high")
     )
@@ -144,7 +150,7 @@ def _single(spans: DataFrame, of: list[str]) -> DataFrame:
 
 
 def _inside_sorted(rows: DataFrame, spans: DataFrame, of: list[str]) -> DataFrame:
-    held = rows.join(spans, of).where("v >= low and v <= high")
+    held = _within(rows, spans, of)
     found = held.groupBy(*of, "span", "total", "before").agg(F.sort_array(F.collect_list("v")).alias("values"), F.count("*").alias("rows"))
     return found.select(*of, "total", "before", "values", "rows")
 

@@ -96,3 +96,18 @@ def test_a_pass_shuffles_no_values(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     keys = [line.split("hashpartitioning(")[1] for line in plan.splitlines() if "hashpartitioning(" in line]
     assert keys and all(" v#" not in k and not k.startswith("v#") for k in keys)
+
+
+def test_rows_of_a_column_are_not_brought_to_one_task(spark):
+    """No side of the join looks small to the planner, as with rows from large files."""
+    rows = spark.range(5_000).selectExpr("cast(id as double) as v", "cast(id % 4000 as double) as w").repartition(5)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = exact_quantiles(rows, [], ["v", "w"], WANTED, 300)
+        got = {r["column"]: [r[name] for name in WANTED] for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    np.testing.assert_allclose(got["w"], np.quantile(np.arange(5_000) % 4_000, list(WANTED.values())))
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
