@@ -19,6 +19,8 @@ from ..functions.projection import quoted
 
 BITS, PROBES = 24, 8
 BLOCK_BITS = 32_768  # a bitmap of 4 KB
+#: Keys whose filters one task makes, about: it sorts PROBES rows for each.
+TASK_KEYS = 250_000
 
 
 def _hash(keys: Sequence[str], seed: int) -> Column:
@@ -26,14 +28,21 @@ def _hash(keys: Sequence[str], seed: int) -> Column:
 
 
 def build_key_index(rows: DataFrame, month: str, keys: Sequence[str]) -> DataFrame:
-    """(month, blocks, block, bits) over all rows; a null month has the empty name."""
-    named = rows.withColumn(month, F.coalesce(F.col(month), F.lit("")))
-    # one row per month of the calendar
-    counts = named.groupBy(month).agg(F.count("*").alias("n"))
+    """(month, blocks, block, bits) over all rows; a null month has the empty name.
+
+    Runs a job that counts the rows of each month. The blocks are dealt to as
+    many tasks as the keys ask for, however small the keys are when shuffled.
+    """
+    names = [f"k{i}" for i in range(len(keys))]
+    named = rows.select(F.coalesce(F.col(quoted(month)), F.lit("")).alias("month"), *[F.col(quoted(k)).cast("string").alias(n) for k, n in zip(keys, names, strict=True)])
     blocks = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("n") * BITS / BLOCK_BITS)))).cast("long")
-    sized = named.join(counts.select(month, blocks.alias("_blocks")), month)
-    probes = F.array(*[F.pmod(_hash(keys, i + 1), F.lit(BLOCK_BITS)) for i in range(PROBES)])
-    bits = sized.select(F.col(month).alias("month"), F.col("_blocks").alias("blocks"), F.pmod(_hash(keys, 0), "_blocks").alias("block"), F.explode(probes).alias("bit"))
+    # one row per month of the calendar
+    months = named.groupBy("month").agg(F.count("*").alias("n")).select("month", blocks.alias("blocks"), "n").collect()
+    sizes = rows.sparkSession.createDataFrame([(r["month"], r["blocks"]) for r in months], "month string, blocks long")
+    tasks = max(1, -(-sum(r["n"] for r in months) // TASK_KEYS))
+    placed = named.join(F.broadcast(sizes), "month").withColumn("block", F.pmod(_hash(names, 0), "blocks"))
+    probes = F.array(*[F.pmod(_hash(names, i + 1), F.lit(BLOCK_BITS)) for i in range(PROBES)])
+    bits = placed.repartition(tasks, "month", "block").select("month", "blocks", "block", F.explode(probes).alias("bit"))
     return bits.groupBy("month", "blocks", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 

@@ -30,6 +30,16 @@ def test_filters_miss_no_key_and_rarely_name_another_month(spark):
     assert per_key and key_index.months_of(index, strangers.limit(100), ["pk"]).count() <= 1
 
 
+def test_filters_of_a_large_month_are_made_by_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(key_index, "TASK_KEYS", 5_000, raising=False)
+    keys = spark.range(40_000).select(F.expr("date_format(date_add(date'2024-01-01', cast(id % 31 as int)), 'yyyy-MM')").alias("m.n"), F.col("id").alias("block"))
+    index = key_index.build_key_index(keys, "m.n", ["block"])
+    assert index.rdd.getNumPartitions() == 8
+    # 40,000 keys of 24 bits take 32 blocks of 32,768
+    assert [tuple(r) for r in index.groupBy("month", "blocks").count().collect()] == [("2024-01", 32, 32)]
+    assert key_index.months_of(index, keys, ["block"]).collect() == [("2024-01",)]
+
+
 def test_merge_reads_only_months_that_may_hold_its_keys(spark, tmp_path):
     first = months(spark)
     change = first.where("pk in (0, 12, 7)").withColumns({"day": F.lit(dt.date(2025, 3, 1)), "v": F.lit(9), "seq": F.lit(1)})
