@@ -1,53 +1,26 @@
-"""Exact distinct counts of several calendar grains from one scan, by bitmaps.
+"""Exact distinct counts of several calendar grains from one scan.
 
-Distinct counts of days do not add up to that of their month. Bitmaps do: a day
-keeps one bit per value that occurs, cut into buckets of 32,768 values, and the
-bits of a week, month or quarter are those of its days put together. Rows are
-reduced to such states once, whatever the number of grains.
+Distinct counts of days do not add up to that of their month, as a value may
+come again. First appearances do: a value counts in a week, month or quarter on
+the first of its days there. Rows are reduced to one per day and value once,
+whatever the number of grains, and the day before of the same value says in
+which of its periods it is new.
 
-A state takes 4 KB, so this pays where a day and bucket hold many rows; for few
-rows a day over very many values, a resample of each grain moves less.
+A task holds a few dozen bytes per day and value that it is dealt, so their
+number, not the spread of the values, decides what it takes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.projection import fresh, quoted, with_values
-from ..session import scratch_table
 from .calendar import PERIODS, period_end, period_start
 
 
-def numbered(df: DataFrame, column: str, number: str) -> DataFrame:
-    """Add `number`, a whole number per value of `column`, null where there is no value.
-
-    Whole numbers stand for themselves. Other values are numbered from a stored
-    list of them, as their numbers would change if a task were run again.
-    """
-    if isinstance(df.schema[column].dataType, T.IntegralType):
-        return df.withColumn(number, F.col(quoted(column)).cast("long"))
-    value = fresh("_value", df)
-    values = with_values(df.select(F.col(quoted(column)).alias(value)), [value]).distinct()
-    values = scratch_table(values.withColumn(number, F.monotonically_increasing_id()))
-    return df.join(values, F.col(quoted(column)) == F.col(value), "left").drop(value)
-
-
-def day_states(df: DataFrame, date: str, column: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Per day, further keys and bucket of values the bits of the values that occur (state).
-
-    A day whose values are all null has one empty state.
-    """
-    day, number, bucket = (fresh(n, df) for n in ("day", "_number", "bucket"))
-    kept = numbered(with_values(df, [date, *keys]), column, number).withColumn(day, F.to_date(F.col(quoted(date))))
-    return kept.groupBy(day, *map(quoted, keys), F.bitmap_bucket_number(number).alias(bucket)).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("state")
-    ).select(F.col(day).alias("_day"), *map(quoted, keys), F.col(bucket).alias("_bucket"), F.col("state").alias("_state"))
-
-
 def distinct_by_periods(
     df: DataFrame, date: str, column: str, periods: Sequence[str] = PERIODS, keys: Sequence[str] = ()
 ) -> DataFrame:
@@ -57,20 +30,27 @@ def distinct_by_periods(
     period_end, period_label, keys, `{column}_nunique`. Rows without a date or
     key count nowhere; null is no value. NaN counts as a value.
     """
-    states = day_states(df, date, column, keys)
+    day, value, before = (fresh(n, df) for n in ("_day", "_value", "_before"))
+    by = [quoted(k) for k in keys]
+    kept = with_values(df, [date, *keys])
+    # equal rows are one before they are shuffled, so a hot day or value sends one row per task
+    days = kept.select(F.to_date(F.col(quoted(date))).alias(day), *by, F.col(quoted(column)).alias(value)).distinct()
+    # one row per day of the calendar at most
+    days = days.withColumn(before, F.lag(day).over(Window.partitionBy(*by, value).orderBy(day)))
+
+    def new(period: str) -> Column:
+        again = period_start(F.col(before), period) == period_start(F.col(day), period)
+        return F.col(value).isNotNull() & ~F.coalesce(again, F.lit(False))
+
+    firsts = days.groupBy(day, *by).agg(*[F.count_if(new(p)).alias(f"_new{i}") for i, p in enumerate(periods)])
     grains = F.array(
         *[
-            F.struct(F.lit(p).alias("period"), start.alias("period_start"), period_end(start, p).alias("period_end"))
-            for p in periods
-            for start in [period_start(F.col("_day"), p)]
+            F.struct(F.lit(p).alias("period"), start.alias("period_start"), period_end(start, p).alias("period_end"), F.col(f"_new{i}").alias("_new"))
+            for i, p in enumerate(periods)
+            for start in [period_start(F.col(day), p)]
         ]
     )
-    by = ["period", "period_start", "period_end", *map(quoted, keys)]
-    rolled = (
-        states.select("*", F.inline(grains))
-        .groupBy(*by, "_bucket")
-        .agg(F.bitmap_count(F.bitmap_or_agg("_state")).alias("_n"))
-    )
-    counted = rolled.groupBy(*by).agg(F.sum("_n").alias(f"{column}_nunique"))
+    spans = ["period", "period_start", "period_end", *by]
+    counted = firsts.select(*by, F.inline(grains)).groupBy(*spans).agg(F.sum("_new").alias(f"{column}_nunique"))
     label = F.date_format("period_end", "yyyy-MM").alias("period_label")
-    return counted.select("period", "period_start", "period_end", label, *map(quoted, keys), quoted(f"{column}_nunique"))
+    return counted.select("period", "period_start", "period_end", label, *by, quoted(f"{column}_nunique"))

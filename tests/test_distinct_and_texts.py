@@ -50,6 +50,15 @@ def test_all_grains_come_from_one_scan(spark, tmp_path):
     assert plan.split("Initial Plan")[0].count("FileScan") == 1
 
 
+def test_a_few_rows_a_day_over_many_values_make_no_large_states(spark):
+    rows = spark.range(3000).selectExpr("date_add(date'2024-01-01', cast(id % 300 as int)) day", "id * 40000 v")
+    counts = distinct_by_periods(rows, "day", "v")
+    plan = executed(counts)
+    assert {r["period"]: r["n"] for r in counts.groupBy("period").agg(F.sum("v_nunique").alias("n")).collect()} == {"week": 3000, "month": 3000, "quarter": 3000}
+    # no sort by group with a state of kilobytes in every row
+    assert "SortAggregate" not in plan and "bitmap" not in plan
+
+
 def test_top_text_by_passes_over_longer_heads(spark, monkeypatch):
     monkeypatch.setattr(summary, "HEADS", (2, 5))
     long = "same start " * 3
