@@ -10,6 +10,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+from tablelens.functions import json_paths
 from tablelens.functions.json_paths import json_depth, json_path_profile, json_schema
 
 
@@ -85,3 +86,24 @@ def test_schemas_merge_per_group(spark):
     df = spark.createDataFrame([("x", '{"a": 1}'), ("x", '{"b": ["t"]}'), ("y", '{"a": 1}'), ("y", '{"a": "t"}'), ("z", "bad")], "`g.h` string, doc string")
     assert rows_of(json_schema(df, "doc", ["g.h"])) == [("x", "OBJECT<a: BIGINT, b: ARRAY<STRING>>"), ("y", "OBJECT<a: VARIANT>"), ("z", "VOID")]
     assert len(json_schema(df, "doc").collect()) == 1
+
+
+def test_texts_are_opened_once(spark, tmp_path, monkeypatch):
+    rows = [('{"a": [], "b": {}, "c": [[1, 2], [], [null]]}',), ('{"c": [3, {"d": {}}]}',), ("[{}, {}]",), ("5",)]
+    spark.createDataFrame(rows, "doc string").write.parquet(str(tmp_path / "t"))
+    out = json_path_profile(spark.read.parquet(str(tmp_path / "t")), "doc", depth=4)
+    got = {(r.path, r.type): (r.n, r["values"], r.within) for r in out.collect()}
+    assert got == {
+        ("$", "object"): (2, 4, 4), ("$", "array"): (1, 4, 4), ("$", "number"): (1, 4, 4), ("$[]", "object"): (2, 2, 2),
+        ("$.a", "array"): (1, 1, 2), ("$.b", "object"): (1, 1, 2), ("$.c", "array"): (2, 2, 2),
+        ("$.c[]", "array"): (3, 5, 5), ("$.c[]", "number"): (1, 5, 5), ("$.c[]", "object"): (1, 5, 5),
+        ("$.c[][]", "number"): (2, 3, 3), ("$.c[][]", "unknown"): (1, 3, 3), ("$.c[].d", "object"): (1, 1, 1),
+    }
+    # with fewer levels than it has the rest is measured and opened; [null], {} and [] are told apart
+    monkeypatch.setattr(json_paths, "LEVELS", 2, raising=False)
+    again = json_path_profile(spark.read.parquet(str(tmp_path / "t")), "doc")
+    assert rows_of(again) == rows_of(out)
+    counts = json_paths.json_node_counts(spark.createDataFrame([("[null]",), ("{}",), ("[]",), ('{"a": 1}',)], "doc string"), "doc", 0)
+    assert rows_of(counts.select("type", "more", "n")) == [("array", True, 2), ("object", True, 2)]
+    # what is read twice are counts, not texts
+    assert "variant" not in out._jdf.queryExecution().executedPlan().toString()
