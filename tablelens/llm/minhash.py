@@ -14,7 +14,8 @@ No group is held whole or expanded into its pairs. In a round, each key that
 still joins several components takes one of its sets, of its largest component,
 as pivot; the pivot meets the sets of other components, and then leaves the key
 for good, as all its pairs there are decided. Near copies come together in a few
-such rounds, each linear in the rows. What is left of a key is decided in blocks:
+such rounds, each linear in the rows; the components are kept from round to round,
+and only edges between different ones are followed. What is left of a key is decided in blocks:
 the sets outside its largest component, in chunks, against all of them, first by
 signatures and then, where these come near, by an index of the shingles of a
 chunk. That last step grows with the product of the two sides, as sets that are
@@ -34,7 +35,6 @@ result.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -236,10 +236,25 @@ def pivot_links(pairs: DataFrame, docs: DataFrame, sets: DataFrame, n_nodes: int
 # ---------------------------------------------------------------- rounds
 
 
-def with_components(rows: DataFrame, edges: list[DataFrame]) -> DataFrame:
-    """`rows` (key, node) with comp, the component that the edges give the node."""
-    known = components(reduce(DataFrame.union, edges)).withColumnRenamed("component", "comp")
-    return rows.join(known, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+def extended(known: DataFrame, edges: DataFrame) -> DataFrame:
+    """The components (node, component) of `known`, which is stored, once the edges (a, b) join some of them.
+
+    Only edges between different components are followed, as edges of these.
+    """
+    ends = [known.select(F.col("node").alias(e), F.col("component").alias(f"of_{e}")) for e in "ab"]
+    placed = edges.join(ends[0], "a", "left").join(ends[1], "b", "left").select(*[F.coalesce(f"of_{e}", e).alias(e) for e in "ab"])
+    joins = stored(placed.where("a <> b").distinct())
+    if joins.isEmpty():
+        return known
+    joined = stored(components(joins))
+    top = joined.select(F.col("node").alias("component"), F.col("component").alias("top"))
+    moved = known.join(top, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    return stored(moved.union(joined.join(known, "node", "left_anti").select("node", "component")))
+
+
+def with_components(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """`rows` (key, node) with comp, the component that `known` gives the node."""
+    return rows.join(known.withColumnRenamed("component", "comp"), "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
 
 
 def open_keys(rows: DataFrame, turn: int) -> DataFrame:
@@ -313,29 +328,29 @@ def near_by_signature(roles: DataFrame, sets: DataFrame, percent: int) -> DataFr
     return rows.mapInArrow(run, "key long, node long").distinct()
 
 
-def links(docs: DataFrame, sets: DataFrame, percent: int, width: int) -> list[DataFrame]:
-    """Tables of edges (a, b) that connect all linked ones of `sets`, which is stored."""
+def linked_components(docs: DataFrame, sets: DataFrame, percent: int, width: int) -> DataFrame:
+    """(node, component) of the ones of `sets`, which is stored, that are linked; others may be absent."""
     n_nodes = sets.count()
     left = sets.select(F.explode("keys").alias("key"), "node")
     many = left.groupBy("key").agg(F.count("*").alias("n"), F.max("node").alias("pivot")).where("n > 1").select("key", "pivot")
     rows = stored(left.join(many, "key"))
-    edges = [stored(pivot_links(rows.select("pivot", "node").distinct(), docs, sets, n_nodes, percent, width))]
+    known = stored(components(stored(pivot_links(rows.select("pivot", "node").distinct(), docs, sets, n_nodes, percent, width))))
     for turn in range(ROUNDS):
-        rows = stored(with_components(rows.where("node <> pivot").select("key", "node"), edges))
+        rows = stored(with_components(rows.where("node <> pivot").select("key", "node"), known))
         keys = stored(open_keys(rows, turn))
         if keys.isEmpty():
-            return edges
+            return known
         if turn == ROUNDS - 1:
             break
         rows = stored(rows.join(keys.select("key", "pivot", "largest"), "key"))
         pairs = rows.where("comp <> largest").select("pivot", "node").distinct()
-        edges.append(stored(pivot_links(pairs, docs, sets, n_nodes, percent, width)))
+        known = extended(known, stored(pivot_links(pairs, docs, sets, n_nodes, percent, width)))
     near = stored(near_by_signature(blocks(rows.withColumn("weight", F.lit(1)), CHUNK, BLOCK), sets, percent))
-    if not near.isEmpty():
-        near = with_components(near, edges).join(sets.select("node", F.col("size").alias("weight")), "node")
-        roles = stored(blocks(stored(near.select("key", "node", "comp", "weight")), CHUNK_SHINGLES, BLOCK_SHINGLES))
-        edges.append(stored(linked(roles, texts_of(roles.select("node"), docs, sets), percent, width)))
-    return edges
+    if near.isEmpty():
+        return known
+    near = with_components(near, known).join(sets.select("node", F.col("size").alias("weight")), "node")
+    roles = stored(blocks(stored(near.select("key", "node", "comp", "weight")), CHUNK_SHINGLES, BLOCK_SHINGLES))
+    return extended(known, stored(linked(roles, texts_of(roles.select("node"), docs, sets), percent, width)))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5) -> DataFrame:
@@ -347,7 +362,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = 5) -> DataF
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = stored(sketches(docs, percent, width))
     sets = stored(distinct_sets(known))
-    found = stored(components(reduce(DataFrame.union, links(docs, sets, percent, width))))
+    found = linked_components(docs, sets, percent, width)
     named = sets.join(found, "node", "left").select("s1", "s2", "doc_id", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = stored(named.join(smallest, "component").select("s1", "s2", "component_id"))

@@ -55,6 +55,19 @@ def test_components_in_blocks(spark, corpus, monkeypatch, rounds):
     check(spark, corpus)
 
 
+def test_known_components_are_extended(spark, monkeypatch):
+    rng = random.Random(4)
+    pairs = [[tuple(rng.sample(range(-60, 60), 2)) for _ in range(n)] for n in (30, 8, 25)]
+    tables = [spark.createDataFrame(p, "a long, b long") for p in pairs]
+    known = minhash.stored(minhash.components(tables[0]))
+    known = minhash.extended(minhash.extended(known, tables[1]), tables[2])
+    want = minhash.components(tables[0].union(tables[1]).union(tables[2]))
+    assert sorted(known.collect()) == sorted(want.collect())
+    # edges within components are not followed again
+    monkeypatch.delattr(minhash, "components")
+    assert minhash.extended(known, tables[1]) is known
+
+
 def test_another_similarity(spark, corpus):
     check(spark, corpus[:200], 75)
 
